@@ -1,0 +1,367 @@
+"""Named queries: each takes ``(spark, sf_dir)`` and returns a lazy DataFrame.
+
+Every query reads the driver's tables (or files Spark derives from them) in
+full; there are no id subsets or row caps.  Computed columns carry fixed
+names so the oracle SQL in ``plans.oracle`` returns the same schema.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from colloquy.functions.text import canonical_speaker, label_of, text_after_label
+from colloquy.operators import runs as R
+from colloquy.operators.consolidate import segment_texts_from_lines
+from colloquy.operators.requests import build_requests, parse_answers
+from colloquy.operators.scoring import ordered_score_columns, to_tall
+from colloquy.operators.segments import flatten_text, segment_of
+from colloquy.operators.sentences import sentences
+from colloquy.plans import inputs as I
+from colloquy.sources.decoders import (decode_ids, decode_lines, decode_manifest_lines,
+                                       decode_scores, decode_utterances)
+from colloquy.sources.sinks import output_name, render_utterances_json, score_file_payload
+from colloquy.sources.tables import RUNS, raw_utterances, runs_frame, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+LEV = ("levenshtein",)
+CHUNK_COUNTS = (1, 3, 6, 9)
+
+# --- fixed values ---------------------------------------------------------
+# Run selections of the comparison queries over the simulated runs.
+RUN_SELECTION = [("r2", "few shot"), ("r0", "baseline"), ("r1", "summary"), ("r0", "baseline again")]
+GROUP_SELECTION = [("r0", "no summary"), ("r2", "no summary"), ("r1", "summary")]
+# Prompt texts of the simulated runs (a prompt table; real runs read files).
+PROMPTS = [
+    ("summary", "Summarise the conversation below in one paragraph."),
+    ("diarize_no_summary", "Label every utterance of the transcript with its speaker."),
+    ("diarize_w_summary", "Using the summary, label every utterance with its speaker."),
+    ("diarize_few_shot", "Label every utterance with its speaker, as in the examples."),
+]
+LLAMA_INSTANCE = "llama-3.1-70b-instruct"
+AZURE_DEPLOYMENT = "gpt4o-deployment"
+SCORE_FILE_SUFFIX = "-3-seg"
+# --------------------------------------------------------------------------
+
+
+def _id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id list a job is given, as JSONL lines (from ``labels``)."""
+    lines = table(spark, sf_dir, "labels").select(
+        F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"))).alias("value"))
+    return decode_ids(lines)
+
+
+def _transcript_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_utterances(spark, sf_dir).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_utterances"))
+
+
+def transcript_ids(spark, sf_dir):
+    """Ids of the list that have a transcript, with its utterance count."""
+    return _id_list(spark, sf_dir).join(_transcript_counts(spark, sf_dir), "id", "inner")
+
+
+def missing_transcripts(spark, sf_dir):
+    """Ids of the list with no transcript (the reader's missing-file report)."""
+    return _id_list(spark, sf_dir).join(_transcript_counts(spark, sf_dir), "id", "left_anti")
+
+
+def utterances_from_json(spark, sf_dir):
+    """Raw transcripts as JSON arrays -> utterance rows (round trip K3 -> S2)."""
+    files = render_utterances_json(raw_utterances(spark, sf_dir), ["id"])
+    return decode_utterances(files, ["id"])
+
+
+def manifest_lookup(spark, sf_dir):
+    """id -> transcript JSON path: first manifest line per id, ``.json`` for the
+    last four characters; ids without a line get NULL (the missing report)."""
+    pages = table(spark, sf_dir, "pages")
+    lines = pages.select(F.col("page_id").alias("line_no"), F.concat(
+        F.regexp_extract("url", r"/[a-z]{2}/([0-9]+)", 1), F.lit(',"'), F.col("url"), F.lit('"'))
+        .alias("line"))
+    manifest = decode_manifest_lines(lines)
+    first = (manifest.where(F.col("id") != "").groupBy("id")
+             .agg(F.min_by("path", "line_no").alias("path")))
+    json_path = F.concat(F.col("path").substr(F.lit(1), F.length("path") - 4), F.lit(".json"))
+    wanted = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    return wanted.join(first.select("id", json_path.alias("json_path")), "id", "left")
+
+
+def lines_from_text(spark, sf_dir):
+    """Plain transcripts -> physical lines (universal newlines)."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return decode_lines(docs, ["id"], "text")
+
+
+def sentences_from_text(spark, sf_dir):
+    """Plain transcripts -> one sentence per row."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return sentences(docs, ["id"], "text")
+
+
+def flatten_transcript(spark, sf_dir):
+    """One raw text per transcript (1 chunk, as sent for labelling)."""
+    return flatten_text(raw_utterances(spark, sf_dir), ["id"], 1, "never") \
+        .select("id", "text", "n_utterances")
+
+
+def chunk_transcript(spark, sf_dir):
+    """Raw text per chunk for 1, 3, 6 and 9 chunks; empty chunks are ''."""
+    utts = raw_utterances(spark, sf_dir).withColumn(
+        "chunk_num", F.explode(F.array(*[F.lit(n) for n in CHUNK_COUNTS])))
+    out = flatten_text(utts, ["chunk_num", "id"], "chunk_num", "never")
+    return out.select("chunk_num", "id", F.col("segment").alias("chunk"), "text", "n_utterances")
+
+
+def chunked_json(spark, sf_dir):
+    """The chunked raw JSON (``chunk n`` -> utterances) in row form: per chunk
+    its key, utterance count, first/last position and time span."""
+    utts = raw_utterances(spark, sf_dir).withColumn("chunk_num", F.explode(F.array(F.lit(1), F.lit(3))))
+    counts = utts.groupBy("chunk_num", "id").agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = utts.join(counts, ["chunk_num", "id"]) \
+               .withColumn("chunk", segment_of("pos", "n_rows", "chunk_num"))
+    grid = counts.select("chunk_num", "id", F.explode(F.sequence(F.lit(0), F.col("chunk_num") - 1))
+                         .alias("chunk"))
+    agg = rows.groupBy("chunk_num", "id", "chunk").agg(
+        F.count(F.lit(1)).alias("n_utterances"), F.min("pos").alias("first_pos"),
+        F.max("pos").alias("last_pos"), F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"))
+    key = F.when(F.col("chunk_num") > 1, F.concat(F.lit("chunk "), F.col("chunk").cast("string")))
+    return (grid.join(agg, ["chunk_num", "id", "chunk"], "left")
+            .select("chunk_num", "id", "chunk", key.alias("chunk_key"),
+                    F.coalesce("n_utterances", F.lit(0)).alias("n_utterances"),
+                    "first_pos", "last_pos", "start_s", "end_s"))
+
+
+def strip_labels_text(spark, sf_dir):
+    return I.pred_segments(spark, sf_dir, with_labelled=False)
+
+
+def strip_labels_json(spark, sf_dir):
+    return I.pred_segments(spark, sf_dir, source="json", with_labelled=False)
+
+
+def parse_labelled(spark, sf_dir):
+    """Every physical line of the labelled txt split at its first colon."""
+    lines = decode_lines(I.pred_txt_files(spark, sf_dir), I.RUN_KEYS)
+    return lines.select("run_name", "id", "pos", label_of("line").alias("label"),
+                        canonical_speaker(label_of("line")).alias("speaker"),
+                        text_after_label("line").alias("text"))
+
+
+def parse_model_answers(spark, sf_dir):
+    return parse_answers(I.pred_answers(spark, sf_dir))
+
+
+def consolidate_turns(spark, sf_dir):
+    return I.pred_segments(spark, sf_dir, with_bare=False)
+
+
+def consolidate_literal(spark, sf_dir):
+    return I.pred_segments(spark, sf_dir, label_mode="literal", with_bare=False)
+
+
+def consolidate_json(spark, sf_dir):
+    return I.pred_segments(spark, sf_dir, source="json")
+
+
+def render_transcript(spark, sf_dir):
+    files = I.pred_txt_files(spark, sf_dir)
+    return files.select(output_name("run_name", "id").alias("name"), "value")
+
+
+def render_chunked(spark, sf_dir):
+    files = I.pred_txt_files(spark, sf_dir, chunked=True)
+    return files.select(output_name("run_name", "id").alias("name"), "value")
+
+
+def _lev_scores(spark, sf_dir, n_segments=I.N_SEGMENTS, families=("preservation", "accuracy"),
+                label_mode="canonical", source="txt", raw_normalise="always"):
+    return I.scores(spark, sf_dir, n_segments, LEV, families, label_mode, source, raw_normalise)
+
+
+def preservation_lev(spark, sf_dir):
+    return I.rounded(_lev_scores(spark, sf_dir, families=("preservation",)))
+
+
+def nolabel_baseline_lev(spark, sf_dir):
+    s = _lev_scores(spark, sf_dir, families=("accuracy",))
+    return I.rounded(s.select("run_name", "id", "segment", "lev_baseline"))
+
+
+def accuracy_lev(spark, sf_dir):
+    s = _lev_scores(spark, sf_dir, families=("accuracy",))
+    return I.rounded(s.select("run_name", "id", "segment", "lev_acc", "lev_baseline", "lev_acc_normed"))
+
+
+def accuracy_lev_literal(spark, sf_dir):
+    s = _lev_scores(spark, sf_dir, families=("accuracy",), label_mode="literal")
+    return I.rounded(s.select("run_name", "id", "segment", "lev_acc", "lev_baseline", "lev_acc_normed"))
+
+
+def accuracy_lev_json(spark, sf_dir):
+    s = _lev_scores(spark, sf_dir, source="json")
+    return I.rounded(ordered_score_columns(s))
+
+
+def preservation_lev_literal(spark, sf_dir):
+    """One segment, raw text not whitespace-collapsed (reference-exact)."""
+    s = _lev_scores(spark, sf_dir, n_segments=1, families=("preservation",), raw_normalise="literal")
+    return I.rounded(s)
+
+
+def diff_ratio_scores(spark, sf_dir):
+    return I.rounded(ordered_score_columns(
+        I.scores(spark, sf_dir, metrics=("diff",))))
+
+
+def score_table(spark, sf_dir):
+    """All ten score columns (both metrics, composites) per (run, id, segment)."""
+    return I.rounded(ordered_score_columns(I.scores(spark, sf_dir)))
+
+
+def decode_score_files(spark, sf_dir):
+    """Score files written per run (sharded by id) and read back as one table;
+    only files whose name contains ``seg`` are taken."""
+    tall = to_tall(_lev_scores(spark, sf_dir)).withColumn(
+        "run_name", F.concat("run_name", F.lit(SCORE_FILE_SUFFIX)))
+    files = score_file_payload(tall, shards=4)
+    decoded = decode_scores(files.where(F.col("run_name").contains("seg")))
+    return I.rounded(decoded)
+
+
+def run_means(spark, sf_dir):
+    return I.rounded(R.run_means(_lev_scores(spark, sf_dir, n_segments=1)))
+
+
+def segment_means(spark, sf_dir):
+    return I.rounded(R.segment_means(_lev_scores(spark, sf_dir)))
+
+
+def segment_progression(spark, sf_dir):
+    return I.rounded(R.progression(_lev_scores(spark, sf_dir, families=("accuracy",)), "lev_acc_normed"))
+
+
+def compare_runs(spark, sf_dir):
+    means = R.run_means(_lev_scores(spark, sf_dir, n_segments=1))
+    return I.rounded(R.compare_runs(means, R.selection_frame(spark, RUN_SELECTION)))
+
+
+def compare_groups(spark, sf_dir):
+    means = R.run_means(_lev_scores(spark, sf_dir, n_segments=1))
+    return I.rounded(R.compare_groups(means, R.selection_frame(spark, GROUP_SELECTION)))
+
+
+def _runs_dim(spark):
+    return runs_frame(spark, RUNS).withColumn("llama_instance", F.lit(LLAMA_INSTANCE)) \
+        .withColumn("azure_deployment_summary", F.lit(AZURE_DEPLOYMENT)) \
+        .withColumn("azure_deployment_diarize", F.lit(AZURE_DEPLOYMENT))
+
+
+def _prompts(spark):
+    return spark.createDataFrame(PROMPTS, "prompt_name string, text string")
+
+
+def _chunks(spark, sf_dir):
+    """Raw chunk texts per (run, id, chunk) in the run's chunk count."""
+    runs = F.array(*[F.struct(F.lit(r.run_name).alias("run_name"), F.lit(r.chunk_num).alias("chunk_num"))
+                     for r in RUNS])
+    utts = raw_utterances(spark, sf_dir).withColumn("_r", F.explode(runs)) \
+        .select("id", "pos", "text", "_r.run_name", "_r.chunk_num")
+    return flatten_text(utts, ["run_name", "chunk_num", "id"], "chunk_num", "never") \
+        .select("run_name", "id", F.col("segment").alias("chunk"), "text")
+
+
+def _flat_requests(req: DataFrame) -> DataFrame:
+    return req.select(
+        "run_name", "id", "chunk", "stage", "provider", "model_id",
+        F.coalesce("system", F.try_element_at(F.filter("messages", lambda m: m["role"] == "system"),
+                                                F.lit(1))["content"])
+        .alias("system_prompt"),
+        F.element_at("messages", -1)["content"].alias("user_content"),
+        F.size("messages").alias("n_messages"), "max_tokens", "temperature", "top_p")
+
+
+def _chunk_summaries(spark, sf_dir) -> DataFrame:
+    """Stand-in summary answers per (run, id, chunk): the chunk's last utterance."""
+    runs = F.array(*[F.struct(F.lit(r.run_name).alias("run_name"), F.lit(r.chunk_num).alias("chunk_num"))
+                     for r in RUNS if r.summary])
+    utts = raw_utterances(spark, sf_dir).withColumn("_r", F.explode(runs)) \
+        .select("id", "pos", "text", "_r.run_name", "_r.chunk_num")
+    counts = utts.groupBy("run_name", "id").agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = utts.join(counts, ["run_name", "id"]) \
+        .withColumn("chunk", segment_of("pos", "n_rows", "chunk_num"))
+    return rows.groupBy("run_name", "id", "chunk").agg(F.max_by("text", "pos").alias("summary"))
+
+
+def model_requests(spark, sf_dir):
+    """Summary requests (runs with summaries) and labelling requests (all runs)."""
+    runs, prompts, chunks = _runs_dim(spark), _prompts(spark), _chunks(spark, sf_dir)
+    summary_runs = runs.where("summary")
+    summ = build_requests(chunks.join(summary_runs.select("run_name"), "run_name", "left_semi"),
+                          summary_runs, prompts, "summary")
+    diar = build_requests(chunks, runs, prompts, "diarize", summaries=_chunk_summaries(spark, sf_dir))
+    return _flat_requests(summ.unionByName(diar))
+
+
+def summary_join(spark, sf_dir):
+    """Labelling requests that carry one whole-transcript summary per chunk."""
+    runs, prompts, chunks = _runs_dim(spark), _prompts(spark), _chunks(spark, sf_dir)
+    whole = flatten_text(raw_utterances(spark, sf_dir), ["id"], 1, "never") \
+        .select("id", F.col("text").alias("summary"))
+    summaries = _per_run(whole)
+    req = build_requests(chunks, runs.where("summary"), prompts, "diarize",
+                         summaries=summaries, summary_chunking=False)
+    return _flat_requests(req)
+
+
+def _per_run(whole: DataFrame) -> DataFrame:
+    names = [r.run_name for r in RUNS if r.summary]
+    return whole.withColumn("run_name", F.explode(F.array(*[F.lit(n) for n in names])))
+
+
+def flagship(spark, sf_dir):
+    """Every score of every run, averaged per (run, segment)."""
+    return I.rounded(R.segment_means(I.scores(spark, sf_dir)))
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "transcript_ids": transcript_ids,
+        "missing_transcripts": missing_transcripts,
+        "utterances_from_json": utterances_from_json,
+        "manifest_lookup": manifest_lookup,
+        "lines_from_text": lines_from_text,
+        "sentences_from_text": sentences_from_text,
+        "flatten_transcript": flatten_transcript,
+        "chunk_transcript": chunk_transcript,
+        "chunked_json": chunked_json,
+        "strip_labels_text": strip_labels_text,
+        "strip_labels_json": strip_labels_json,
+        "parse_labelled": parse_labelled,
+        "parse_answers": parse_model_answers,
+        "consolidate_turns": consolidate_turns,
+        "consolidate_literal": consolidate_literal,
+        "consolidate_json": consolidate_json,
+        "render_transcript": render_transcript,
+        "render_chunked": render_chunked,
+        "preservation_lev": preservation_lev,
+        "preservation_lev_literal": preservation_lev_literal,
+        "nolabel_baseline_lev": nolabel_baseline_lev,
+        "accuracy_lev": accuracy_lev,
+        "accuracy_lev_literal": accuracy_lev_literal,
+        "accuracy_lev_json": accuracy_lev_json,
+        "diff_ratio_scores": diff_ratio_scores,
+        "score_table": score_table,
+        "decode_score_files": decode_score_files,
+        "run_means": run_means,
+        "segment_means": segment_means,
+        "segment_progression": segment_progression,
+        "compare_runs": compare_runs,
+        "compare_groups": compare_groups,
+        "model_requests": model_requests,
+        "summary_join": summary_join,
+        "flagship_segment_means": flagship,
+    }

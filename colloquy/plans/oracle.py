@@ -1,0 +1,5 @@
+"""DuckDB SQL equivalents of the named plans (filled in below)."""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
