@@ -53,8 +53,25 @@ RUNS: tuple[Run, ...] = (
 )
 
 
+# key column per table, used to spread a scan that yields too few splits
+TABLE_KEYS = {"conversations": "conv_id", "documents": "doc_id", "pages": "page_id",
+              "labels": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a driver table.  A scan that yields fewer splits than the cluster
+    has cores (a single-row-group file) is hash-spread on the table key, so
+    the per-row text work after it is not confined to one task; a large input
+    arrives in many splits and is left as read (no extra shuffle)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(df, TABLE_KEYS.get(name))
+
+
+def spread_scan(df: DataFrame, key: str | None) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if key is None or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def _map(col: Column, mapping: dict[str, str], default: str) -> Column:

@@ -71,3 +71,10 @@ def test_autojunk_matters_for_long_texts(spark):
     assert r.j == difflib.SequenceMatcher(None, a, b).ratio()
     assert r.n == difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
     assert r.n > r.j
+
+
+def test_trimmed_affixes_do_not_change_distance():
+    from colloquy.functions.similarity import edit_distances
+    A = ["prefix-abc-suffix", "same", "xyz", None]
+    Bs = ["prefix-axc-suffix", "same", "", "a"]
+    assert edit_distances(A, Bs) == [1, 0, 3, None]
