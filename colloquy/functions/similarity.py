@@ -157,9 +157,9 @@ def diff_ratio(a, b, autojunk: bool = True) -> Column:
     """``SequenceMatcher(None, a, b).ratio()`` (argument order matters)."""
     a, b = col_(a), col_(b)
     kernel = _diff_ratio_kernel if autojunk else _diff_ratio_kernel_nojunk
-    # two empty strings: ratio 1.0; one empty: 0.0 -- no need to leave the JVM
-    trivial = (F.length(a) == 0) | (F.length(b) == 0)
-    shortcut = F.when(trivial, F.when(F.length(a) + F.length(b) == 0, 1.0).otherwise(0.0))
+    # equal strings (both empty included): 1.0; one side empty: 0.0 -- stays in the JVM
+    trivial = (a == b) | (F.length(a) == 0) | (F.length(b) == 0)
+    shortcut = F.when(trivial, F.when(a == b, 1.0).otherwise(0.0))
     return F.coalesce(shortcut, kernel(F.when(~trivial, a), F.when(~trivial, b)))
 
 
