@@ -40,14 +40,21 @@ def segment_means(scores: DataFrame, cols: Sequence[str] | None = None) -> DataF
 def progression(scores: DataFrame, value_col: str = "composite_normed") -> DataFrame:
     """Per-transcript curve of ``value_col`` over segments, next to the run's
     mean curve at the same segment, with a flag for transcripts whose curve has
-    every segment of the run (shorter curves are reported, not drawn)."""
-    seg_w = Window.partitionBy("run_name", "segment")
-    run_w = Window.partitionBy("run_name")
+    every segment of the run (shorter curves are reported, not drawn).
+
+    The run-level figures are partial aggregates (one row per run and segment)
+    joined back, not windows over a whole run: a run holding most rows never
+    lands in one task.  The per-transcript count is a window over (run, id),
+    bounded by the segment count.  ``scores`` is read twice: materialize it
+    first when it is expensive to recompute."""
+    seg_mean = scores.groupBy("run_name", "segment").agg(F.avg(value_col).alias("mean_value"))
+    run_segs = seg_mean.groupBy("run_name").agg((F.max("segment") + 1).alias("_n_seg"))
     id_w = Window.partitionBy("run_name", "id")
-    return scores.select(
-        "run_name", "id", "segment", F.col(value_col).alias("value"),
-        F.avg(value_col).over(seg_w).alias("mean_value"),
-        (F.count(F.lit(1)).over(id_w) == (F.max("segment").over(run_w) + 1)).alias("complete"))
+    curve = scores.select("run_name", "id", "segment", F.col(value_col).alias("value"),
+                          F.count(F.lit(1)).over(id_w).alias("_n"))
+    return (curve.join(seg_mean, ["run_name", "segment"]).join(run_segs, "run_name")
+            .select("run_name", "id", "segment", "value", "mean_value",
+                    (F.col("_n") == F.col("_n_seg")).alias("complete")))
 
 
 def selection_frame(spark: SparkSession, selection: Sequence[tuple[str, str]]) -> DataFrame:

@@ -20,6 +20,7 @@ from colloquy.operators.scoring import ordered_score_columns, to_tall
 from colloquy.operators.segments import flatten_text, segment_of
 from colloquy.operators.sentences import sentences
 from colloquy.plans import inputs as I
+from colloquy.session import materialize
 from colloquy.sources.decoders import (decode_ids, decode_lines, decode_manifest_lines,
                                        decode_scores, decode_utterances)
 from colloquy.sources.sinks import output_name, render_utterances_json, score_file_payload
@@ -225,7 +226,7 @@ def score_table(spark, sf_dir):
 def decode_score_files(spark, sf_dir):
     """Score files written per run (sharded by id) and read back as one table;
     only files whose name contains ``seg`` are taken."""
-    tall = to_tall(_lev_scores(spark, sf_dir)).withColumn(
+    tall = to_tall(materialize(_lev_scores(spark, sf_dir))).withColumn(
         "run_name", F.concat("run_name", F.lit(SCORE_FILE_SUFFIX)))
     files = score_file_payload(tall, shards=4)
     decoded = decode_scores(files.where(F.col("run_name").contains("seg")))
@@ -241,7 +242,8 @@ def segment_means(spark, sf_dir):
 
 
 def segment_progression(spark, sf_dir):
-    return I.rounded(R.progression(_lev_scores(spark, sf_dir, families=("accuracy",)), "lev_acc_normed"))
+    scored = materialize(_lev_scores(spark, sf_dir, families=("accuracy",)))
+    return I.rounded(R.progression(scored, "lev_acc_normed"))
 
 
 def compare_runs(spark, sf_dir):

@@ -63,3 +63,13 @@ def work_parallelism(spark: SparkSession, factor: int = 2) -> int:
     """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(shuffle, factor * spark.sparkContext.defaultParallelism)
+
+
+def materialize(df):
+    """Cut lineage after an expensive stage (the scoring kernels) that several
+    consumers read: a reliable ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir``.  Without that setting the DataFrame is returned
+    as is and recomputed per consumer (never a local checkpoint)."""
+    if checkpoint_dir(df.sparkSession) is None:
+        return df
+    return df.checkpoint(eager=True)

@@ -131,7 +131,10 @@ def score_file_payload(tall: DataFrame, shards: int = 1) -> DataFrame:
             .agg(F.map_from_entries(F.collect_list(F.struct("metric", "m"))).alias("m")))
     lvl4 = lvl3.groupBy(*k).agg(F.map_from_entries(F.collect_list(F.struct("family", "m")))
                                 .alias("m"))
-    ids = (t.select(*k, "id").distinct().groupBy(*k)
+    # the id list comes from the first level (already one row per id and
+    # metric), so the scored input is read once: a second read of ``tall``
+    # would recompute everything above its last exchange (the kernels)
+    ids = (lvl1.select(*k, "id").distinct().groupBy(*k)
            .agg(F.array_sort(F.collect_list("id")).alias("ids")))
     return (lvl4.join(ids, k)
             .select(*k, F.concat(F.lit("["), F.to_json("ids"), F.lit(","),
