@@ -110,11 +110,13 @@ def build_requests(chunks: DataFrame, runs: DataFrame, prompts: DataFrame, stage
     df = df.join(F.broadcast(prompts.select(F.col("prompt_name").alias("_prompt"),
                                             F.col("text").alias("_ptext"))), "_prompt", "left")
     use_summary = F.lit(False)
+    summary_text = F.lit(None).cast("string")
     if stage == "diarize" and summaries is not None:
         on = ["run_name", "id", "chunk"] if summary_chunking else ["run_name", "id"]
         s = summaries.select(*on, F.col("summary").alias("_s"))
         df = df.join(s, on, "left")
-        use_summary = F.col("_summary") & F.col("_s").isNotNull()
+        summary_text = F.col("_s")
+        use_summary = F.col("_summary") & summary_text.isNotNull()
     provider = provider_of("_model")
     chunk = F.col("text")
     if stage == "summary":
@@ -122,11 +124,11 @@ def build_requests(chunks: DataFrame, runs: DataFrame, prompts: DataFrame, stage
         azure_user = F.concat(F.col("_ptext"), F.lit(BLOCK_SEPARATOR), F.lit(TRANSCRIPT_PREFIX),
                               F.lit(BLOCK_SEPARATOR), chunk)
     else:
-        user = F.when(use_summary, F.concat(F.lit(SUMMARY_PREFIX), F.col("_s"), F.lit(BLOCK_SEPARATOR),
+        user = F.when(use_summary, F.concat(F.lit(SUMMARY_PREFIX), summary_text, F.lit(BLOCK_SEPARATOR),
                                             F.lit(TRANSCRIPT_PREFIX), chunk)) \
                 .otherwise(F.concat(F.lit(TRANSCRIPT_PREFIX), chunk))
         azure_user = F.when(use_summary, F.concat(F.col("_ptext"), F.lit(BLOCK_SEPARATOR + "summary:"),
-                                                  F.col("_s"), F.lit(BLOCK_SEPARATOR),
+                                                  summary_text, F.lit(BLOCK_SEPARATOR),
                                                   F.lit(TRANSCRIPT_PREFIX), chunk)) \
                       .otherwise(F.concat(F.col("_ptext"), F.lit(BLOCK_SEPARATOR),
                                           F.lit(TRANSCRIPT_PREFIX), chunk))
