@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import (LITERAL_SPEAKER, UNKNOWN, canonical_speaker, collapse_ws,
-                                     label_of, ordered_concat, strip_first_token,
+                                     colon_index, label_of, ordered_concat, strip_first_token,
                                      text_after_label)
-from colloquy.operators.segments import assign_segments, cluster_by_segment, pad_with_grid
+from colloquy.operators.segments import assign_segments, cluster_by_segment, pad_with_grid, segment_of
 
 LABEL_MODES = ("canonical", "literal")
 
@@ -83,17 +83,41 @@ def _segment_texts(rows: DataFrame, transcripts: DataFrame, n_segments, keys: li
     return agg.select(*part, *out_cols)
 
 
+def turn_numbers(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number the turns of labelled txt lines: a turn starts at a non-blank
+    line with a colon; continuation and blank lines belong to the turn before
+    them (lines before the first label to turn 0).  Adds ``turn`` and
+    ``n_turns``.  The windows span one file, which one task reads anyway."""
+    keys = list(keys)
+    starts = ((colon_index("line") > 0) & (F.length(collapse_ws("line")) > 0)).cast("int")
+    file_w = Window.partitionBy(*keys)
+    run_w = file_w.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = lines.withColumn("_start", starts)
+    return (rows.withColumn("turn", F.greatest(F.sum("_start").over(run_w) - 1, F.lit(0)))
+            .withColumn("n_turns", F.sum("_start").over(file_w).cast("long"))
+            .drop("_start"))
+
+
 def segment_texts_from_lines(lines: DataFrame, n_segments, keys: Sequence[str],
                              transcripts: DataFrame, label_mode: str = "canonical",
-                             with_labelled: bool = True, with_bare: bool = True) -> DataFrame:
+                             with_labelled: bool = True, with_bare: bool = True,
+                             segment_by: str = "line") -> DataFrame:
     """Physical lines ``(keys, pos, line[, n_rows])`` -> ``(keys, segment, labelled, bare)``.
 
     ``transcripts`` lists every (keys) file, so files with no lines still get
-    their (empty) segments."""
+    their (empty) segments.  ``segment_by='line'`` cuts by physical lines,
+    blank ones included (the reference's rule); ``'turn'`` cuts by turns, so
+    segment borders agree with a side segmented by utterance or JSON turn."""
     if label_mode not in LABEL_MODES:
         raise ValueError(f"label_mode must be one of {LABEL_MODES}")
     keys = list(keys)
-    rows = assign_segments(lines, n_segments, keys)
+    if segment_by == "turn":
+        numbered = turn_numbers(lines.select(*keys, "pos", "line"), keys)
+        rows = numbered.withColumn("segment", segment_of("turn", "n_turns", n_segments))
+    elif segment_by == "line":
+        rows = assign_segments(lines, n_segments, keys)
+    else:
+        raise ValueError("segment_by must be line or turn")
     rows = rows.select(*keys, "segment", "pos", "line",
                        strip_first_token("line").alias("_bare"),
                        text_after_label("line").alias("_tx"),

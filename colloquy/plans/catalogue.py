@@ -179,8 +179,9 @@ def render_chunked(spark, sf_dir):
 
 
 def _lev_scores(spark, sf_dir, n_segments=I.N_SEGMENTS, families=("preservation", "accuracy"),
-                label_mode="canonical", source="txt", raw_normalise="always"):
-    return I.scores(spark, sf_dir, n_segments, LEV, families, label_mode, source, raw_normalise)
+                label_mode="canonical", source="txt", raw_normalise="always", segment_by="line"):
+    return I.scores(spark, sf_dir, n_segments, LEV, families, label_mode, source, raw_normalise,
+                    segment_by)
 
 
 def preservation_lev(spark, sf_dir):
@@ -202,6 +203,12 @@ def accuracy_lev_literal(spark, sf_dir):
     return I.rounded(s.select("run_name", "id", "segment", "lev_acc", "lev_baseline", "lev_acc_normed"))
 
 
+def scores_lev_by_turn(spark, sf_dir):
+    """Txt sides segmented by turn instead of physical line."""
+    s = _lev_scores(spark, sf_dir, segment_by="turn")
+    return I.rounded(ordered_score_columns(s))
+
+
 def accuracy_lev_json(spark, sf_dir):
     s = _lev_scores(spark, sf_dir, source="json")
     return I.rounded(ordered_score_columns(s))
@@ -355,6 +362,7 @@ def queries() -> dict[str, Query]:
         "accuracy_lev": accuracy_lev,
         "accuracy_lev_literal": accuracy_lev_literal,
         "accuracy_lev_json": accuracy_lev_json,
+        "scores_lev_by_turn": scores_lev_by_turn,
         "diff_ratio_scores": diff_ratio_scores,
         "score_table": score_table,
         "decode_score_files": decode_score_files,

@@ -49,13 +49,14 @@ def gold_txt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pred_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
                   label_mode: str = "canonical", source: str = "txt",
-                  with_labelled: bool = True, with_bare: bool = True) -> DataFrame:
+                  with_labelled: bool = True, with_bare: bool = True,
+                  segment_by: str = "line") -> DataFrame:
     """``(run_name, id, segment, labelled, bare)`` from the txt or JSON files."""
     if source == "txt":
         files = pred_txt_files(spark, sf_dir)
         lines = decode_lines(files, RUN_KEYS)
         return segment_texts_from_lines(lines, n_segments, RUN_KEYS, files.select(*RUN_KEYS),
-                                        label_mode, with_labelled, with_bare)
+                                        label_mode, with_labelled, with_bare, segment_by)
     files = pred_json_files(spark, sf_dir)
     turns = decode_turns(files, RUN_KEYS)
     return segment_texts_from_turns(turns, n_segments, RUN_KEYS, files.select(*RUN_KEYS),
@@ -63,12 +64,12 @@ def pred_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS
 
 
 def gold_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
-                  label_mode: str = "canonical") -> DataFrame:
+                  label_mode: str = "canonical", segment_by: str = "line") -> DataFrame:
     """``(id, segment, labelled)`` of the gold standard."""
     files = gold_txt_files(spark, sf_dir)
     lines = decode_lines(files, ["id"])
     return segment_texts_from_lines(lines, n_segments, ["id"], files.select("id"), label_mode,
-                                    with_labelled=True, with_bare=False)
+                                    with_labelled=True, with_bare=False, segment_by=segment_by)
 
 
 def raw_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
@@ -80,10 +81,11 @@ def raw_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
 def scores(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
            metrics=("levenshtein", "diff"), families=("preservation", "accuracy"),
            label_mode: str = "canonical", source: str = "txt",
-           raw_normalise: str = "always") -> DataFrame:
+           raw_normalise: str = "always", segment_by: str = "line") -> DataFrame:
     """The score table for every simulated run: one row per (run, id, segment)."""
-    pred = pred_segments(spark, sf_dir, n_segments, label_mode, source)
-    gold = gold_segments(spark, sf_dir, n_segments, label_mode) if "accuracy" in families else None
+    pred = pred_segments(spark, sf_dir, n_segments, label_mode, source, segment_by=segment_by)
+    gold = gold_segments(spark, sf_dir, n_segments, label_mode, segment_by) \
+        if "accuracy" in families else None
     raw = raw_segments(spark, sf_dir, n_segments, raw_normalise) if "preservation" in families else None
     return score_segments(pred, gold, raw, metrics=metrics, families=families)
 

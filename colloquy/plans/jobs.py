@@ -58,7 +58,7 @@ def raw_segments_from_files(spark: SparkSession, raw_dir: str, segments: int,
 
 def gold_segments_from_files(spark: SparkSession, gold_dir: str, segments: int,
                              ids: DataFrame | None = None, gold_json: bool = False,
-                             label_mode: str = "canonical") -> DataFrame:
+                             label_mode: str = "canonical", segment_by: str = "line") -> DataFrame:
     """``(id, segment, labelled)`` from ``<gold_dir>/<id>.txt`` (or ``.json``)."""
     suffix = ".json" if gold_json else ".txt"
     files = _only_listed(read_whole(spark, gold_dir, "id", suffix), ids)
@@ -67,19 +67,19 @@ def gold_segments_from_files(spark: SparkSession, gold_dir: str, segments: int,
         return segment_texts_from_turns(rows, segments, ["id"], files.select("id"), label_mode,
                                         with_bare=False)
     return segment_texts_from_lines(decode_lines(files, ["id"]), segments, ["id"], files.select("id"),
-                                    label_mode, with_bare=False)
+                                    label_mode, with_bare=False, segment_by=segment_by)
 
 
 def pred_segments_from_files(spark: SparkSession, root: str, segments: int,
                              ids: DataFrame | None = None, input_json: bool = False,
-                             label_mode: str = "canonical") -> DataFrame:
+                             label_mode: str = "canonical", segment_by: str = "line") -> DataFrame:
     """``(run_name, id, segment, labelled, bare)`` for every run folder under ``root``."""
     files = _only_listed(read_run_files(spark, root, ".json" if input_json else ".txt"), ids)
     if input_json:
         return segment_texts_from_turns(decode_turns(files, RUN_KEYS), segments, RUN_KEYS,
                                         files.select(*RUN_KEYS), label_mode)
     return segment_texts_from_lines(decode_lines(files, RUN_KEYS), segments, RUN_KEYS,
-                                    files.select(*RUN_KEYS), label_mode)
+                                    files.select(*RUN_KEYS), label_mode, segment_by=segment_by)
 
 
 def score_runs(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: str | None,
@@ -87,12 +87,12 @@ def score_runs(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: st
                metrics: Sequence[str] = METRICS, families=("preservation", "accuracy"),
                input_json: bool = False, gold_json: bool = False,
                label_mode: str = "canonical", raw_norm: str = "always",
-               autojunk: bool = True) -> DataFrame:
+               autojunk: bool = True, segment_by: str = "line") -> DataFrame:
     """Score every run folder under ``root``: one row per (run, id, segment)
     with the enabled score columns.  ``ids_path`` (JSONL) restricts the ids."""
     ids = read_ids(spark, ids_path) if ids_path else None
-    pred = pred_segments_from_files(spark, root, segments, ids, input_json, label_mode)
-    gold = gold_segments_from_files(spark, gold_dir, segments, ids, gold_json, label_mode) \
+    pred = pred_segments_from_files(spark, root, segments, ids, input_json, label_mode, segment_by)
+    gold = gold_segments_from_files(spark, gold_dir, segments, ids, gold_json, label_mode, segment_by) \
         if "accuracy" in families else None
     raw = raw_segments_from_files(spark, raw_dir, segments, ids, raw_norm) \
         if "preservation" in families else None

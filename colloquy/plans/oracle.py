@@ -132,11 +132,23 @@ def lines_cte(name: str, files: str, keys: list[str], value: str = "value") -> s
 
 
 def seg_text_ctes(prefix: str, lines: str, files: str, keys: list[str], n: int, mode: str,
-                  with_labelled: bool = True, with_bare: bool = True) -> list[str]:
+                  with_labelled: bool = True, with_bare: bool = True,
+                  segment_by: str = "line") -> list[str]:
     """Per-segment labelled / bare texts from physical lines -> CTE ``{prefix}_seg``."""
     part = k(keys + ["segment"])
-    ctes = [
-        f"{prefix}_parsed AS (SELECT {k(keys)}, pos, line, {seg('pos', 'n_rows', str(n))} AS segment, "
+    ctes = []
+    if segment_by == "turn":
+        starts = f"CASE WHEN instr(line, ':') > 0 AND length({collapse('line')}) > 0 THEN 1 ELSE 0 END"
+        ctes.append(
+            f"{prefix}_turnno AS (SELECT {k(keys)}, pos, line, "
+            f"greatest(sum(st) OVER (PARTITION BY {k(keys)} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING "
+            f"AND CURRENT ROW) - 1, 0) AS turn, sum(st) OVER (PARTITION BY {k(keys)}) AS n_turns "
+            f"FROM (SELECT *, {starts} AS st FROM {lines}))")
+        lines, seg_expr = f"{prefix}_turnno", seg("turn", "n_turns", str(n))
+    else:
+        seg_expr = seg("pos", "n_rows", str(n))
+    ctes += [
+        f"{prefix}_parsed AS (SELECT {k(keys)}, pos, line, {seg_expr} AS segment, "
         f"CASE WHEN instr(line, ':') > 0 THEN {canon('substr(line, 1, instr(line, chr(58)) - 1)')} END AS sp, "
         "CASE WHEN instr(line, ':') > 0 THEN substr(line, instr(line, ':') + 1) ELSE line END AS tx, "
         f"regexp_replace(line, '^[^ ]*', '') AS bare_piece FROM {lines})",
@@ -250,32 +262,34 @@ def with_(ctes: list[str], select: str) -> str:
 
 
 # ----------------------------------------------------------- scoring queries
-def pred_ctes(n: int, mode: str, source: str, with_labelled=True, with_bare=True) -> list[str]:
+def pred_ctes(n: int, mode: str, source: str, with_labelled=True, with_bare=True,
+              segment_by: str = "line") -> list[str]:
     ctes = base_ctes() + answer_ctes()
     if source == "txt":
         ctes += [pred_file_cte(), lines_cte("pred_lines", "pred_files", ["run_name", "id"])]
         ctes += seg_text_ctes("pred", "pred_lines", "pred_files", ["run_name", "id"], n, mode,
-                              with_labelled, with_bare)
+                              with_labelled, with_bare, segment_by)
     else:
         ctes += json_turn_ctes() + json_seg_ctes("pred", n, mode)
     return ctes
 
 
-def gold_ctes(n: int, mode: str) -> list[str]:
+def gold_ctes(n: int, mode: str, segment_by: str = "line") -> list[str]:
     return [gold_file_cte(), lines_cte("gold_lines", "gold_files", ["id"])] + \
-        seg_text_ctes("gold", "gold_lines", "gold_files", ["id"], n, mode, True, False)
+        seg_text_ctes("gold", "gold_lines", "gold_files", ["id"], n, mode, True, False, segment_by)
 
 
 def scored_sql(n: int = N, families=("preservation", "accuracy"), mode: str = "canonical",
-               source: str = "txt", raw_normalise: str = "always") -> tuple[list[str], list[str]]:
+               source: str = "txt", raw_normalise: str = "always",
+               segment_by: str = "line") -> tuple[list[str], list[str]]:
     """CTEs ending in ``scores`` (run_name, id, segment, lev_* columns); returns
     (ctes, score column names)."""
-    ctes = pred_ctes(n, mode, source)
+    ctes = pred_ctes(n, mode, source, segment_by=segment_by)
     strings = ["SELECT labelled AS s FROM pred_seg", "SELECT bare FROM pred_seg"]
     cols = []
     joins = ""
     if "accuracy" in families:
-        ctes += gold_ctes(n, mode)
+        ctes += gold_ctes(n, mode, segment_by)
         strings.append("SELECT labelled FROM gold_seg")
         joins += " LEFT JOIN gold_seg g USING (id, segment)"
     if "preservation" in families:
@@ -484,6 +498,8 @@ def oracle_sql() -> dict[str, str]:
     acc_cols = ["lev_acc", "lev_baseline", "lev_acc_normed"]
     out["accuracy_lev"] = score_select(acc_cols, families=("accuracy",))
     out["accuracy_lev_literal"] = score_select(acc_cols, families=("accuracy",), mode="literal")
+    out["scores_lev_by_turn"] = score_select(["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline"],
+                                             segment_by="turn")
     out["accuracy_lev_json"] = score_select(["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline"],
                                             source="json")
     ctes, _ = scored_sql()

@@ -70,3 +70,16 @@ def test_labelling_requests_from_files(spark, tree):
     assert req[("c3", 0)].messages[0].content == "transcript:   Hello there."
     assert req[("c3", 2)].messages[0].content == "transcript:   How long have you felt sick?  About two days."
     assert req[("x", 0)].provider is None
+
+
+def test_turn_segmentation_aligns_sides(spark, tree):
+    by_line = {r.run_name + str(r.segment): r for r in
+               score_runs(spark, str(tree / "labelled"), str(tree / "input"), str(tree / "gold"),
+                          segments=2, metrics=("levenshtein",)).collect()}
+    by_turn = {r.run_name + str(r.segment): r for r in
+               score_runs(spark, str(tree / "labelled"), str(tree / "input"), str(tree / "gold"),
+                          segments=2, metrics=("levenshtein",), segment_by="turn").collect()}
+    # turn cuts put the same turns in the same segment on every side
+    assert by_turn["perfect0"].lev_acc == 1.0 and by_turn["perfect1"].lev_acc == 1.0
+    assert by_turn["perfect0"].lev_pres == 1.0 and by_turn["perfect1"].lev_pres == 1.0
+    assert set(by_line) == set(by_turn)
