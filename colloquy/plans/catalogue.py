@@ -263,6 +263,12 @@ def compare_groups(spark, sf_dir):
     return I.rounded(R.compare_groups(means, R.selection_frame(spark, GROUP_SELECTION)))
 
 
+def compare_by_summary(spark, sf_dir):
+    """Run means grouped by a column of the runs dimension (summary flag)."""
+    means = R.run_means(_lev_scores(spark, sf_dir, n_segments=1))
+    return I.rounded(R.compare_by(means, runs_frame(spark, RUNS), ["summary"]))
+
+
 def _runs_dim(spark):
     return runs_frame(spark, RUNS).withColumn("llama_instance", F.lit(LLAMA_INSTANCE)) \
         .withColumn("azure_deployment_summary", F.lit(AZURE_DEPLOYMENT)) \
@@ -371,6 +377,7 @@ def queries() -> dict[str, Query]:
         "segment_progression": segment_progression,
         "compare_runs": compare_runs,
         "compare_groups": compare_groups,
+        "compare_by_summary": compare_by_summary,
         "model_requests": model_requests,
         "summary_join": summary_join,
         "flagship_segment_means": flagship,

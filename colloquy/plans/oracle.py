@@ -529,6 +529,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT s.label, min(s.ord) AS ord, count(*) AS n_runs, "
         + ", ".join(f"round(avg(m.{c}), 6) AS {c}" for c in cols)
         + " FROM sel s JOIN means m USING (run_name) GROUP BY s.label")
+    out["compare_by_summary"] = with_(
+        ctes + [means],
+        "SELECT r.summary, count(*) AS n_runs, "
+        + ", ".join(f"round(avg(m.{c}), 6) AS {c}" for c in cols)
+        + " FROM means m JOIN runs r USING (run_name) GROUP BY r.summary")
     out["model_requests"] = requests_sql("per_chunk")
     out["summary_join"] = requests_sql("whole")
     return out

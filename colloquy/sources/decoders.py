@@ -48,6 +48,22 @@ def read_whole(spark: SparkSession, path: str, name_col: str = "name",
     return df.select(name.alias(name_col), F.col("value"))
 
 
+def read_exported(spark: SparkSession, path: str, keys: Sequence[str] = ("run_name", "id")) -> DataFrame:
+    """Files written by ``sinks.export_files`` -> ``(keys, value)``.  Key values
+    are taken from the ``key=value`` folders as strings (no type inference:
+    ids keep their leading zeros)."""
+    df = spark.read.text(f"{path.rstrip('/')}/" + "/".join("*" for _ in keys), wholetext=True)
+    fp = F.col("_metadata.file_path")
+    cols = [F.url_decode(F.replace(F.regexp_extract(fp, f"/{k}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+            .alias(k) for k in keys]
+    return df.select(*cols, "value")
+
+
+def read_prompts(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """Prompt texts ``<path>/<prompt_name>.txt`` -> ``(prompt_name, text)``."""
+    return read_whole(spark, path, "prompt_name", suffix).withColumnRenamed("value", "text")
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Id list from JSONL ``{"id": "01"}``: ids stay strings (leading zeros)."""
     return spark.read.schema(ID_SCHEMA).json(path).where(F.col("id").isNotNull())

@@ -92,17 +92,31 @@ def render_utterances_json(utts: DataFrame, keys: Sequence[str] = ("id",),
     return utts.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
 
 
-def write_text_table(df: DataFrame, path: str, value_col: str = "value",
-                     partition_by: Sequence[str] = ("run_name",), mode: str = "overwrite") -> None:
-    """Rendered transcripts as a text table partitioned by run."""
-    cols = [c for c in partition_by if c in df.columns]
-    df.select(*cols, value_col).write.mode(mode).partitionBy(*cols).text(path)
+def write_transcripts(df: DataFrame, path: str, value_col: str = "value",
+                      mode: str = "overwrite") -> None:
+    """Rendered transcripts as a parquet table ``(run_name, id, value)``
+    partitioned by run: one row per transcript, any size of text, readable by
+    every decoder (they take ``(keys, value)`` frames)."""
+    cols = [c for c in ("run_name",) if c in df.columns]
+    df.write.mode(mode).partitionBy(*cols).parquet(path)
+
+
+def export_files(df: DataFrame, path: str, keys: Sequence[str] = ("run_name", "id"),
+                 value_col: str = "value", mode: str = "overwrite") -> None:
+    """One text file per transcript (``<path>/run_name=../id=../part-*.txt``)
+    for tools that expect files.  The text writer ends every value with a line
+    end, so one trailing line end is taken off first: a value that ends with
+    one is written byte for byte, one that does not gains a final line end
+    (which reads back to the same lines)."""
+    keys = [k for k in keys if k in df.columns]
+    body = F.regexp_replace(F.col(value_col), r"\n\z", "")
+    df.select(*keys, body.alias(value_col)).write.mode(mode).partitionBy(*keys).text(path)
 
 
 def write_json_and_txt(txt: DataFrame, js: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Both formats side by side under ``path/text`` and ``path/json``."""
-    write_text_table(txt, f"{path}/text", mode=mode)
-    write_text_table(js, f"{path}/json", mode=mode)
+    write_transcripts(txt, f"{path}/text", mode=mode)
+    write_transcripts(js, f"{path}/json", mode=mode)
 
 
 def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:

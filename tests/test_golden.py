@@ -124,3 +124,30 @@ def test_id_list_keeps_leading_zeros(spark, tmp_path):
     p.write_text('{"id": "01"}\n{"id": "02"}')
     from colloquy.sources.decoders import read_ids
     assert [r.id for r in read_ids(spark, str(p)).collect()] == ["01", "02"]
+
+
+def test_write_txt_and_json_side_by_side(spark, tmp_path):
+    from colloquy.sources.sinks import render_json, write_json_and_txt
+    answers = spark.createDataFrame([("run", "01", 0, PRED.rstrip("\n"))],
+                                    "run_name string, id string, chunk int, answer string")
+    from colloquy.operators.requests import parse_answers
+    from colloquy.sources.sinks import render_txt
+    turns = parse_answers(answers).withColumnRenamed("block", "pos")
+    write_json_and_txt(render_txt(answers), render_json(turns), str(tmp_path / "out"))
+    txt = spark.read.parquet(str(tmp_path / "out" / "text")).first()
+    assert txt.value == PRED and txt.run_name == "run"
+    js = spark.read.parquet(str(tmp_path / "out" / "json")).first().value
+    import json
+    assert [t["speaker"] for t in json.loads(js)] == ["Student", "Patient", "Patient", "Patient"]
+    from colloquy.sources.sinks import export_files
+    export_files(render_txt(answers), str(tmp_path / "files"))
+    from colloquy.sources.decoders import read_exported
+    back = read_exported(spark, str(tmp_path / "files")).first()
+    assert (back.run_name, back.id, back.value) == ("run", "01", PRED)
+
+
+def test_read_prompts(spark, tmp_path):
+    from colloquy.sources.decoders import read_prompts
+    (tmp_path / "summary prompt.txt").write_text("Summarise.\n")
+    row = read_prompts(spark, str(tmp_path)).first()
+    assert (row.prompt_name, row.text) == ("summary prompt", "Summarise.\n")
