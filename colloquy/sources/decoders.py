@@ -82,7 +82,10 @@ def decode_utterances(files: DataFrame, keys: Sequence[str] = ("id",),
     ``n_rows`` counts every utterance (``"\\n"`` ones too): segmentation needs it
     and it comes free here, before the explode, without a shuffle."""
     arr = F.from_json(col_(value_col), UTTERANCE_SCHEMA)
-    staged = files.select(*keys, arr.alias("_u")).withColumn("n_rows", F.size("_u"))
+    # the count comes from a light top-level scan of the text, so the array is
+    # not built twice when the optimizer inlines it into both uses
+    staged = files.select(*keys, arr.alias("_u"),
+                          F.json_array_length(col_(value_col)).cast("int").alias("n_rows"))
     return (staged
             .select(*keys, "n_rows", F.posexplode("_u").alias("pos", "_e"))
             .select(*keys, "pos",
@@ -105,7 +108,8 @@ def decode_turns(files: DataFrame, keys: Sequence[str] = ("id",),
                  value_col: str = "value") -> DataFrame:
     """Labelled JSON ``[{chunk, speaker, text}]`` -> ``(keys, pos, chunk, speaker, text, n_rows)``."""
     arr = F.from_json(col_(value_col), TURN_SCHEMA)
-    staged = files.select(*keys, arr.alias("_t")).withColumn("n_rows", F.size("_t"))
+    staged = files.select(*keys, arr.alias("_t"),
+                          F.json_array_length(col_(value_col)).cast("int").alias("n_rows"))
     return (staged.select(*keys, "n_rows", F.posexplode("_t").alias("pos", "_e"))
             .select(*keys, "pos", F.col("_e.chunk").alias("chunk"),
                     F.col("_e.speaker").alias("speaker"), F.col("_e.text").alias("text"),
