@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import ordered_concat
-from colloquy.operators.segments import assign_segments, pad_with_grid
+from colloquy.operators.segments import segment_of
 
 # --- fixed values ---------------------------------------------------------
 TURN_SEPARATOR = "\n\n"          # between turns of an answer, after every chunk
@@ -32,21 +32,34 @@ def turn_line(speaker="speaker", text="text", sep: str = ": ") -> Column:
     return F.concat(F.col(speaker), F.lit(sep), F.col(text))
 
 
-def model_answers(turns: DataFrame, chunk_num, keys: Sequence[str] = ("run_name", "id"),
-                  transcripts: DataFrame | None = None) -> DataFrame:
+def model_answers(turns: DataFrame, chunk_num, keys: Sequence[str] = ("run_name", "id")) -> DataFrame:
     """Labelled turns -> one answer text per chunk, as a labelling model
     returns it: ``Speaker: text`` blocks joined by a blank line.  Turns are
     cut into ``chunk_num`` chunks like the utterances they label; a chunk
     with no turns has the answer ``''``.  ``chunk_num`` is an int or a column
-    of ``turns`` (per run)."""
+    of ``turns`` (constant per transcript).
+
+    One exchange on the transcript key serves everything up to the rendered
+    file: the row count and first-row flag are windows over the clustered
+    transcript, the empty-chunk placeholders are generated from its first
+    row, and the per-chunk aggregation (and ``render_txt`` after it) is
+    clustered by a superset of the key.  A transcript is one output value,
+    so it is one task's unit here."""
     keys = list(keys)
-    rows = assign_segments(turns, chunk_num, keys, seg_col="chunk")
-    if transcripts is None:
-        extra = [chunk_num] if isinstance(chunk_num, str) else []
-        transcripts = turns.select(*keys, *extra).distinct()
-    rows = rows.select(*keys, "chunk", "pos", turn_line().alias("_block"))
-    padded = pad_with_grid(rows, transcripts, chunk_num, keys, seg_col="chunk")
-    return padded.groupBy(*keys, "chunk").agg(
+    extra = [chunk_num] if isinstance(chunk_num, str) else []
+    n_seg = F.col(chunk_num) if isinstance(chunk_num, str) else F.lit(chunk_num)
+    t = turns.select(*keys, *extra, "pos", turn_line().alias("_block")).repartition(*keys)
+    w = Window.partitionBy(*keys)
+    t = (t.withColumn("n_rows", F.count(F.lit(1)).over(w))
+         .withColumn("_first", F.row_number().over(w.orderBy("pos")) == 1))
+    own = F.array(F.lit(-1))
+    slots = F.when(F.col("_first"), F.concat(own, F.sequence(F.lit(0), n_seg - 1))).otherwise(own)
+    x = t.select(*keys, *extra, "pos", "_block", "n_rows", F.explode(slots).alias("_g"))
+    real = F.col("_g") == -1
+    x = x.select(*keys, F.when(real, segment_of("pos", "n_rows", chunk_num)).otherwise(F.col("_g"))
+                 .cast("int").alias("chunk"),
+                 "pos", F.when(real, F.col("_block")).alias("_block"))
+    return x.groupBy(*keys, "chunk").agg(
         F.coalesce(ordered_concat("_block", "pos", TURN_SEPARATOR), F.lit("")).alias("answer"))
 
 
