@@ -44,14 +44,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     only when it is unset (tests).  Never a machine-local folder on a cluster.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    if fallback:
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
-        return fallback
-    return None
+    target = current or fallback
+    if not target:
+        return None
+    try:
+        if not current:
+            spark.conf.set("spark.checkpoint.dir", target)
+        spark.sparkContext.setCheckpointDir(target)
+    except Exception:  # noqa: BLE001 - a session without a SparkContext (Spark Connect)
+        return None
+    return target
 
 
 def work_parallelism(spark: SparkSession, factor: int = 2) -> int:
@@ -62,7 +64,16 @@ def work_parallelism(spark: SparkSession, factor: int = 2) -> int:
     ``factor`` x the cluster's default parallelism.
     """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(shuffle, factor * spark.sparkContext.defaultParallelism)
+    return max(shuffle, factor * default_parallelism(spark, shuffle))
+
+
+def default_parallelism(spark: SparkSession, fallback: int) -> int:
+    """The cluster's core count, or ``fallback`` where the session has no
+    SparkContext to ask (Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return fallback
 
 
 def materialize(df):

@@ -68,10 +68,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_scan(df: DataFrame, key: str | None) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if key is None or df.rdd.getNumPartitions() >= cores:
+    if key is None:
         return df
-    return df.repartition(cores, key)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()     # planning only, no job
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave as read
+        return df
+    return df if splits >= cores else df.repartition(cores, key)
 
 
 def _map(col: Column, mapping: dict[str, str], default: str) -> Column:
