@@ -78,3 +78,16 @@ def test_trimmed_affixes_do_not_change_distance():
     A = ["prefix-abc-suffix", "same", "xyz", None]
     Bs = ["prefix-axc-suffix", "same", "", "a"]
     assert edit_distances(A, Bs) == [1, 0, 3, None]
+
+
+def test_memo_scores_copies_once_and_stays_bounded():
+    from colloquy.functions import similarity as S
+    a, b = "the patient said hello " * 20, "the student said hello " * 20
+    assert S.edit_distances([a, a, a], [b, b, b]) == [dp(a, b)] * 3
+    old = S.MEMO_PAIRS
+    try:
+        S.MEMO_PAIRS = 4
+        S.edit_distances([str(i) * 3 for i in range(10)], ["x" * 3] * 10)
+        assert len(S._memo) <= 4
+    finally:
+        S.MEMO_PAIRS = old
