@@ -25,6 +25,8 @@ from colloquy.operators.scoring import METRICS, score_segments
 from colloquy.operators.segments import flatten_text
 from colloquy.sources.decoders import (decode_lines, decode_scores, decode_turns, decode_utterances,
                                        read_ids, read_whole)
+from colloquy.operators.sentences import sentences
+from colloquy.sources.sinks import render_sentences_json
 from colloquy.sources.tables import Run, runs_array, runs_frame
 
 RUN_KEYS = ["run_name", "id"]
@@ -99,6 +101,14 @@ def score_runs(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: st
     return score_segments(pred, gold, raw, metrics=metrics, families=families, autojunk=autojunk)
 
 
+def utterances_from_texts(spark: SparkSession, input_dir: str, ids_path: str | None = None) -> DataFrame:
+    """Plain transcripts ``<input_dir>/<id>.txt`` -> raw transcript JSON per id
+    (one utterance per sentence), ready for ``raw_segments_from_files``."""
+    ids = read_ids(spark, ids_path) if ids_path else None
+    files = _only_listed(read_whole(spark, input_dir, "id", ".txt"), ids)
+    return render_sentences_json(sentences(files, ["id"], "value"))
+
+
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """A score table written by ``sinks.write_scores`` (parquet by run)."""
     return spark.read.parquet(path)

@@ -105,6 +105,16 @@ def render_utterances_json(utts: DataFrame, keys: Sequence[str] = ("id",),
     return utts.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
 
 
+def render_sentences_json(sentences: DataFrame, keys: Sequence[str] = ("id",),
+                          value_col: str = "value") -> DataFrame:
+    """Sentence rows ``(keys, pos, sentence)`` -> the utterance JSON a raw
+    transcript file holds: ``[{"text": sentence}, ...]`` in order."""
+    keys = list(keys)
+    entry = F.struct(F.col("pos").alias("_o"), F.struct(F.col("sentence").alias("text")).alias("u"))
+    arr = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["u"])
+    return sentences.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
+
+
 def write_transcripts(df: DataFrame, path: str, value_col: str = "value",
                       mode: str = "overwrite") -> None:
     """Rendered transcripts as a parquet table ``(run_name, id, value)``

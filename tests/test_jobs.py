@@ -83,3 +83,12 @@ def test_turn_segmentation_aligns_sides(spark, tree):
     assert by_turn["perfect0"].lev_acc == 1.0 and by_turn["perfect1"].lev_acc == 1.0
     assert by_turn["perfect0"].lev_pres == 1.0 and by_turn["perfect1"].lev_pres == 1.0
     assert set(by_line) == set(by_turn)
+
+
+def test_plain_text_to_utterance_json(spark, tmp_path):
+    from colloquy.plans.jobs import utterances_from_texts
+    (tmp_path / "txt").mkdir()
+    (tmp_path / "txt" / "01.txt").write_text("Hello, Mr. Jo. Hi! A?  b.")
+    row = utterances_from_texts(spark, str(tmp_path / "txt")).first()
+    assert row.id == "01"
+    assert [u["text"] for u in json.loads(row.value)] == ["Hello, Mr. Jo.", "Hi!", "A?", "b."]
