@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 
 from colloquy.functions.text import col_, split_lines
 
+# Decoders explode with ``posexplode_outer`` and drop the NULL row of an empty
+# array themselves: an inner explode makes the optimizer add a
+# ``size(array) > 0`` filter in front, which splits / parses every text twice.
+
 UTTERANCE_SCHEMA = T.ArrayType(T.StructType([
     T.StructField("timestamp", T.ArrayType(T.DoubleType())),
     T.StructField("text", T.StringType()),
@@ -87,7 +91,8 @@ def decode_utterances(files: DataFrame, keys: Sequence[str] = ("id",),
     staged = files.select(*keys, arr.alias("_u"),
                           F.json_array_length(col_(value_col)).cast("int").alias("n_rows"))
     return (staged
-            .select(*keys, "n_rows", F.posexplode("_u").alias("pos", "_e"))
+            .select(*keys, "n_rows", F.posexplode_outer("_u").alias("pos", "_e"))
+            .where(F.col("pos").isNotNull())
             .select(*keys, "pos",
                     F.col("_e.timestamp")[0].alias("start_s"),
                     F.col("_e.timestamp")[1].alias("end_s"),
@@ -100,8 +105,8 @@ def decode_lines(files: DataFrame, keys: Sequence[str] = ("id",),
     are rows (they count for segmentation); line ends are removed."""
     staged = (files.select(*keys, split_lines(value_col).alias("_l"))
               .withColumn("n_rows", F.size("_l")))
-    return staged.select(*keys, "n_rows", F.posexplode("_l").alias("pos", "line")) \
-                 .select(*keys, "pos", "line", "n_rows")
+    return (staged.select(*keys, "n_rows", F.posexplode_outer("_l").alias("pos", "line"))
+            .where(F.col("pos").isNotNull()).select(*keys, "pos", "line", "n_rows"))
 
 
 def decode_turns(files: DataFrame, keys: Sequence[str] = ("id",),
@@ -110,7 +115,8 @@ def decode_turns(files: DataFrame, keys: Sequence[str] = ("id",),
     arr = F.from_json(col_(value_col), TURN_SCHEMA)
     staged = files.select(*keys, arr.alias("_t"),
                           F.json_array_length(col_(value_col)).cast("int").alias("n_rows"))
-    return (staged.select(*keys, "n_rows", F.posexplode("_t").alias("pos", "_e"))
+    return (staged.select(*keys, "n_rows", F.posexplode_outer("_t").alias("pos", "_e"))
+            .where(F.col("pos").isNotNull())
             .select(*keys, "pos", F.col("_e.chunk").alias("chunk"),
                     F.col("_e.speaker").alias("speaker"), F.col("_e.text").alias("text"),
                     "n_rows"))
