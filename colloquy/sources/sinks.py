@@ -105,6 +105,32 @@ def render_utterances_json(utts: DataFrame, keys: Sequence[str] = ("id",),
     return utts.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
 
 
+def render_chunked_json(utts: DataFrame, chunk_num: int, keys: Sequence[str] = ("id",),
+                        value_col: str = "value") -> DataFrame:
+    """Raw utterances -> the chunked JSON of the raw-transcript mode: for one
+    chunk the bare utterance array, otherwise ``{"chunk 0": [...], ...}`` with
+    every chunk (empty ones as ``[]``) in chunk order.  ``utts`` carries
+    ``pos, start_s, end_s, text`` and, optionally, ``n_rows``."""
+    keys = list(keys)
+    if chunk_num == 1:
+        return render_utterances_json(utts, keys, value_col)
+    if "n_rows" not in utts.columns:
+        counts = utts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        utts = utts.join(counts, keys)
+    rows = utts.withColumn("chunk", segment_of("pos", "n_rows", chunk_num))
+    entry = F.struct(F.col("pos").alias("_o"), F.struct(
+        F.array(F.col("start_s"), F.col("end_s")).alias("timestamp"), F.col("text")).alias("u"))
+    per_chunk = rows.groupBy(*keys, "chunk").agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["u"]).alias("arr"))
+    slots = (utts.select(*keys).distinct()
+             .select(*keys, F.explode(F.sequence(F.lit(0), F.lit(chunk_num - 1))).alias("chunk")))
+    full = slots.join(per_chunk, keys + ["chunk"], "left")
+    item = F.struct(F.col("chunk").alias("_o"), F.concat(F.lit("chunk "), F.col("chunk").cast("string")).alias("k"),
+                    F.coalesce("arr", F.array().cast(per_chunk.schema["arr"].dataType)).alias("v"))
+    pairs = F.transform(F.array_sort(F.collect_list(item)), lambda e: F.struct(e["k"], e["v"]))
+    return full.groupBy(*keys).agg(F.to_json(F.map_from_entries(pairs)).alias(value_col))
+
+
 def render_sentences_json(sentences: DataFrame, keys: Sequence[str] = ("id",),
                           value_col: str = "value") -> DataFrame:
     """Sentence rows ``(keys, pos, sentence)`` -> the utterance JSON a raw

@@ -151,3 +151,19 @@ def test_read_prompts(spark, tmp_path):
     (tmp_path / "summary prompt.txt").write_text("Summarise.\n")
     row = read_prompts(spark, str(tmp_path)).first()
     assert (row.prompt_name, row.text) == ("summary prompt", "Summarise.\n")
+
+
+def test_chunked_json_map(spark):
+    import json
+    from colloquy.sources.sinks import render_chunked_json
+    utts = spark.createDataFrame([("01", p, float(p), float(p + 1), f" u{p}") for p in range(5)],
+                                 "id string, pos int, start_s double, end_s double, text string")
+    two = json.loads(render_chunked_json(utts, 2).first().value)
+    assert list(two) == ["chunk 0", "chunk 1"]
+    assert [u["text"] for u in two["chunk 0"]] == [" u0", " u1"]
+    assert [u["text"] for u in two["chunk 1"]] == [" u2", " u3", " u4"]
+    assert two["chunk 1"][0]["timestamp"] == [2.0, 3.0]
+    nine = json.loads(render_chunked_json(utts, 9).first().value)
+    assert [len(nine[f"chunk {k}"]) for k in range(9)] == [0] * 8 + [5]
+    one = json.loads(render_chunked_json(utts, 1).first().value)
+    assert [u["text"] for u in one] == [" u0", " u1", " u2", " u3", " u4"]
