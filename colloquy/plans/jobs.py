@@ -24,7 +24,7 @@ from colloquy.operators.requests import build_requests
 from colloquy.operators.scoring import METRICS, score_segments
 from colloquy.operators.segments import flatten_text
 from colloquy.sources.decoders import (decode_lines, decode_scores, decode_turns, decode_utterances,
-                                       read_ids, read_whole)
+                                       read_exported, read_ids, read_whole)
 from colloquy.operators.sentences import sentences
 from colloquy.sources.sinks import render_sentences_json
 from colloquy.sources.tables import Run, runs_array, runs_frame
@@ -114,10 +114,13 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_score_files(spark: SparkSession, path: str) -> DataFrame:
-    """Score files ``<path>/<run_name>.json`` -> wide score table
-    ``(run_name, id, segment, lev_pres, ..., composite, composite_normed)``."""
-    tall = decode_scores(read_whole(spark, path, "run_name", ".json"))
+def read_score_files(spark: SparkSession, path: str, sharded: bool = False) -> DataFrame:
+    """Score files -> wide score table ``(run_name, id, segment, lev_pres, ...,
+    composite, composite_normed)``.  Flat layout: ``<path>/<run_name>.json``;
+    ``sharded=True``: the layout of ``sinks.write_score_files``."""
+    files = read_exported(spark, path, ("run_name", "shard")) if sharded \
+        else read_whole(spark, path, "run_name", ".json")
+    tall = decode_scores(files)
     names = {("preservation", "levenshtein"): "lev_pres", ("preservation", "diff"): "diff_pres",
              ("accuracy", "levenshtein"): "lev_acc", ("accuracy", "diff"): "diff_acc",
              ("accuracy", "levenshtein_baseline_normed"): "lev_acc_normed",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import ordered_concat
 from colloquy.operators.segments import segment_of
+from colloquy.session import work_parallelism
 
 # --- fixed values ---------------------------------------------------------
 TURN_SEPARATOR = "\n\n"          # between turns of an answer, after every chunk
@@ -150,6 +151,12 @@ def write_transcripts(df: DataFrame, path: str, value_col: str = "value",
     df.write.mode(mode).partitionBy(*cols).parquet(path)
 
 
+def write_score_files(payload: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Score-file texts from ``score_file_payload`` as files
+    ``<path>/run_name=<run>/shard=<k>/part-*.txt``, byte for byte."""
+    export_files(payload, path, keys=("run_name", "shard"), mode=mode)
+
+
 def export_files(df: DataFrame, path: str, keys: Sequence[str] = ("run_name", "id"),
                  value_col: str = "value", mode: str = "overwrite") -> None:
     """One text file per transcript (``<path>/run_name=../id=../part-*.txt``)
@@ -173,7 +180,7 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
     scores.write.mode(mode).partitionBy("run_name").parquet(path)
 
 
-def score_file_payload(tall: DataFrame, shards: int = 1) -> DataFrame:
+def score_file_payload(tall: DataFrame, shards: int | None = None) -> DataFrame:
     """Tall scores ``(run_name, family, metric, id, segment, score)`` -> score-file
     JSON texts ``[ids, {family: {metric: {id: {segment: score}}}}]``.
 
@@ -181,7 +188,11 @@ def score_file_payload(tall: DataFrame, shards: int = 1) -> DataFrame:
     each a partial-aggregatable collect.  ``shards > 1`` splits a run's file by
     a hash of the id into that many valid score files (``run_name``, ``shard``),
     so no single task or value has to hold a whole large run; the decoder reads
-    a directory of them as one table.  ``shards=1`` is one file per run."""
+    a directory of them as one table.  The default shard count follows the
+    cluster (``work_parallelism``), so a run's share per task shrinks as the
+    cluster grows; ``shards=1`` is one file per run (the original layout)."""
+    if shards is None:
+        shards = work_parallelism(tall.sparkSession)
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)) if shards > 1 else F.lit(0)
     t = tall.withColumn("shard", shard.cast("int"))
     k = ["run_name", "shard"]

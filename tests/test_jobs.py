@@ -47,7 +47,7 @@ def test_scores_round_trip_and_means(spark, tree, tmp_path):
                         segments=1)
     write_scores(scores, str(tmp_path / "scores"))
     assert spark.read.parquet(str(tmp_path / "scores")).count() == 2
-    payload = score_file_payload(to_tall(scores)).collect()
+    payload = score_file_payload(to_tall(scores), shards=1).collect()
     out = tmp_path / "score_files"
     out.mkdir()
     for r in payload:
@@ -55,6 +55,11 @@ def test_scores_round_trip_and_means(spark, tree, tmp_path):
     wide = read_score_files(spark, str(out))
     means = {r.run_name: r for r in run_means(wide).collect()}
     assert means["my run"].composite == pytest.approx((1 - 18 / 97 + 0.8977272727272727) / 2)
+    from colloquy.sources.sinks import write_score_files
+    write_score_files(score_file_payload(to_tall(scores), shards=3), str(tmp_path / "sharded"))
+    sharded = read_score_files(spark, str(tmp_path / "sharded"), sharded=True)
+    cols = sorted(wide.columns)
+    assert sorted(map(tuple, sharded.select(cols).collect())) == sorted(map(tuple, wide.select(cols).collect()))
 
 
 def test_labelling_requests_from_files(spark, tree):
