@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import canonical_speaker, label_of, text_after_label
 from colloquy.operators import runs as R
-from colloquy.operators.consolidate import segment_texts_from_lines
 from colloquy.operators.requests import build_requests, parse_answers
 from colloquy.operators.scoring import ordered_score_columns, to_tall
 from colloquy.operators.segments import flatten_text, segment_of
