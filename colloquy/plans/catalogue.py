@@ -34,6 +34,7 @@ CHUNK_COUNTS = (1, 3, 6, 9)
 # Run selections of the comparison queries over the simulated runs.
 RUN_SELECTION = [("r2", "few shot"), ("r0", "baseline"), ("r1", "summary"), ("r0", "baseline again")]
 GROUP_SELECTION = [("r0", "no summary"), ("r2", "no summary"), ("r1", "summary")]
+CHECKED_SELECTION = [("r1", "summary"), ("r7", "not scored"), ("r0", "baseline"), ("r9", "not scored")]
 # Prompt texts of the simulated runs (a prompt table; real runs read files).
 PROMPTS = [
     ("summary", "Summarise the conversation below in one paragraph."),
@@ -262,6 +263,12 @@ def compare_groups(spark, sf_dir):
     return I.rounded(R.compare_groups(means, R.selection_frame(spark, GROUP_SELECTION)))
 
 
+def missing_runs(spark, sf_dir):
+    """Selected runs that have no labelled files (the selection check)."""
+    present = I.pred_txt_files(spark, sf_dir).select("run_name").distinct()
+    return R.missing_runs(present, R.selection_frame(spark, CHECKED_SELECTION))
+
+
 def compare_by_summary(spark, sf_dir):
     """Run means grouped by a column of the runs dimension (summary flag)."""
     means = R.run_means(_lev_scores(spark, sf_dir, n_segments=1))
@@ -377,6 +384,7 @@ def queries() -> dict[str, Query]:
         "compare_runs": compare_runs,
         "compare_groups": compare_groups,
         "compare_by_summary": compare_by_summary,
+        "missing_runs": missing_runs,
         "model_requests": model_requests,
         "summary_join": summary_join,
         "flagship_segment_means": flagship,

@@ -13,8 +13,8 @@ distinct characters in the compared texts (the test conversations have 76).
 
 from __future__ import annotations
 
-from colloquy.plans.catalogue import (AZURE_DEPLOYMENT, CHUNK_COUNTS, GROUP_SELECTION, LLAMA_INSTANCE,
-                                      PROMPTS, RUN_SELECTION, SCORE_FILE_SUFFIX)
+from colloquy.plans.catalogue import (AZURE_DEPLOYMENT, CHECKED_SELECTION, CHUNK_COUNTS, GROUP_SELECTION,
+                                      LLAMA_INSTANCE, PROMPTS, RUN_SELECTION, SCORE_FILE_SUFFIX)
 from colloquy.operators.requests import CLAUDE_MODEL_IDS, STAGE_DEFAULTS
 from colloquy.operators.sentences import ABBREVIATIONS
 from colloquy.sources.tables import GOLD_LABEL, MODEL_LABEL, RUNS, SECONDS_PER_TURN, SWAPPED_LABEL
@@ -534,6 +534,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT r.summary, count(*) AS n_runs, "
         + ", ".join(f"round(avg(m.{c}), 6) AS {c}" for c in cols)
         + " FROM means m JOIN runs r USING (run_name) GROUP BY r.summary")
+    out["missing_runs"] = with_(
+        base_ctes() + answer_ctes() + [pred_file_cte(),
+                                       f"sel(ord, run_name, label) AS (VALUES {selection_values(CHECKED_SELECTION)})"],
+        "SELECT s.run_name, s.ord, s.label FROM sel s ANTI JOIN (SELECT DISTINCT run_name FROM pred_files) p "
+        "USING (run_name)")
     out["model_requests"] = requests_sql("per_chunk")
     out["summary_join"] = requests_sql("whole")
     return out
