@@ -97,3 +97,18 @@ def test_plain_text_to_utterance_json(spark, tmp_path):
     row = utterances_from_texts(spark, str(tmp_path / "txt")).first()
     assert row.id == "01"
     assert [u["text"] for u in json.loads(row.value)] == ["Hello, Mr. Jo.", "Hi!", "A?", "b."]
+
+
+def test_manifest_first_match_and_missing_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from colloquy.plans.jobs import missing_files
+    from colloquy.sources.decoders import decode_manifest, read_ids, read_whole
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "lookup.csv").write_text(
+        'id,path\n01,"/data/a/01.mp4"\n02,/data/b/02.wav\n01,/data/c/01.mp4\n')
+    m = decode_manifest(read_whole(spark, str(tmp_path / "m")))
+    first = {r.id: r.path for r in m.groupBy("id").agg(F.min_by("path", "line_no").alias("path")).collect()}
+    assert first == {"01": "/data/a/01.mp4", "02": "/data/b/02.wav"}
+    (tmp_path / "ids.jsonl").write_text('{"id": "01"}\n{"id": "03"}\n')
+    files = spark.createDataFrame([("01", "x")], "id string, value string")
+    assert [r.id for r in missing_files(read_ids(spark, str(tmp_path / "ids.jsonl")), files).collect()] == ["03"]
