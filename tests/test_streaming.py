@@ -38,3 +38,21 @@ def test_stream_matches_batch(spark, tmp_path):
     cols = sorted(want.columns)
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
     assert got.count() == 6
+
+
+def test_stream_restart_scores_only_new_files(spark, tmp_path):
+    root = tmp_path / "labelled"
+    (root / "runA").mkdir(parents=True)
+    (root / "runA" / "01.txt").write_text(PRED[("runA", "01")])
+    gold_files = spark.createDataFrame(list(GOLD.items()), "id string, value string")
+    gold = segment_texts_from_lines(decode_lines(gold_files, ["id"]), 1, ["id"], gold_files, with_bare=False)
+    out, ckpt = tmp_path / "scores", tmp_path / "ckpt"
+    score_stream(spark, str(root), gold, None, str(out), n_segments=1, metrics=("levenshtein",),
+                 families=("accuracy",), checkpoint=str(ckpt)).awaitTermination(300)
+    assert spark.read.parquet(str(out)).count() == 1
+    (root / "runA" / "02.txt").write_text(PRED[("runA", "02")])
+    score_stream(spark, str(root), gold, None, str(out), n_segments=1, metrics=("levenshtein",),
+                 families=("accuracy",), checkpoint=str(ckpt)).awaitTermination(300)
+    got = sorted((r.id, r.lev_acc) for r in spark.read.parquet(str(out)).collect())
+    assert [g[0] for g in got] == ["01", "02"]
+    assert got[1][1] == 1.0
