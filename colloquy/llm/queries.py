@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import bpe
+from colloquy.llm import bpe, minhash, rules, secrets
 from colloquy.llm.common import table
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_minhash": lambda s, d: minhash.op2_minhash(table(s, d, "documents")),
+        "op5_secrets": lambda s, d: secrets.op5_secrets(table(s, d, "documents")),
         "op7_bpe": lambda s, d: bpe.op7_bpe(table(s, d, "documents")),
+        "op10_quality_rules": lambda s, d: rules.op10_quality_rules(
+            table(s, d, "documents"), table(s, d, "labels")),
     }
 
 
