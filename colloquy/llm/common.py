@@ -21,12 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = 4 << 20
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (``addPyFile``, once per application):
-    workers import it by name, so tables compiled there last over tasks."""
+    workers import it by name, so tables compiled there last over tasks.  Also
+    lowers the session's Arrow batches to BATCH_BYTES: a batch of long texts and
+    its results is held several times over in a worker."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(setting).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(setting, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
