@@ -8,7 +8,7 @@ the rows it covers leave the training set and the next rule starts.  ``verdict``
 turns the list into one ordered Spark ``CASE WHEN`` expression, so judging is
 an ordinary projection.
 
-The list is learnt from at most ``max_rows`` labelled rows (those with the
+Rows that fail the fixed base rules teach nothing.  The list is learnt from at most ``max_rows`` labelled rows (those with the
 smallest hash of their id); counts and verdicts cover every row.  Null text has
 no words and no lines.  Labels other than 0 and 1 and labels without an id are
 ignored; repeated labels of an id count as the worst.  Without both kinds of
@@ -18,6 +18,7 @@ label the list is empty and every row is kept.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-          "n_lines", "n_upper", "n_bangs")
+          "n_lines", "n_upper", "n_bangs", "n_echoes")
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -45,7 +46,8 @@ def count_one(text: bytes) -> tuple[int, ...]:
     """The COUNTS of one text.
 
     n_dup_lines: lines with a word that equal an earlier line.  n_repeat_words:
-    words inside some run of eight words that the text has more than once."""
+    words inside some run of eight words that the text has more than once.
+    n_echoes: words equal to the word before."""
     words = text.split()
     chars = len(text) if text.isascii() else len(text.decode())
     seen: set[bytes] = set()
@@ -67,7 +69,7 @@ def count_one(text: bytes) -> tuple[int, ...]:
             np.add.at(edge, starts + WINDOW, -1)
             repeated = int(np.count_nonzero(np.cumsum(edge)))
     return (len(words), chars - _without(text, _SPACE), _without(text, _SYMBOLS), dup, repeated,
-            lines, _without(text, _UPPER), _without(text, b"!"))
+            lines, _without(text, _UPPER), _without(text, b"!"), sum(map(eq, words, words[1:])))
 
 
 def features(df: DataFrame, text_col: str = "text", out_col: str = "counts") -> DataFrame:
@@ -93,6 +95,7 @@ def ratios(c: Column) -> dict[str, Column]:
         "upper_share": c["n_upper"] / chars,
         "dup_line_share": c["n_dup_lines"] / F.greatest(c["n_lines"], F.lit(1)),
         "repeat_share": c["n_repeat_words"] / words,
+        "echo_share": c["n_echoes"] / words,
         "words_per_line": c["n_words"] / F.greatest(c["n_lines"], F.lit(1)),
     }
 
@@ -127,20 +130,31 @@ def _gain(p0: float, n0: float, p: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(p > 0, g, -np.inf)
 
 
+def _cuts(v: np.ndarray, y: np.ndarray, cuts: int) -> np.ndarray:
+    """Values to cut after: quantiles of all rows and of the bad ones, and the
+    values just below the latter, so that a rare extreme is not missed."""
+    at = np.linspace(0, 1, cuts)
+    values = np.unique(v)
+    some = np.quantile(v[y], at, method="lower")
+    below = values[np.maximum(np.searchsorted(values, some) - 1, 0)]
+    return np.setdiff1d(np.concatenate([np.quantile(v, at, method="lower"), some, below]), values[-1:])
+
+
 def _grow(x: dict[str, np.ndarray], bad: np.ndarray, max_conditions: int, cuts: int) -> list[Condition]:
     rule: list[Condition] = []
     inside = np.ones(len(bad), bool)
-    while len(rule) < max_conditions and (inside & ~bad).any():
+    while len(rule) < max_conditions and (inside & ~bad).any() and (inside & bad).any():
         best, choice = 1e-9, None
         p0, n0 = (inside & bad).sum(), (inside & ~bad).sum()
         for name, values in x.items():
             v, y = values[inside], bad[inside]
-            for t in np.unique(np.quantile(v, np.linspace(0, 1, cuts), method="lower")):
+            for t in _cuts(v, y, cuts):
                 for above in (True, False):
                     hit = v > t if above else v <= t
                     g = float(_gain(p0, n0, np.float64((hit & y).sum()), np.float64((hit & ~y).sum())))
                     if g > best:
-                        best, choice = g, Condition(name, above, float(t))
+                        # half way to the next value that occurs
+                        best, choice = g, Condition(name, above, float((t + v[v > t].min()) / 2))
         if choice is None:
             break
         rule.append(choice)
@@ -155,8 +169,9 @@ def _worth(rule, x, bad) -> float:
 
 
 def learn_arrays(x: dict[str, np.ndarray], bad: np.ndarray, hold: np.ndarray, min_precision: float = 0.95,
-                 max_rules: int = 12, max_conditions: int = 4, cuts: int = 33) -> DecisionList:
-    """Sequential covering.  ``hold`` marks the rows kept for pruning."""
+                 min_cover: int = 8, max_rules: int = 12, max_conditions: int = 4, cuts: int = 33) -> DecisionList:
+    """Sequential covering.  ``hold`` marks the rows kept for pruning; a rule
+    must cover ``min_cover`` bad rows in all and be precise on the held ones."""
     out: DecisionList = []
     left = np.ones(len(bad), bool)
     pick = lambda mask: {k: v[mask] for k, v in x.items()}
@@ -169,7 +184,7 @@ def learn_arrays(x: dict[str, np.ndarray], bad: np.ndarray, hold: np.ndarray, mi
             break
         hit = _covers(rule, x) & left
         p, n = (hit & hold & bad).sum(), (hit & hold & ~bad).sum()
-        if p == 0 or p / (p + n) < min_precision:
+        if p == 0 or p / (p + n) < min_precision or (hit & bad).sum() < min_cover:
             break
         out.append(tuple(rule))
         left &= ~hit
@@ -184,7 +199,7 @@ def learn(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
              .orderBy(F.xxhash64("id"), "id").limit(max_rows))
     # the sample is max_rows small rows at most, so it may be broadcast
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = features(rows.join(F.broadcast(truth), "id"))
+    found = features(rows.join(F.broadcast(truth), "id")).filter(~base_failed(F.col("counts")))
     got = (found.select("id", "y", *(v.alias(k) for k, v in ratios(F.col("counts")).items()),
                         (F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(3)) == 0).alias("hold"))
            .toPandas())
