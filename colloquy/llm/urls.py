@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -132,6 +133,30 @@ class Index:
         return fit
 
 
+@lru_cache(maxsize=8)
+def _index(rules: tuple[Rule, ...], counts: tuple) -> Index:
+    return Index(rules, dict(counts))
+
+
+def _shard_udf(shard: tuple[Rule, ...], at: int, counts: tuple):
+    """The best rule of one shard; among shards the greatest struct wins."""
+
+    def best(urls: pa.Array, host_paths: pa.Array) -> pa.Array:
+        index = _index(shard, counts)
+        fits = [index.best(u or "", h) for u, h in zip(urls.to_pylist(), host_paths.to_pylist())]
+        some = [None if k is None else shard[k] for k in fits]
+        return pa.StructArray.from_arrays(
+            [pa.array([-1 if r is None else r.rank for r in some], pa.int32()),
+             pa.array([0 if k is None else -(at + k) for k in fits], pa.int32()),
+             pa.array([r and r.name for r in some], pa.string()),
+             pa.array([r and r.by_host for r in some], pa.bool_()),
+             pa.array([r and r.verdict for r in some], pa.string())],
+            ["rank", "first", "rule", "by_host", "verdict"])
+
+    kind = "struct<rank:int,first:int,rule:string,by_host:boolean,verdict:string>"
+    return F.arrow_udf(best, kind).asNondeterministic()
+
+
 def judge(df: DataFrame, url_col: str = "url", out_col: str = "judged", rules: tuple[Rule, ...] = RULES,
           default: str = "allow") -> DataFrame:
     """``df`` with ``struct<host,path,rule,by_host,verdict>`` of every url; rule
@@ -139,24 +164,9 @@ def judge(df: DataFrame, url_col: str = "url", out_col: str = "judged", rules: t
     ship(df.sparkSession)
     counts = token_counts(df, url_col, rules)
     host, path = F.coalesce(host_of(F.col(url_col)), F.lit("")), F.coalesce(path_of(F.col(url_col)), F.lit(""))
-    found = []
-    for at in range(0, max(len(rules), 1), SHARD):
-        shard = rules[at:at + SHARD]
-
-        def best(urls: pa.Array, host_paths: pa.Array, shard=shard, at=at) -> pa.Array:
-            index = Index(shard, counts)
-            fits = [index.best(u or "", h) for u, h in zip(urls.to_pylist(), host_paths.to_pylist())]
-            some = [None if k is None else shard[k] for k in fits]
-            return pa.StructArray.from_arrays(
-                [pa.array([-1 if r is None else r.rank for r in some], pa.int32()),
-                 pa.array([0 if k is None else -(at + k) for k in fits], pa.int32()),
-                 pa.array([r and r.name for r in some], pa.string()),
-                 pa.array([r and r.by_host for r in some], pa.bool_()),
-                 pa.array([r and r.verdict for r in some], pa.string())],
-                ["rank", "first", "rule", "by_host", "verdict"])
-
-        run = F.arrow_udf(best, "struct<rank:int,first:int,rule:string,by_host:boolean,verdict:string>")
-        found.append(run.asNondeterministic()(F.col(url_col), F.concat(host, path)))
+    shards = [rules[at:at + SHARD] for at in range(0, max(len(rules), 1), SHARD)]
+    found = [_shard_udf(shard, k * SHARD, tuple(sorted(counts.items())))(F.col(url_col), F.concat(host, path))
+             for k, shard in enumerate(shards)]
     top = found[0] if len(found) == 1 else F.greatest(*found)
     with_top = df.withColumn(out_col, top)
     t = F.col(out_col)
