@@ -45,10 +45,9 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir``.  Where the session
-    names none: a temporary folder in local mode, else the shared warehouse."""
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``.  Where the session names
+    none: a temporary folder in local mode, else one in the shared warehouse."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,6 +56,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
             named = (tempfile.mkdtemp(prefix="colloquy-checkpoint-") if local
                      else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
         sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import attribution, bpe, decontam, minhash, rules, secrets, toxicity, urls, warc
+from colloquy.llm import attribution, bpe, decontam, minhash, rules, secrets, suffix, toxicity, urls, warc
 from colloquy.llm.common import table
 
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": lambda s, d: warc.op3_warc(table(s, d, "pages")),
         "op4_attribution": lambda s, d: attribution.op4_attribution(table(s, d, "documents")),
         "op5_secrets": lambda s, d: secrets.op5_secrets(table(s, d, "documents")),
+        "op6_suffix_dedup": lambda s, d: suffix.op6_suffix_dedup(table(s, d, "documents")),
         "op7_bpe": lambda s, d: bpe.op7_bpe(table(s, d, "documents")),
         "op8_toxicity": lambda s, d: toxicity.op8_toxicity(
             table(s, d, "documents"), table(s, d, "labels")),
