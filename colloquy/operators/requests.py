@@ -14,10 +14,13 @@ not sent).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.functions.text import ordered_concat
+
 # --- fixed values ---------------------------------------------------------
 PROVIDER_ORDER = ("llama", "claude", "azure")
 # Hosted model aliases -> model ids.
@@ -27,6 +30,7 @@ CLAUDE_MODEL_IDS = {
     "claude-sonnet-3.5": "claude-3-5-sonnet-20240620",
     "claude-haiku-3": "claude-3-haiku-20240307",
 }
+LLAMA_MODEL_IDS = {"llama-8b": "8b-instruct", "llama-70b": "70b-instruct"}
 # Prefixes of the user message per stage.
 TRANSCRIPT_PREFIX = "transcript: "
 SUMMARY_PREFIX = "summary: "
@@ -50,17 +54,61 @@ def provider_of(model) -> Column:
     return expr.otherwise(F.lit(None).cast("string"))
 
 
+def _alias(model: Column, ids: dict[str, str]) -> Column:
+    return F.create_map(*[x for kv in ids.items() for x in map(F.lit, kv)])[model]
+
+
 def model_id_of(model, provider, llama_instance: Column, azure_deployment: Column) -> Column:
-    """Concrete model id: claude alias table, the llama instance, the azure
-    deployment of the stage.  An unknown claude alias gives NULL."""
+    """Concrete model id: claude alias table, the llama instance that is served
+    or else the llama alias table, the azure deployment of the stage.  An
+    unknown alias gives NULL."""
     m = F.col(model) if isinstance(model, str) else model
     p = F.col(provider) if isinstance(provider, str) else provider
-    claude = F.create_map(*[x for kv in CLAUDE_MODEL_IDS.items() for x in map(F.lit, kv)])[m]
-    return (F.when(p == "claude", claude)
-            .when(p == "llama", llama_instance)
+    return (F.when(p == "claude", _alias(m, CLAUDE_MODEL_IDS))
+            .when(p == "llama", F.coalesce(llama_instance, _alias(m, LLAMA_MODEL_IDS)))
             .when(p == "azure", azure_deployment))
 
 
+@dataclass(frozen=True)
+class LabellingRun:
+    """One configured labelling run.  Settings left None take the stage's default."""
+    run_name: str
+    model_diarize: str
+    model_summary: str | None = None
+    prompt: str | None = None
+    summary: bool = False
+    chunk_num: int = 1
+    llama_instance: str | None = None
+    azure_deployment_summary: str | None = None
+    azure_deployment_diarize: str | None = None
+    max_tokens_summary: int | None = None
+    max_tokens_diarize: int | None = None
+    temperature_summary: float | None = None
+    temperature_diarize: float | None = None
+    top_p_summary: float | None = None
+    top_p_diarize: float | None = None
+    do_sample_summary: bool | None = None
+    do_sample_diarize: bool | None = None
+
+    def override(self, chunk_num: int | None = None, model_summary: str | None = None,
+                 model_diarize: str | None = None, prompt: str | None = None) -> "LabellingRun":
+        """The run with every setting that is given replaced."""
+        given = {"chunk_num": chunk_num, "model_summary": model_summary,
+                 "model_diarize": model_diarize, "prompt": prompt}
+        return replace(self, **{k: v for k, v in given.items() if v is not None})
+
+
+_RUN_TYPES = {"summary": "boolean", "chunk_num": "int", **{f"{n}_{s}": t for s in ("summary", "diarize") for n, t in (
+    ("max_tokens", "int"), ("temperature", "double"), ("top_p", "double"), ("do_sample", "boolean"))}}
+
+
+def labelling_runs(spark: SparkSession, runs: Sequence[LabellingRun]) -> DataFrame:
+    """The runs as a table, one column per setting."""
+    names = list(asdict(runs[0]) if runs else LabellingRun.__dataclass_fields__)
+    return spark.createDataFrame([tuple(asdict(r).values()) for r in runs],
+                                 ", ".join(f"{n} {_RUN_TYPES.get(n, 'string')}" for n in names))
+
+
 def default_prompt(summary_flag, override=None) -> Column:
     """The explicit prompt wins; otherwise by the run's summary flag."""
     s = F.col(summary_flag) if isinstance(summary_flag, str) else summary_flag
@@ -79,23 +127,29 @@ def build_requests(chunks: DataFrame, runs: DataFrame, prompts: DataFrame, stage
                    summaries: DataFrame | None = None, summary_chunking: bool = True) -> DataFrame:
     """Requests per (run, id, chunk) for ``stage`` in {summary, diarize}.
 
-    ``chunks (run_name, id, chunk, text)``; ``runs`` has run_name, model,
-    prompt (nullable), summary, and optionally llama_instance,
-    azure_deployment_summary / _diarize and per-stage sampling overrides;
-    ``prompts (prompt_name, text)`` is a small dimension (broadcast);
+    ``chunks (run_name, id, chunk, text)``; ``runs`` is ``labelling_runs`` (or
+    any table with run_name, ``model_<stage>`` or ``model``, summary and,
+    optionally, prompt, llama_instance, azure_deployment_<stage> and sampling
+    settings per stage); ``prompts (prompt_name, text)``;
     ``summaries (run_name, id, chunk, summary)`` are the summary answers,
     joined by (run, id, chunk), or by (run, id) and reused for every chunk
-    when ``summary_chunking`` is false."""
+    when ``summary_chunking`` is false.
+
+    The summary stage has requests of runs with summaries only; without
+    ``summary_chunking`` one per transcript (``chunk`` NULL) over its chunks,
+    each followed by a blank line.  ``problem`` says why a request cannot be
+    sent (its messages are NULL then, or its model id)."""
     if stage not in STAGE_DEFAULTS:
         raise ValueError("stage must be summary or diarize")
     d = STAGE_DEFAULTS[stage]
 
     def opt(name: str, default) -> Column:
         c = f"{name}_{stage}"
-        return F.col(c) if c in runs.columns else F.lit(default)
+        return F.coalesce(F.col(c), F.lit(default)) if c in runs.columns else F.lit(default)
 
     run_cols = runs.select(
-        "run_name", F.col("model").alias("_model"), F.col("summary").alias("_summary"),
+        "run_name", F.col(f"model_{stage}" if f"model_{stage}" in runs.columns else "model").alias("_model"),
+        F.coalesce("summary", F.lit(False)).alias("_summary"),
         (F.lit(SUMMARY_PROMPT) if stage == "summary" else
          default_prompt("summary", "prompt" if "prompt" in runs.columns else None)).alias("_prompt"),
         (F.col("llama_instance") if "llama_instance" in runs.columns else F.lit(None).cast("string"))
@@ -105,18 +159,25 @@ def build_requests(chunks: DataFrame, runs: DataFrame, prompts: DataFrame, stage
         opt("temperature", d["temperature"]).cast("double").alias("temperature"),
         opt("top_p", d["top_p"]).cast("double").alias("top_p"),
         opt("do_sample", d["do_sample"]).cast("boolean").alias("do_sample"))
-    # runs and prompts are dimensions of a handful of rows: broadcast both
-    df = chunks.join(F.broadcast(run_cols), "run_name")
-    df = df.join(F.broadcast(prompts.select(F.col("prompt_name").alias("_prompt"),
-                                            F.col("text").alias("_ptext"))), "_prompt", "left")
+    if stage == "summary":
+        run_cols = run_cols.where("_summary")
+        if not summary_chunking:
+            whole = F.concat(F.col("text"), F.lit(BLOCK_SEPARATOR))
+            chunks = (chunks.select("run_name", "id", "chunk", whole.alias("_w")).groupBy("run_name", "id")
+                      .agg(ordered_concat("_w", "chunk", "").alias("text"))
+                      .select("run_name", "id", F.lit(None).cast("int").alias("chunk"), "text"))
+    # runs and prompts are as small as a person typed them; the optimizer sees that
+    df = chunks.join(run_cols, "run_name")
+    df = df.join(prompts.select(F.col("prompt_name").alias("_prompt"), F.col("text").alias("_ptext")),
+                 "_prompt", "left")
     use_summary = F.lit(False)
     summary_text = F.lit(None).cast("string")
-    if stage == "diarize" and summaries is not None:
-        on = ["run_name", "id", "chunk"] if summary_chunking else ["run_name", "id"]
-        s = summaries.select(*on, F.col("summary").alias("_s"))
-        df = df.join(s, on, "left")
-        summary_text = F.col("_s")
-        use_summary = F.col("_summary") & summary_text.isNotNull()
+    if stage == "diarize":
+        if summaries is not None:
+            on = ["run_name", "id", "chunk"] if summary_chunking else ["run_name", "id"]
+            df = df.join(summaries.select(*on, F.col("summary").alias("_s")), on, "left")
+            summary_text = F.col("_s")
+        use_summary = F.col("_summary")
     provider = provider_of("_model")
     chunk = F.col("text")
     if stage == "summary":
@@ -135,15 +196,19 @@ def build_requests(chunks: DataFrame, runs: DataFrame, prompts: DataFrame, stage
     messages = (F.when(provider == "llama", F.array(_msg("system", F.col("_ptext")), _msg("user", user)))
                 .when(provider == "claude", F.array(_msg("user", user)))
                 .when(provider == "azure", F.array(_msg("user", azure_user))))
+    model_id = model_id_of("_model", provider, F.col("_llama"), F.col("_azure"))
+    problem = (F.when(provider.isNull(), "unknown model").when(model_id.isNull(), "no model id")
+               .when(F.col("_ptext").isNull(), "no prompt")
+               .when(use_summary & summary_text.isNull(), "no summary"))
     return df.select(
         "run_name", "id", "chunk", F.lit(stage).alias("stage"), provider.alias("provider"),
-        model_id_of("_model", provider, F.col("_llama"), F.col("_azure")).alias("model_id"),
+        model_id.alias("model_id"),
         F.when(provider == "claude", F.col("_ptext")).alias("system"),
         messages.alias("messages"), "max_tokens", "temperature",
         F.when(provider != "claude", F.col("top_p")).alias("top_p"),
         F.when(provider == "llama", F.col("do_sample")).alias("do_sample"),
         F.when(provider == "azure", F.lit(0.0)).alias("frequency_penalty"),
-        F.when(provider == "azure", F.lit(0.0)).alias("presence_penalty"))
+        F.when(provider == "azure", F.lit(0.0)).alias("presence_penalty"), problem.alias("problem"))
 
 
 def parse_answers(answers: DataFrame, keys: Sequence[str] = ("run_name", "id"),

@@ -2,8 +2,7 @@
 transcript, and named selections of runs.
 
 All of it is aggregation over the ``scores`` table (one row per run, id,
-segment); a selection of runs is a small ordered dimension joined by run name
-(broadcast: its size is the length of a list someone typed).
+segment); a selection of runs is a small ordered dimension joined by run name.
 """
 
 from __future__ import annotations
@@ -57,6 +56,33 @@ def progression(scores: DataFrame, value_col: str = "composite_normed") -> DataF
                     (F.col("_n") == F.col("_n_seg")).alias("complete")))
 
 
+def one_segment_means(scores: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Mean per run over segment 0 only, whatever other segments there are."""
+    return run_means(scores.where(F.col("segment") == 0), cols)
+
+
+def curves(scores: DataFrame, value_col: str = "composite_normed") -> DataFrame:
+    """``(run_name, id, curve, complete)``: each transcript's values in numeric
+    order of their segments, and whether it has every segment of its run."""
+    n_seg = scores.groupBy("run_name").agg((F.max("segment") + 1).alias("_n"))
+    pairs = F.array_sort(F.collect_list(F.struct("segment", F.col(value_col).alias("value"))))
+    own = scores.groupBy("run_name", "id").agg(pairs.alias("_p"))
+    return own.join(n_seg, "run_name").select(
+        "run_name", "id", F.transform("_p", lambda x: x["value"]).alias("curve"),
+        (F.size("_p") == F.col("_n")).alias("complete"))
+
+
+def compare_named(means: DataFrame, name: str) -> DataFrame:
+    """A comparison of the catalogue by its name: the runs it lists, or the
+    group means of a group comparison."""
+    spark = means.sparkSession
+    if name in GROUP_CATALOGUE:
+        return compare_groups(means, selection_frame(spark, GROUP_CATALOGUE[name]))
+    if name not in CATALOGUE:
+        raise ValueError(f"no comparison named {name!r}")
+    return compare_runs(means, selection_frame(spark, CATALOGUE[name]))
+
+
 def selection_frame(spark: SparkSession, selection: Sequence[tuple[str, str]]) -> DataFrame:
     """``[(run_name, label), ...]`` -> ``(ord, run_name, label)``; order and
     repeats are kept."""
@@ -67,7 +93,7 @@ def selection_frame(spark: SparkSession, selection: Sequence[tuple[str, str]]) -
 def compare_runs(means: DataFrame, selection: DataFrame) -> DataFrame:
     """Rows of ``means`` for the selected runs, in selection order, labelled.
     A run listed twice appears twice; ``missing_runs`` reports absent ones."""
-    return (F.broadcast(selection).join(means, "run_name", "inner")
+    return (selection.join(means, "run_name", "inner")
             .orderBy("ord"))
 
 
@@ -78,7 +104,7 @@ def missing_runs(means: DataFrame, selection: DataFrame) -> DataFrame:
 def compare_groups(means: DataFrame, groups: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Mean of run means per group label: ``groups (ord, run_name, label)``."""
     cols = _score_cols(means, cols)
-    joined = F.broadcast(groups).join(means, "run_name", "inner")
+    joined = groups.join(means, "run_name", "inner")
     return (joined.groupBy("label").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n_runs"),
                                         *[F.avg(c).alias(c) for c in cols])
             .orderBy("ord"))
@@ -89,7 +115,7 @@ def compare_by(means: DataFrame, runs: DataFrame, dims: Sequence[str],
     """The same comparison by columns of the ``runs`` dimension (model, chunk
     count, prompt, summary flag) instead of spelled-out lists."""
     cols = _score_cols(means, cols)
-    joined = means.join(F.broadcast(runs.select("run_name", *dims)), "run_name")
+    joined = means.join(runs.select("run_name", *dims), "run_name")
     return joined.groupBy(*dims).agg(F.count(F.lit(1)).alias("n_runs"),
                                      *[F.avg(c).alias(c) for c in cols])
 

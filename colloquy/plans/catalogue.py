@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import canonical_speaker, label_of, text_after_label
 from colloquy.operators import runs as R
-from colloquy.operators.requests import build_requests, parse_answers
-from colloquy.operators.scoring import ordered_score_columns, to_tall
+from colloquy.functions.similarity import normed_gain
+from colloquy.operators.requests import LabellingRun, build_requests, labelling_runs, parse_answers
+from colloquy.operators.scoring import composite, ordered_score_columns, to_tall
 from colloquy.operators.segments import flatten_text, segment_of
 from colloquy.operators.sentences import sentences
 from colloquy.plans import inputs as I
 from colloquy.session import materialize
-from colloquy.sources.decoders import (decode_ids, decode_lines, decode_manifest_lines,
-                                       decode_scores, decode_utterances)
+from colloquy.sources.decoders import (UTTERANCE_SCHEMA, decode_ids, decode_lines, decode_manifest_lines,
+                                       decode_scores, decode_utterances, is_json, malformed_json)
 from colloquy.sources.sinks import output_name, render_utterances_json, score_file_payload
 from colloquy.sources.tables import RUNS, raw_utterances, runs_frame, table
 
@@ -44,6 +45,22 @@ PROMPTS = [
 ]
 LLAMA_INSTANCE = "llama-3.1-70b-instruct"
 AZURE_DEPLOYMENT = "gpt4o-deployment"
+# Labelling runs of the request queries: no prompt of its own, one model per
+# stage, aliases, a served instance, an unknown model, an unanswered summary.
+REQUEST_RUNS = (
+    LabellingRun("r0", "claude-sonnet-3.5"),
+    LabellingRun("r1", "azure", "claude-haiku-3", "diarize_w_summary", True, 3,
+                 azure_deployment_diarize=AZURE_DEPLOYMENT),
+    LabellingRun("r2", "llama-70b", prompt="diarize_few_shot", top_p_diarize=0.9, do_sample_diarize=False),
+    LabellingRun("r3", "llama-70b", "llama-8b", None, True, 2, llama_instance=LLAMA_INSTANCE, max_tokens_summary=128,
+                 temperature_summary=0.5),
+    LabellingRun("r4", "other-model", prompt="diarize_few_shot"),
+    LabellingRun("r5", "claude-opus-3", "azure", "no such prompt", True, 2),
+)
+# Run names of the given score table: those of two named comparisons and more.
+GIVEN_RUNS = tuple(dict.fromkeys([r for r, _ in R.CATALOGUE["best_of_each"]]
+                                 + [r for r, _ in R.GROUP_CATALOGUE["summary_vs_none_overall"]]
+                                 + ["gpt4o-3-seg", "llama-70b-3-seg"]))
 SCORE_FILE_SUFFIX = "-3-seg"
 # --------------------------------------------------------------------------
 
@@ -81,9 +98,9 @@ def manifest_lookup(spark, sf_dir):
     last four characters; ids without a line get NULL (the missing report)."""
     pages = table(spark, sf_dir, "pages")
     lines = pages.select(F.col("page_id").alias("line_no"), F.concat(
-        F.regexp_extract("url", r"/[a-z]{2}/([0-9]+)", 1), F.lit(',"'), F.col("url"), F.lit('"'))
+        F.lit('"'), F.col("url"), F.lit('",grade,'), F.regexp_extract("url", r"/[a-z]{2}/([0-9]+)", 1))
         .alias("line"))
-    manifest = decode_manifest_lines(lines)
+    manifest = decode_manifest_lines(lines, header=("path", "grade", "id"))
     first = (manifest.where(F.col("id") != "").groupBy("id")
              .agg(F.min_by("path", "line_no").alias("path")))
     json_path = F.concat(F.col("path").substr(F.lit(1), F.length("path") - 4), F.lit(".json"))
@@ -235,7 +252,7 @@ def decode_score_files(spark, sf_dir):
     only files whose name contains ``seg`` are taken."""
     tall = to_tall(materialize(_lev_scores(spark, sf_dir))).withColumn(
         "run_name", F.concat("run_name", F.lit(SCORE_FILE_SUFFIX)))
-    files = score_file_payload(tall, shards=4)
+    files = score_file_payload(tall)
     decoded = decode_scores(files.where(F.col("run_name").contains("seg")))
     return I.rounded(decoded)
 
@@ -276,9 +293,7 @@ def compare_by_summary(spark, sf_dir):
 
 
 def _runs_dim(spark):
-    return runs_frame(spark, RUNS).withColumn("llama_instance", F.lit(LLAMA_INSTANCE)) \
-        .withColumn("azure_deployment_summary", F.lit(AZURE_DEPLOYMENT)) \
-        .withColumn("azure_deployment_diarize", F.lit(AZURE_DEPLOYMENT))
+    return labelling_runs(spark, REQUEST_RUNS)
 
 
 def _prompts(spark):
@@ -288,7 +303,7 @@ def _prompts(spark):
 def _chunks(spark, sf_dir):
     """Raw chunk texts per (run, id, chunk) in the run's chunk count."""
     runs = F.array(*[F.struct(F.lit(r.run_name).alias("run_name"), F.lit(r.chunk_num).alias("chunk_num"))
-                     for r in RUNS])
+                     for r in REQUEST_RUNS])
     utts = raw_utterances(spark, sf_dir).withColumn("_r", F.explode(runs)) \
         .select("id", "pos", "text", "_r.run_name", "_r.chunk_num")
     return flatten_text(utts, ["run_name", "chunk_num", "id"], "chunk_num", "never") \
@@ -302,45 +317,94 @@ def _flat_requests(req: DataFrame) -> DataFrame:
                                                 F.lit(1))["content"])
         .alias("system_prompt"),
         F.element_at("messages", -1)["content"].alias("user_content"),
-        F.size("messages").alias("n_messages"), "max_tokens", "temperature", "top_p")
-
-
-def _chunk_summaries(spark, sf_dir) -> DataFrame:
-    """Stand-in summary answers per (run, id, chunk): the chunk's last utterance."""
-    runs = F.array(*[F.struct(F.lit(r.run_name).alias("run_name"), F.lit(r.chunk_num).alias("chunk_num"))
-                     for r in RUNS if r.summary])
-    utts = raw_utterances(spark, sf_dir).withColumn("_r", F.explode(runs)) \
-        .select("id", "pos", "text", "_r.run_name", "_r.chunk_num")
-    counts = utts.groupBy("run_name", "id").agg(F.count(F.lit(1)).alias("n_rows"))
-    rows = utts.join(counts, ["run_name", "id"]) \
-        .withColumn("chunk", segment_of("pos", "n_rows", "chunk_num"))
-    return rows.groupBy("run_name", "id", "chunk").agg(F.max_by("text", "pos").alias("summary"))
+        F.when(F.col("messages").isNotNull(), F.size("messages")).alias("n_messages"), "max_tokens", "temperature",
+        "top_p", "do_sample", "frequency_penalty", "presence_penalty", "problem")
 
 
 def model_requests(spark, sf_dir):
-    """Summary requests (runs with summaries) and labelling requests (all runs)."""
+    """Summary requests (runs with summaries) and labelling requests (all runs).
+    The stand-in summary of a chunk is its text; run r5 has none."""
     runs, prompts, chunks = _runs_dim(spark), _prompts(spark), _chunks(spark, sf_dir)
-    summary_runs = runs.where("summary")
-    summ = build_requests(chunks.join(summary_runs.select("run_name"), "run_name", "left_semi"),
-                          summary_runs, prompts, "summary")
-    diar = build_requests(chunks, runs, prompts, "diarize", summaries=_chunk_summaries(spark, sf_dir))
+    summaries = chunks.where(F.col("run_name") != "r5").select("run_name", "id", "chunk", F.col("text").alias("summary"))
+    summ = build_requests(chunks, runs, prompts, "summary")
+    diar = build_requests(chunks, runs, prompts, "diarize", summaries=summaries)
     return _flat_requests(summ.unionByName(diar))
 
 
 def summary_join(spark, sf_dir):
-    """Labelling requests that carry one whole-transcript summary per chunk."""
+    """Whole-transcript summary requests, and labelling requests that carry one
+    whole-transcript summary in every chunk."""
     runs, prompts, chunks = _runs_dim(spark), _prompts(spark), _chunks(spark, sf_dir)
     whole = flatten_text(raw_utterances(spark, sf_dir), ["id"], 1, "never") \
         .select("id", F.col("text").alias("summary"))
-    summaries = _per_run(whole)
+    names = [r.run_name for r in REQUEST_RUNS if r.summary]
+    summaries = whole.withColumn("run_name", F.explode(F.array(*[F.lit(n) for n in names])))
+    asked = build_requests(chunks, runs, prompts, "summary", summary_chunking=False)
     req = build_requests(chunks, runs.where("summary"), prompts, "diarize",
                          summaries=summaries, summary_chunking=False)
-    return _flat_requests(req)
+    return _flat_requests(asked.unionByName(req))
+
+
+def _given_scores(spark, sf_dir) -> DataFrame:
+    """A score table as experiments leave it: every conversation scored under
+    the run names of the named comparisons by arithmetic on its size; every
+    seventh transcript lacks its last segment, run names carry ``seg`` or not."""
+    conv = raw_utterances(spark, sf_dir).groupBy("id").agg(
+        F.count("*").alias("n"), F.sum(F.length("text")).alias("c"))
+    rows = (conv.withColumn("run_no", F.explode(F.sequence(F.lit(0), F.lit(len(GIVEN_RUNS) - 1))))
+            .withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(2))))
+            .where((F.col("segment") < 2) | (F.col("c") % 7 != 0)))
+    value = lambda a, b: ((F.col("c") * a + F.col("n") * b + F.col("run_no") * 17 + F.col("segment") * 29) % 101) / 100
+    acc = {"lev_acc": value(3, 5), "diff_acc": value(7, 2), "lev_baseline": value(5, 11), "diff_baseline": value(2, 13)}
+    rows = rows.select(F.get(F.array(*map(F.lit, GIVEN_RUNS)), F.col("run_no")).alias("run_name"), "id",
+                       F.col("segment").cast("int").alias("segment"), *(v.alias(k) for k, v in acc.items()))
+    for m in ("lev", "diff"):
+        rows = rows.withColumn(f"{m}_acc_normed", normed_gain(f"{m}_acc", f"{m}_baseline"))
+    return composite(rows)
+
+
+def composite_scores(spark, sf_dir):
+    """The wide score table of a multi-segment experiment, composites included."""
+    return I.rounded(ordered_score_columns(_given_scores(spark, sf_dir)))
+
+
+def one_segment_means(spark, sf_dir):
+    """Run means over segment 0 only, of the score files named ``seg``."""
+    scores = _given_scores(spark, sf_dir).where(F.col("run_name").contains("seg"))
+    return I.rounded(R.one_segment_means(scores))
+
+
+def compare_best(spark, sf_dir):
+    """The named comparison of the best run of each model."""
+    return I.rounded(R.compare_named(R.run_means(_given_scores(spark, sf_dir)), "best_of_each"))
+
+
+def compare_summary_overall(spark, sf_dir):
+    """The named group comparison with and without summaries."""
+    return I.rounded(R.compare_named(R.run_means(_given_scores(spark, sf_dir)), "summary_vs_none_overall"))
+
+
+def transcript_curves(spark, sf_dir):
+    """Every transcript's composite curve over its segments, as text, with the
+    length check (curves that lack a segment are flagged)."""
+    c = R.curves(_given_scores(spark, sf_dir))
+    text = F.array_join(F.transform("curve", lambda v: F.when(v.isNull(), "-").otherwise(F.format_string("%.4f", v))), ",")
+    return c.select("run_name", "id", text.alias("curve"), "complete")
 
 
-def _per_run(whole: DataFrame) -> DataFrame:
-    names = [r.run_name for r in RUNS if r.summary]
-    return whole.withColumn("run_name", F.explode(F.array(*[F.lit(n) for n in names])))
+def parse_problems(spark, sf_dir):
+    """Transcript JSON of every conversation as a faulty job leaves it (empty,
+    truncated, an object, whole): what is reported, and the rows of the rest."""
+    whole = render_utterances_json(raw_utterances(spark, sf_dir), ["id"])
+    kind = F.pmod(F.col("id").cast("long"), F.lit(5))
+    files = whole.select("id", F.when(kind == 0, "[]").when(kind == 1, F.substring("value", 1, 20))
+                         .when(kind == 2, F.concat(F.lit('{"a":'), F.col("value"), F.lit("}")))
+                         .otherwise(F.col("value")).alias("value"))
+    bad = malformed_json(files, UTTERANCE_SCHEMA).select("id", F.lit("malformed").alias("state"), F.lit(None).cast("int").alias("segment"),
+                                                         F.lit(None).cast("string").alias("text"))
+    good = files.where(is_json("value", UTTERANCE_SCHEMA))
+    parts = flatten_text(decode_utterances(good, ["id"]), ["id"], 2, "never", transcripts=good.select("id"))
+    return bad.unionByName(parts.select("id", F.lit("read").alias("state"), "segment", "text"))
 
 
 def flagship(spark, sf_dir):
@@ -387,5 +451,11 @@ def queries() -> dict[str, Query]:
         "missing_runs": missing_runs,
         "model_requests": model_requests,
         "summary_join": summary_join,
+        "composite_scores": composite_scores,
+        "one_segment_means": one_segment_means,
+        "compare_best": compare_best,
+        "compare_summary_overall": compare_summary_overall,
+        "transcript_curves": transcript_curves,
+        "parse_problems": parse_problems,
         "flagship_segment_means": flagship,
     }

@@ -38,8 +38,9 @@ def pred_txt_files(spark: SparkSession, sf_dir: str, chunked: bool = False) -> D
 
 def pred_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(run_name, id, value)``: the labelled JSON each run wrote per transcript."""
-    turns = parse_answers(pred_answers(spark, sf_dir)).withColumnRenamed("block", "pos")
-    return render_json(turns, RUN_KEYS, order=("chunk", "pos"))
+    answers = pred_answers(spark, sf_dir)
+    turns = parse_answers(answers).withColumnRenamed("block", "pos")
+    return render_json(turns, RUN_KEYS, order=("chunk", "pos"), transcripts=answers)
 
 
 def gold_txt_files(spark: SparkSession, sf_dir: str) -> DataFrame:

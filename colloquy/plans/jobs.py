@@ -20,25 +20,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.operators.consolidate import segment_texts_from_lines, segment_texts_from_turns
-from colloquy.operators.requests import build_requests
+from colloquy.operators.requests import LabellingRun, build_requests, labelling_runs
 from colloquy.operators.scoring import METRICS, score_segments
 from colloquy.operators.segments import flatten_text
-from colloquy.sources.decoders import (decode_lines, decode_scores, decode_turns, decode_utterances,
-                                       read_exported, read_ids, read_whole)
+from colloquy.sources.decoders import (TURN_SCHEMA, UTTERANCE_SCHEMA, decode_lines, decode_scores, decode_turns,
+                                       decode_utterances, is_json, malformed_json, read_exported, read_ids,
+                                       read_paths, read_whole, without_suffix)
 from colloquy.operators.sentences import sentences
 from colloquy.sources.sinks import render_sentences_json
-from colloquy.sources.tables import Run, runs_array, runs_frame
 
 RUN_KEYS = ["run_name", "id"]
 
 
 def read_run_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    """``(run_name, id, value)`` for every ``<root>/<run_name>/<id><suffix>``."""
-    df = spark.read.text(f"{root.rstrip('/')}/*/*{suffix}", wholetext=True)
-    parts = F.split(F.url_decode(F.col("_metadata.file_path")), "/")
-    name = F.element_at(parts, -1)
-    return df.select(F.element_at(parts, -2).alias("run_name"),
-                     name.substr(F.lit(1), F.length(name) - len(suffix)).alias("id"), "value")
+    """``(run_name, id, value)`` for every ``<root>/<run_name>/<id><suffix>``,
+    files of no bytes included, or for the tree of ``sinks.export_files``
+    (``run_name=<run>/id=<id>/``) under ``root``."""
+    root = root.rstrip("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/run_name=*")
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop):
+        return read_exported(spark, root)
+    parts = F.split(F.col("path"), "/")
+    return read_paths(spark, f"{root}/*/*{suffix}").select(
+        F.element_at(parts, -2).alias("run_name"), without_suffix(F.element_at(parts, -1), suffix).alias("id"), "value")
 
 
 def _only_listed(files: DataFrame, ids: DataFrame | None) -> DataFrame:
@@ -54,6 +58,7 @@ def raw_segments_from_files(spark: SparkSession, raw_dir: str, segments: int,
                             ids: DataFrame | None = None, normalise: str = "always") -> DataFrame:
     """``(id, segment, text, n_utterances)`` from ``<raw_dir>/<id>.json``."""
     files = _only_listed(read_whole(spark, raw_dir, "id", ".json"), ids)
+    files = files.where(is_json("value", UTTERANCE_SCHEMA))
     utts = decode_utterances(files, ["id"])
     return flatten_text(utts, ["id"], segments, normalise, transcripts=files.select("id"))
 
@@ -65,6 +70,7 @@ def gold_segments_from_files(spark: SparkSession, gold_dir: str, segments: int,
     suffix = ".json" if gold_json else ".txt"
     files = _only_listed(read_whole(spark, gold_dir, "id", suffix), ids)
     if gold_json:
+        files = files.where(is_json("value", TURN_SCHEMA))
         rows = decode_turns(files, ["id"])
         return segment_texts_from_turns(rows, segments, ["id"], files.select("id"), label_mode,
                                         with_bare=False)
@@ -78,20 +84,66 @@ def pred_segments_from_files(spark: SparkSession, root: str, segments: int,
     """``(run_name, id, segment, labelled, bare)`` for every run folder under ``root``."""
     files = _only_listed(read_run_files(spark, root, ".json" if input_json else ".txt"), ids)
     if input_json:
+        files = files.where(is_json("value", TURN_SCHEMA))
         return segment_texts_from_turns(decode_turns(files, RUN_KEYS), segments, RUN_KEYS,
                                         files.select(*RUN_KEYS), label_mode)
     return segment_texts_from_lines(decode_lines(files, RUN_KEYS), segments, RUN_KEYS,
                                     files.select(*RUN_KEYS), label_mode, segment_by=segment_by)
 
 
+def problems(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: str | None,
+             ids_path: str | None = None, input_json: bool = False, gold_json: bool = False) -> DataFrame:
+    """``(run_name, id, reason)`` of every transcript that ``score_runs`` cannot
+    score as asked: a listed id without a labelled file of a run, a labelled
+    transcript without a raw or gold file, JSON that does not parse.  The
+    original tools stop at the first of these."""
+    ids = read_ids(spark, ids_path) if ids_path else None
+    pred = _only_listed(read_run_files(spark, root, ".json" if input_json else ".txt"), ids)
+    found = []
+
+    def report(rows: DataFrame, reason: str) -> None:
+        run = F.col("run_name") if "run_name" in rows.columns else F.lit(None).cast("string")
+        found.append(rows.select(run.alias("run_name"), "id", F.lit(reason).alias("reason")))
+
+    if ids is not None:
+        names = [r.run_name for r in pred.select("run_name").distinct().collect()]  # as many as run folders
+        listed = ids.select("id").distinct().select("id", F.explode(
+            F.array(*map(F.lit, names)).cast("array<string>")).alias("run_name"))
+        report(listed.join(pred.select(*RUN_KEYS), RUN_KEYS, "left_anti"), "no labelled file")
+    if input_json:
+        report(malformed_json(pred, TURN_SCHEMA), "malformed labelled file")
+    wanted = pred.select("id").distinct()
+    for folder, suffix, schema, side in ((raw_dir, ".json", UTTERANCE_SCHEMA, "raw"),
+                                         (gold_dir, ".json" if gold_json else ".txt",
+                                          TURN_SCHEMA if gold_json else None, "gold")):
+        if folder:
+            files = _only_listed(read_whole(spark, folder, "id", suffix), ids)
+            report(wanted.join(files.select("id"), "id", "left_anti"), f"no {side} file")
+            if schema is not None:
+                report(malformed_json(files, schema), f"malformed {side} file")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def score_runs(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: str | None,
                ids_path: str | None = None, segments: int = 1,
                metrics: Sequence[str] = METRICS, families=("preservation", "accuracy"),
                input_json: bool = False, gold_json: bool = False,
                label_mode: str = "canonical", raw_norm: str = "always",
-               autojunk: bool = True, segment_by: str = "line") -> DataFrame:
+               autojunk: bool = True, segment_by: str = "line", strict: bool = False) -> DataFrame:
     """Score every run folder under ``root``: one row per (run, id, segment)
-    with the enabled score columns.  ``ids_path`` (JSONL) restricts the ids."""
+    with the enabled score columns.  ``ids_path`` (JSONL) restricts the ids.
+
+    A labelled file of no bytes is scored as the empty text.  What cannot be
+    scored has no row, or NULL where only one side is missing, and is listed by
+    ``problems``; ``strict`` raises if there is any, as the original tools do."""
+    if strict:
+        some = problems(spark, root, raw_dir if "preservation" in families else None,
+                        gold_dir if "accuracy" in families else None, ids_path, input_json, gold_json).take(20)
+        if some:
+            raise ValueError("cannot score: " + "; ".join(f"{r.run_name or '-'}/{r.id}: {r.reason}" for r in some))
     ids = read_ids(spark, ids_path) if ids_path else None
     pred = pred_segments_from_files(spark, root, segments, ids, input_json, label_mode, segment_by)
     gold = gold_segments_from_files(spark, gold_dir, segments, ids, gold_json, label_mode, segment_by) \
@@ -106,7 +158,7 @@ def utterances_from_texts(spark: SparkSession, input_dir: str, ids_path: str | N
     (one utterance per sentence), ready for ``raw_segments_from_files``."""
     ids = read_ids(spark, ids_path) if ids_path else None
     files = _only_listed(read_whole(spark, input_dir, "id", ".txt"), ids)
-    return render_sentences_json(sentences(files, ["id"], "value"))
+    return render_sentences_json(sentences(files, ["id"], "value"), transcripts=files.select("id"))
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -134,18 +186,20 @@ def read_score_files(spark: SparkSession, path: str, sharded: bool = False) -> D
             .withColumn("composite_normed", (F.col("lev_acc_normed") + F.col("diff_acc_normed")) / 2))
 
 
-def labelling_requests(spark: SparkSession, raw_dir: str, runs: Sequence[Run], prompts: DataFrame,
+def labelling_requests(spark: SparkSession, raw_dir: str, runs: Sequence[LabellingRun], prompts: DataFrame,
                        ids_path: str | None = None, stage: str = "diarize",
                        summaries: DataFrame | None = None, summary_chunking: bool = True) -> DataFrame:
     """Request rows for every configured run over the raw transcripts in
-    ``raw_dir``; each run cuts the transcripts into its own chunk count.  Runs
-    are attached by a generator over the (small, fixed) run list, not a join."""
+    ``raw_dir``; each run cuts the transcripts into its own chunk count, a
+    transcript without utterances into empty ones.  The files are decoded once;
+    runs are attached by a generator over the (small) run list, not a join."""
     ids = read_ids(spark, ids_path) if ids_path else None
-    files = _only_listed(read_whole(spark, raw_dir, "id", ".json"), ids)
-    per_run = (files.withColumn("_r", F.explode(runs_array(runs)))
-               .select("id", "value", F.col("_r.run_name").alias("run_name"),
-                       F.col("_r.chunk_num").alias("chunk_num")))
-    utts = decode_utterances(per_run, ["run_name", "chunk_num", "id"])
-    chunks = flatten_text(utts, ["run_name", "chunk_num", "id"], "chunk_num", "never") \
+    files = _only_listed(read_whole(spark, raw_dir, "id", ".json"), ids).where(is_json("value", UTTERANCE_SCHEMA))
+    listed = F.explode(F.array(*[F.struct(F.lit(r.run_name).alias("run_name"), F.lit(r.chunk_num).alias("chunk_num"))
+                                 for r in runs])).alias("_r")
+    keys = ["run_name", "chunk_num", "id"]
+    utts = decode_utterances(files, ["id"]).select("*", listed).select("*", "_r.*").drop("_r")
+    chunks = flatten_text(utts, keys, "chunk_num", "never",
+                          transcripts=files.select("id", listed).select("id", "_r.*")) \
         .select("run_name", "id", F.col("segment").alias("chunk"), "text")
-    return build_requests(chunks, runs_frame(spark, runs), prompts, stage, summaries, summary_chunking)
+    return build_requests(chunks, labelling_runs(spark, runs), prompts, stage, summaries, summary_chunking)

@@ -13,9 +13,10 @@ distinct characters in the compared texts (the test conversations have 76).
 
 from __future__ import annotations
 
-from colloquy.plans.catalogue import (AZURE_DEPLOYMENT, CHECKED_SELECTION, CHUNK_COUNTS, GROUP_SELECTION,
-                                      LLAMA_INSTANCE, PROMPTS, RUN_SELECTION, SCORE_FILE_SUFFIX)
-from colloquy.operators.requests import CLAUDE_MODEL_IDS, STAGE_DEFAULTS
+from colloquy.plans.catalogue import (CHECKED_SELECTION, CHUNK_COUNTS, GIVEN_RUNS, GROUP_SELECTION, PROMPTS,
+                                      REQUEST_RUNS, RUN_SELECTION, SCORE_FILE_SUFFIX)
+from colloquy.operators.requests import CLAUDE_MODEL_IDS, LLAMA_MODEL_IDS, STAGE_DEFAULTS
+from colloquy.operators.runs import CATALOGUE, GROUP_CATALOGUE
 from colloquy.operators.sentences import ABBREVIATIONS
 from colloquy.sources.tables import GOLD_LABEL, MODEL_LABEL, RUNS, SECONDS_PER_TURN, SWAPPED_LABEL
 
@@ -189,7 +190,7 @@ def json_turn_ctes() -> list[str]:
         f"CAST(unnest(range(len(string_split(answer, {nl2})))) AS INTEGER) AS block FROM answers)",
         "jturns AS (SELECT run_name, id, chunk, block, substr(b, 1, instr(b, ':') - 1) AS speaker, "
         "substr(b, instr(b, ':') + 1) AS text FROM blocks WHERE instr(b, ':') > 0)",
-        "jfiles AS (SELECT DISTINCT run_name, id FROM jturns)",
+        "jfiles AS (SELECT DISTINCT run_name, id FROM answers)",
         "jrows AS (SELECT run_name, id, speaker, text, "
         "CAST(row_number() OVER (PARTITION BY run_name, id ORDER BY chunk, block) - 1 AS INTEGER) AS pos, "
         "CAST(count(*) OVER (PARTITION BY run_name, id) AS INTEGER) AS n_rows FROM jturns)",
@@ -359,63 +360,135 @@ def sentences_sql() -> str:
 def requests_sql(summary_mode: str) -> str:
     """summary_mode: 'per_chunk' (model_requests) or 'whole' (summary_join)."""
     prompts = ", ".join(f"({q(a)}, {q(b)})" for a, b in PROMPTS)
-    claude = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in CLAUDE_MODEL_IDS.items())
-    runs = ", ".join(f"({q(r.run_name)}, {r.chunk_num}, {q(r.model)}, {q(r.prompt)}, {str(r.summary).upper()})"
-                     for r in RUNS)
+    alias = {name: " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in ids.items())
+             for name, ids in (("claude", CLAUDE_MODEL_IDS), ("llama", LLAMA_MODEL_IDS))}
+    columns = [f for f in REQUEST_RUNS[0].__dataclass_fields__]
+    value = lambda v: "NULL" if v is None else q(v) if isinstance(v, str) else str(v).upper()
+    runs = ", ".join("(" + ", ".join(value(getattr(r, c)) for c in columns) + ")" for r in REQUEST_RUNS)
     nl2 = lit("\n\n")
     ctes = [
         "conv AS (SELECT CAST(conv_id AS VARCHAR) AS id, CAST(turn AS INTEGER) AS pos, text FROM conversations)",
-        f"runs(run_name, chunk_num, model, prompt, summary) AS (VALUES {runs})",
+        f"runs({', '.join(columns)}) AS (VALUES {runs})",
         f"prompts(prompt_name, ptext) AS (VALUES {prompts})",
         "rc AS (SELECT r.run_name, r.chunk_num, c.id, c.pos, c.text FROM conv c CROSS JOIN runs r)",
         "rn AS (SELECT run_name, chunk_num, id, count(*) AS n_rows FROM rc GROUP BY ALL)",
         f"rrows AS (SELECT rc.*, {seg('rc.pos', 'rn.n_rows', 'rc.chunk_num')} AS chunk FROM rc "
         "JOIN rn USING (run_name, chunk_num, id))",
         "cagg AS (SELECT run_name, id, chunk, string_agg(CASE WHEN text <> chr(10) THEN ' ' || text END, '' "
-        "ORDER BY pos) AS t, max_by(text, pos) AS last_text FROM rrows GROUP BY ALL)",
-        "chunks AS (SELECT g.run_name, g.id, CAST(g.chunk AS INTEGER) AS chunk, coalesce(a.t, '') AS text, "
-        "a.last_text FROM (SELECT run_name, id, unnest(range(chunk_num)) AS chunk FROM rn) g "
+        "ORDER BY pos) AS t FROM rrows GROUP BY ALL)",
+        "chunks AS (SELECT g.run_name, g.id, CAST(g.chunk AS INTEGER) AS chunk, coalesce(a.t, '') AS text "
+        "FROM (SELECT run_name, id, unnest(range(chunk_num)) AS chunk FROM rn) g "
         "LEFT JOIN cagg a USING (run_name, id, chunk))",
+        f"joined AS (SELECT run_name, id, CAST(NULL AS INTEGER) AS chunk, string_agg(text || {nl2}, '' ORDER BY chunk) "
+        "AS text FROM chunks GROUP BY run_name, id)",
         "whole AS (SELECT id, string_agg(CASE WHEN text <> chr(10) THEN ' ' || text END, '' ORDER BY pos) "
-        "AS t FROM conv GROUP BY id)",
-        "prov AS (SELECT *, CASE WHEN contains(model, 'llama') THEN 'llama' WHEN contains(model, 'claude') "
-        "THEN 'claude' WHEN contains(model, 'azure') THEN 'azure' END AS provider FROM runs)",
+        "AS wt FROM conv GROUP BY id)",
     ]
-
-    def stage_rows(stage: str, where: str, summary_expr: str) -> str:
+    for stage in ("summary", "diarize"):
         d = STAGE_DEFAULTS[stage]
-        prompt = "'summary'" if stage == "summary" else \
-            "coalesce(prompt, CASE WHEN summary THEN 'diarize_w_summary' ELSE 'diarize_no_summary' END)"
-        s = summary_expr
-        use_s = f"(summary AND {s} IS NOT NULL)"
+        m = f"model_{stage}"
+        prompt = ("'summary'" if stage == "summary" else
+                  "coalesce(prompt, CASE WHEN summary THEN 'diarize_w_summary' ELSE 'diarize_no_summary' END)")
+        azure = f"azure_deployment_{stage}"
+        ctes.append(
+            f"{stage}_runs AS (SELECT *, CASE provider WHEN 'claude' THEN (CASE model {alias['claude']} END) WHEN 'llama' "
+            f"THEN coalesce(llama_instance, CASE model {alias['llama']} END) WHEN 'azure' THEN {azure} END AS model_id "
+            f"FROM (SELECT *, {m} AS model, {prompt} AS pname, CASE WHEN contains({m}, 'llama') THEN 'llama' "
+            f"WHEN contains({m}, 'claude') THEN 'claude' WHEN contains({m}, 'azure') THEN 'azure' END AS provider, "
+            f"CAST(coalesce(max_tokens_{stage}, {d['max_tokens']}) AS INTEGER) AS tokens, "
+            f"CAST(coalesce(temperature_{stage}, {d['temperature']}) AS DOUBLE) AS temp, "
+            f"CAST(coalesce(top_p_{stage}, {d['top_p']}) AS DOUBLE) AS top, "
+            f"CAST(coalesce(do_sample_{stage}, {str(d['do_sample']).upper()}) AS BOOLEAN) AS sample FROM runs))")
+
+    def stage_rows(stage: str, source: str, s: str, join: str = "", where: str = "") -> str:
         if stage == "summary":
             user = "c.text"
             azure = f"p.ptext || {nl2} || 'transcript: ' || {nl2} || c.text"
+            lacking = "FALSE"
         else:
-            user = (f"CASE WHEN {use_s} THEN 'summary: ' || {s} || {nl2} || 'transcript: ' || c.text "
+            user = (f"CASE WHEN r.summary THEN 'summary: ' || {s} || {nl2} || 'transcript: ' || c.text "
                     "ELSE 'transcript: ' || c.text END")
-            azure = (f"CASE WHEN {use_s} THEN p.ptext || {nl2} || 'summary:' || {s} || {nl2} || "
+            azure = (f"CASE WHEN r.summary THEN p.ptext || {nl2} || 'summary:' || {s} || {nl2} || "
                      f"'transcript: ' || c.text ELSE p.ptext || {nl2} || 'transcript: ' || c.text END")
+            lacking = f"r.summary AND {s} IS NULL"
         return (
-            f"SELECT c.run_name, c.id, c.chunk, '{stage}' AS stage, r.provider, "
-            f"CASE r.provider WHEN 'claude' THEN (CASE r.model {claude} END) WHEN 'llama' THEN "
-            f"{q(LLAMA_INSTANCE)} WHEN 'azure' THEN {q(AZURE_DEPLOYMENT)} END AS model_id, "
+            f"SELECT c.run_name, c.id, c.chunk, '{stage}' AS stage, r.provider, r.model_id, "
             "CASE WHEN r.provider IN ('claude', 'llama') THEN p.ptext END AS system_prompt, "
             f"CASE WHEN r.provider = 'azure' THEN {azure} WHEN r.provider IS NOT NULL THEN {user} END AS user_content, "
-            "CASE r.provider WHEN 'llama' THEN 2 WHEN 'claude' THEN 1 WHEN 'azure' THEN 1 END AS n_messages, "
-            f"CAST({d['max_tokens']} AS INTEGER) AS max_tokens, CAST({d['temperature']} AS DOUBLE) AS temperature, "
-            f"CASE WHEN r.provider <> 'claude' THEN CAST({d['top_p']} AS DOUBLE) END AS top_p "
-            f"FROM chunks c JOIN (SELECT *, {prompt} AS pname FROM prov) r USING (run_name) "
-            f"LEFT JOIN prompts p ON p.prompt_name = r.pname "
-            f"{where}")
+            "CAST(CASE r.provider WHEN 'llama' THEN 2 WHEN 'claude' THEN 1 WHEN 'azure' THEN 1 END AS INTEGER) AS n_messages, "
+            "r.tokens AS max_tokens, r.temp AS temperature, CASE WHEN r.provider <> 'claude' THEN r.top END AS top_p, "
+            "CASE WHEN r.provider = 'llama' THEN r.sample END AS do_sample, "
+            "CASE WHEN r.provider = 'azure' THEN CAST(0 AS DOUBLE) END AS frequency_penalty, "
+            "CASE WHEN r.provider = 'azure' THEN CAST(0 AS DOUBLE) END AS presence_penalty, "
+            "CASE WHEN r.provider IS NULL THEN 'unknown model' WHEN r.model_id IS NULL THEN 'no model id' "
+            f"WHEN p.ptext IS NULL THEN 'no prompt' WHEN {lacking} THEN 'no summary' END AS problem "
+            f"FROM {source} c JOIN {stage}_runs r USING (run_name) LEFT JOIN prompts p ON p.prompt_name = r.pname {join} {where}")
 
     if summary_mode == "per_chunk":
-        summ = stage_rows("summary", "WHERE r.summary", "NULL")
-        diar = stage_rows("diarize", "", "CASE WHEN r.summary THEN c.last_text END")
-        return with_(ctes, f"{summ} UNION ALL {diar}")
-    ctes.append("wsum AS (SELECT id, t AS wt FROM whole)")
-    diar = stage_rows("diarize", "LEFT JOIN wsum w ON w.id = c.id WHERE r.summary", "w.wt")
-    return with_(ctes, diar)
+        return with_(ctes, stage_rows("summary", "chunks", "NULL", where="WHERE r.summary") + " UNION ALL "
+                     + stage_rows("diarize", "chunks", "CASE WHEN r.run_name <> 'r5' THEN c.text END"))
+    return with_(ctes, stage_rows("summary", "joined", "NULL", where="WHERE r.summary") + " UNION ALL "
+                 + stage_rows("diarize", "chunks", "w.wt", "LEFT JOIN whole w ON w.id = c.id", "WHERE r.summary"))
+
+
+def given_ctes() -> list[str]:
+    value = lambda a, b: f"((c * {a} + n * {b} + run_no * 17 + segment * 29) % 101) / 100"
+    names = ", ".join(map(q, GIVEN_RUNS))
+    return [
+        "conv AS (SELECT CAST(conv_id AS VARCHAR) AS id, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS c "
+        "FROM conversations GROUP BY 1)",
+        f"grid AS (SELECT *, unnest(range({len(GIVEN_RUNS)})) AS run_no FROM conv)",
+        "cells AS (SELECT * FROM (SELECT *, unnest(range(3)) AS segment FROM grid) WHERE segment < 2 OR c % 7 <> 0)",
+        f"base AS (SELECT ([{names}])[run_no + 1] AS run_name, id, CAST(segment AS INTEGER) AS segment, "
+        f"{value(3, 5)} AS lev_acc, {value(7, 2)} AS diff_acc, {value(5, 11)} AS lev_baseline, "
+        f"{value(2, 13)} AS diff_baseline FROM cells)",
+        "normed AS (SELECT *, (lev_acc - lev_baseline) / nullif(1 - lev_baseline, 0) AS lev_acc_normed, "
+        "(diff_acc - diff_baseline) / nullif(1 - diff_baseline, 0) AS diff_acc_normed FROM base)",
+        "given AS (SELECT *, (lev_acc + diff_acc) / 2 AS composite, (lev_acc_normed + diff_acc_normed) / 2 "
+        "AS composite_normed FROM normed)",
+    ]
+
+
+GIVEN_COLUMNS = ("lev_acc", "lev_acc_normed", "diff_acc", "diff_acc_normed", "composite", "composite_normed",
+                 "lev_baseline", "diff_baseline")
+
+
+def given_queries() -> dict[str, str]:
+    means = ", ".join(f"round(avg({c}), 6) AS {c}" for c in GIVEN_COLUMNS)
+    exact = ", ".join(f"avg({c}) AS {c}" for c in GIVEN_COLUMNS)
+    per_run = f"means AS (SELECT run_name, count(*) AS n_rows, {exact} FROM given GROUP BY run_name)"
+    chosen = lambda rows: ", ".join(f"({k}, {q(r)}, {q(label)})" for k, (r, label) in enumerate(rows))
+    return {
+        "composite_scores": with_(given_ctes(), "SELECT run_name, id, segment, "
+                                  + ", ".join(f"round({c}, 6) + 0 AS {c}" for c in GIVEN_COLUMNS) + " FROM given"),
+        "one_segment_means": with_(given_ctes(), f"SELECT run_name, count(*) AS n_rows, {means} FROM given "
+                                   "WHERE segment = 0 AND contains(run_name, 'seg') GROUP BY run_name"),
+        "compare_best": with_(
+            given_ctes() + [per_run, f"sel(ord, run_name, label) AS (VALUES {chosen(CATALOGUE['best_of_each'])})"],
+            "SELECT s.run_name, s.ord, s.label, m.n_rows, " + ", ".join(f"round(m.{c}, 6) AS {c}" for c in GIVEN_COLUMNS)
+            + " FROM sel s JOIN means m USING (run_name)"),
+        "compare_summary_overall": with_(
+            given_ctes() + [per_run, "sel(ord, run_name, label) AS (VALUES "
+                            + chosen(GROUP_CATALOGUE["summary_vs_none_overall"]) + ")"],
+            "SELECT s.label, min(s.ord) AS ord, count(*) AS n_runs, "
+            + ", ".join(f"round(avg(m.{c}), 6) AS {c}" for c in GIVEN_COLUMNS)
+            + " FROM sel s JOIN means m USING (run_name) GROUP BY s.label"),
+        "transcript_curves": with_(
+            given_ctes(), "SELECT run_name, id, string_agg(coalesce(printf('%.4f', composite_normed), '-'), ',' "
+            "ORDER BY segment) AS curve, count(*) = any_value(k) AS complete FROM given "
+            "JOIN (SELECT run_name, max(segment) + 1 AS k FROM given GROUP BY run_name) USING (run_name) "
+            "GROUP BY run_name, id"),
+        "parse_problems": with_(
+            ["conv AS (SELECT CAST(conv_id AS VARCHAR) AS id, CAST(conv_id % 5 AS INTEGER) AS kind, "
+             "CAST(turn AS INTEGER) AS pos, text, count(*) OVER (PARTITION BY conv_id) AS n_rows FROM conversations)",
+             f"cut AS (SELECT *, {seg('pos', 'n_rows', '2')} AS segment FROM conv WHERE kind > 2)",
+             "agg AS (SELECT id, segment, string_agg(CASE WHEN text <> chr(10) THEN ' ' || text END, '' ORDER BY pos) "
+             "AS t FROM cut GROUP BY ALL)"],
+            "SELECT DISTINCT id, 'malformed' AS state, CAST(NULL AS INTEGER) AS segment, CAST(NULL AS VARCHAR) AS text "
+            "FROM conv WHERE kind IN (1, 2) UNION ALL SELECT g.id, 'read' AS state, CAST(g.segment AS INTEGER) AS segment, "
+            "coalesce(a.t, '') AS text FROM (SELECT id, unnest(range(2)) AS segment FROM (SELECT DISTINCT id FROM conv "
+            "WHERE kind IN (0, 3, 4))) g LEFT JOIN agg a USING (id, segment)"),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
@@ -541,4 +614,4 @@ def oracle_sql() -> dict[str, str]:
         "USING (run_name)")
     out["model_requests"] = requests_sql("per_chunk")
     out["summary_join"] = requests_sql("whole")
-    return out
+    return out | given_queries()

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,18 +39,56 @@ SCORE_MAP_SCHEMA = T.MapType(T.StringType(), T.MapType(T.StringType(), T.MapType
 ID_SCHEMA = T.StructType([T.StructField("id", T.StringType())])
 
 
+def empty_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files of no bytes that ``pattern`` (a folder, file or glob)
+    names.  Spark's own file listing leaves them out of every scan."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(path) or []:
+        for f in (fs.listStatus(status.getPath()) if status.isDirectory() else [status]):
+            if f.isFile() and f.getLen() == 0 and not f.getPath().getName().startswith(("_", ".")):
+                found.append(f.getPath().toString())
+    return sorted(found)
+
+
+def read_paths(spark: SparkSession, pattern: str) -> DataFrame:
+    """``(path, value)`` of every file, files of no bytes included.
+    ``wholetext`` must be the keyword argument: the reader option is reset by
+    the method default."""
+    empty = spark.createDataFrame([(p, "") for p in empty_files(spark, pattern)], "path string, value string")
+    try:
+        full = spark.read.text(pattern, wholetext=True).select(
+            F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"), "value")
+    except AnalysisException:  # every file is empty: Spark finds no path to read
+        if empty.isEmpty():
+            raise
+        return empty
+    return full.unionByName(empty)
+
+
+def without_suffix(name: Column, suffix: str) -> Column:
+    return F.when(name.endswith(suffix), name.substr(F.lit(1), F.length(name) - len(suffix))).otherwise(name)
+
+
 def read_whole(spark: SparkSession, path: str, name_col: str = "name",
                strip_suffix: str | None = None) -> DataFrame:
-    """One row per file: ``(name, value)``; ``name`` is the URL-decoded file name,
-    minus ``strip_suffix`` when given.  ``wholetext`` must be the keyword
-    argument: the reader option is reset by the method default."""
-    df = spark.read.text(path, wholetext=True)
-    name = F.url_decode(F.col("_metadata.file_name"))
+    """One row per file: ``(name, value)``; ``name`` is the file name, minus
+    ``strip_suffix`` when given."""
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
     if strip_suffix:
-        n = len(strip_suffix)
-        name = F.when(name.endswith(strip_suffix),
-                      name.substr(F.lit(1), F.length(name) - n)).otherwise(name)
-    return df.select(name.alias(name_col), F.col("value"))
+        name = without_suffix(name, strip_suffix)
+    return read_paths(spark, path).select(name.alias(name_col), "value")
+
+
+def malformed_json(files: DataFrame, schema: T.DataType, value_col: str = "value") -> DataFrame:
+    """The rows whose text is not a JSON array of the schema (truncated or
+    another shape).  The decoders give such a text no rows, so jobs report it."""
+    return files.where(~is_json(value_col, schema))
+
+
+def is_json(value_col: str, schema: T.DataType) -> Column:
+    return F.json_array_length(col_(value_col)).isNotNull() & F.from_json(col_(value_col), schema).isNotNull()
 
 
 def read_exported(spark: SparkSession, path: str, keys: Sequence[str] = ("run_name", "id")) -> DataFrame:
@@ -146,18 +185,34 @@ def decode_score_ids(files: DataFrame, name_col: str = "run_name",
 
 
 def decode_manifest_lines(lines: DataFrame, line_no_col: str = "line_no",
-                          line_col: str = "line") -> DataFrame:
-    """Manifest CSV lines ``(line_no, line)`` -> ``(line_no, id, path)``."""
-    parsed = F.from_csv(F.col(line_col), "id STRING, path STRING")
+                          line_col: str = "line", header: Sequence[str] = ("id", "path")) -> DataFrame:
+    """Manifest CSV lines ``(line_no, line)`` whose columns ``header`` names, in
+    any order and among others -> ``(line_no, id, path)``."""
+    if not {"id", "path"} <= set(header):
+        raise ValueError(f"a manifest needs the columns id and path, not {list(header)}")
+    parsed = F.from_csv(F.col(line_col), ", ".join(f"`_{k}` STRING" for k in range(len(header))))
     return (lines.where(F.length(line_col) > 0)
-            .select(F.col(line_no_col).alias("line_no"), parsed["id"].alias("id"),
-                    parsed["path"].alias("path")))
+            .select(F.col(line_no_col).alias("line_no"), parsed[f"_{list(header).index('id')}"].alias("id"),
+                    parsed[f"_{list(header).index('path')}"].alias("path")))
 
 
 def decode_manifest(files: DataFrame, value_col: str = "value") -> DataFrame:
-    """Manifest CSV file ``id,path`` (header line first) -> ``(line_no, id, path)``.
+    """Manifest CSV file (header line first) -> ``(line_no, id, path)``; the
+    columns are found by their names in the header.
 
     Line numbers come from the file itself, so "first match" is deterministic
     and survives task retries (no ``monotonically_increasing_id``)."""
-    lines = files.select(F.posexplode(split_lines(value_col)).alias("line_no", "line"))
-    return decode_manifest_lines(lines.where(F.col("line_no") > 0))
+    staged = files.select(split_lines(value_col).alias("_l"))
+    first = F.split(F.get(F.col("_l"), 0), ",", -1)
+    name = F.transform(first, lambda x: F.trim(F.replace(x, F.lit('"'), F.lit(""))))
+    at = lambda column: F.array_position(F.col("_h"), column)
+    rows = (staged.select(name.alias("_h"), F.posexplode("_l").alias("line_no", "line"))
+            .where((F.col("line_no") > 0) & (F.length("line") > 0)))
+    width = 64  # columns read of a line; a header with more is refused
+    fields = F.from_csv("line", ", ".join(f"`_{k}` STRING" for k in range(width)))
+    cells = F.array(*(fields[f"_{k}"] for k in range(width)))
+    cell = lambda column: F.when(
+        (at(column) > 0) & (at(column) <= width), F.get(F.col("_c"), (at(column) - 1).cast("int"))).otherwise(
+        F.raise_error(F.lit(f"the manifest's header has no column {column}")).cast("string"))
+    return rows.select("_h", "line_no", cells.alias("_c")).select(
+        "line_no", cell("id").alias("id"), cell("path").alias("path"))

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import ordered_concat
 from colloquy.operators.segments import segment_of
-from colloquy.session import work_parallelism
 
 # --- fixed values ---------------------------------------------------------
 TURN_SEPARATOR = "\n\n"          # between turns of an answer, after every chunk
+IDS_PER_SHARD = 2000
 CHUNK_HEADING = "chunk {j}:\n\n"  # heading per chunk when output is chunked
 # --------------------------------------------------------------------------
 
@@ -86,24 +86,34 @@ def render_gold_txt(turns: DataFrame, keys: Sequence[str] = ("id",),
             .groupBy(*keys).agg(ordered_concat("_t", "pos", TURN_SEPARATOR).alias(value_col)))
 
 
+def _with_empty(rendered: DataFrame, transcripts: DataFrame | None, keys: list[str], value_col: str) -> DataFrame:
+    """``[]`` for the transcripts that had no row to render."""
+    if transcripts is None:
+        return rendered
+    return (transcripts.select(*keys).distinct().join(rendered, keys, "left")
+            .select(*keys, F.coalesce(value_col, F.lit("[]")).alias(value_col)))
+
+
 def render_json(turns: DataFrame, keys: Sequence[str] = ("run_name", "id"),
-                order: Sequence[str] = ("chunk", "pos"), value_col: str = "value") -> DataFrame:
-    """Turns -> JSON array ``[{chunk, speaker, text}]`` per transcript, in order."""
+                order: Sequence[str] = ("chunk", "pos"), value_col: str = "value",
+                transcripts: DataFrame | None = None) -> DataFrame:
+    """Turns -> JSON array ``[{chunk, speaker, text}]`` per transcript, in order.
+    ``transcripts (keys)`` names those that get ``[]`` if they have no turn."""
     keys = list(keys)
     entry = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
                      F.struct(F.col("chunk").cast("int").alias("chunk"), "speaker", "text").alias("t"))
     arr = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"])
-    return turns.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
+    return _with_empty(turns.groupBy(*keys).agg(F.to_json(arr).alias(value_col)), transcripts, keys, value_col)
 
 
 def render_utterances_json(utts: DataFrame, keys: Sequence[str] = ("id",),
-                           value_col: str = "value") -> DataFrame:
+                           value_col: str = "value", transcripts: DataFrame | None = None) -> DataFrame:
     """Utterances -> raw transcript JSON ``[{timestamp: [start, end], text}]``."""
     keys = list(keys)
     entry = F.struct(F.col("pos").alias("_o"), F.struct(
         F.array(F.col("start_s"), F.col("end_s")).alias("timestamp"), F.col("text")).alias("u"))
     arr = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["u"])
-    return utts.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
+    return _with_empty(utts.groupBy(*keys).agg(F.to_json(arr).alias(value_col)), transcripts, keys, value_col)
 
 
 def render_chunked_json(utts: DataFrame, chunk_num: int, keys: Sequence[str] = ("id",),
@@ -133,13 +143,13 @@ def render_chunked_json(utts: DataFrame, chunk_num: int, keys: Sequence[str] = (
 
 
 def render_sentences_json(sentences: DataFrame, keys: Sequence[str] = ("id",),
-                          value_col: str = "value") -> DataFrame:
+                          value_col: str = "value", transcripts: DataFrame | None = None) -> DataFrame:
     """Sentence rows ``(keys, pos, sentence)`` -> the utterance JSON a raw
     transcript file holds: ``[{"text": sentence}, ...]`` in order."""
     keys = list(keys)
     entry = F.struct(F.col("pos").alias("_o"), F.struct(F.col("sentence").alias("text")).alias("u"))
     arr = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["u"])
-    return sentences.groupBy(*keys).agg(F.to_json(arr).alias(value_col))
+    return _with_empty(sentences.groupBy(*keys).agg(F.to_json(arr).alias(value_col)), transcripts, keys, value_col)
 
 
 def write_transcripts(df: DataFrame, path: str, value_col: str = "value",
@@ -170,9 +180,10 @@ def export_files(df: DataFrame, path: str, keys: Sequence[str] = ("run_name", "i
 
 
 def write_json_and_txt(txt: DataFrame, js: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Both formats side by side under ``path/text`` and ``path/json``."""
-    write_transcripts(txt, f"{path}/text", mode=mode)
-    write_transcripts(js, f"{path}/json", mode=mode)
+    """Both formats side by side, as files under ``path/text`` and ``path/json``
+    that ``decoders.read_exported`` and ``jobs.score_runs`` read."""
+    export_files(txt, f"{path}/text", mode=mode)
+    export_files(js, f"{path}/json", mode=mode)
 
 
 def write_scores(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -186,14 +197,16 @@ def score_file_payload(tall: DataFrame, shards: int | None = None) -> DataFrame:
 
     Built bottom-up with map aggregations (segment -> id -> metric -> family),
     each a partial-aggregatable collect.  ``shards > 1`` splits a run's file by
-    a hash of the id into that many valid score files (``run_name``, ``shard``),
-    so no single task or value has to hold a whole large run; the decoder reads
-    a directory of them as one table.  The default shard count follows the
-    cluster (``work_parallelism``), so a run's share per task shrinks as the
-    cluster grows; ``shards=1`` is one file per run (the original layout)."""
+    a hash of the id into that many valid score files (``run_name``, ``shard``);
+    the decoder reads a directory of them as one table.  By default each run has
+    as many shards as keep about ``IDS_PER_SHARD`` ids in a file, so no value
+    grows with the run; ``shards=1`` is one file per run (the original layout)."""
     if shards is None:
-        shards = work_parallelism(tall.sparkSession)
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)) if shards > 1 else F.lit(0)
+        sizes = tall.groupBy("run_name").agg(F.approx_count_distinct("id").alias("_ids"))
+        tall = tall.join(sizes, "run_name")
+        shard = F.pmod(F.xxhash64("id"), F.ceil(F.col("_ids") / IDS_PER_SHARD).cast("long"))
+    else:
+        shard = F.pmod(F.xxhash64("id"), F.lit(shards)) if shards > 1 else F.lit(0)
     t = tall.withColumn("shard", shard.cast("int"))
     k = ["run_name", "shard"]
     lvl1 = (t.groupBy(*k, "family", "metric", "id")

@@ -58,27 +58,12 @@ TABLE_KEYS = {"conversations": "conv_id", "documents": "doc_id", "pages": "page_
               "labels": "doc_id"}
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read a driver table.  A scan that yields fewer splits than the cluster
     has cores (a single-row-group file) is hash-spread on the table key, so
     the per-row text work after it is not confined to one task; a large input
-    arrives in many splits and is left as read (no extra shuffle).
-
-    The DataFrame is kept per session and path (the tables are read-only):
-    a plan that reads a table in several branches then plans one scan, and
-    the split check runs once."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
-        app = id(spark)
-    key = (app, sf_dir, name)
-    if key not in _TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        _TABLES[key] = spread_scan(df, TABLE_KEYS.get(name))
-    return _TABLES[key]
+    arrives in many splits and is left as read (no extra shuffle)."""
+    return spread_scan(spark.read.parquet(f"{sf_dir}/{name}.parquet"), TABLE_KEYS.get(name))
 
 
 def spread_scan(df: DataFrame, key: str | None) -> DataFrame:

@@ -4,11 +4,11 @@ import json
 
 import pytest
 
-from colloquy.operators.runs import run_means
-from colloquy.plans.jobs import labelling_requests, read_score_files, score_runs
+from colloquy.operators.requests import LabellingRun
+from colloquy.operators.runs import one_segment_means, run_means
+from colloquy.plans.jobs import labelling_requests, problems, read_score_files, score_runs
 from colloquy.sources.sinks import score_file_payload, write_scores
 from colloquy.operators.scoring import to_tall
-from colloquy.sources.tables import Run
 
 RAW = [{"timestamp": [0.0, 1.5], "text": " Hello there."}, {"timestamp": [1.5, 2.0], "text": " Hi."},
        {"timestamp": [2.0, 4.0], "text": " How long have you felt sick?"},
@@ -65,7 +65,7 @@ def test_scores_round_trip_and_means(spark, tree, tmp_path):
 def test_labelling_requests_from_files(spark, tree):
     prompts = spark.createDataFrame([("diarize_no_summary", "Label the speakers.")],
                                     "prompt_name string, text string")
-    runs = [Run("c3", 1, 1, 3, "claude-sonnet-3.5", None, False), Run("x", 1, 1, 1, "unknown-model")]
+    runs = [LabellingRun("c3", "claude-sonnet-3.5").override(chunk_num=3), LabellingRun("x", "unknown-model")]
     req = {(r.run_name, r.chunk): r for r in labelling_requests(spark, str(tree / "input"), runs, prompts,
                                                                  str(tree / "ids.jsonl")).collect()}
     assert set(req) == {("c3", 0), ("c3", 1), ("c3", 2), ("x", 0)}
@@ -74,7 +74,83 @@ def test_labelling_requests_from_files(spark, tree):
     # chunk text is " " + utterance text, and raw utterances start with a space
     assert req[("c3", 0)].messages[0].content == "transcript:   Hello there."
     assert req[("c3", 2)].messages[0].content == "transcript:   How long have you felt sick?  About two days."
-    assert req[("x", 0)].provider is None
+    assert req[("x", 0)].provider is None and req[("x", 0)].problem == "unknown model"
+
+
+def test_request_settings_and_missing_summaries(spark, tree):
+    (tree / "input" / "02.json").write_text("[]")
+    prompts = spark.createDataFrame([("diarize_w_summary", "With."), ("summary", "Sum.")],
+                                    "prompt_name string, text string")
+    runs = [LabellingRun("s", "llama-70b", "azure", None, True, 2, azure_deployment_summary="dep",
+                         top_p_diarize=0.5), LabellingRun("plain", "llama-8b")]
+    ask = lambda **kw: labelling_requests(spark, str(tree / "input"), runs, prompts, **kw).collect()
+    summary = ask(stage="summary")
+    assert {r.run_name for r in summary} == {"s"} and {r.model_id for r in summary} == {"dep"}
+    assert sorted((r.id, r.chunk) for r in summary) == [("01", 0), ("01", 1), ("02", 0), ("02", 1)]
+    whole = {r.id: r for r in ask(stage="summary", summary_chunking=False)}
+    assert whole["01"].chunk is None and whole["02"].messages[0].content == "Sum.\n\ntranscript: \n\n\n\n\n\n"
+    label = {(r.run_name, r.id, r.chunk): r for r in ask()}
+    assert label[("s", "01", 0)].problem == "no summary" and label[("s", "01", 0)].messages[1].content is None
+    assert label[("s", "01", 0)].model_id == "70b-instruct" and label[("s", "01", 0)].top_p == 0.5
+    assert label[("plain", "01", 0)].problem == "no prompt" and label[("plain", "01", 0)].model_id == "8b-instruct"
+    answers = spark.createDataFrame([("s", "01", 0, "S0"), ("s", "01", 1, "S1")],
+                                    "run_name string, id string, chunk int, summary string")
+    with_summary = {(r.run_name, r.id, r.chunk): r for r in ask(summaries=answers)}
+    assert with_summary[("s", "01", 1)].messages[1].content.startswith("summary: S1\n\ntranscript: ")
+    assert with_summary[("s", "02", 0)].problem == "no summary"
+
+
+def test_nothing_is_lost_in_silence(spark, tree):
+    (tree / "labelled" / "my run" / "02.txt").write_text("")
+    for side, text in (("input", json.dumps(RAW)), ("gold", GOLD)):
+        (tree / side / ("02.json" if side == "input" else "02.txt")).write_text(text)
+    (tree / "ids.jsonl").write_text('{"id": "01"}\n{"id": "02"}\n{"id": "07"}')
+    args = (spark, str(tree / "labelled"), str(tree / "input"), str(tree / "gold"), str(tree / "ids.jsonl"))
+    rows = {(r.run_name, r.id): r for r in score_runs(*args, segments=1).collect()}
+    assert rows[("my run", "02")].lev_acc == 0.0 and rows[("my run", "02")].lev_pres == 0.0
+    found = {tuple(r) for r in problems(*args).collect()}
+    assert found == {("my run", "07", "no labelled file"), ("perfect", "07", "no labelled file"),
+                     ("perfect", "02", "no labelled file")}
+    with pytest.raises(ValueError, match="07"):
+        score_runs(*args, segments=1, strict=True)
+
+
+def test_broken_json_is_reported_not_scored(spark, tree):
+    turns = [{"chunk": 0, "speaker": "Student", "text": " Hello there."}]
+    run = tree / "json" / "r"
+    run.mkdir(parents=True)
+    for name, text in (("01", json.dumps(turns)), ("02", json.dumps(turns)[:20]), ("03", "[]"), ("04", "{}")):
+        (run / f"{name}.json").write_text(text)
+        (tree / "gold" / f"{name}.txt").write_text(GOLD)
+        (tree / "input" / f"{name}.json").write_text(json.dumps(RAW))
+    (tree / "input" / "03.json").write_text('[{"text": ')
+    args = (spark, str(tree / "json"), str(tree / "input"), str(tree / "gold"))
+    rows = {r.id: r for r in score_runs(*args, segments=1, input_json=True).collect()}
+    assert set(rows) == {"01", "03"} and rows["03"].lev_acc == 0.0 and rows["03"].lev_pres is None
+    assert {(r.id, r.reason) for r in problems(*args, input_json=True).collect()} == {
+        ("02", "malformed labelled file"), ("04", "malformed labelled file"), ("03", "malformed raw file")}
+
+
+def test_written_labels_are_scored(spark, tree, tmp_path):
+    from colloquy.sources.sinks import render_json, write_json_and_txt
+    txt = spark.createDataFrame([("a", "01", PRED), ("a", "02", "")], "run_name string, id string, value string")
+    turns = spark.createDataFrame([("a", "01", 0, 0, "Student", " Hello there.")],
+                                  "run_name string, id string, chunk int, pos int, speaker string, text string")
+    js = render_json(turns, transcripts=txt)
+    assert {r.id: r.value for r in js.collect()}["02"] == "[]"
+    write_json_and_txt(txt, js, str(tmp_path / "out"))
+    args = (str(tree / "input"), str(tree / "gold"))
+    rows = {r.id: r for r in score_runs(spark, str(tmp_path / "out" / "text"), *args, segments=1).collect()}
+    assert rows["01"].lev_acc == pytest.approx(1 - 18 / 97) and set(rows) == {"01", "02"}
+    rows = {r.id: r for r in score_runs(spark, str(tmp_path / "out" / "json"), *args, segments=1, input_json=True).collect()}
+    assert set(rows) == {"01", "02"} and rows["01"].lev_acc > 0
+
+
+def test_one_segment_means_take_segment_zero(spark, tmp_path):
+    (tmp_path / "x-seg.json").write_text(json.dumps(
+        [["01"], {"accuracy": {"levenshtein": {"01": {"0": 1.0, "1": 0.0}}}}]))
+    wide = read_score_files(spark, str(tmp_path))
+    assert run_means(wide).first().lev_acc == 0.5 and one_segment_means(wide).first().lev_acc == 1.0
 
 
 def test_turn_segmentation_aligns_sides(spark, tree):
@@ -109,6 +185,9 @@ def test_manifest_first_match_and_missing_files(spark, tmp_path):
     m = decode_manifest(read_whole(spark, str(tmp_path / "m")))
     first = {r.id: r.path for r in m.groupBy("id").agg(F.min_by("path", "line_no").alias("path")).collect()}
     assert first == {"01": "/data/a/01.mp4", "02": "/data/b/02.wav"}
+    (tmp_path / "m2").mkdir()
+    (tmp_path / "m2" / "lookup.csv").write_text('path,grade,id\n/data/01.mp4,A,01\n')
+    assert [tuple(r) for r in decode_manifest(read_whole(spark, str(tmp_path / "m2"))).collect()] == [(1, "01", "/data/01.mp4")]
     (tmp_path / "ids.jsonl").write_text('{"id": "01"}\n{"id": "03"}\n')
     files = spark.createDataFrame([("01", "x")], "id string, value string")
     assert [r.id for r in missing_files(read_ids(spark, str(tmp_path / "ids.jsonl")), files).collect()] == ["03"]
