@@ -67,27 +67,20 @@ class Model:
         self.weights, self.bias = weights, bias
 
     @classmethod
-    def fit(cls, bags: list[list[list[int]]], labels: np.ndarray) -> Model:
+    def fit(cls, flat: np.ndarray, sentence_of: np.ndarray, doc_of: np.ndarray, labels: np.ndarray) -> Model:
         """Full-batch gradient descent (adaptive steps) on the noisy-or
-        likelihood, over the buckets whose document rates differ clearly."""
+        likelihood, over the buckets whose document rates differ clearly.
+        ``flat``: the buckets of all sentences in turn, ``sentence_of`` each
+        one, ``doc_of`` each sentence."""
         if len(set(labels.tolist())) < 2:
             return cls({}, -np.inf)
-        of = np.zeros((2, 1 << BITS))
-        for bag, y in zip(bags, labels.tolist()):
-            if bag:
-                of[y, np.unique(np.concatenate([*map(np.asarray, bag)]))] += 1
+        seen = np.unique((doc_of[sentence_of] << BITS) | flat)
+        of = [np.bincount((seen & ((1 << BITS) - 1))[labels[seen >> BITS] == y], minlength=1 << BITS) for y in (0, 1)]
         size = np.bincount(labels, minlength=2).astype(float)
         rate = (of[0] + of[1] + 1) / (size.sum() + 2)
         z = (of[1] / size[1] - of[0] / size[0]) / np.sqrt(rate * (1 - rate) * (1 / size[0] + 1 / size[1]))
-        clear = np.abs(z) >= LEAST_Z
-        flat, sentence_of, doc_of = [], [], []
-        for d, bag in enumerate(bags):
-            for words in bag:
-                kept = [w for w in words if clear[w]]
-                flat += kept
-                sentence_of += [len(doc_of)] * len(kept)
-                doc_of.append(d)
-        flat, sentence_of, doc_of = (np.array(x, np.int64) for x in (flat, sentence_of, doc_of))
+        clear = (np.abs(z) >= LEAST_Z)[flat]
+        flat, sentence_of = flat[clear], sentence_of[clear]
         y, n = labels.astype(float), len(labels)
         w, bias = np.zeros(1 << BITS), -9.0
         past, past_bias = np.full(1 << BITS, 1e-8), 1e-8
@@ -159,8 +152,14 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     rows = (documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(of(0).union(of(1))), "id").select("id", "y", bag("text").alias("bag")).toArrow())
     order = np.argsort(rows["id"].to_numpy(), kind="stable")
-    bags, y = rows["bag"].to_pylist(), rows["y"].to_numpy()
-    return Model.fit([bags[i] for i in order], y[order])
+    rows = rows.take(pa.array(order)).combine_chunks()
+    y = rows["y"].to_numpy().astype(np.int64)
+    of_docs = pa.concat_arrays(rows["bag"].chunks) if rows.num_rows else pa.array([], pa.list_(pa.list_(pa.int32())))
+    of_sentences = of_docs.flatten()
+    lengths = lambda lists: np.diff(lists.offsets.to_numpy())
+    return Model.fit(of_sentences.flatten().to_numpy().astype(np.int64),
+                     np.repeat(np.arange(len(of_sentences)), lengths(of_sentences)),
+                     np.repeat(np.arange(len(of_docs)), lengths(of_docs)), y)
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "toxicity") -> DataFrame:
