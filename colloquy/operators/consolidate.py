@@ -36,6 +36,7 @@ from colloquy.functions.text import (LITERAL_SPEAKER, UNKNOWN, canonical_speaker
 from colloquy.operators.segments import assign_segments, cluster_by_segment, pad_with_grid, segment_of
 
 LABEL_MODES = ("canonical", "literal")
+STRIP_MODES = ("first_token", "label")
 
 
 def _island_pieces(rows: DataFrame, part: Sequence[str], speaker_col: str, text_col: str) -> DataFrame:
@@ -101,13 +102,18 @@ def turn_numbers(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
 def segment_texts_from_lines(lines: DataFrame, n_segments, keys: Sequence[str],
                              transcripts: DataFrame, label_mode: str = "canonical",
                              with_labelled: bool = True, with_bare: bool = True,
-                             segment_by: str = "line") -> DataFrame:
+                             segment_by: str = "line", strip_mode: str = "first_token") -> DataFrame:
     """Physical lines ``(keys, pos, line[, n_rows])`` -> ``(keys, segment, labelled, bare)``.
 
     ``transcripts`` lists every (keys) file, so files with no lines still get
     their (empty) segments.  ``segment_by='line'`` cuts by physical lines,
     blank ones included (the reference's rule); ``'turn'`` cuts by turns, so
-    segment borders agree with a side segmented by utterance or JSON turn."""
+    segment borders agree with a side segmented by utterance or JSON turn.
+    ``strip_mode='first_token'`` takes the first word of every line for a label
+    (the reference's rule); ``'label'`` takes what stands before a colon, and
+    nothing from lines that continue a turn."""
+    if strip_mode not in STRIP_MODES:
+        raise ValueError(f"strip_mode must be one of {STRIP_MODES}")
     if label_mode not in LABEL_MODES:
         raise ValueError(f"label_mode must be one of {LABEL_MODES}")
     keys = list(keys)
@@ -119,7 +125,8 @@ def segment_texts_from_lines(lines: DataFrame, n_segments, keys: Sequence[str],
     else:
         raise ValueError("segment_by must be line or turn")
     rows = rows.select(*keys, "segment", "pos", "line",
-                       strip_first_token("line").alias("_bare"),
+                       (strip_first_token("line") if strip_mode == "first_token" else
+                        F.concat(F.lit(" "), text_after_label("line"))).alias("_bare"),
                        text_after_label("line").alias("_tx"),
                        canonical_speaker(label_of("line")).alias("_sp"))
     if with_labelled and label_mode == "canonical":

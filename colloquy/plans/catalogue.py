@@ -226,6 +226,12 @@ def scores_lev_by_turn(spark, sf_dir):
     return I.rounded(ordered_score_columns(s))
 
 
+def preservation_by_label(spark, sf_dir):
+    """Labels alone stripped, segments by turn: an unperturbed run keeps all."""
+    return I.rounded(I.scores(spark, sf_dir, metrics=LEV, families=("preservation",), segment_by="turn",
+                              strip_mode="label"))
+
+
 def accuracy_lev_json(spark, sf_dir):
     s = _lev_scores(spark, sf_dir, source="json")
     return I.rounded(ordered_score_columns(s))
@@ -385,11 +391,10 @@ def compare_summary_overall(spark, sf_dir):
 
 
 def transcript_curves(spark, sf_dir):
-    """Every transcript's composite curve over its segments, as text, with the
+    """Every transcript's composite curve in the order of its segments, with the
     length check (curves that lack a segment are flagged)."""
     c = R.curves(_given_scores(spark, sf_dir))
-    text = F.array_join(F.transform("curve", lambda v: F.when(v.isNull(), "-").otherwise(F.format_string("%.4f", v))), ",")
-    return c.select("run_name", "id", text.alias("curve"), "complete")
+    return I.rounded(c.select("run_name", "id", "complete", F.posexplode("curve").alias("ord", "value")))
 
 
 def parse_problems(spark, sf_dir):
@@ -439,6 +444,7 @@ def queries() -> dict[str, Query]:
         "accuracy_lev_literal": accuracy_lev_literal,
         "accuracy_lev_json": accuracy_lev_json,
         "scores_lev_by_turn": scores_lev_by_turn,
+        "preservation_by_label": preservation_by_label,
         "diff_ratio_scores": diff_ratio_scores,
         "score_table": score_table,
         "decode_score_files": decode_score_files,

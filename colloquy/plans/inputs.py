@@ -51,13 +51,13 @@ def gold_txt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pred_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
                   label_mode: str = "canonical", source: str = "txt",
                   with_labelled: bool = True, with_bare: bool = True,
-                  segment_by: str = "line") -> DataFrame:
+                  segment_by: str = "line", strip_mode: str = "first_token") -> DataFrame:
     """``(run_name, id, segment, labelled, bare)`` from the txt or JSON files."""
     if source == "txt":
         files = pred_txt_files(spark, sf_dir)
         lines = decode_lines(files, RUN_KEYS)
         return segment_texts_from_lines(lines, n_segments, RUN_KEYS, files.select(*RUN_KEYS),
-                                        label_mode, with_labelled, with_bare, segment_by)
+                                        label_mode, with_labelled, with_bare, segment_by, strip_mode)
     files = pred_json_files(spark, sf_dir)
     turns = decode_turns(files, RUN_KEYS)
     return segment_texts_from_turns(turns, n_segments, RUN_KEYS, files.select(*RUN_KEYS),
@@ -82,9 +82,11 @@ def raw_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
 def scores(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
            metrics=("levenshtein", "diff"), families=("preservation", "accuracy"),
            label_mode: str = "canonical", source: str = "txt",
-           raw_normalise: str = "always", segment_by: str = "line") -> DataFrame:
+           raw_normalise: str = "always", segment_by: str = "line",
+           strip_mode: str = "first_token") -> DataFrame:
     """The score table for every simulated run: one row per (run, id, segment)."""
-    pred = pred_segments(spark, sf_dir, n_segments, label_mode, source, segment_by=segment_by)
+    pred = pred_segments(spark, sf_dir, n_segments, label_mode, source, segment_by=segment_by,
+                         strip_mode=strip_mode)
     gold = gold_segments(spark, sf_dir, n_segments, label_mode, segment_by) \
         if "accuracy" in families else None
     raw = raw_segments(spark, sf_dir, n_segments, raw_normalise) if "preservation" in families else None

@@ -80,7 +80,8 @@ def gold_segments_from_files(spark: SparkSession, gold_dir: str, segments: int,
 
 def pred_segments_from_files(spark: SparkSession, root: str, segments: int,
                              ids: DataFrame | None = None, input_json: bool = False,
-                             label_mode: str = "canonical", segment_by: str = "line") -> DataFrame:
+                             label_mode: str = "canonical", segment_by: str = "line",
+                             strip_mode: str = "first_token") -> DataFrame:
     """``(run_name, id, segment, labelled, bare)`` for every run folder under ``root``."""
     files = _only_listed(read_run_files(spark, root, ".json" if input_json else ".txt"), ids)
     if input_json:
@@ -88,7 +89,8 @@ def pred_segments_from_files(spark: SparkSession, root: str, segments: int,
         return segment_texts_from_turns(decode_turns(files, RUN_KEYS), segments, RUN_KEYS,
                                         files.select(*RUN_KEYS), label_mode)
     return segment_texts_from_lines(decode_lines(files, RUN_KEYS), segments, RUN_KEYS,
-                                    files.select(*RUN_KEYS), label_mode, segment_by=segment_by)
+                                    files.select(*RUN_KEYS), label_mode, segment_by=segment_by,
+                                    strip_mode=strip_mode)
 
 
 def problems(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: str | None,
@@ -132,7 +134,8 @@ def score_runs(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: st
                metrics: Sequence[str] = METRICS, families=("preservation", "accuracy"),
                input_json: bool = False, gold_json: bool = False,
                label_mode: str = "canonical", raw_norm: str = "always",
-               autojunk: bool = True, segment_by: str = "line", strict: bool = False) -> DataFrame:
+               autojunk: bool = True, segment_by: str = "line", strip_mode: str = "first_token",
+               strict: bool = False) -> DataFrame:
     """Score every run folder under ``root``: one row per (run, id, segment)
     with the enabled score columns.  ``ids_path`` (JSONL) restricts the ids.
 
@@ -145,7 +148,7 @@ def score_runs(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: st
         if some:
             raise ValueError("cannot score: " + "; ".join(f"{r.run_name or '-'}/{r.id}: {r.reason}" for r in some))
     ids = read_ids(spark, ids_path) if ids_path else None
-    pred = pred_segments_from_files(spark, root, segments, ids, input_json, label_mode, segment_by)
+    pred = pred_segments_from_files(spark, root, segments, ids, input_json, label_mode, segment_by, strip_mode)
     gold = gold_segments_from_files(spark, gold_dir, segments, ids, gold_json, label_mode, segment_by) \
         if "accuracy" in families else None
     raw = raw_segments_from_files(spark, raw_dir, segments, ids, raw_norm) \

@@ -474,10 +474,10 @@ def given_queries() -> dict[str, str]:
             + ", ".join(f"round(avg(m.{c}), 6) AS {c}" for c in GIVEN_COLUMNS)
             + " FROM sel s JOIN means m USING (run_name) GROUP BY s.label"),
         "transcript_curves": with_(
-            given_ctes(), "SELECT run_name, id, string_agg(coalesce(printf('%.4f', composite_normed), '-'), ',' "
-            "ORDER BY segment) AS curve, count(*) = any_value(k) AS complete FROM given "
-            "JOIN (SELECT run_name, max(segment) + 1 AS k FROM given GROUP BY run_name) USING (run_name) "
-            "GROUP BY run_name, id"),
+            given_ctes(), "SELECT g.run_name, g.id, count(*) OVER (PARTITION BY g.run_name, g.id) = k.n AS complete, "
+            "CAST(row_number() OVER (PARTITION BY g.run_name, g.id ORDER BY g.segment) - 1 AS INTEGER) AS ord, "
+            "round(g.composite_normed, 6) + 0 AS value FROM given g JOIN (SELECT run_name, max(segment) + 1 AS n "
+            "FROM given GROUP BY run_name) k USING (run_name)"),
         "parse_problems": with_(
             ["conv AS (SELECT CAST(conv_id AS VARCHAR) AS id, CAST(conv_id % 5 AS INTEGER) AS kind, "
              "CAST(turn AS INTEGER) AS pos, text, count(*) OVER (PARTITION BY conv_id) AS n_rows FROM conversations)",
@@ -573,6 +573,10 @@ def oracle_sql() -> dict[str, str]:
     out["accuracy_lev_literal"] = score_select(acc_cols, families=("accuracy",), mode="literal")
     out["scores_lev_by_turn"] = score_select(["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline"],
                                              segment_by="turn")
+    token = "regexp_replace(line, '^[^ ]*', '') AS bare_piece"
+    label = "' ' || CASE WHEN instr(line, ':') > 0 THEN substr(line, instr(line, ':') + 1) ELSE line END AS bare_piece"
+    out["preservation_by_label"] = score_select(["lev_pres"], families=("preservation",),
+                                                segment_by="turn").replace(token, label)
     out["accuracy_lev_json"] = score_select(["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline"],
                                             source="json")
     ctes, _ = scored_sql()
