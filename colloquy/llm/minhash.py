@@ -198,7 +198,10 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
              .join(shared.select("rep").distinct(), "rep", "left_semi"))
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}"))
 
-    first = (shared.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    # of the pivots it meets, a class is compared with the one it shares most bands with
+    met = shared.filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("times"))
+    nearest = met.groupBy("rep").agg(F.max(F.struct("times", (-F.col("pivot")).alias("p"))).alias("m"))
+    first = (nearest.select((-F.col("m.p")).alias("a"), F.col("rep").alias("b"))
              .join(side("a"), "a").join(side("b"), "b")
              .filter(F.arrow_udf(_may_link, "boolean")("n_a", "n_b", "low_a", "low_b")).select("a", "b"))
     links = checkpoint(_confirmed(first, texts))
