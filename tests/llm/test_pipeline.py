@@ -22,14 +22,14 @@ def folder(spark, tmp_path_factory):
     text = lambda n: " ".join("".join(rng.choice("abcdefghijk") for _ in range(rng.randint(2, 7))) for _ in range(n))
     item = text(30)
     rows = {k: text(80) for k in range(200)}
-    rows |= {200 + k: " ".join(w + "$#" for w in text(40).split()) for k in range(60)}
+    rows |= {200 + k: " ".join(w + "$#" for w in text(80).split()) for k in range(60)}
     rows |= {300 + k: rows[k] for k in range(10)}
     rows |= {320 + k: text(20) + " " + item + " " + text(20) for k in range(5)}
     rows |= {340 + k: text(30) + " password = abcdef123456 " + text(30) for k in range(5)}
     rows |= {360: None, 361: "", 362: text(30000)}
     labels = [(k, 0 if 200 <= k < 260 else 1, 0) for k in rows]
     docs = [(k, t, "en", "src", None if t is None else len(t)) for k, t in rows.items()]
-    docs += [(None, text(50), None, None, None)] + docs[5:7]
+    docs += [(None, text(80), None, None, None)] + docs[5:7]
     spark.createDataFrame(docs, COLUMNS).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
