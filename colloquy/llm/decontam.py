@@ -56,22 +56,17 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def simhash(hashes: Column) -> Column:
-    """64-bit SimHash of a plain column of word hashes.  A long adds up two bits
-    at a time (32-bit lanes), so the 64 counters are 32 sums; bit b is set if
-    more than half the words have it."""
-    n = F.size(hashes)
-    out = F.lit(0).cast("long")
-    for k in range(32):
-        total = F.aggregate(hashes, F.lit(0).cast("long"), _count_two_bits(k))
-        low, high = total.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(total, 32)
-        out = out.bitwiseOR(F.when(2 * low > n, F.lit(1 << k)).otherwise(F.lit(0).cast("long")))
-        out = out.bitwiseOR(F.when(2 * high > n, F.lit(_signed(1 << (k + 32)))).otherwise(F.lit(0).cast("long")))
-    return out
-
-
-def _count_two_bits(k: int):
-    return lambda acc, h: acc + F.shiftrightunsigned(h, k).bitwiseAND(F.lit((1 << 32) | 1))
+def simhash(hashes: str) -> Column:
+    """64-bit SimHash of a column of word hashes, by name.  A long adds up two
+    bits at a time (32-bit lanes), so the 64 counters are 32 sums; bit b is set
+    if more than half the words have it."""
+    return F.expr(f"""
+      aggregate(
+        transform(sequence(0, 31), k -> struct(k AS k, aggregate({hashes}, 0L,
+          (acc, h) -> acc + (shiftrightunsigned(h, k) & {(1 << 32) | 1}L)) AS t)),
+        0L,
+        (bits, x) -> bits | if(2 * (x.t & {(1 << 32) - 1}L) > size({hashes}), shiftleft(1L, x.k), 0L)
+                          | if(2 * shiftrightunsigned(x.t, 32) > size({hashes}), shiftleft(1L, x.k + 32), 0L))""")
 
 
 def _signed(x: int) -> int:
@@ -101,19 +96,23 @@ def _weighted(items: DataFrame) -> DataFrame:
     scaled = F.transform("c", lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), (x["w"] / F.col("mean")).alias("w")))
     prints = items.groupBy("item", "size").agg(F.first("hashes").alias("hashes"))
     return (arrays.select("item", "size", scaled.alias("counted"))
-            .join(prints.select(F.col("item").alias("i"), F.col("size").alias("z"), simhash(F.col("hashes")).alias("print")),
+            .join(prints.select(F.col("item").alias("i"), F.col("size").alias("z"), simhash("hashes").alias("print")),
                   (F.col("item").eqNullSafe(F.col("i"))) & (F.col("size") == F.col("z")))
             .select("item", "size", "print", "counted"))
 
 
-def similarity(shingles: Column, counted: Column) -> Column:
-    """Exact weighted similarity of a window's shingles and an item's."""
-    found = F.transform(counted, lambda x: F.struct(
+def counted_in(shingles: Column, counted: Column) -> Column:
+    """An item's shingles with their weight w, count n and count m in a window."""
+    return F.transform(counted, lambda x: F.struct(
         x["w"].alias("w"), x["n"].alias("n"),
         F.size(F.filter(shingles, lambda s: s == x["s"])).alias("m")))
+
+
+def similarity(found: Column, n_shingles: Column) -> Column:
+    """Exact weighted similarity from ``counted_in`` and the window's size."""
     add = lambda f: F.aggregate(found, F.lit(0.0), lambda acc, x: acc + x["w"] * f(x["n"], x["m"]))
     known = F.aggregate(found, F.lit(0), lambda acc, x: acc + x["m"])
-    return add(F.least) / (add(F.greatest) + (F.size(shingles) - known))
+    return add(F.least) / (add(F.greatest) + (n_shingles - known))
 
 
 def leaks_by_text(texts: DataFrame, benchmark: DataFrame, item_id: str = "item_id",
@@ -135,7 +134,7 @@ def leaks_by_text(texts: DataFrame, benchmark: DataFrame, item_id: str = "item_i
     windows = (docs.select("key", "words", F.explode(starts).alias("x"))
                .select("key", "x.size", "x.start", F.slice("words", F.col("x.start") + 1, F.col("x.size")).alias("words")))
     windows = (windows.withColumn("hashes", word_hashes(F.col("words")))
-               .select("key", "size", "start", simhash(F.col("hashes")).alias("print"),
+               .select("key", "size", "start", simhash("hashes").alias("print"),
                        shingles_of(F.col("words")).alias("shingles")))
     masks = blocks(radius)
     block = lambda p: F.posexplode(F.array(*(p.bitwiseAND(F.lit(m)) for m in masks)))
@@ -147,7 +146,9 @@ def leaks_by_text(texts: DataFrame, benchmark: DataFrame, item_id: str = "item_i
     pairs = seen.join(known, (F.col("size") == F.col("z")) & (F.col("k") == F.col("j"))
                       & (F.col("bits_k") == F.col("bits_j")) & (F.bit_count(differ) <= radius)
                       & (first_equal == F.col("k")))
-    scored = pairs.select("key", "item", "size", "start", similarity(F.col("shingles"), F.col("counted")).alias("similarity"))
+    scored = (pairs.select("key", "item", "size", "start", F.size("shingles").alias("n"),
+                           counted_in(F.col("shingles"), F.col("counted")).alias("found"))
+              .select("key", "item", "size", "start", similarity(F.col("found"), F.col("n")).alias("similarity")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "size")).alias("b")
     return (scored.filter(F.col("similarity") >= least).groupBy("key", "item").agg(best)
             .select("key", "item", "b.similarity", (-F.col("b.s")).alias("start"), "b.size"))
