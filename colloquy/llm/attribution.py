@@ -13,7 +13,7 @@ is allocated by an explicit rule:
 Whatever the rule, ``n_inside`` counts tokens wholly inside, ``n_crossing``
 those that reach in or out, and ``share`` is the byte-weighted count; each adds
 up over a text to its tokens.  Characters outside all sections are left out.
-A null or empty text has the sections that its section function gives it.
+A null text counts as empty; an empty text is one empty line.
 """
 
 from __future__ import annotations
@@ -29,16 +29,16 @@ from colloquy.llm.common import ship
 RULES = ("first", "last", "most", "share")
 
 
-def line_sections(text: Column) -> Column:
-    """A section per line, its line break included: array<struct<name,start,end>>
-    (code points).  A null or empty text is one empty line."""
-    text = F.coalesce(text, F.lit(""))
-    lengths = F.transform(F.split(text, "\n", -1), lambda x: F.length(x) + 1)
-    ends = F.aggregate(lengths, F.array(F.lit(0)).cast("array<int>"),
-                       lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    return F.transform(lengths, lambda n, i: F.struct(
-        i.cast("string").alias("name"), F.get(ends, i).alias("start"),
-        F.least(F.get(ends, i + 1), F.length(text)).alias("end")))
+def line_spans(text: str) -> list[tuple[str, int, int]]:
+    """A section per line, its line break included: (number, start, end) in
+    code points.  An empty text is one empty line."""
+    out, at = [], 0
+    lines = text.split("\n")
+    for k, line in enumerate(lines):
+        end = at + len(line) + (k + 1 < len(lines))
+        out.append((str(k), at, end))
+        at = end
+    return out
 
 
 def fields(columns: list[str], glue: str = "\n") -> tuple[Column, Column]:
@@ -95,9 +95,11 @@ def _byte_at(text: str, raw: bytes, points: np.ndarray) -> np.ndarray:
     return np.append(heads, len(raw))[points]
 
 
-def attribute(df: DataFrame, sections: Column, text_col: str = "text", out_col: str = "sections",
+def attribute(df: DataFrame, sections: Column | None = None, text_col: str = "text", out_col: str = "sections",
               rule: str = "first", path: str | None = None) -> DataFrame:
-    """``df`` with ``array<struct<name,start,end,n_tokens,n_inside,n_crossing,share>>``."""
+    """``df`` with ``array<struct<name,start,end,n_tokens,n_inside,n_crossing,share>>``
+    for ``sections``, an ``array<struct<name,start,end>>`` in code points, or
+    for the lines of the text if there is none."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
     path = path or default_path()
@@ -106,35 +108,45 @@ def attribute(df: DataFrame, sections: Column, text_col: str = "text", out_col:
              ("n_tokens", pa.float64() if rule == "share" else pa.int64()), ("n_inside", pa.int64()),
              ("n_crossing", pa.int64()), ("share", pa.float64())]
 
-    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    def in_sections(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        own = [[(s["name"], s["start"], s["end"]) for s in row or ()] for row in spans.to_pylist()]
+        return count(texts, own)
+
+    def in_lines(texts: pa.Array) -> pa.Array:
+        return count(texts, None)
+
+    def count(texts: pa.Array, spans: list | None) -> pa.Array:
         c = codec(path)
         values: list[list] = [[] for _ in kinds]
         offsets = [0]
-        for text, own in zip(texts.to_pylist(), spans.to_pylist()):
-            text, own = text or "", own or []
+        for k, text in enumerate(texts.to_pylist()):
+            text = text or ""
+            own = line_spans(text) if spans is None else spans[k]
             raw = text.encode()
-            edges = _byte_at(text, raw, np.array([[s["start"], s["end"]] for s in own], np.int64).reshape(-1, 2))
+            edges = _byte_at(text, raw, np.array([s[1:] for s in own], np.int64).reshape(-1, 2))
             lengths = c.lengths[c.encode(text)]
             got = allocate(lengths, edges[:, 0], edges[:, 1], rule)
-            for k, column in enumerate(("name", "start", "end")):
-                values[k] += [s[column] for s in own]
-            for k, column in enumerate(got, 3):
-                values[k] += column.tolist()
+            for column in range(3):
+                values[column] += [s[column] for s in own]
+            for column, numbers in enumerate(got, 3):
+                values[column] += numbers.tolist()
             offsets.append(len(values[0]))
         rows = pa.StructArray.from_arrays([pa.array(v, kind) for v, (_, kind) in zip(values, kinds)],
                                           [name for name, _ in kinds])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
 
-    count = "double" if rule == "share" else "bigint"
-    udf = F.arrow_udf(run, f"array<struct<name:string,start:int,end:int,n_tokens:{count},n_inside:bigint,"
-                           "n_crossing:bigint,share:double>>")
-    return df.withColumn(out_col, udf.asNondeterministic()(F.col(text_col), sections))
+    number = "double" if rule == "share" else "bigint"
+    kind = (f"array<struct<name:string,start:int,end:int,n_tokens:{number},n_inside:bigint,"
+            "n_crossing:bigint,share:double>>")
+    if sections is None:
+        return df.withColumn(out_col, F.arrow_udf(in_lines, kind).asNondeterministic()(F.col(text_col)))
+    return df.withColumn(out_col, F.arrow_udf(in_sections, kind).asNondeterministic()(F.col(text_col), sections))
 
 
 def op4_attribution(documents: DataFrame) -> DataFrame:
     """Tokens of every line of every document."""
     docs = documents.select("doc_id", "text")
-    got = attribute(docs, line_sections(F.col("text")))
+    got = attribute(docs)
     return got.select("doc_id", F.explode("sections").alias("s")).select(
         "doc_id", F.col("s.name").cast("int").alias("line"), F.col("s.start").alias("start"),
         F.col("s.end").alias("end"), F.col("s.n_tokens").alias("n_tokens"),
