@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -65,6 +67,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files that only lineage before a checkpoint
+    needed.  It does so when the driver's JVM collects garbage, which a job with
+    little on the driver may put off until its end; call this where no variable
+    holds the old frames any more."""
+    spark.range(1).count()  # Spark's queues hold on to the last query they saw
+    for _ in range(2):  # what the first round lets go of holds more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

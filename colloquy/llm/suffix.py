@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import checkpoint, mix64, ship, text_bytes
+from colloquy.llm.common import checkpoint, mix64, release, ship, text_bytes
 from colloquy.llm.gsaca import suffix_array
 
 LENGTH = 100
@@ -45,52 +45,44 @@ _ODD = 0x9E3779B97F4A7C15
 _OWNED = "array<struct<h:bigint,seg:bigint,lo:int,hi:int>>"
 
 
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last eight bytes of each word of KMER bytes."""
+    at = np.lib.stride_tricks.as_strided(np.frombuffer(text, np.uint8), (len(text) - 7, 8), (1, 1))
+    half = np.ascontiguousarray(at).view(np.uint64).ravel()
+    return half[:-8], half[8:]
+
+
 def owners(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, first start, end of starts) of every run of strings of
-    LENGTH bytes that the same word owns."""
+    """(word, first start, end of starts) of every run of strings of LENGTH
+    bytes that the same word owns, the word as a 64-bit hash."""
     span = LENGTH - KMER + 1
     if len(text) < LENGTH:
         none = np.empty(0, np.int64)
         return none, none, none
-    at = np.lib.stride_tricks.as_strided(np.frombuffer(text, np.uint8), (len(text) - 7, 8), (1, 1))
-    half = np.ascontiguousarray(at).view(np.uint64).ravel()
-    words = mix64(mix64(half[:-8]) + half[8:])
+    first, last = _words(text)
+    rank = first * np.uint64(_ODD) ^ last * np.uint64(0xC2B2AE3D27D4EB4F)
+    rank ^= rank >> np.uint64(29)
+    rank *= np.uint64(0xBF58476D1CE4E5B9)
+    # 32 bits of hash, then the place: the least is the first of equal words
+    rank >>= np.uint64(32)
+    rank <<= np.uint64(32)
+    rank |= np.arange(len(rank), dtype=np.uint64)
     # least word of each window of ``span`` words: block-wise minimums from both ends
-    pad = np.full(-len(words) % span, np.iinfo(np.uint64).max, np.uint64)
-    block = np.concatenate([words, pad]).reshape(-1, span)
+    pad = np.full(-len(rank) % span, np.iinfo(np.uint64).max, np.uint64)
+    block = np.concatenate([rank, pad]).reshape(-1, span)
     ahead = np.minimum.accumulate(block, axis=1).ravel()
     back = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].ravel()
     n = len(text) - LENGTH + 1
     least = np.minimum(back[:n], ahead[span - 1:span - 1 + n])
-    # the first place from each start on that has the least word
     change = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    ends = np.append(change[1:], n)
-    if (ends - change > span).any() or _repeats(words, least, change, ends):
-        return _owners_with_ties(words, least, span)
-    return least[change].view(np.int64), change, ends
+    place = (least[change] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return mix64(mix64(first[place]) + last[place]).view(np.int64), change, np.append(change[1:], n)
 
 
-def _repeats(words, least, change, ends) -> bool:
-    """True if some owner's word occurs twice among the words its run can see."""
-    span = LENGTH - KMER + 1
-    places = np.flatnonzero(np.isin(words, least[change]))
-    same = words[places[1:]] == words[places[:-1]]
-    return bool((same & (np.diff(places) < 2 * span)).any())
-
-
-def _owners_with_ties(words, least, span):
-    """Runs by the place of the owner, the first of equal words."""
-    place = np.empty(len(least), np.int64)
-    where: dict[int, list[int]] = {}
-    for p in np.flatnonzero(np.isin(words, np.unique(least))).tolist():
-        where.setdefault(int(words[p]), []).append(p)
-    spots = {w: np.array(p) for w, p in where.items()}
-    for value in np.unique(least).tolist():
-        own = np.flatnonzero(least == np.uint64(value))
-        p = spots[value]
-        place[own] = p[np.searchsorted(p, own)]
-    change = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return least[change].view(np.int64), change, np.append(change[1:], len(least))
+def _owner_words(texts: pa.Array) -> pa.Array:
+    found = [owners(t)[0] for t in text_bytes(texts)]
+    offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
 
 
 def _segments(texts: pa.Array) -> pa.Array:
@@ -125,77 +117,100 @@ def _rolling(text: bytes) -> np.ndarray:
     return (total[LENGTH:] - total[:-LENGTH]) * inverse[:n - LENGTH + 1]
 
 
-def repeated(group: list[tuple[tuple[int, int], bytes]]) -> list[list[tuple[int, int]]]:
-    """For each ((document, start), segment) of one owner: the runs (from, to)
-    of strings, by their start within the segment, that another one of the
-    group has earlier.  Segments are distinct."""
-    flat = [np.unique(_rolling(s)) for _, s in group]
-    values, counts = np.unique(np.concatenate(flat), return_counts=True)
-    twice = values[counts > 1]
+def _seen_twice(groups: np.ndarray, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, from, to) of the runs of strings, by their start within the
+    segment, that look equal to another string of the same group."""
+    sizes = np.array([len(s) for s in segments], np.int64)
+    begin = np.cumsum(sizes) - sizes
+    strings = sizes - LENGTH + 1
+    owner = np.repeat(np.arange(len(segments)), strings)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings)
+    key = mix64(_rolling(b"".join(segments))[begin[owner] + start]
+                + mix64(groups.astype(np.int64).view(np.uint64))[owner])
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    twice = np.zeros(len(key), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    at = np.flatnonzero(twice)
+    if not len(at):
+        return at, at, at
+    cut = np.flatnonzero((np.diff(at) > 1) | (np.diff(owner[at]) > 0)) + 1
+    low, high = at[np.concatenate([[0], cut])], at[np.concatenate([cut - 1, [len(at) - 1]])]
+    return owner[low], start[low], start[high] + 1
+
+
+def _repeated_in_group(places: list[tuple[int, int]], runs: list[tuple[int, int, bytes]]) -> dict[int, list[tuple[int, int]]]:
+    """Of one owner: the runs (from, to) of strings that it has earlier, by
+    segment.  ``places``: (document, start) of each segment; ``runs``: (segment,
+    from, bytes) of the candidates.  Equal candidates are one part; different
+    parts are sorted into one suffix array, where equal strings are neighbours."""
     parts: dict[bytes, list[tuple[int, int]]] = {}
-    for k, (_, s) in enumerate(group):
-        seen = np.flatnonzero(np.isin(_rolling(s), twice))
-        if len(seen):
-            for run in np.split(seen, np.flatnonzero(np.diff(seen) > 1) + 1):
-                a, b = int(run[0]), int(run[-1])
-                parts.setdefault(s[a:b + LENGTH], []).append((k, a))
-    out: list[set[int]] = [set() for _ in group]
-    position = lambda k, a: (group[k][0][0], group[k][0][1] + a)
+    for k, a, part in runs:
+        parts.setdefault(part, []).append((k, a))
+    position = lambda k, a: (places[k][0], places[k][1] + a)
     distinct = list(parts)
     if len(distinct) == 1:
-        own = sorted(parts[distinct[0]], key=lambda x: position(*x))
+        own, n = sorted(parts[distinct[0]], key=lambda x: position(*x)), len(distinct[0]) - LENGTH + 1
+        out: dict[int, list[tuple[int, int]]] = {}
         for k, a in own[1:]:
-            out[k].update(range(a, a + len(distinct[0]) - LENGTH + 1))
-    elif distinct:
-        # equal strings of different parts are neighbours in one suffix array
-        text = b"\xff".join(distinct)  # no UTF-8 text has this byte
-        begin, owner = 0, {}
-        for p, part in enumerate(distinct):
-            for w in range(len(part) - LENGTH + 1):
-                owner[begin + w] = (p, w)
-            begin += len(part) + 1
-        last, same = None, []
-
-        def settle():
-            if same:
-                places = sorted((position(k, a + w), k, a + w) for p, w in same for k, a in parts[distinct[p]])
-                for _, k, w in places[1:]:
-                    out[k].add(w)
-        for at in suffix_array(text):
-            if at in owner:
-                string = text[at:at + LENGTH]
-                if string != last:
-                    settle()
-                    last, same = string, []
-                same.append(owner[at])
-        settle()
-    runs = []
-    for starts in out:
+            out.setdefault(k, []).append((a, a + n))
+        return out
+    text = b"\xff".join(distinct)  # no UTF-8 text has this byte
+    begin, owner = 0, {}
+    for p, part in enumerate(distinct):
+        for w in range(len(part) - LENGTH + 1):
+            owner[begin + w] = (p, w)
+        begin += len(part) + 1
+    gone: dict[int, set[int]] = {}
+    last, same = None, []
+    for at in [*suffix_array(text), -1]:
+        string = text[at:at + LENGTH] if at in owner else None
+        if at == -1 or (string is not None and string != last):
+            for _, k, w in sorted((position(k, a + w), k, a + w) for p, w in same for k, a in parts[distinct[p]])[1:]:
+                gone.setdefault(k, set()).add(w)
+            last, same = string, []
+        if string is not None:
+            same.append(owner[at])
+    out = {}
+    for k, starts in gone.items():
         s = np.array(sorted(starts), np.int64)
-        cuts = np.split(s, np.flatnonzero(np.diff(s) > 1) + 1) if len(s) else []
-        runs.append([(int(c[0]), int(c[-1]) + 1) for c in cuts])
-    return runs
+        out[k] = [(int(c[0]), int(c[-1]) + 1) for c in np.split(s, np.flatnonzero(np.diff(s) > 1) + 1)]
+    return out
+
+
+_RUNS = pa.schema([("h", pa.int64()), ("seg", pa.int64()),
+                   ("runs", pa.list_(pa.struct([("f", pa.int32()), ("t", pa.int32())])))])
+
+
+def _settle(rows: pa.Table) -> pa.RecordBatch:
+    """Whole groups (h, seg, id, lo, bytes), sorted by h -> (h, seg, runs)."""
+    h, seg = rows["h"].to_numpy(), rows["seg"].to_numpy()
+    segments = rows["bytes"].to_pylist()
+    places = list(zip(rows["id"].to_pylist(), rows["lo"].to_pylist()))
+    who, low, high = _seen_twice(h, segments)
+    found: list[dict] = []
+    for own in np.split(np.arange(len(who)), np.flatnonzero(np.diff(h[who])) + 1) if len(who) else ():
+        runs = [(k, a, segments[k][a:b + LENGTH - 1])
+                for k, a, b in zip(who[own].tolist(), low[own].tolist(), high[own].tolist())]
+        for k, spans in _repeated_in_group(places, runs).items():
+            found.append({"h": int(h[k]), "seg": int(seg[k]), "runs": [{"f": a, "t": b} for a, b in spans]})
+    return pa.RecordBatch.from_pylist(found, _RUNS)
 
 
 def _settle_groups(batches):
-    """Rows (h, seg, id, lo, bytes) sorted by h -> (h, seg, runs)."""
-    def settled(rows):
-        for row, runs in zip(rows, repeated([((r["id"], r["lo"]), r["bytes"]) for r in rows])):
-            yield {"h": row["h"], "seg": row["seg"], "runs": [{"f": a, "t": b} for a, b in runs]}
-
-    schema = pa.schema([("h", pa.int64()), ("seg", pa.int64()),
-                        ("runs", pa.list_(pa.struct([("f", pa.int32()), ("t", pa.int32())])))])
-    rows: list[dict] = []
+    """Batches sorted by h; a batch's last group waits for the next batch."""
+    rest = None
     for batch in batches:
-        done = []
-        for row in batch.to_pylist():
-            if rows and rows[0]["h"] != row["h"]:
-                done += settled(rows)
-                rows = []
-            rows.append(row)
-        yield pa.RecordBatch.from_pylist(done, schema)
-    if rows:
-        yield pa.RecordBatch.from_pylist(list(settled(rows)), schema)
+        t = pa.Table.from_batches([batch])
+        rest = t if rest is None else pa.concat_tables([rest, t])
+        h = rest["h"].to_numpy()
+        whole = int(np.flatnonzero(h == h[-1])[0]) if len(h) else 0
+        if whole:
+            yield _settle(rest.slice(0, whole))
+            rest = rest.slice(whole)
+    if rest is not None and rest.num_rows:
+        yield _settle(rest)
 
 
 def _cut(texts: pa.Array, wanted: pa.Array) -> pa.Array:
@@ -206,10 +221,10 @@ def _cut(texts: pa.Array, wanted: pa.Array) -> pa.Array:
         for s in spans:
             part = text[s["lo"]:s["hi"] + LENGTH - 1]
             if xxhash.xxh64_intdigest(part) == s["seg"] & (1 << 64) - 1:
-                rows.append({"h": s["h"], "seg": s["seg"], "lo": s["lo"], "bytes": part})
+                rows.append({"h": s["h"], "seg": s["seg"], "segments": s["segments"], "lo": s["lo"], "bytes": part})
         out.append(rows)
-    return pa.array(out, pa.list_(pa.struct([("h", pa.int64()), ("seg", pa.int64()), ("lo", pa.int32()),
-                                             ("bytes", pa.binary())])))
+    return pa.array(out, pa.list_(pa.struct([("h", pa.int64()), ("seg", pa.int64()), ("segments", pa.int64()),
+                                             ("lo", pa.int32()), ("bytes", pa.binary())])))
 
 
 def _strings(segments: pa.Array) -> pa.Array:
@@ -227,38 +242,58 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     given as the least long."""
     ship(df.sparkSession)
     docs = df.select(F.coalesce(F.col(id_col), F.lit(_FIRST)).alias("id"), F.col(text_col).alias("text"))
-    cut = F.arrow_udf(_segments, _OWNED)
-    owned = docs.select("id", F.explode(cut("text")).alias("o")).select("id", "o.*")
-    shared = owned.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
-    again = checkpoint(owned.join(shared, "h"))
+    spark = df.sparkSession
+    again = _shared_owners(docs)
+    release(spark)
     first = (again.groupBy("h", "seg").agg(F.min(F.struct("id", "lo")).alias("at"), F.max(F.expr("hi - lo")).alias("n")))
-    per = first.groupBy("h").agg(F.count("*").alias("segments"))
-    mixed = (first.join(per.filter("segments > 1"), "h")
-             .select("h", "seg", "segments", "at.id", "at.lo", (F.col("at.lo") + F.col("n")).alias("hi")))
-    wanted = mixed.groupBy("id").agg(F.collect_list(F.struct("h", "seg", "lo", "hi")).alias("wanted"))
-    fetch = F.arrow_udf(_cut, "array<struct<h:bigint,seg:bigint,lo:int,bytes:binary>>")
-    pieces = (docs.join(wanted, "id").select("id", F.explode(fetch("text", "wanted")).alias("p"))
-              .select("id", "p.*").dropDuplicates(["h", "seg"])
-              .join(per.withColumnRenamed("h", "owner"), F.col("h") == F.col("owner")).drop("owner"))
-    pieces = checkpoint(pieces)
-    small = (pieces.filter(F.col("segments") <= LARGE).repartition("h").sortWithinPartitions("h")
+    pieces = _pieces(docs, first)
+    release(spark)
+    runs = _mixed_runs(pieces)
+    release(spark)
+    known = first.join(runs, ["h", "seg"], "left").select("h", "seg", "at", "runs")
+    here = F.struct("id", "lo")
+    whole = F.array(F.struct(F.lit(0).alias("f"), (F.col("hi") - F.col("lo")).alias("t")))
+    spans = again.join(known, ["h", "seg"]).select(
+        "id", "lo", F.explode(F.when(here != F.col("at"), whole).otherwise(F.col("runs"))).alias("r"))
+    return spans.groupBy("id").agg(F.collect_list(F.struct(
+        (F.col("lo") + F.col("r.f")).alias("f"), (F.col("lo") + F.col("r.t") + LENGTH - 1).alias("t"))).alias("ranges"))
+
+
+def _shared_owners(docs: DataFrame) -> DataFrame:
+    """(id, h, seg, lo, hi) of the runs of strings whose owner occurs again."""
+    word = F.arrow_udf(_owner_words, "array<bigint>")
+    shared = docs.select(F.explode(word("text")).alias("h")).groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
+    owned = docs.select("id", F.explode(F.arrow_udf(_segments, _OWNED)("text")).alias("o")).select("id", "o.*")
+    return checkpoint(owned.join(shared.select("h"), "h"))
+
+
+def _pieces(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """(id, h, seg, segments, lo, bytes) of the first occurrences of segments,
+    of owners with several."""
+    per = first.groupBy("h").agg(F.count("*").alias("segments")).filter("segments > 1")
+    mixed = first.join(per, "h").select("h", "seg", "segments", "at.id", "at.lo", (F.col("at.lo") + F.col("n")).alias("hi"))
+    wanted = mixed.groupBy("id").agg(F.collect_list(F.struct("h", "seg", "segments", "lo", "hi")).alias("wanted"))
+    fetch = F.arrow_udf(_cut, "array<struct<h:bigint,seg:bigint,segments:bigint,lo:int,bytes:binary>>")
+    pieces = checkpoint(docs.join(wanted, "id").select("id", F.explode(fetch("text", "wanted")).alias("p")).select("id", "p.*"))
+    # rows that share an id: only a text that has the segment gives it, and it counts once
+    unique = docs.groupBy("id").count().filter("count > 1").isEmpty()
+    return pieces if unique else pieces.dropDuplicates(["h", "seg"])
+
+
+def _mixed_runs(once: DataFrame) -> DataFrame:
+    """(h, seg, runs) of the segments whose strings partly occur earlier in
+    another segment."""
+    small = (once.filter(F.col("segments") <= LARGE).repartition("h").sortWithinPartitions("h")
              .select("h", "seg", "id", "lo", "bytes")
              .mapInArrow(_settle_groups, "h long, seg long, runs array<struct<f:int,t:int>>"))
-    strings = (pieces.filter(F.col("segments") > LARGE)
+    strings = (once.filter(F.col("segments") > LARGE)
                .select("h", "seg", "id", "lo",
                        F.posexplode(F.arrow_udf(_strings, "array<struct<x:bigint,y:bigint>>")("bytes")).alias("w", "s"))
                .select("h", "seg", "w", "s.x", "s.y", F.struct("id", (F.col("lo") + F.col("w")).alias("p")).alias("at")))
     least = strings.groupBy("h", "x", "y").agg(F.min("at").alias("least"))
     large = (strings.join(least, ["h", "x", "y"]).filter("at <> least")
              .groupBy("h", "seg").agg(F.collect_list(F.struct(F.col("w").alias("f"), (F.col("w") + 1).alias("t"))).alias("runs")))
-    runs = small.filter(F.size("runs") > 0).unionByName(large)
-    known = first.join(runs, ["h", "seg"], "left").select("h", "seg", "at", "runs")
-    here = F.struct("id", "lo")
-    whole = F.array(F.struct(F.lit(0).alias("f"), (F.col("hi") - F.col("lo")).alias("t")))
-    spans = again.join(known, ["h", "seg"]).select(
-        "id", "lo", F.explode(F.when(here != F.col("at"), whole).otherwise(F.col("runs"))).alias("r"))
-    return spans.groupBy("id").agg(F.collect_list(F.struct(
-        (F.col("lo") + F.col("r.f")).alias("f"), (F.col("lo") + F.col("r.t") + LENGTH - 1).alias("t"))).alias("ranges"))
+    return checkpoint(small.unionByName(large))
 
 
 def _remove(texts: pa.Array, ranges: pa.Array) -> pa.Array:
@@ -279,9 +314,14 @@ def _remove(texts: pa.Array, ranges: pa.Array) -> pa.Array:
                                       ["kept", "n_bytes", "n_removed", "n_spans"])
 
 
+def _checked_ranges(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return checkpoint(repeated_ranges(df, id_col, text_col))
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "deduped") -> DataFrame:
     """(id, struct<kept: binary, n_bytes, n_removed, n_spans>) of every row."""
-    ranges = repeated_ranges(df, id_col, text_col).select(F.col("id").alias("owner"), "ranges")
+    ranges = _checked_ranges(df, id_col, text_col).select(F.col("id").alias("owner"), "ranges")
+    release(df.sparkSession)
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     run = F.arrow_udf(_remove, "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint>")
     joined = docs.join(ranges, F.coalesce("id", F.lit(_FIRST)) == F.col("owner"), "left")
