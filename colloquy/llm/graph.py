@@ -8,28 +8,40 @@ from pyspark.sql import functions as F
 from colloquy.llm.common import checkpoint
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of ``edges(a, b)`` (longs), component
-    being the smallest node reachable.
-
-    Each round takes the smallest label among the neighbours and then the label
-    of the label, so the distance covered doubles; a round's labels are cut off
-    by a reliable checkpoint.  All steps are joins and map-side combined
-    minimums, so one hub with a third of all edges is no problem."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = checkpoint(both.filter("a <> b").distinct())
-    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("l")).withColumnRenamed("a", "v")
-    labels = checkpoint(labels)
-    for _ in range(max_rounds):
-        near = (both.join(labels.select(F.col("v").alias("b"), F.col("l")), "b")
-                .groupBy("a").agg(F.min("l").alias("m")))
-        step = (labels.join(near, labels["v"] == near["a"])
-                .select("v", F.col("l").alias("was"), F.least("l", "m").alias("l")))
-        jump = labels.select(F.col("v").alias("l"), F.col("l").alias("ll"))
-        step = (step.join(jump, "l", "left")
-                .select("v", "was", F.least(F.col("l"), F.coalesce("ll", "l")).alias("l")))
-        step = checkpoint(step)
-        labels = step.select("v", "l")
-        if step.filter("was <> l").isEmpty():
-            return labels.select(F.col("v").alias("node"), F.col("l").alias("component"))
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+def _at_roots(parent: DataFrame) -> DataFrame:
+    """Pointers (v, p) followed to their ends; each step doubles the distance."""
+    while True:
+        up = parent.select(F.col("v").alias("p"), F.col("p").alias("pp"))
+        step = checkpoint(parent.join(up, "p", "left").select("v", F.col("p").alias("was"), F.coalesce("pp", "p").alias("p")))
+        parent = step.select("v", "p")
+        if step.filter("was <> p").isEmpty():
+            return parent
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``edges(a, b)`` (longs) that has
+    another neighbour than itself, component being the smallest node reachable.
+
+    Each round points every node at its smallest neighbour (if smaller),
+    follows the pointers to their ends and contracts the edges to these, which
+    at least halves the nodes; stars are done after one round.  All steps are
+    joins and map-side combined minimums, so one hub with a third of all edges
+    is no problem; every round is cut off by reliable checkpoints."""
+    pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    edges = checkpoint(edges.select(*pair("a", "b")).filter("a <> b").distinct())
+    found = None
+    while True:
+        both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a"))
+        near = both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("p"))
+        roots = _at_roots(checkpoint(near))
+        if found is None:
+            found = roots
+        else:
+            found = checkpoint(found.join(roots.select(F.col("v").alias("p"), F.col("p").alias("r")), "p", "left")
+                               .select("v", F.coalesce("r", "p").alias("p")))
+        edges = checkpoint(
+            edges.join(roots.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
+            .join(roots.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
+            .select(*pair("pa", "pb")).filter("a <> b").distinct())
+        if edges.isEmpty():
+            return found.select(F.col("v").alias("node"), F.col("p").alias("component"))

@@ -8,9 +8,10 @@ pairs together, and every link is confirmed by the exact Jaccard similarity of
 the full sets.
 
 Scale.  Documents with equal sets are one class (found by a 128-bit hash), so
-copies never meet.  Within a band bucket every class is first compared with the
-bucket's smallest class only, which is linear and joins large groups; only
-pairs whose components still differ are then compared, in blocks of at most
+copies never meet.  Every class is first compared with one other only, the smallest
+class of the buckets it is in that it shares most bands with, which is linear
+and joins large groups; only pairs of a bucket whose components still differ
+are then compared, in blocks of at most
 about BLOCK x BLOCK inside a task, so no bucket is one task's work and nothing
 is capped.  A candidate pair is dropped before the exact check only if its
 signatures agree in fewer coordinates than LEAST_AGREEING, 5 standard
@@ -140,8 +141,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _within_blocks(batches):
     """Rows sorted by block key -> candidate pairs of one block whose
-    components differ.  A block holds about 2 * BLOCK rows at most; its sides
-    (0, 1) are compared with each other, or side 0 with itself on the diagonal."""
+    components differ.  A block's sides (0, 1) are compared with each other, or
+    side 0 with itself if there is no other."""
     def pairs(t: pa.Table):
         rep, lab, n = (t[c].to_numpy() for c in ("rep", "lab", "n"))
         low = np.frombuffer(b"".join(t["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
@@ -179,6 +180,32 @@ def _within_blocks(batches):
                                              ["a", "b"])
 
 
+def _tiles(members: DataFrame) -> DataFrame:
+    """(block, rep, lab, side): the blocks in which the rows (key, rep, lab) of a
+    bucket meet so that every two of different components do, once or more.
+
+    The rows of a bucket's largest component are dealt to blocks, one each; the
+    others go to all of these blocks, and to blocks among themselves.  Where one
+    component fills a bucket but for a few rows, that is a copy a row."""
+    counts = members.groupBy("key", "lab").agg(F.count("*").alias("c"))
+    main = counts.groupBy("key").agg(F.max(F.struct("c", "lab")).alias("m"), F.sum("c").alias("all"))
+    rows = members.select("key", "rep", "lab").join(
+        main.select("key", F.col("m.lab").alias("main"), F.col("m.c").alias("large"),
+                    (F.col("all") - F.col("m.c")).alias("few")), "key")
+    blocks = lambda size: F.greatest(F.ceil(size / BLOCK), F.lit(1)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    inside = F.col("lab") == F.col("main")
+    tile = lambda kind, i, j, side: F.struct(F.xxhash64("key", F.lit(kind), i, j).alias("block"),
+                                             side.cast("int").alias("side"))
+    dealt = F.array(tile("main", place(blocks(F.col("large"))), F.lit(0), F.lit(0)))
+    to_all = F.transform(F.sequence(F.lit(0), blocks(F.col("large")) - 1), lambda k: tile("main", k, F.lit(0), F.lit(1)))
+    mine = place(blocks(F.col("few")))
+    among = F.transform(F.sequence(F.lit(0), blocks(F.col("few")) - 1),
+                        lambda k: tile("few", F.least(mine, k), F.greatest(mine, k), mine > k))
+    return (rows.select("rep", "lab", F.explode(F.when(inside, dealt).otherwise(F.concat(to_all, among))).alias("t"))
+            .select("t.block", "rep", "lab", "t.side"))
+
+
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, component): one row per row of ``df``; component is the smallest
     id that links reach, the row's own where nothing is linked."""
@@ -191,9 +218,9 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                             F.first("low").alias("low")))
     reps = checkpoint(reps.select("rep", "n", "keys", "low"))
     members = reps.select("rep", F.explode("keys").alias("key"))
-    buckets = (members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"),
-                                          F.count("*").alias("size")).filter("pivot <> last"))
-    shared = checkpoint(members.join(buckets, "key").select("key", "rep", "pivot", "size"))
+    buckets = (members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"))
+               .filter("pivot <> last"))
+    shared = checkpoint(members.join(buckets, "key").select("key", "rep", "pivot"))
     texts = (df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
              .join(shared.select("rep").distinct(), "rep", "left_semi"))
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}"))
@@ -208,20 +235,23 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = connected_components(links)
 
     labelled = (shared.join(found, F.col("rep") == F.col("node"), "left")
-                .select("key", "rep", "size", F.coalesce("component", "rep").alias("lab")))
+                .select("key", "rep", F.coalesce("component", "rep").alias("lab")))
     open_keys = (labelled.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi"))
                  .filter("lo <> hi").select("key"))
-    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
-    tiles = (labelled.join(open_keys, "key").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-             .select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"),
-                     "rep", "lab", (F.col("mine") > F.col("other")).cast("int").alias("side"))
-             .join(reps.select("rep", "n", "low"), "rep"))
+    tiles = _tiles(labelled.join(open_keys, "key")).join(reps.select("rep", "n", "low"), "rep")
     second = (tiles.repartition("block").sortWithinPartitions("block")
               .mapInArrow(_within_blocks, "a long, b long").distinct())
     more = checkpoint(_confirmed(second, texts))
-    found = connected_components(links.union(more))
+    # the rest of the links join components as wholes
+    own = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    joined = connected_components(
+        more.join(own("a"), "a", "left").join(own("b"), "b", "left")
+        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    inner = classes.select("rep").join(found, F.col("rep") == F.col("node"), "left").select(
+        "rep", F.coalesce("component", "rep").alias("c"))
+    outer = joined.select(F.col("node").alias("c"), F.col("component").alias("cc"))
+    found = inner.join(outer, "c", "left").select(
+        F.col("rep").alias("node"), F.coalesce("cc", "c").alias("component"))
 
     known = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("component", "rep").alias("component"))
