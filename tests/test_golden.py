@@ -134,14 +134,14 @@ def test_write_txt_and_json_side_by_side(spark, tmp_path):
     from colloquy.sources.sinks import render_txt
     turns = parse_answers(answers).withColumnRenamed("block", "pos")
     write_json_and_txt(render_txt(answers), render_json(turns), str(tmp_path / "out"))
-    txt = spark.read.parquet(str(tmp_path / "out" / "text")).first()
+    from colloquy.sources.decoders import read_exported
+    txt = read_exported(spark, str(tmp_path / "out" / "text")).first()
     assert txt.value == PRED and txt.run_name == "run"
-    js = spark.read.parquet(str(tmp_path / "out" / "json")).first().value
+    js = read_exported(spark, str(tmp_path / "out" / "json")).first().value
     import json
     assert [t["speaker"] for t in json.loads(js)] == ["Student", "Patient", "Patient", "Patient"]
     from colloquy.sources.sinks import export_files
     export_files(render_txt(answers), str(tmp_path / "files"))
-    from colloquy.sources.decoders import read_exported
     back = read_exported(spark, str(tmp_path / "files")).first()
     assert (back.run_name, back.id, back.value) == ("run", "01", PRED)
 
