@@ -33,7 +33,8 @@ def ship(spark: SparkSession) -> None:
     lowers the session's Arrow batches to BATCH_BYTES: a batch of long texts and
     its results is held several times over in a worker."""
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(setting).rstrip("b")) > BATCH_BYTES:
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if size(spark.conf.get(setting)) > BATCH_BYTES:
         spark.conf.set(setting, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
