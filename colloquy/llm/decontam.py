@@ -20,8 +20,10 @@ boilerplate common to many items counts less than an item's own words.
 
 Words are runs without ASCII white space, A-Z lower-cased.  Items under five
 words have no shingle and match nothing; null texts have no words; a window
-longer than its document is the whole document.  Results are one row per
-document and item; repeated rows of a document count once.
+longer than its document is the whole document.  An item is an id (null
+included) with its words: repeated rows of a benchmark count once, different
+words under one id are items of their own.  Results are one row per document and
+item; repeated rows of a document count once.
 """
 
 from __future__ import annotations
@@ -80,25 +82,22 @@ def blocks(radius: int = RADIUS) -> list[int]:
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, size, hashes, shingles) of the items that have a shingle."""
+    """(ik, item, size, hashes, shingles) of the distinct items that have a
+    shingle; ``ik``, never null, stands for the id and the words."""
     i = benchmark.select(F.col(id_col).alias("item"), words_of(F.col(text_col)).alias("words"))
-    return i.select("item", F.size("words").alias("size"), word_hashes(F.col("words")).alias("hashes"),
-                    shingles_of(F.col("words")).alias("shingles")).filter(F.size("shingles") > 0)
+    named = F.concat(F.concat_ws(" ", "words"), F.coalesce(F.concat(F.lit("\n="), F.col("item").cast("string")), F.lit("\n")))
+    return (i.select(F.unhex(F.md5(named)).alias("ik"), "item", F.size("words").alias("size"),
+                     word_hashes(F.col("words")).alias("hashes"), shingles_of(F.col("words")).alias("shingles"))
+            .filter(F.size("shingles") > 0).dropDuplicates(["ik"]))
 
 
 def _weighted(items: DataFrame) -> DataFrame:
-    """(item, size, print, counted): counted has a struct(s, n, w) per distinct shingle."""
-    rows = items.select("item", "size", F.explode("shingles").alias("s"))
-    per = rows.groupBy("item", "size", "s").agg(F.count("*").alias("n"))
-    spread = per.groupBy("s").agg((1 / F.count_distinct("item", "size")).alias("w"))
-    per = per.join(spread, "s")
-    arrays = per.groupBy("item", "size").agg(F.collect_list(F.struct("s", "n", "w")).alias("c"), F.avg("w").alias("mean"))
-    scaled = F.transform("c", lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), (x["w"] / F.col("mean")).alias("w")))
-    prints = items.groupBy("item", "size").agg(F.first("hashes").alias("hashes"))
-    return (arrays.select("item", "size", scaled.alias("counted"))
-            .join(prints.select(F.col("item").alias("i"), F.col("size").alias("z"), simhash("hashes").alias("print")),
-                  (F.col("item").eqNullSafe(F.col("i"))) & (F.col("size") == F.col("z")))
-            .select("item", "size", "print", "counted"))
+    """(ik, counted): counted has a struct(s, n, w) per distinct shingle."""
+    per = items.select("ik", F.explode("shingles").alias("s")).groupBy("ik", "s").agg(F.count("*").alias("n"))
+    per = per.join(per.groupBy("s").agg((1 / F.count("*")).alias("w")), "s")
+    arrays = per.groupBy("ik").agg(F.collect_list(F.struct("s", "n", "w")).alias("c"), F.avg("w").alias("mean"))
+    return arrays.select("ik", F.transform("c", lambda x: F.struct(
+        x["s"].alias("s"), x["n"].alias("n"), (x["w"] / F.col("mean")).alias("w"))).alias("counted"))
 
 
 def counted_in(shingles: Column, counted: Column) -> Column:
@@ -138,19 +137,19 @@ def leaks_by_text(texts: DataFrame, benchmark: DataFrame, item_id: str = "item_i
                        shingles_of(F.col("words")).alias("shingles")))
     masks = blocks(radius)
     block = lambda p: F.posexplode(F.array(*(p.bitwiseAND(F.lit(m)) for m in masks)))
-    known = _weighted(items).select("item", F.col("size").alias("z"), F.col("print").alias("q"), "counted",
-                                    block(F.col("print")).alias("j", "bits_j"))
+    known = items.join(_weighted(items), "ik").select("ik", "item", F.col("size").alias("z"), simhash("hashes").alias("q"), "counted")
+    known = known.select("*", block(F.col("q")).alias("j", "bits_j"))
     seen = windows.select("*", block(F.col("print")).alias("k", "bits_k"))
     differ = F.col("print").bitwiseXOR(F.col("q"))
     first_equal = F.coalesce(*(F.when(differ.bitwiseAND(F.lit(m)) == 0, n) for n, m in enumerate(masks)))
     pairs = seen.join(known, (F.col("size") == F.col("z")) & (F.col("k") == F.col("j"))
                       & (F.col("bits_k") == F.col("bits_j")) & (F.bit_count(differ) <= radius)
                       & (first_equal == F.col("k")))
-    scored = (pairs.select("key", "item", "size", "start", F.size("shingles").alias("n"),
+    scored = (pairs.select("key", "ik", "item", "size", "start", F.size("shingles").alias("n"),
                            counted_in(F.col("shingles"), F.col("counted")).alias("found"))
-              .select("key", "item", "size", "start", similarity(F.col("found"), F.col("n")).alias("similarity")))
+              .select("key", "ik", "item", "size", "start", similarity(F.col("found"), F.col("n")).alias("similarity")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "size")).alias("b")
-    return (scored.filter(F.col("similarity") >= least).groupBy("key", "item").agg(best)
+    return (scored.filter(F.col("similarity") >= least).groupBy("key", "ik").agg(best, F.first("item").alias("item"))
             .select("key", "item", "b.similarity", (-F.col("b.s")).alias("start"), "b.size"))
 
 

@@ -156,6 +156,20 @@ def test_op9_against_all_windows(spark):
     assert decontam.op9_decontamination(docs, bench.limit(0)).count() == 0
 
 
+def test_op9_benchmark_with_repeats_shared_and_null_ids(spark):
+    rng = random.Random(8)
+    some = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    repeated, one, two, three, four = (some(30) for _ in range(5))
+    bench = spark.createDataFrame([("r", repeated), ("r", repeated), ("r", repeated + " "), ("shared", one), ("shared", two),
+                                   (None, three), (None, four), (None, four), (None, None)], "item_id string, text string")
+    texts = [f"{some(20)} {x} {some(20)}" for x in (repeated, one, two, three, four, f"{one} {some(9)} {two}")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id or "", r.similarity, r.start_word, r.n_words)
+                 for r in decontam.op9_decontamination(docs, bench).collect())
+    assert got == [(0, "r", 1.0, 20, 30), (1, "shared", 1.0, 20, 30), (2, "shared", 1.0, 20, 30), (3, "", 1.0, 20, 30),
+                   (4, "", 1.0, 20, 30), (5, "shared", 1.0, 20, 30), (5, "shared", 1.0, 59, 30)]
+
+
 def test_decontamination_plan_has_no_python(spark):
     plan = decontam.op9_decontamination(spark.read.parquet(f"{SMALL_SF}/documents.parquet"),
                                         spark.read.parquet(f"{SMALL_SF}/benchmark.parquet"))
