@@ -8,10 +8,10 @@ block number, block bits) loses none.  Candidates within the radius are then
 verified by the exact weighted similarity of their 5-word shingles, and count
 as leaks from LEAST on.
 
-Windows.  A window that shares no 5-word shingle with an item has similarity 0
-with it, so only windows that align a shingle of the document with the same
-shingle of an item of that size are fingerprinted; the shingle join against the
-(small) benchmark finds them without moving any text.
+Windows.  Of all item-sized windows, at any offset against the item, those are
+fingerprinted that can reach LEAST by an exact upper bound of the similarity
+(``_starts``), taken from the shingles that document and item share; the shingle
+join against the (small) benchmark finds these without moving any text.
 
 Similarity: sum of w * min over sum of w * max of the shingle counts; w is 1 for
 a shingle that the item lacks, else falls with the number of items that have it
@@ -28,7 +28,7 @@ item; repeated rows of a document count once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.llm.common import checkpoint, fresh
@@ -114,39 +114,70 @@ def similarity(found: Column, n_shingles: Column) -> Column:
     return add(F.least) / (add(F.greatest) + (n_shingles - known))
 
 
+def _starts(texts: DataFrame, counted: DataFrame, least: float) -> DataFrame:
+    """(key, size, start), distinct: the windows that can be ``least`` similar to
+    an item of their size.  With A the weight of a window's shingles that the item
+    has, c their number, N that of all its shingles and T the item's weight, the
+    similarity is at most A / (T + N - c).  So is that of all windows with A / T,
+    and a window without the item's heaviest shingles (``lead``: the others weigh
+    less than least * T) is below ``least`` as well."""
+    enough = F.lit(least * (1 - 1e-9))  # sums of weights in another order differ in the last bits
+    each = counted.select("ik", "size", F.explode("counted").alias("x")).select("ik", "size", "x.s", "x.w", (F.col("x.w") * F.col("x.n")).alias("v"))
+    rest = Window.partitionBy("ik").orderBy("w", "s").rowsBetween(Window.unboundedPreceding, 0)
+    index = each.select("*", F.sum("v").over(Window.partitionBy("ik")).alias("total"), F.sum("v").over(rest).alias("rest"))
+    index = checkpoint(index.withColumn("lead", F.col("rest") >= enough * F.col("total")).drop("v", "rest"))
+    seen = (texts.select("key", words_of(F.col("text")).alias("words"))
+            .select("key", F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words"))).alias("pos", "s"))
+            .join(index.select("s").distinct(), "s", "left_semi").distinct())
+    seen = checkpoint(seen)
+    led = seen.select("key", "s").join(index.filter("lead").select("s", "ik"), "s").select("key", "ik").distinct()
+    hits = seen.join(led, "key").join(index.drop("lead"), ["ik", "s"])
+    # a window that starts in block b of size words lies in the blocks b and b + 1
+    b = F.floor(F.col("pos") / F.col("size")).cast("int")
+    near = (hits.select("key", "ik", "size", "total", "n", "pos", "w", F.explode(F.array(b - 1, b)).alias("b")).filter("b >= 0")
+            .groupBy("key", "ik", "b").agg(
+                F.first("size").alias("size"), F.first("total").alias("total"), F.first("n").alias("n"),
+                F.min("pos").alias("low"), F.max("pos").alias("high"), F.sum("w").alias("all"),
+                F.collect_list(F.struct("pos", "w")).alias("hits"))
+            .filter(F.col("all") >= enough * F.col("total")))
+    low = F.greatest(F.col("b") * F.col("size"), F.col("low") - F.col("size") + WIDTH, F.lit(0))
+    high = F.least((F.col("b") + 1) * F.col("size") - 1, F.col("high"), F.greatest(F.col("n") - F.col("size"), F.lit(0)))
+    each = near.select("key", "size", "total", "n", "hits", low.alias("low"), high.alias("high")).filter("low <= high")
+    each = each.select("key", "size", "total", "n", "hits", F.explode(F.sequence("low", "high")).alias("start"))
+    inside = F.filter("hits", lambda h: (h["pos"] >= F.col("start")) & (h["pos"] <= F.col("start") + F.col("size") - WIDTH))
+    each = each.select("key", "size", "total", "n", "start", inside.alias("hits"))
+    weight = F.aggregate("hits", F.lit(0.0), lambda acc, h: acc + h["w"])
+    least_sum = F.col("total") + F.least(F.col("size"), F.col("n")) - WIDTH + 1 - F.size("hits")
+    return each.filter(weight >= enough * least_sum).select("key", "size", "start").distinct()
+
+
 def leaks_by_text(texts: DataFrame, benchmark: DataFrame, item_id: str = "item_id",
                   item_text: str = "text", least: float = LEAST, radius: int = RADIUS) -> DataFrame:
     """(key, item, similarity, start, size) of ``texts(key, text)``: the best
     window of each text and item, ``start`` and ``size`` in words."""
     items = checkpoint(_items(benchmark, item_id, item_text))
-    index = items.select("size", F.posexplode("shingles").alias("at", "s")).distinct()
-    hits = (texts.select("key", words_of(F.col("text")).alias("words"))
-            .select("key", F.posexplode(shingles_of(F.col("words"))).alias("pos", "s"))
-            .join(index, "s")
-            .select("key", "size", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start")).distinct())
-    wanted = checkpoint(hits.groupBy("key").agg(F.collect_list(F.struct("size", "start")).alias("wanted")))
+    counted = checkpoint(items.join(_weighted(items), "ik").select("ik", "item", "size", simhash("hashes").alias("q"), "counted"))
+    wanted = checkpoint(_starts(texts, counted, least).groupBy("key").agg(F.collect_list(F.struct("size", "start")).alias("wanted")))
     docs = (texts.join(wanted, "key").dropDuplicates(["key"])
-            .select("key", words_of(F.col("text")).alias("words"), "wanted"))
-    last = lambda size: F.greatest(F.size("words") - size, F.lit(0))
-    starts = F.array_distinct(F.transform("wanted", lambda x: F.struct(
-        x["size"].alias("size"), F.least(x["start"], last(x["size"])).alias("start"))))
-    windows = (docs.select("key", "words", F.explode(starts).alias("x"))
-               .select("key", "x.size", "x.start", F.slice("words", F.col("x.start") + 1, F.col("x.size")).alias("words")))
-    windows = (windows.withColumn("hashes", word_hashes(F.col("words")))
-               .select("key", "size", "start", simhash("hashes").alias("print"),
-                       shingles_of(F.col("words")).alias("shingles")))
+            .select("key", words_of(F.col("text")).alias("words"), "wanted")
+            .select("key", word_hashes(F.col("words")).alias("hashes"), shingles_of(F.col("words")).alias("shingles"),
+                    F.explode("wanted").alias("x")))
+    windows = checkpoint(
+        docs.select("key", "x.size", "x.start", F.slice("hashes", F.col("x.start") + 1, F.col("x.size")).alias("hashes"),
+                    F.slice("shingles", F.col("x.start") + 1, F.col("x.size") - WIDTH + 1).alias("shingles"))
+        .select("key", "size", "start", simhash("hashes").alias("print"), "shingles"))
     masks = blocks(radius)
     block = lambda p: F.posexplode(F.array(*(p.bitwiseAND(F.lit(m)) for m in masks)))
-    known = items.join(_weighted(items), "ik").select("ik", "item", F.col("size").alias("z"), simhash("hashes").alias("q"), "counted")
-    known = known.select("*", block(F.col("q")).alias("j", "bits_j"))
-    seen = windows.select("*", block(F.col("print")).alias("k", "bits_k"))
+    known = counted.select("ik", F.col("size").alias("z"), "q", block(F.col("q")).alias("j", "bits_j"))
+    seen = windows.select("key", "size", "start", "print", block(F.col("print")).alias("k", "bits_k"))
     differ = F.col("print").bitwiseXOR(F.col("q"))
     first_equal = F.coalesce(*(F.when(differ.bitwiseAND(F.lit(m)) == 0, n) for n, m in enumerate(masks)))
     pairs = seen.join(known, (F.col("size") == F.col("z")) & (F.col("k") == F.col("j"))
                       & (F.col("bits_k") == F.col("bits_j")) & (F.bit_count(differ) <= radius)
-                      & (first_equal == F.col("k")))
-    scored = (pairs.select("key", "ik", "item", "size", "start", F.size("shingles").alias("n"),
-                           counted_in(F.col("shingles"), F.col("counted")).alias("found"))
+                      & (first_equal == F.col("k"))).select("key", "size", "start", "ik")
+    scored = (pairs.join(windows.drop("print"), ["key", "size", "start"]).join(counted.select("ik", "item", "counted"), "ik")
+              .select("key", "ik", "item", "size", "start", F.size("shingles").alias("n"),
+                      counted_in(F.col("shingles"), F.col("counted")).alias("found"))
               .select("key", "ik", "item", "size", "start", similarity(F.col("found"), F.col("n")).alias("similarity")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "size")).alias("b")
     return (scored.filter(F.col("similarity") >= least).groupBy("key", "ik").agg(best, F.first("item").alias("item"))

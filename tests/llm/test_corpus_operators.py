@@ -156,6 +156,27 @@ def test_op9_against_all_windows(spark):
     assert decontam.op9_decontamination(docs, bench.limit(0)).count() == 0
 
 
+def test_op9_swapped_halves_against_all_windows(spark):
+    rng = random.Random(6)
+    some = lambda n: [f"w{rng.randrange(4000)}" for _ in range(n)]
+    items = [some(50), some(51), some(30), some(40)]
+    items[3][20:] = items[3][:20]  # shingles that an item has twice
+    texts = [some(40) + items[0][25:] + items[0][:25] + some(40), items[1][17:34] + items[1][34:] + items[1][:17] + some(30),
+             some(200) + items[2][15:] + items[2][:15], items[3][:20] * 5 + some(7), items[0][:44], items[0][25:] + items[0][:20],
+             items[0] * 3 + some(9) + items[2], some(60) + items[0][:20] + some(9) + items[0][20:]]
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], DOC)
+    want = {}
+    for d, w in enumerate(texts):
+        for k, item in enumerate(items):
+            best = max(weighted(w[s:s + len(item)], item, items) for s in range(max(1, len(w) - len(item) + 1)))
+            if best >= 0.75:
+                want[d, k] = round(best, 6)
+    assert want[0, 0] == round(42 / 50, 6) and len(want) >= 6
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.op9_decontamination(docs, bench).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_op9_benchmark_with_repeats_shared_and_null_ids(spark):
     rng = random.Random(8)
     some = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
