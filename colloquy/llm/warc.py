@@ -73,16 +73,16 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     inside = Window.partitionBy("url_key", "part").orderBy("at", "record_id").rowsBetween(
         Window.unboundedPreceding, -1)
     carried = spread.withColumn("near", F.last(full, ignorenulls=True).over(inside))
+    # maps have no order, so the latest response is taken with its headers as entries
     tails = (spread.filter(full.isNotNull()).groupBy("url_key", "part")
-             .agg(F.max(F.struct("at", "record_id")).alias("t"))
-             .select("url_key", "part", F.col("t.record_id").alias("tail")))
+             .agg(F.max(F.struct("at", "record_id", F.map_entries("headers").alias("entries"), "digest")).alias("t"))
+             .select("url_key", "part", F.struct(F.col("t.record_id").alias("id"),
+                                                 F.map_from_entries("t.entries").alias("headers"), "t.digest").alias("tail")))
     # a URL has a row per partition here, so the window is over few rows
     parts = spread.select("url_key", "part").distinct().join(tails, ["url_key", "part"], "left")
     across = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = (parts.select("url_key", "part", F.last("tail", ignorenulls=True).over(across).alias("tail"))
-              .filter("tail IS NOT NULL"))
-    sources = spread.filter(full.isNotNull()).select(F.col("record_id").alias("tail"), full.alias("far"))
-    before = before.join(sources, "tail").select(F.col("url_key").alias("k"), F.col("part").alias("p"), "far")
+    before = (parts.select(F.col("url_key").alias("k"), F.col("part").alias("p"),
+                           F.last("tail", ignorenulls=True).over(across).alias("far")).filter("far IS NOT NULL"))
     joined = carried.join(before, (F.col("url_key") == F.col("k")) & (F.col("part") == F.col("p")), "left")
     source = F.coalesce("near", "far")
     usable = F.col("url_key").isNotNull() & F.col("at").isNotNull()

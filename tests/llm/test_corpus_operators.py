@@ -292,6 +292,28 @@ def test_resolve_revisits(spark):
     assert all(r.source_id == r.record_id // 50 * 50 for r in out.collect() if r.kind == "revisit")
 
 
+def test_resolve_revisits_across_partitions_with_repeated_and_null_ids(spark):
+    # one URL over several range partitions; every other response occurs twice, the others have no id
+    rows = []
+    for k in range(2000):
+        if k % 50:
+            rows.append((k, "revisit", "http://hot/", k, {}, f"s{k // 50}"))
+        else:
+            rows += [(None if k % 100 else k, "response", "http://hot/", k, {"x-at": str(k)}, f"s{k // 50}")] * (1 if k % 100 else 2)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        out = warc.resolve_revisits(spark.createDataFrame(
+            rows, "record_id long, kind string, url string, at long, headers map<string,string>, digest string")).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    assert len(out) == len(rows)
+    for r in out:
+        if r.kind == "revisit":
+            at = r.record_id // 50 * 50
+            assert (r.status, r.source_id, r.headers) == ("resolved", None if at % 100 else at, {"x-at": str(at)})
+
+
 def test_parse_headers(spark):
     block = "HTTP/1.1 200 OK\r\nETag: a:b\r\nX: 1\nx:2\r\n: no\r\nbare\r\n"
     df = spark.createDataFrame([(block,), (None,)], "b string")
