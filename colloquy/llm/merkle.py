@@ -247,10 +247,10 @@ def manifest(docs: DataFrame, fields: list[str], id_col: str = "doc_id", group_c
     numbered = subroots.withColumn("j", F.row_number().over(W.orderBy("g")).cast("long") - 1)
     count = subroots.count()
     top = _Tree(checkpoint(numbered.select(F.lit("").alias("g"), F.lit(count).cast("long").alias("n"), "j", "h")))
-    root = top.roots().select(F.col("h").alias("root"))
+    root = top.roots().first()  # one digest
     groups = (numbered.select("g", F.col("h").alias("subroot"), F.col("j").alias("place"))
               .join(top.runs(0).select(F.col("j").alias("place"), F.col("runs").alias("top_runs")), "place")
-              .join(root.withColumn("one", F.lit(1)), F.lit(1) == F.col("one")).drop("one"))
+              .withColumn("root", F.lit(bytes(root.h) if root else None).cast("binary")))
     if len(tree.stages) > 1:
         arrays = tree.runs(1).select("g", F.col("j").alias("key"), "runs")
     else:
