@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import attribution, bpe, decontam, merkle, minhash, rules, secrets, suffix, toxicity, urls, warc
+from colloquy.llm import attribution, bpe, collocations, decontam, merkle, minhash, rules, secrets, suffix, toxicity, urls, warc
 from colloquy.llm.common import table
 
 
@@ -26,8 +26,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_rules": lambda s, d: rules.op10_quality_rules(
             table(s, d, "documents"), table(s, d, "labels")),
         "op11_merkle": lambda s, d: merkle.op11_merkle(table(s, d, "documents")),
+        "op12_collocations": lambda s, d: collocations.op12_collocations(table(s, d, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": urls.op1_sql(), "op3_warc": warc.op3_sql(), "op11_merkle": merkle.op11_sql()}
+    return {"op1_url_filter": urls.op1_sql(), "op3_warc": warc.op3_sql(), "op11_merkle": merkle.op11_sql(),
+            "op12_collocations": collocations.op12_sql()}
