@@ -12,9 +12,10 @@
 
 Scale.  A shard holds at most SHARD_BYTES and is held by one task as word
 numbers (4 bytes a word); a phrase is named by the names of its two shorter
-parts, so no hash decides.  The candidates reach the counting tasks as one bit
-array of FILTER_BITS: it never grows, and what it lets through by chance is
-counted exactly too, then falls below the support.  With more than
+parts, so no hash decides its count.  The candidates reach the counting tasks
+as one bit array of FILTER_BITS, filled by their hashes: it never grows, and
+what it lets through by chance is counted exactly too, then falls below the
+support.  With more than
 100 shards a language the local support reaches 1 and every phrase of a shard
 is a candidate: results stay exact, but the method no longer prunes.
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import checkpoint, ship, text_bytes
+from colloquy.llm.common import checkpoint, mix64, ship, text_bytes
 
 SUPPORT = 100
 LONGEST = 5
@@ -47,6 +48,8 @@ FEW_LANGS = 100_000           # so many rows of sizes are broadcast
 FILTER_BITS = 27              # 16 MB
 _CUT = 0xFF                   # no byte of UTF-8: the border of a piece
 _STEP = 1 << 20               # positions handled at a time
+_CLASS = 1 << 22              # positions whose pairs are sorted at a time
+COUNT_BYTES = 16 << 20        # texts that the counting pass holds at a time
 
 # separators of pieces: . , ; : ! ? and the line breaks; a tab parts words as a space does
 _TABLE = bytearray(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"abcdefghijklmnopqrstuvwxyz "))
@@ -83,117 +86,111 @@ class _Shard:
         self.parts.append(np.fromiter(map(self.words.__getitem__, words), np.uint32, len(words)))
         self.bytes += len(text)
 
-    def phrases(self, keep) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-        """(words a phrase has, phrases, counts) for 1 to LONGEST words, of those
-        that ``keep(phrases, counts)`` marks and whose parts were kept.  First
-        (0, [b""], [number of all words])."""
+    def phrases(self, lang: str, keep, named: bool) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
+        """(words a phrase has, phrases, hashes, counts) for 1 to LONGEST words, of
+        those that ``keep(hashes, counts)`` marks and whose parts were kept;
+        phrases only if ``named``.  First (0, [b""], [0], [number of all words])."""
         at = np.concatenate(self.parts) if self.parts else np.empty(0, np.uint32)
-        yield 0, [b""], np.array([np.count_nonzero(at)])
+        self.parts = []
+        yield 0, [b""], np.zeros(1, np.uint64), np.array([np.count_nonzero(at)])
         texts = list(self.words)
+        lasts = np.fromiter(map(xxhash.xxh64_intdigest, texts), np.uint64, len(texts))
+        hashes = mix64(lasts ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())))
         counts = np.bincount(at, minlength=len(texts))
-        counts[0] = 0
-        names, texts, counts = _kept(np.arange(len(texts)), texts, counts, keep)
+        marks = keep(hashes, counts)
+        marks[0] = False
+        names = np.cumsum(marks, dtype=np.uint32) * marks
         at = names[at]                       # a kept phrase's number from 1, 0 where there is none
-        for k in range(1, LONGEST + 1):
-            yield k, texts[1:], counts[1:]
-            if k == LONGEST or len(texts) == 1:
+        kept = np.flatnonzero(marks)
+        for k in range(1, LONGEST + 1):      # names, hashes, ... of a number are at that number less 1
+            texts, hashes, lasts, counts = [texts[i] for i in kept.tolist()] if named else [], hashes[kept], lasts[kept], counts[kept]
+            yield k, texts, hashes, counts
+            if k == LONGEST or not len(kept):
                 return
-            tails = [t.rpartition(b" ")[2] for t in texts]
-            keys = _pairs(at)
-            keys.sort()
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
-            counts = np.diff(np.append(starts, len(keys)))
-            keys = keys[starts]
-            many = counts >= keep.support
-            keys, counts = keys[many], counts[many]
-            left, right = (keys >> np.uint64(32)).tolist(), (keys & np.uint64(0xFFFFFFFF)).tolist()
-            longer = [texts[a] + b" " + tails[b] for a, b in zip(left, right)]
-            marks = keep.mark(longer, counts)
-            keys, counts = keys[marks], counts[marks]
-            texts = [b"", *(t for t, m in zip(longer, marks.tolist()) if m)]
+            found = [x for x in _pair_counts(at, hashes, lasts, keep) if len(x[0])]
+            keys = np.concatenate([x[0] for x in found]) if found else np.empty(0, np.uint64)
+            order = np.argsort(keys)
+            keys = keys[order]
+            left, right = ((keys >> np.uint64(32)) - np.uint64(1)).astype(np.int64), (keys & _LOW).astype(np.int64) - 1
+            if named:
+                texts = [texts[i] + b" " + texts[j].rpartition(b" ")[2] for i, j in zip(left.tolist(), right.tolist())]
+            counts = np.concatenate([x[1] for x in found])[order] if found else np.empty(0, np.int64)
+            hashes, lasts = _longer(hashes[left], lasts[right]), lasts[right]
             at = _renamed(at, keys)
-            counts = np.append(0, counts)
+            kept = np.arange(len(keys))
 
 
-def _kept(names, texts, counts, keep):
-    marks = np.zeros(len(texts), bool)
-    marks[1:] = keep.mark(texts[1:], counts[1:])
-    names = np.zeros(len(texts), np.uint32)
-    names[marks] = np.arange(1, marks.sum() + 1, dtype=np.uint32)
-    return names, [b"", *(t for t, m in zip(texts, marks.tolist()) if m)], np.append(0, counts[marks])
+_LOW = np.uint64(0xFFFFFFFF)
 
 
-def _pairs(at: np.ndarray) -> np.ndarray:
-    """(name here, name at the next position) of all positions where both are kept."""
-    out = []
+def _longer(hashes: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+    return mix64(hashes * np.uint64(0x9E3779B97F4A7C15) + lasts)
+
+
+def _both(at: np.ndarray):
+    """Positions where a kept phrase starts as well as at the next one, and the
+    pairs of their names, _STEP positions at a time."""
     for i in range(0, len(at) - 1, _STEP):
-        a, b = at[i:i + _STEP + 1][:-1], at[i + 1:i + _STEP + 1]
-        a = a[:len(b)]
-        both = (a != 0) & (b != 0)
-        out.append((a[both].astype(np.uint64) << np.uint64(32)) | b[both])
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        a, b = at[i:min(i + _STEP, len(at) - 1)], at[i + 1:i + _STEP + 1]
+        where = np.flatnonzero((a != 0) & (b != 0))
+        yield i + where, (a[where].astype(np.uint64) << np.uint64(32)) | b[where]
+
+
+def _pair_counts(at: np.ndarray, hashes: np.ndarray, lasts: np.ndarray, keep):
+    """(pairs of names, counts) of the phrases a word longer that are kept, in
+    classes of pairs, so that few are held at a time."""
+    classes = len(at) // _CLASS + 1
+    for c in range(classes):
+        part = [keys[(keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(classes) == c] if classes > 1 else keys
+                for _, keys in _both(at)]
+        keys = np.concatenate(part) if part else np.empty(0, np.uint64)
+        del part
+        keys.sort()
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
+        counts = np.diff(np.append(starts, len(keys)))
+        keys = keys[starts]
+        left, right = ((keys >> np.uint64(32)) - np.uint64(1)).astype(np.int64), (keys & _LOW).astype(np.int64) - 1
+        marks = keep(_longer(hashes[left], lasts[right]), counts)
+        yield keys[marks], counts[marks]
 
 
 def _renamed(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Per position the number (from 1) of the longer phrase that starts there."""
     new = np.zeros(len(at), np.uint32)
-    if not len(keys):
-        return new
-    for i in range(0, len(at) - 1, _STEP):
-        a, b = at[i:i + _STEP + 1][:-1], at[i + 1:i + _STEP + 1]
-        a = a[:len(b)]
-        where = np.flatnonzero((a != 0) & (b != 0))
-        asked = (a[where].astype(np.uint64) << np.uint64(32)) | b[where]
-        found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        hit = keys[found] == asked
-        new[i + where[hit]] = found[hit] + 1
+    if len(keys):
+        for where, asked in _both(at):
+            found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            hit = keys[found] == asked
+            new[where[hit]] = found[hit] + 1
     return new
 
 
-class _Frequent:
-    """Keeps what reaches a local support."""
-
-    def __init__(self, support: int):
-        self.support = support
-
-    def mark(self, phrases, counts) -> np.ndarray:
-        return counts >= self.support
+def _frequent(support: int):
+    return lambda hashes, counts: counts >= support
 
 
-class _Asked:
+def _asked(bits: np.ndarray):
     """Keeps what a bit array of candidates holds."""
-
-    support = 1
-
-    def __init__(self, lang: bytes, bits: np.ndarray):
-        self.seed, self.bits = xxhash.xxh32_intdigest(lang), bits
-
-    def mark(self, phrases, counts) -> np.ndarray:
-        place = np.fromiter((xxhash.xxh64_intdigest(p, self.seed) for p in phrases), np.uint64, len(phrases))
-        place >>= np.uint64(64 - FILTER_BITS)
-        return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    def keep(hashes, counts):
+        place = hashes >> np.uint64(64 - FILTER_BITS)
+        return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return keep
 
 
 _ROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def _batches(lang: str, found) -> Iterator[pa.RecordBatch]:
-    for k, phrases, counts in found:
-        for i in range(0, len(phrases), 1 << 16):
-            part = phrases[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()),
-                 pa.array(part, pa.binary()).cast(pa.string()), pa.array(counts[i:i + (1 << 16)], pa.int64())],
-                schema=_ROW)
-
-
 def _mine(support: int):
-    """Rows (lang, shard, all, text) in order of (lang, shard) -> the locally
-    frequent phrases of every shard."""
+    """Rows (lang, shard, all, text) in order of (lang, shard) -> hashes of the
+    locally frequent phrases of every shard."""
     def run(batches):
         now, shard, whole = None, None, 0
-        done = lambda: _batches(now[0], shard.phrases(
-            _Frequent(max(1, math.ceil(support * shard.bytes / whole)))))
+
+        def done():
+            local = max(1, math.ceil(support * shard.bytes / whole))
+            for k, _, hashes, _ in shard.phrases(now[0], _frequent(local), False):
+                if k:
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
         for batch in batches:
             keys = zip(batch["lang"].to_pylist(), batch["shard"].to_pylist(), batch["all"].to_pylist())
             for (lang, number, size), text in zip(keys, text_bytes(batch["text"])):
@@ -209,35 +206,37 @@ def _mine(support: int):
 
 def _count(bits):
     """Rows (lang, text) -> (lang, k, phrase, n): counts of all phrases that the
-    bit array holds, summed over up to SHARD_BYTES of a task's texts."""
+    bit array holds, summed over up to COUNT_BYTES of a task's texts."""
     def run(batches):
         shards: dict[str, _Shard] = {}
-        table = np.frombuffer(bits.value, np.uint8)
+        keep = _asked(np.frombuffer(bits.value, np.uint8))
 
         def done():
             while shards:
                 lang, shard = shards.popitem()
-                yield from _batches(lang, shard.phrases(_Asked(lang.encode(), table)))
+                for k, phrases, _, counts in shard.phrases(lang, keep, True):
+                    for i in range(0, len(phrases), 1 << 16):
+                        part = phrases[i:i + (1 << 16)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()),
+                             pa.array(part, pa.binary()).cast(pa.string()), pa.array(counts[i:i + (1 << 16)], pa.int64())],
+                            schema=_ROW)
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), text_bytes(batch["text"])):
                 if lang not in shards:
                     shards[lang] = _Shard()
                 shards[lang].add(text)
-            if len(shards) > 1000 or sum(s.bytes for s in shards.values()) > SHARD_BYTES:
+            if len(shards) > 1000 or sum(s.bytes for s in shards.values()) > COUNT_BYTES:
                 yield from done()
         yield from done()
     return run
 
 
 def _bit_array(candidates: DataFrame) -> bytes:
-    """FILTER_BITS of place bits: set in tasks, merged by Spark in chunks of 4 KB."""
-    def places(langs: pa.Array, phrases: pa.Array) -> pa.Array:
-        return pa.array([xxhash.xxh64_intdigest(p, xxhash.xxh32_intdigest(g)) >> (64 - FILTER_BITS)
-                         for g, p in zip(text_bytes(langs), text_bytes(phrases))], pa.int64())
-    chunk = 1 << 15
-    at = candidates.select(F.arrow_udf(places, "long")("lang", "phrase").alias("at"))
-    rows = (at.groupBy(F.shiftright("at", 15).alias("chunk"))
-            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(chunk - 1)).alias("bits")))
+    """FILTER_BITS of place bits, merged by Spark in chunks of 4 KB."""
+    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    rows = (candidates.select(place.alias("at")).groupBy(F.shiftright("at", 15).alias("chunk"))
+            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND((1 << 15) - 1)).alias("bits")))
     bits = bytearray(1 << (FILTER_BITS - 3))
     for row in rows.collect():  # 2 ** FILTER_BITS bits at most, 16 MB
         bits[row.chunk * 4096:(row.chunk + 1) * 4096] = row.bits
@@ -260,9 +259,8 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     dealt = (texts.join(sizes, "lang")  # by chance: copies of one text must not meet in a shard
              .select("lang", "all", F.floor(F.rand(12) * F.col("shards")).cast("int").alias("shard"), "text"))
     local = (dealt.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
-             .mapInArrow(_mine(support), "lang string, k int, phrase string, n long"))
-    candidates = checkpoint(local.filter("k > 0").select("lang", "phrase").distinct())
-    bits = spark.sparkContext.broadcast(_bit_array(candidates))
+             .mapInArrow(_mine(support), "hash long"))
+    bits = spark.sparkContext.broadcast(_bit_array(local.distinct()))
     counted = texts.mapInArrow(_count(bits), "lang string, k int, phrase string, n long")
     return checkpoint(counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
                       .filter((F.col("n") >= support) | (F.col("k") == 0)))

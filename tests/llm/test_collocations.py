@@ -73,3 +73,19 @@ def test_arithmetic_beyond_64_bits(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert collocations.op12_collocations(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_classes_and_steps_of_a_shard(monkeypatch):
+    whole = collocations._Shard()
+    text = random.Random(5).choices(["a", "b", "c", "d.", "e"], k=3000)
+    whole.add(" ".join(text).encode())
+    parts = list(whole.parts)
+    mine = lambda: [(k, sorted(zip(t, c.tolist()))) for k, t, _, c in
+                    whole.phrases("x", collocations._frequent(3), True)]
+    want = mine()
+    for step, size in ((1 << 20, 100), (7, 64), (1000, 1)):
+        monkeypatch.setattr(collocations, "_STEP", step)
+        monkeypatch.setattr(collocations, "_CLASS", max(size, 40))
+        whole.parts = list(parts)
+        assert mine() == want
+    assert len(want) == 6
