@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import attribution, bpe, collocations, decontam, merkle, minhash, rules, secrets, suffix, toxicity, urls, warc
+from colloquy.llm import attribution, bpe, collocations, decontam, merkle, minhash, rules, secrets, suffix, toxicity, trie, urls, warc
 from colloquy.llm.common import table
 
 
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             table(s, d, "documents"), table(s, d, "labels")),
         "op11_merkle": lambda s, d: merkle.op11_merkle(table(s, d, "documents")),
         "op12_collocations": lambda s, d: collocations.op12_collocations(table(s, d, "documents")),
+        "op13_ngram_join": lambda s, d: trie.op13_ngram_join(table(s, d, "documents")),
     }
 
 
