@@ -47,10 +47,15 @@ def groups_of(batches, name: str) -> Iterator[pa.Table]:
 
 
 def shared_keys(members: DataFrame) -> DataFrame:
-    """(key, node, pivot) of the keys that several nodes have."""
-    keys = (members.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-            .filter("pivot <> last").select("key", "pivot"))
-    return members.join(keys, "key").select("key", "node", "pivot")
+    """(key, node, pivot, weight) of the keys that several nodes have; of keys
+    with the same nodes, one, its weight their number."""
+    keys = (members.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count("*").alias("nodes"),
+                                       F.bit_xor(F.xxhash64("node")).alias("x"),
+                                       F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+            .filter("pivot <> last")
+            .groupBy("pivot", "last", "nodes", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("weight"))
+            .select("key", "pivot", "weight"))
+    return members.join(keys, "key").select("key", "node", "pivot", "weight")
 
 
 def _blocks(size: Column, count: Column) -> Column:
@@ -59,7 +64,7 @@ def _blocks(size: Column, count: Column) -> Column:
 
 def _pivot_blocks(shared: DataFrame, sets: DataFrame) -> DataFrame:
     """(block, node, side): each node with its nearest pivot."""
-    met = shared.filter("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("times"))
+    met = shared.filter("node <> pivot").groupBy("node", "pivot").agg(F.sum("weight").alias("times"))
     nearest = (met.groupBy("node").agg(F.max(F.struct("times", "pivot")).alias("m"))
                .select("node", F.col("m.pivot").alias("pivot")))
     nearest = checkpoint(nearest.join(sets.select("node", F.octet_length("set").alias("size")), "node"))

@@ -5,7 +5,8 @@
    parts are frequent in the shard.  The local support is the global one
    lowered in proportion to the shard's share of the language's bytes, so a
    phrase that is frequent in the language is frequent in at least one shard.
-2. The union of the locally frequent phrases is the candidate set.
+2. The union of the locally frequent phrases, less those that cannot reach the
+   support with the most that the other shards can add, is the candidate set.
 3. All candidates are counted over all texts, exactly, and those below the
    global support go.  Sub-phrases of a candidate are candidates, so the counts
    that the scores need are there.
@@ -13,7 +14,7 @@
 Scale.  A shard holds at most SHARD_BYTES and is held by one task as word
 numbers (4 bytes a word); a phrase is named by the names of its two shorter
 parts, so no hash decides its count.  The candidates reach the counting tasks
-as one bit array of FILTER_BITS, filled by their hashes: it never grows, and
+as one bit array of fixed size, filled by their hashes: it never grows, and
 what it lets through by chance is counted exactly too, then falls below the
 support.  With more than
 100 shards a language the local support reaches 1 and every phrase of a shard
@@ -36,20 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import checkpoint, mix64, ship, text_bytes
+from colloquy.llm.common import bit_array, bits_hold, checkpoint, mix64, ship, text_bytes
 
 SUPPORT = 100
 LONGEST = 5
 TOP = 2000
 SHARD_BYTES = 128 << 20
 LEAST_SHARD_BYTES = 1 << 20
-SHARDS_WANTED = 24            # over all languages, while shards stay over the least size
+SHARDS_WANTED = 16            # over all languages, while shards stay over the least size
 FEW_LANGS = 100_000           # so many rows of sizes are broadcast
-FILTER_BITS = 27              # 16 MB
 _CUT = 0xFF                   # no byte of UTF-8: the border of a piece
 _STEP = 1 << 20               # positions handled at a time
 _CLASS = 1 << 22              # positions whose pairs are sorted at a time
-COUNT_BYTES = 16 << 20        # texts that the counting pass holds at a time
+COUNT_BYTES = 32 << 20        # texts that the counting pass holds at a time
 
 # separators of pieces: . , ; : ! ? and the line breaks; a tab parts words as a space does
 _TABLE = bytearray(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"abcdefghijklmnopqrstuvwxyz "))
@@ -171,26 +171,27 @@ def _frequent(support: int):
 
 def _asked(bits: np.ndarray):
     """Keeps what a bit array of candidates holds."""
-    def keep(hashes, counts):
-        place = hashes >> np.uint64(64 - FILTER_BITS)
-        return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return keep
+    return lambda hashes, counts: bits_hold(bits, hashes)
 
 
 _ROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
 def _mine(support: int):
-    """Rows (lang, shard, all, text) in order of (lang, shard) -> hashes of the
-    locally frequent phrases of every shard."""
+    """Rows (lang, shard, all, text) in order of (lang, shard) -> (lang, hash, over)
+    of the locally frequent phrases of every shard: what a phrase's count has over
+    the most that a phrase not returned can have; that much itself, without a hash."""
     def run(batches):
         now, shard, whole = None, None, 0
 
         def done():
             local = max(1, math.ceil(support * shard.bytes / whole))
-            for k, _, hashes, _ in shard.phrases(now[0], _frequent(local), False):
+            rows = lambda hashes, over: pa.RecordBatch.from_arrays(
+                [pa.array([now[0]] * len(over), pa.string()), hashes, pa.array(over, pa.int64())], ["lang", "hash", "over"])
+            yield rows(pa.nulls(1, pa.int64()), [local - 1])
+            for k, _, hashes, counts in shard.phrases(now[0], _frequent(local), False):
                 if k:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+                    yield rows(pa.array(hashes.view(np.int64)), counts - (local - 1))
         for batch in batches:
             keys = zip(batch["lang"].to_pylist(), batch["shard"].to_pylist(), batch["all"].to_pylist())
             for (lang, number, size), text in zip(keys, text_bytes(batch["text"])):
@@ -232,17 +233,6 @@ def _count(bits):
     return run
 
 
-def _bit_array(candidates: DataFrame) -> bytes:
-    """FILTER_BITS of place bits, merged by Spark in chunks of 4 KB."""
-    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    rows = (candidates.select(place.alias("at")).groupBy(F.shiftright("at", 15).alias("chunk"))
-            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND((1 << 15) - 1)).alias("bits")))
-    bits = bytearray(1 << (FILTER_BITS - 3))
-    for row in rows.collect():  # 2 ** FILTER_BITS bits at most, 16 MB
-        bits[row.chunk * 4096:(row.chunk + 1) * 4096] = row.bits
-    return bytes(bits)
-
-
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
                      support: int = SUPPORT) -> DataFrame:
     """(lang, k, phrase, n): every phrase of 1 to LONGEST words that occurs
@@ -259,8 +249,12 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     dealt = (texts.join(sizes, "lang")  # by chance: copies of one text must not meet in a shard
              .select("lang", "all", F.floor(F.rand(12) * F.col("shards")).cast("int").alias("shard"), "text"))
     local = (dealt.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
-             .mapInArrow(_mine(support), "hash long"))
-    bits = spark.sparkContext.broadcast(_bit_array(local.distinct()))
+             .mapInArrow(_mine(support), "lang string, hash long, over long"))
+    local = checkpoint(local.groupBy("lang", "hash").agg(F.sum("over").alias("over")))
+    # a shard that did not return a phrase has it at most that often
+    most = local.filter("hash IS NULL").select("lang", F.col("over").alias("others"))
+    candidates = local.filter("hash IS NOT NULL").join(most, "lang").filter(F.col("over") + F.col("others") >= support)
+    bits = spark.sparkContext.broadcast(bit_array(candidates))
     counted = texts.mapInArrow(_count(bits), "lang string, k int, phrase string, n long")
     return checkpoint(counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
                       .filter((F.col("n") >= support) | (F.col("k") == 0)))

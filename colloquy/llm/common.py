@@ -144,6 +144,28 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(windows_of(word_hashes(words), min(width, len(words))))
 
 
+FILTER_BITS = 27  # 16 MB
+
+
+def bit_array(hashes: DataFrame) -> bytes:
+    """The column ``hash`` (longs) as FILTER_BITS of place bits, the upper bits of
+    each hash; merged by Spark in chunks of 4 KB.  The size never grows: with
+    more hashes, more others pass by chance, none is lost."""
+    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    rows = (hashes.select(place.alias("at")).groupBy(F.shiftright("at", 15).alias("chunk"))
+            .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND((1 << 15) - 1)).alias("bits")))
+    bits = bytearray(1 << (FILTER_BITS - 3))
+    for row in rows.collect():  # 2 ** FILTER_BITS bits at most
+        bits[row.chunk * 4096:(row.chunk + 1) * 4096] = row.bits
+    return bytes(bits)
+
+
+def bits_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether a bit array (bytes) holds the hashes (unsigned)."""
+    place = hashes >> np.uint64(64 - FILTER_BITS)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def null_safe_eq(left: DataFrame, right: DataFrame, names: list[str]):
     cond = F.lit(True)
     for name in names:
