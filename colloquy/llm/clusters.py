@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import checkpoint
+from colloquy.llm.common import bit_array, bits_hold, checkpoint
 from colloquy.llm.graph import connected_components
 
 BLOCK = 1024             # nodes of a block
@@ -76,21 +77,31 @@ def _pivot_blocks(shared: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.unionByName(pivots).withColumn("side", F.lit(0))
 
 
-def _open_blocks(still: DataFrame, sets: DataFrame) -> DataFrame:
-    """(block, node, side): blocks in which every two nodes that share a key meet.
-    Side 0 meets side 1, or itself in a block of one side."""
-    gangs = connected_components(still.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    sized = checkpoint(gangs.select("node", F.col("component").alias("gang"))
-                       .join(sets.select("node", F.octet_length("set").alias("size")), "node"))
-    groups = sized.groupBy("gang").agg(_blocks(F.sum("size"), F.count("*")).alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    tile = lambda k: F.struct(F.xxhash64("gang", F.least("mine", k), F.greatest("mine", k)).alias("block"),
+def _tiles(rows: DataFrame, key: str) -> DataFrame:
+    """Blocks in which every two nodes of ``rows(key, node, size)`` of a key meet."""
+    groups = rows.groupBy(key).agg(_blocks(F.sum("size"), F.count("*")).alias("blocks"))
+    tile = lambda k: F.struct(F.xxhash64(F.lit(key), key, F.least("mine", k), F.greatest("mine", k)).alias("block"),
                               (F.col("mine") > k).cast("int").alias("side"))
-    return (sized.join(groups, "gang").withColumn("mine", mine)
+    return (rows.join(groups, key).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .select("node", F.explode(F.transform(F.expr("sequence(0, blocks - 1)"), tile)).alias("t"))
             .select("t.block", "node", "t.side"))
 
 
+def _open_blocks(still: DataFrame, sets: DataFrame) -> DataFrame:
+    """``still(key, node, pivot)`` -> (block, node, side): blocks in which every two
+    nodes that share a key meet.  Side 0 meets side 1, or itself in a block of
+    one side.  Nodes that keys hold together, directly or not, are a gang; it
+    meets as a whole unless its nodes have fewer keys than it would fill blocks."""
+    gangs = connected_components(still.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+    size = sets.select("node", F.octet_length("set").alias("size"))
+    held = still.groupBy("node").agg(F.count("*").alias("keys"))
+    sized = checkpoint(gangs.select("node", F.col("component").alias("gang")).join(size, "node").join(held, "node"))
+    loose = (sized.groupBy("gang").agg(_blocks(F.sum("size"), F.count("*")).alias("blocks"), F.avg("keys").alias("keys"))
+             .filter("blocks > 1 AND blocks > keys").select("gang"))
+    by_key = still.select("key", "node").join(sized.join(loose, "gang", "left_semi").select("node", "size"), "node")
+    return _tiles(sized.join(loose, "gang", "left_anti").select("gang", "node", "size"), "gang").unionByName(_tiles(by_key, "key"))
+
+
 def _links(blocks: DataFrame, labels: DataFrame | None, sets: DataFrame, join) -> DataFrame:
     """The forests (a, b) that ``join`` finds in the blocks."""
     rows = blocks.join(sets, "node")
@@ -113,7 +124,7 @@ def linked_components(shared: DataFrame, sets: DataFrame, join) -> DataFrame:
     labelled = shared.join(found, "node", "left").select("key", "node", lab.alias("lab"))
     open_keys = (labelled.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi"))
                  .filter("lo <> hi").select("key"))
-    still = checkpoint(shared.join(open_keys, "key").select("node", "pivot").distinct())
+    still = checkpoint(shared.join(open_keys, "key").select("key", "node", "pivot"))
     if still.isEmpty():
         return found
     more = _links(_open_blocks(still, sets), found, sets, join)
@@ -125,3 +136,74 @@ def linked_components(shared: DataFrame, sets: DataFrame, join) -> DataFrame:
                               .join(found, "node", "left_anti").withColumn("component", F.col("node")))
     outer = wholes.select(F.col("node").alias("component"), F.col("component").alias("whole"))
     return nodes.join(outer, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+
+
+# ---- documents to components ------------------------------------------------
+
+class Bits:
+    """A bit array of hashes, broadcast; ``done`` when no task needs it any more."""
+
+    def __init__(self, hashes: DataFrame):
+        self.sent = hashes.sparkSession.sparkContext.broadcast(bit_array(hashes))
+        self.done = self.sent.destroy
+
+    def hold(self, *columns: str) -> Column:
+        """Whether the row may be one of the hashed."""
+        bits = self.sent
+
+        def held(hashes: pa.Array) -> pa.Array:
+            return pa.array(bits_hold(np.frombuffer(bits.value, np.uint8), hashes.to_numpy().view(np.uint64)))
+        return F.arrow_udf(held, "boolean")(F.xxhash64(*columns))
+
+    def only(self, keys: str) -> Column:
+        """An array of hashes without those that are not of the hashed."""
+        bits = self.sent
+
+        def filtered(keys: pa.Array) -> pa.Array:
+            values, sizes = keys.flatten(), pc.fill_null(pc.list_value_length(keys), 0).to_numpy(False)
+            marks = bits_hold(np.frombuffer(bits.value, np.uint8), values.to_numpy().view(np.uint64))
+            left = np.append(0, np.cumsum(marks))[np.cumsum(np.append(0, sizes))]
+            return pa.ListArray.from_arrays(pa.array(left, pa.int32()), values.filter(pa.array(marks)))
+        return F.arrow_udf(filtered, "array<bigint>")(keys)
+
+
+def _shared(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of shared_keys.  Keys are counted alone first; those that occur once,
+    nearly all of them, never travel with their nodes.  The others, and one row
+    of each class, are told by bit arrays, which let some more pass."""
+    of_class = Bits(classes.select(F.xxhash64("id", "th").alias("hash")))
+    rows = signed.filter("n > 0").filter(of_class.hold("id", "th")).select("node", "keys")
+    twice = Bits(rows.select(F.explode("keys").alias("hash")).groupBy("hash").count().filter("count > 1"))
+    shared = checkpoint(shared_keys(rows.select("node", F.explode(twice.only("keys")).alias("key")).distinct()))
+    of_class.done(), twice.done()
+    return shared
+
+
+def rows_with_components(df: DataFrame, id_col: str, text_col: str, signed: DataFrame, pack, join,
+                         carried: list[str] | None = None) -> DataFrame:
+    """(id, th, n, node, component) per row of ``df``.
+
+    ``signed``: checkpointed (id, th, n, node, keys, ...), th being the text's
+    xxhash64, node the hash of its set, n the set's size; ``pack``: texts -> sets,
+    an Arrow function; ``carried``: columns of ``signed`` that ``join`` wants.
+    Component is the smallest id that links reach: that of the row where n is 0."""
+    carried = carried or []
+    row = F.min(F.struct(F.col("id").isNull().alias("x"), "id", "th"))  # of a class, one that has an id
+    classes = checkpoint(signed.filter("n > 0").groupBy("node").agg(row.alias("r"), *[F.first(c).alias(c) for c in carried])
+                         .select("node", "r.id", "r.th", *carried))
+    shared = _shared(signed, classes)
+    owners = (classes.join(shared.select("node").distinct(), "node", "left_semi")
+              .withColumnsRenamed({"id": "oid", "th": "oth"}))
+    wanted = Bits(owners.select(F.xxhash64("oid", "oth").alias("hash")))
+    texts = df.select(F.col(id_col).alias("tid"), F.xxhash64(text_col).alias("tth"), F.col(text_col).alias("text"))
+    sets = checkpoint(texts.filter(wanted.hold("tid", "tth"))
+                      .join(owners, F.col("tid").eqNullSafe(F.col("oid")) & (F.col("tth") == F.col("oth")))
+                      .groupBy("node", *carried).agg(F.first("text").alias("text"))
+                      .select("node", F.arrow_udf(pack, "binary")("text").alias("set"), *carried))
+    wanted.done()
+    found = linked_components(shared, sets, join)
+    known = classes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = known.groupBy("component").agg(F.min("id").alias("least"))
+    known = known.join(least, "component").select("node", "least")
+    return (signed.select("id", "th", "n", "node").join(known, "node", "left")
+            .select("id", "th", "n", "node", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least")).alias("component")))

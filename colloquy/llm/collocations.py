@@ -49,7 +49,6 @@ FEW_LANGS = 100_000           # so many rows of sizes are broadcast
 _CUT = 0xFF                   # no byte of UTF-8: the border of a piece
 _STEP = 1 << 20               # positions handled at a time
 _CLASS = 1 << 22              # positions whose pairs are sorted at a time
-COUNT_BYTES = 32 << 20        # texts that the counting pass holds at a time
 
 # separators of pieces: . , ; : ! ? and the line breaks; a tab parts words as a space does
 _TABLE = bytearray(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", b"abcdefghijklmnopqrstuvwxyz "))
@@ -177,59 +176,49 @@ def _asked(bits: np.ndarray):
 _ROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
+def _shards(batches) -> Iterator[tuple[str, int, _Shard]]:
+    """Rows (lang, shard, all, text) in order of (lang, shard) -> (lang, all, shard)."""
+    now, shard, whole = None, None, 0
+    for batch in batches:
+        keys = zip(batch["lang"].to_pylist(), batch["shard"].to_pylist(), batch["all"].to_pylist())
+        for (lang, number, size), text in zip(keys, text_bytes(batch["text"])):
+            if now != (lang, number):
+                if shard is not None:
+                    yield now[0], whole, shard
+                now, shard, whole = (lang, number), _Shard(), max(1, size)
+            shard.add(text)
+    if shard is not None:
+        yield now[0], whole, shard
+
+
 def _mine(support: int):
-    """Rows (lang, shard, all, text) in order of (lang, shard) -> (lang, hash, over)
-    of the locally frequent phrases of every shard: what a phrase's count has over
-    the most that a phrase not returned can have; that much itself, without a hash."""
+    """(lang, hash, over) of the locally frequent phrases of every shard: what a
+    phrase's count has over the most that a phrase not returned can have; that
+    much itself, without a hash."""
     def run(batches):
-        now, shard, whole = None, None, 0
-
-        def done():
+        for lang, whole, shard in _shards(batches):
             local = max(1, math.ceil(support * shard.bytes / whole))
             rows = lambda hashes, over: pa.RecordBatch.from_arrays(
-                [pa.array([now[0]] * len(over), pa.string()), hashes, pa.array(over, pa.int64())], ["lang", "hash", "over"])
+                [pa.array([lang] * len(over), pa.string()), hashes, pa.array(over, pa.int64())], ["lang", "hash", "over"])
             yield rows(pa.nulls(1, pa.int64()), [local - 1])
-            for k, _, hashes, counts in shard.phrases(now[0], _frequent(local), False):
+            for k, _, hashes, counts in shard.phrases(lang, _frequent(local), False):
                 if k:
                     yield rows(pa.array(hashes.view(np.int64)), counts - (local - 1))
-        for batch in batches:
-            keys = zip(batch["lang"].to_pylist(), batch["shard"].to_pylist(), batch["all"].to_pylist())
-            for (lang, number, size), text in zip(keys, text_bytes(batch["text"])):
-                if now != (lang, number):
-                    if shard is not None:
-                        yield from done()
-                    now, shard, whole = (lang, number), _Shard(), max(1, size)
-                shard.add(text)
-        if shard is not None:
-            yield from done()
     return run
 
 
 def _count(bits):
-    """Rows (lang, text) -> (lang, k, phrase, n): counts of all phrases that the
-    bit array holds, summed over up to COUNT_BYTES of a task's texts."""
+    """(lang, k, phrase, n): counts of every shard's phrases that the bit array holds."""
     def run(batches):
-        shards: dict[str, _Shard] = {}
         keep = _asked(np.frombuffer(bits.value, np.uint8))
-
-        def done():
-            while shards:
-                lang, shard = shards.popitem()
-                for k, phrases, _, counts in shard.phrases(lang, keep, True):
-                    for i in range(0, len(phrases), 1 << 16):
-                        part = phrases[i:i + (1 << 16)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()),
-                             pa.array(part, pa.binary()).cast(pa.string()), pa.array(counts[i:i + (1 << 16)], pa.int64())],
-                            schema=_ROW)
-        for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), text_bytes(batch["text"])):
-                if lang not in shards:
-                    shards[lang] = _Shard()
-                shards[lang].add(text)
-            if len(shards) > 1000 or sum(s.bytes for s in shards.values()) > COUNT_BYTES:
-                yield from done()
-        yield from done()
+        for lang, _, shard in _shards(batches):
+            for k, phrases, _, counts in shard.phrases(lang, keep, True):
+                for i in range(0, len(phrases), 1 << 16):
+                    part = phrases[i:i + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()),
+                         pa.array(part, pa.binary()).cast(pa.string()), pa.array(counts[i:i + (1 << 16)], pa.int64())],
+                        schema=_ROW)
     return run
 
 
@@ -248,14 +237,14 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
         sizes = F.broadcast(sizes)
     dealt = (texts.join(sizes, "lang")  # by chance: copies of one text must not meet in a shard
              .select("lang", "all", F.floor(F.rand(12) * F.col("shards")).cast("int").alias("shard"), "text"))
-    local = (dealt.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
-             .mapInArrow(_mine(support), "lang string, hash long, over long"))
+    dealt = dealt.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
+    local = dealt.mapInArrow(_mine(support), "lang string, hash long, over long")
     local = checkpoint(local.groupBy("lang", "hash").agg(F.sum("over").alias("over")))
     # a shard that did not return a phrase has it at most that often
     most = local.filter("hash IS NULL").select("lang", F.col("over").alias("others"))
     candidates = local.filter("hash IS NOT NULL").join(most, "lang").filter(F.col("over") + F.col("others") >= support)
     bits = spark.sparkContext.broadcast(bit_array(candidates))
-    counted = texts.mapInArrow(_count(bits), "lang string, k int, phrase string, n long")
+    counted = dealt.mapInArrow(_count(bits), "lang string, k int, phrase string, n long")
     return checkpoint(counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
                       .filter((F.col("n") >= support) | (F.col("k") == 0)))
 

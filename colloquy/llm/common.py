@@ -144,7 +144,7 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(windows_of(word_hashes(words), min(width, len(words))))
 
 
-FILTER_BITS = 27  # 16 MB
+FILTER_BITS = 26  # 8 MB
 
 
 def bit_array(hashes: DataFrame) -> bytes:

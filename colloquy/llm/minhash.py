@@ -7,35 +7,32 @@ rank after the circle is shifted by k.  Bands of the signature bring candidate
 pairs together, and every link is confirmed by the exact Jaccard similarity of
 the full sets.
 
-Scale.  Documents with equal sets are one class (found by a 128-bit hash), so
-copies never meet.  Every class is first compared with one other only, the smallest
-class of the buckets it is in that it shares most bands with, which is linear
-and joins large groups; only pairs of a bucket whose components still differ
-are then compared, in blocks of at most
-about BLOCK x BLOCK inside a task, so no bucket is one task's work and nothing
-is capped.  A candidate pair is dropped before the exact check only if its
-signatures agree in fewer coordinates than LEAST_AGREEING, 5 standard
+Scale.  Documents with equal sets are one node (by a 64-bit hash), so copies
+never meet.  Nodes meet in blocks of bounded size inside a task (clusters.py):
+first each with its nearest pivot, then those of a bucket whose components
+still differ; a block returns a spanning forest of its links, never all pairs,
+and nothing is capped.  A candidate pair is dropped before the exact check only
+if its signatures agree in fewer coordinates than LEAST_AGREEING, 5 standard
 deviations below what a similarity of 0.75 gives.  48 bands of 5 coordinates
 miss a pair at exactly 0.75 with a probability of 2.3e-6.
 
 Defined results.  Null or word-less text: set size 0, linked with nothing.
-Repeated rows of an id are one node.  A row without an id belongs to the
-component of equal texts that have ids; without such, component_id is null and
+Nodes are sets: rows that share an id but not the text stay apart, and every
+row has one row in the result.  A row without an id belongs to the component
+of the texts it is linked with; where none has an id, component_id is null and
 the row is kept.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.llm.clusters import Bits, groups_of, rows_with_components
 from colloquy.llm.common import checkpoint, fresh, mix64, shingle_set, ship, text_bytes
-from colloquy.llm.graph import connected_components
 
 WIDTH = 5            # words per shingle
 PERCENT = 75         # least similarity of a link
@@ -43,7 +40,6 @@ BANDS, ROWS = 48, 5
 COORDINATES = BANDS * ROWS
 _SPREAD = (0.75 * 0.25 / COORDINATES) ** 0.5
 LEAST_AGREEING = int((0.75 - 5 * _SPREAD) * COORDINATES)
-BLOCK = 512
 _SLICE = 2048        # shingles ranked at a time, to stay in a core's cache
 
 
@@ -82,42 +78,31 @@ def _band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, h1, h2, keys, low): set size, 128-bit hash of the set, band
-    keys, low byte of every coordinate."""
-    ship(df.sparkSession)
-
-    @F.arrow_udf("struct<n:bigint,h1:bigint,h2:bigint,keys:array<bigint>,low:binary>")
+    """(id, th, n, node, keys, low): hash of the text, set size, hash of the set,
+    band keys, low byte of every coordinate."""
+    @F.arrow_udf("struct<n:bigint,node:bigint,keys:array<bigint>,low:binary>")
     def sign(texts: pa.Array) -> pa.Array:
-        n, h1, h2, keys, low = [], [], [], [], []
+        n, node, keys, low = [], [], [], []
         for text in text_bytes(texts):
             s = shingle_set(text, WIDTH)
             n.append(len(s))
             if not len(s):
-                h1.append(None), h2.append(None), keys.append(None), low.append(None)
+                node.append(None), keys.append(None), low.append(None)
                 continue
-            h = np.frombuffer(xxhash.xxh128_digest(s.tobytes()), np.int64)
             sig = signature(s)
-            h1.append(int(h[0])), h2.append(int(h[1]))
+            node.append(xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63))
             keys.append(_band_keys(sig))
             low.append(sig.astype(np.uint8).tobytes())
         return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-             pa.array(keys, pa.list_(pa.int64())), pa.array(low, pa.binary())], ["n", "h1", "h2", "keys", "low"])
+            [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+             pa.array(low, pa.binary())], ["n", "node", "keys", "low"])
 
-    return (df.select(F.col(id_col).alias("id"), sign.asNondeterministic()(F.col(text_col)).alias("s"))
-            .select("id", "s.*"))
+    return (df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
+                      sign.asNondeterministic()(F.col(text_col)).alias("s")).select("id", "th", "s.*"))
 
 
-def _may_link(n_a: pa.Array, n_b: pa.Array, low_a: pa.Array, low_b: pa.Array) -> pa.Array:
-    sizes = np.array([n_a.to_numpy(False), n_b.to_numpy(False)])
-    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, COORDINATES) for x in (low_a, low_b))
-    ok = ((a == b).sum(axis=1) >= LEAST_AGREEING) & (100 * sizes.min(axis=0) >= PERCENT * sizes.max(axis=0))
-    return pa.array(ok)
-
-
-@lru_cache(maxsize=256)
-def _set_of(text: bytes) -> np.ndarray:
-    return shingle_set(text, WIDTH)
+def _packed(texts: pa.Array) -> pa.Array:
+    return pa.array([shingle_set(t, WIDTH).tobytes() for t in text_bytes(texts)], pa.binary())
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -126,152 +111,73 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def _linked(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
-    short = 1 << 16  # longer texts are not kept in the worker's cache
-    sets = lambda t: _set_of(t) if len(t) < short else shingle_set(t, WIDTH)
-    return pa.array([similar(sets(a), sets(b)) for a, b in zip(text_bytes(text_a), text_bytes(text_b))], pa.bool_())
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    t = lambda x: texts.select(F.col("rep").alias(x), F.col("text").alias(f"text_{x}"))
-    return (pairs.join(t("a"), "a").join(t("b"), "b")
-            .filter(F.arrow_udf(_linked, "boolean")("text_a", "text_b")).select("a", "b").distinct())
+def forest(sets: list[np.ndarray], low: np.ndarray, labels: np.ndarray, sides: np.ndarray) -> list[tuple[int, int]]:
+    """Links (positions) that join the components ``labels``: sets of side 0
+    against those of side 1, or against each other if there is no side 1.
+    Signatures choose what is compared, the likeliest first; full sets decide."""
+    size = np.array([len(s) for s in sets])
+    component = np.unique(labels, return_inverse=True)[1]
+    crossed = sides.any()
+    other, edges = np.flatnonzero(sides == 1), []
+    for i in np.flatnonzero(sides == 0).tolist():
+        js = other if crossed else np.arange(i + 1, len(sets))
+        js = js[component[js] != component[i]]
+        js = js[100 * np.minimum(size[js], size[i]) >= PERCENT * np.maximum(size[js], size[i])]
+        if not len(js):
+            continue
+        agree = (low[js] == low[i]).sum(axis=1)
+        for j in js[np.argsort(-agree, kind="stable")][:np.count_nonzero(agree >= LEAST_AGREEING)].tolist():
+            if component[i] != component[j] and similar(sets[i], sets[j]):
+                edges.append((i, j))
+                component[component == component[j]] = component[i]
+    return edges
+
+
+def _band_join(batches):
+    for t in groups_of(batches, "block"):
+        if t.num_rows < 2:
+            continue
+        node = t["node"].to_numpy()
+        sets = [np.frombuffer(b, np.uint64) for b in t["set"].to_pylist()]
+        low = np.frombuffer(b"".join(t["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        edges = forest(sets, low, t["lab"].to_numpy(), t["side"].to_numpy())
+        if edges:
+            yield pa.RecordBatch.from_arrays([pa.array(node[list(e)]) for e in zip(*edges)], ["a", "b"])
 
 
-def _within_blocks(batches):
-    """Rows sorted by block key -> candidate pairs of one block whose
-    components differ.  A block's sides (0, 1) are compared with each other, or
-    side 0 with itself if there is no other."""
-    def pairs(t: pa.Table):
-        rep, lab, n = (t[c].to_numpy() for c in ("rep", "lab", "n"))
-        low = np.frombuffer(b"".join(t["low"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        side = t["side"].to_numpy()
-        diagonal = not side.any()
-        left = np.flatnonzero(side == 0)
-        right = left if diagonal else np.flatnonzero(side == 1)
-        for i in left:
-            js = right[right > i] if diagonal else right
-            js = js[lab[js] != lab[i]]
-            small, large = np.minimum(n[js], n[i]), np.maximum(n[js], n[i])
-            js = js[100 * small >= PERCENT * large]
-            js = js[(low[js] == low[i]).sum(axis=1) >= LEAST_AGREEING] if len(js) else js
-            for j in js:
-                yield min(int(rep[i]), int(rep[j])), max(int(rep[i]), int(rep[j]))
-
-    def blocks():
-        rest = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            rest = t if rest is None else pa.concat_tables([rest, t])
-            block = rest["block"].combine_chunks().to_numpy()
-            edges = np.flatnonzero(block[1:] != block[:-1]) + 1
-            done = 0
-            for edge in edges.tolist():
-                yield rest.slice(done, edge - done)
-                done = edge
-            rest = rest.slice(done)
-        if rest is not None:
-            yield rest
-
-    for block in blocks():
-        if block.num_rows > 1 and (found := list(pairs(block))):
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)],
-                                             ["a", "b"])
-
-
-def _tiles(members: DataFrame) -> DataFrame:
-    """(block, rep, lab, side): the blocks in which the rows (key, rep, lab) of a
-    bucket meet so that every two of different components do, once or more.
-
-    The rows of a bucket's largest component are dealt to blocks, one each; the
-    others go to all of these blocks, and to blocks among themselves.  Where one
-    component fills a bucket but for a few rows, that is a copy a row."""
-    counts = members.groupBy("key", "lab").agg(F.count("*").alias("c"))
-    main = counts.groupBy("key").agg(F.max(F.struct("c", "lab")).alias("m"), F.sum("c").alias("all"))
-    rows = members.select("key", "rep", "lab").join(
-        main.select("key", F.col("m.lab").alias("main"), F.col("m.c").alias("large"),
-                    (F.col("all") - F.col("m.c")).alias("few")), "key")
-    blocks = lambda size: F.greatest(F.ceil(size / BLOCK), F.lit(1)).cast("int")
-    place = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
-    inside = F.col("lab") == F.col("main")
-    tile = lambda kind, i, j, side: F.struct(F.xxhash64("key", F.lit(kind), i, j).alias("block"),
-                                             side.cast("int").alias("side"))
-    dealt = F.array(tile("main", place(blocks(F.col("large"))), F.lit(0), F.lit(0)))
-    to_all = F.transform(F.sequence(F.lit(0), blocks(F.col("large")) - 1), lambda k: tile("main", k, F.lit(0), F.lit(1)))
-    mine = place(blocks(F.col("few")))
-    among = F.transform(F.sequence(F.lit(0), blocks(F.col("few")) - 1),
-                        lambda k: tile("few", F.least(mine, k), F.greatest(mine, k), mine > k))
-    return (rows.select("rep", "lab", F.explode(F.when(inside, dealt).otherwise(F.concat(to_all, among))).alias("t"))
-            .select("t.block", "rep", "lab", "t.side"))
+def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    ship(df.sparkSession)
+    signed = checkpoint(_signed(df, id_col, text_col))
+    return rows_with_components(df, id_col, text_col, signed, _packed, _band_join, ["low"])
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, component): one row per row of ``df``; component is the smallest
     id that links reach, the row's own where nothing is linked."""
-    signed = checkpoint(_signed(df, id_col, text_col))
-    classes = (signed.filter("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-               .filter("rep IS NOT NULL"))
-    reps = (signed.join(classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "rep"),
-                        (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("id") == F.col("rep")))
-            .groupBy("rep", "h1", "h2").agg(F.first("n").alias("n"), F.first("keys").alias("keys"),
-                                            F.first("low").alias("low")))
-    reps = checkpoint(reps.select("rep", "n", "keys", "low"))
-    members = reps.select("rep", F.explode("keys").alias("key"))
-    buckets = (members.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"))
-               .filter("pivot <> last"))
-    shared = checkpoint(members.join(buckets, "key").select("key", "rep", "pivot"))
-    texts = (df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-             .join(shared.select("rep").distinct(), "rep", "left_semi"))
-    side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}"))
-
-    # of the pivots it meets, a class is compared with the one it shares most bands with
-    met = shared.filter("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("times"))
-    nearest = met.groupBy("rep").agg(F.max(F.struct("times", (-F.col("pivot")).alias("p"))).alias("m"))
-    first = (nearest.select((-F.col("m.p")).alias("a"), F.col("rep").alias("b"))
-             .join(side("a"), "a").join(side("b"), "b")
-             .filter(F.arrow_udf(_may_link, "boolean")("n_a", "n_b", "low_a", "low_b")).select("a", "b"))
-    links = checkpoint(_confirmed(first, texts))
-    found = connected_components(links)
-
-    labelled = (shared.join(found, F.col("rep") == F.col("node"), "left")
-                .select("key", "rep", F.coalesce("component", "rep").alias("lab")))
-    open_keys = (labelled.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi"))
-                 .filter("lo <> hi").select("key"))
-    tiles = _tiles(labelled.join(open_keys, "key")).join(reps.select("rep", "n", "low"), "rep")
-    second = (tiles.repartition("block").sortWithinPartitions("block")
-              .mapInArrow(_within_blocks, "a long, b long").distinct())
-    more = checkpoint(_confirmed(second, texts))
-    # the rest of the links join components as wholes
-    own = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-    joined = connected_components(
-        more.join(own("a"), "a", "left").join(own("b"), "b", "left")
-        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    inner = classes.select("rep").join(found, F.col("rep") == F.col("node"), "left").select(
-        "rep", F.coalesce("component", "rep").alias("c"))
-    outer = joined.select(F.col("node").alias("c"), F.col("component").alias("cc"))
-    found = inner.join(outer, "c", "left").select(
-        F.col("rep").alias("node"), F.coalesce("cc", "c").alias("component"))
-
-    known = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("component", "rep").alias("component"))
-    return (signed.select("id", "n", "h1", "h2")
-            .join(known, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
-            .select("id", "n", F.coalesce("component", "id").alias("component")))
+    return _rows(df, id_col, text_col).select("id", "n", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group (that of the smallest id);
     columns as they were.  Rows without an id stay.  Of rows that repeat both
-    the id and the text one stays."""
-    found = checkpoint(components(docs, id_col, text_col))
-    g, again = fresh(docs, "_gone"), fresh(docs, "_again")
-    gone = found.filter("component <> id").select(F.col("id").alias(g)).distinct()
-    repeated = found.groupBy("id").count().filter("id IS NOT NULL AND count > 1").select(F.col("id").alias(again))
-    single = docs.join(gone.unionByName(repeated.select(F.col(again).alias(g))), F.col(id_col) == F.col(g), "left_anti")
-    several = (docs.join(repeated, F.col(id_col) == F.col(again), "left_semi")
-               .join(gone, F.col(id_col) == F.col(g), "left_anti").dropDuplicates([id_col, text_col]))
-    return single.unionByName(several)
+    the id and the text one stays; other texts of an id are documents of their own."""
+    found = checkpoint(_rows(docs, id_col, text_col).filter("id IS NOT NULL"))
+    texts = found.groupBy("id", "th").agg(F.first("n").alias("n"), F.first("component").alias("component"),
+                                          F.count("*").alias("rows"))
+    # of a group, the smallest id's text; of several texts of that id, one
+    best = (texts.filter("n > 0 AND component = id").groupBy("component").agg(F.min("th").alias("best")))
+    judged = checkpoint(texts.join(best, "component", "left")
+                        .select("id", "th", "rows", ((F.col("n") > 0) & ((F.col("component") != F.col("id"))
+                                                                         | (F.col("th") != F.col("best")))).alias("gone"))
+                        .filter("gone OR rows > 1"))
+    touched = Bits(judged.select(F.xxhash64("id", "th").alias("hash")))
+    own = docs.withColumn(h := fresh(docs, "_th"), F.xxhash64(text_col))
+    maybe = F.col(id_col).isNotNull() & touched.hold(id_col, h)
+    gone = judged.filter("gone").select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th"))
+    left = (own.filter(maybe)
+            .join(gone, (F.col(id_col) == F.col("_gone_id")) & (F.col(h) == F.col("_gone_th")), "left_anti")
+            .dropDuplicates([id_col, h]))
+    return own.filter(~maybe).unionByName(left).drop(h)
 
 
 def op2_minhash(documents: DataFrame) -> DataFrame:

@@ -26,13 +26,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.clusters import groups_of, linked_components, shared_keys
-from colloquy.llm.common import bit_array, bits_hold, checkpoint, mix64, shingle_set, ship, text_bytes
+from colloquy.llm.clusters import groups_of, rows_with_components
+from colloquy.llm.common import checkpoint, mix64, shingle_set, ship, text_bytes
 
 WIDTH = 4         # words per shingle
 PERCENT = 85      # least similarity of a link
@@ -222,57 +221,12 @@ def _packed(texts: pa.Array) -> pa.Array:
     return pa.array([shingle_set(t, WIDTH).tobytes() for t in text_bytes(texts)], pa.binary())
 
 
-def _only(bits):
-    """Filters arrays of keys by a bit array."""
-    def filtered(keys: pa.Array) -> pa.Array:
-        values, ends = keys.flatten(), np.cumsum(np.append(0, pc.fill_null(pc.list_value_length(keys), 0).to_numpy(False)))
-        marks = bits_hold(np.frombuffer(bits.value, np.uint8), values.to_numpy().view(np.uint64))
-        left = np.append(0, np.cumsum(marks))[ends]
-        return pa.ListArray.from_arrays(pa.array(left, pa.int32()), values.filter(pa.array(marks)))
-    return F.arrow_udf(filtered, "array<bigint>")
-
-
-def _held(bits):
-    def held(hashes: pa.Array) -> pa.Array:
-        return pa.array(bits_hold(np.frombuffer(bits.value, np.uint8), hashes.to_numpy().view(np.uint64)))
-    return F.arrow_udf(held, "boolean")
-
-
-def _shared(signed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of shared_keys.  Keys are counted alone first; those that occur once,
-    nearly all of them, never travel with their nodes.  The others, and one row
-    of each class, are told by bit arrays, which let some more pass."""
-    broadcast = lambda df: df.sparkSession.sparkContext.broadcast(bit_array(df))
-    of_classes = signed.filter("n > 0").filter(_held(broadcast(classes.select(F.xxhash64("id", "th").alias("hash"))))(
-        F.xxhash64("id", "th"))).select("node", "keys")
-    twice = of_classes.select(F.explode("keys").alias("hash")).groupBy("hash").count().filter("count > 1")
-    members = of_classes.select("node", F.explode(_only(broadcast(twice))("keys")).alias("key")).distinct()
-    return checkpoint(shared_keys(members))
-
-
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, component): one row per row of ``df``; component is the smallest
     id that links reach."""
-    spark = df.sparkSession
-    ship(spark)
+    ship(df.sparkSession)
     signed = checkpoint(_signed(df, id_col, text_col))
-    row = F.min(F.struct(F.col("id").isNull().alias("x"), "id", "th"))  # of a class, one that has an id
-    classes = checkpoint(signed.filter("n > 0").groupBy("node").agg(row.alias("r")).select("node", "r.id", "r.th"))
-    shared = _shared(signed, classes)
-    owners = classes.join(shared.select("node").distinct(), "node", "left_semi").select(
-        "node", F.col("id").alias("oid"), F.col("th").alias("oth"))
-    bits = spark.sparkContext.broadcast(bit_array(owners.select(F.xxhash64("oid", "oth").alias("hash"))))
-    texts = df.select(F.col(id_col).alias("tid"), F.xxhash64(text_col).alias("tth"), F.col(text_col).alias("text"))
-    sets = checkpoint(texts.filter(_held(bits)(F.xxhash64("tid", "tth")))
-                      .join(owners, F.col("tid").eqNullSafe(F.col("oid")) & (F.col("tth") == F.col("oth")))
-                      .groupBy("node").agg(F.first("text").alias("text"))
-                      .select("node", F.arrow_udf(_packed, "binary")("text").alias("set")))
-    found = linked_components(shared, sets, _trie_join)
-    known = classes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = known.groupBy("component").agg(F.min("id").alias("least"))
-    known = known.join(least, "component").select("node", "least")
-    return (signed.select("id", "n", "node").join(known, "node", "left")
-            .select("id", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least")).alias("component")))
+    return rows_with_components(df, id_col, text_col, signed, _packed, _trie_join).select("id", "n", "component")
 
 
 def op13_ngram_join(documents: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from colloquy.llm import decontam, graph, gsaca, minhash, suffix, urls, warc
+from colloquy.llm import clusters, decontam, graph, gsaca, minhash, suffix, urls, warc
 from tests.conftest import SMALL_SF
 
 DOC = "doc_id long, text string"
@@ -75,7 +75,7 @@ def test_op2(spark, copies):
 
 
 def test_small_blocks_lose_nothing(spark, copies, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 2)
+    monkeypatch.setattr(clusters, "BLOCK", 2)
     got = minhash.op2_minhash(spark.createDataFrame(copies, DOC)).collect()
     want = components_of(copies)
     assert {(r.doc_id, r.component_id) for r in got} == {(i, want[i]) for i, _ in copies}
@@ -93,6 +93,17 @@ def test_rows_without_an_id_and_empty_table(spark):
     assert minhash.op2_minhash(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_other_texts_of_an_id_stay(spark):
+    rows = [(1, "x y z a b c d"), (2, "x y z a b c d"), (2, "another text that is not like it at all"), (2, "X y z a b c d"),
+            (3, "another text that is not like it at all"), (3, ""), (3, None), (3, "")]
+    got = minhash.op2_minhash(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [
+        (1, 3, 1), (2, 3, 1), (2, 3, 1), (2, 5, 2), (3, 0, 3), (3, 0, 3), (3, 0, 3), (3, 5, 2)]
+    left = minhash.drop_near_duplicates(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == [
+        (1, "x y z a b c d"), (2, "another text that is not like it at all"), (3, ""), (3, None)]
+
+
 def test_signature_estimates_the_similarity():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 1 << 63, 4000, np.uint64))
