@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import bit_array, bits_hold, checkpoint
+from colloquy.llm.common import bit_array, bits_hold, materialized
 from colloquy.llm.graph import connected_components
 
 BLOCK = 1024             # nodes of a block
@@ -68,7 +68,7 @@ def _pivot_blocks(shared: DataFrame, sets: DataFrame) -> DataFrame:
     met = shared.filter("node <> pivot").groupBy("node", "pivot").agg(F.sum("weight").alias("times"))
     nearest = (met.groupBy("node").agg(F.max(F.struct("times", "pivot")).alias("m"))
                .select("node", F.col("m.pivot").alias("pivot")))
-    nearest = checkpoint(nearest.join(sets.select("node", F.octet_length("set").alias("size")), "node"))
+    nearest = materialized(nearest.join(sets.select("node", F.octet_length("set").alias("size")), "node"))
     groups = nearest.groupBy("pivot").agg(_blocks(F.sum("size"), F.count("*")).alias("blocks"))
     block = lambda k: F.xxhash64("pivot", k).alias("block")
     dealt = nearest.join(groups, "pivot").select(block(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "node")
@@ -95,7 +95,7 @@ def _open_blocks(still: DataFrame, sets: DataFrame) -> DataFrame:
     gangs = connected_components(still.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     size = sets.select("node", F.octet_length("set").alias("size"))
     held = still.groupBy("node").agg(F.count("*").alias("keys"))
-    sized = checkpoint(gangs.select("node", F.col("component").alias("gang")).join(size, "node").join(held, "node"))
+    sized = materialized(gangs.select("node", F.col("component").alias("gang")).join(size, "node").join(held, "node"))
     loose = (sized.groupBy("gang").agg(_blocks(F.sum("size"), F.count("*")).alias("blocks"), F.avg("keys").alias("keys"))
              .filter("blocks > 1 AND blocks > keys").select("gang"))
     by_key = still.select("key", "node").join(sized.join(loose, "gang", "left_semi").select("node", "size"), "node")
@@ -109,22 +109,22 @@ def _links(blocks: DataFrame, labels: DataFrame | None, sets: DataFrame, join) -
         rows = rows.withColumn("lab", F.col("node"))
     else:
         rows = rows.join(labels, "node", "left").withColumn("lab", F.coalesce("component", "node")).drop("component")
-    return checkpoint(rows.select("block", "node", "lab", "side", *[c for c in sets.columns if c != "node"])
+    return materialized(rows.select("block", "node", "lab", "side", *[c for c in sets.columns if c != "node"])
                       .repartition("block").sortWithinPartitions("block").mapInArrow(join, "a long, b long"))
 
 
 def linked_components(shared: DataFrame, sets: DataFrame, join) -> DataFrame:
     """(node, component) of the nodes that are linked with others.
 
-    ``shared``: checkpointed rows of shared_keys; ``sets``: (node, set, ...),
-    checkpointed; ``join``: for mapInArrow, rows (block, node, lab, side, set, ...)
+    ``shared``: written rows of shared_keys; ``sets``: (node, set, ...),
+    written; ``join``: for mapInArrow, rows (block, node, lab, side, set, ...)
     in order of block -> links (a, b) that join different labs."""
-    found = checkpoint(connected_components(_links(_pivot_blocks(shared, sets), None, sets, join)))
+    found = materialized(connected_components(_links(_pivot_blocks(shared, sets), None, sets, join)))
     lab = F.coalesce("component", "node")
     labelled = shared.join(found, "node", "left").select("key", "node", lab.alias("lab"))
     open_keys = (labelled.groupBy("key").agg(F.min("lab").alias("lo"), F.max("lab").alias("hi"))
                  .filter("lo <> hi").select("key"))
-    still = checkpoint(shared.join(open_keys, "key").select("key", "node", "pivot"))
+    still = materialized(shared.join(open_keys, "key").select("key", "node", "pivot"))
     if still.isEmpty():
         return found
     more = _links(_open_blocks(still, sets), found, sets, join)
@@ -174,7 +174,7 @@ def _shared(signed: DataFrame, classes: DataFrame) -> DataFrame:
     of_class = Bits(classes.select(F.xxhash64("id", "th").alias("hash")))
     rows = signed.filter("n > 0").filter(of_class.hold("id", "th")).select("node", "keys")
     twice = Bits(rows.select(F.explode("keys").alias("hash")).groupBy("hash").count().filter("count > 1"))
-    shared = checkpoint(shared_keys(rows.select("node", F.explode(twice.only("keys")).alias("key")).distinct()))
+    shared = materialized(shared_keys(rows.select("node", F.explode(twice.only("keys")).alias("key")).distinct()))
     of_class.done(), twice.done()
     return shared
 
@@ -183,20 +183,20 @@ def rows_with_components(df: DataFrame, id_col: str, text_col: str, signed: Data
                          carried: list[str] | None = None) -> DataFrame:
     """(id, th, n, node, component) per row of ``df``.
 
-    ``signed``: checkpointed (id, th, n, node, keys, ...), th being the text's
+    ``signed``: written (id, th, n, node, keys, ...), th being the text's
     xxhash64, node the hash of its set, n the set's size; ``pack``: texts -> sets,
     an Arrow function; ``carried``: columns of ``signed`` that ``join`` wants.
     Component is the smallest id that links reach: that of the row where n is 0."""
     carried = carried or []
     row = F.min(F.struct(F.col("id").isNull().alias("x"), "id", "th"))  # of a class, one that has an id
-    classes = checkpoint(signed.filter("n > 0").groupBy("node").agg(row.alias("r"), *[F.first(c).alias(c) for c in carried])
+    classes = materialized(signed.filter("n > 0").groupBy("node").agg(row.alias("r"), *[F.first(c).alias(c) for c in carried])
                          .select("node", "r.id", "r.th", *carried))
     shared = _shared(signed, classes)
     owners = (classes.join(shared.select("node").distinct(), "node", "left_semi")
               .withColumnsRenamed({"id": "oid", "th": "oth"}))
     wanted = Bits(owners.select(F.xxhash64("oid", "oth").alias("hash")))
     texts = df.select(F.col(id_col).alias("tid"), F.xxhash64(text_col).alias("tth"), F.col(text_col).alias("text"))
-    sets = checkpoint(texts.filter(wanted.hold("tid", "tth"))
+    sets = materialized(texts.filter(wanted.hold("tid", "tth"))
                       .join(owners, F.col("tid").eqNullSafe(F.col("oid")) & (F.col("tth") == F.col("oth")))
                       .groupBy("node", *carried).agg(F.first("text").alias("text"))
                       .select("node", F.arrow_udf(pack, "binary")("text").alias("set"), *carried))

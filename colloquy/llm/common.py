@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import time
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -68,6 +69,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again.  Like a checkpoint, but
+    the plan starts anew: a checkpoint hands on the constraints of its plan, and
+    in jobs of many rounds the optimizer's work on them grows with every round."""
+    folder = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files that only lineage before a checkpoint
     needed.  It does so when the driver's JVM collects garbage, which a job with

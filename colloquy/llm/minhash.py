@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.clusters import Bits, groups_of, rows_with_components
-from colloquy.llm.common import checkpoint, fresh, mix64, shingle_set, ship, text_bytes
+from colloquy.llm.common import fresh, materialized, mix64, shingle_set, ship, text_bytes
 
 WIDTH = 5            # words per shingle
 PERCENT = 75         # least similarity of a link
@@ -147,7 +147,7 @@ def _band_join(batches):
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ship(df.sparkSession)
-    signed = checkpoint(_signed(df, id_col, text_col))
+    signed = materialized(_signed(df, id_col, text_col))
     return rows_with_components(df, id_col, text_col, signed, _packed, _band_join, ["low"])
 
 
@@ -161,12 +161,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group (that of the smallest id);
     columns as they were.  Rows without an id stay.  Of rows that repeat both
     the id and the text one stays; other texts of an id are documents of their own."""
-    found = checkpoint(_rows(docs, id_col, text_col).filter("id IS NOT NULL"))
+    found = materialized(_rows(docs, id_col, text_col).filter("id IS NOT NULL"))
     texts = found.groupBy("id", "th").agg(F.first("n").alias("n"), F.first("component").alias("component"),
                                           F.count("*").alias("rows"))
     # of a group, the smallest id's text; of several texts of that id, one
     best = (texts.filter("n > 0 AND component = id").groupBy("component").agg(F.min("th").alias("best")))
-    judged = checkpoint(texts.join(best, "component", "left")
+    judged = materialized(texts.join(best, "component", "left")
                         .select("id", "th", "rows", ((F.col("n") > 0) & ((F.col("component") != F.col("id"))
                                                                          | (F.col("th") != F.col("best")))).alias("gone"))
                         .filter("gone OR rows > 1"))

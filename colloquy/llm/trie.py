@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.clusters import groups_of, rows_with_components
-from colloquy.llm.common import checkpoint, mix64, shingle_set, ship, text_bytes
+from colloquy.llm.common import materialized, mix64, shingle_set, ship, text_bytes
 
 WIDTH = 4         # words per shingle
 PERCENT = 85      # least similarity of a link
@@ -225,7 +225,7 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, n, component): one row per row of ``df``; component is the smallest
     id that links reach."""
     ship(df.sparkSession)
-    signed = checkpoint(_signed(df, id_col, text_col))
+    signed = materialized(_signed(df, id_col, text_col))
     return rows_with_components(df, id_col, text_col, signed, _packed, _trie_join).select("id", "n", "component")
 
 
