@@ -20,6 +20,7 @@ from colloquy.operators.scoring import composite, ordered_score_columns, to_tall
 from colloquy.operators.segments import flatten_text, segment_of
 from colloquy.operators.sentences import sentences
 from colloquy.plans import inputs as I
+from colloquy.plans import jobs as J
 from colloquy.session import materialize
 from colloquy.sources.decoders import (UTTERANCE_SCHEMA, decode_ids, decode_lines, decode_manifest_lines,
                                        decode_scores, decode_utterances, is_json, malformed_json)
@@ -62,6 +63,7 @@ GIVEN_RUNS = tuple(dict.fromkeys([r for r, _ in R.CATALOGUE["best_of_each"]]
                                  + [r for r, _ in R.GROUP_CATALOGUE["summary_vs_none_overall"]]
                                  + ["gpt4o-3-seg", "llama-70b-3-seg"]))
 SCORE_FILE_SUFFIX = "-3-seg"
+RAW_RUN, RAW_CHUNKS = "raw", 3
 # --------------------------------------------------------------------------
 
 
@@ -412,6 +414,19 @@ def parse_problems(spark, sf_dir):
     return bad.unionByName(parts.select("id", F.lit("read").alias("state"), "segment", "text"))
 
 
+def raw_transcript_files(spark, sf_dir):
+    """The files of the raw-transcript mode, three chunks a transcript.  As in
+    transcripts with pauses, some utterances are just a line end."""
+    utts = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("id"), F.col("turn").cast("int").alias("pos"),
+        F.lit(None).cast("double").alias("start_s"), F.lit(None).cast("double").alias("end_s"),
+        F.when((F.col("conv_id") + F.col("turn")) % 4 == 1, "\n").otherwise(F.col("text")).alias("text"))
+    files = J.raw_transcript_files(utts, RAW_CHUNKS, RAW_RUN, chunked=True)
+    parts = F.from_json("json", "map<string,array<struct<text:string>>>")
+    return files.select("name", "txt", F.transform(F.sequence(F.lit(0), F.lit(RAW_CHUNKS - 1)), lambda k: F.size(
+        parts[F.concat(F.lit("chunk "), k.cast("string"))])).cast("string").alias("json_rows"))
+
+
 def flagship(spark, sf_dir):
     """Every score of every run, averaged per (run, segment)."""
     return I.rounded(R.segment_means(I.scores(spark, sf_dir)))
@@ -463,5 +478,6 @@ def queries() -> dict[str, Query]:
         "compare_summary_overall": compare_summary_overall,
         "transcript_curves": transcript_curves,
         "parse_problems": parse_problems,
+        "raw_transcript_files": raw_transcript_files,
         "flagship_segment_means": flagship,
     }

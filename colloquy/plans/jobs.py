@@ -27,7 +27,7 @@ from colloquy.sources.decoders import (TURN_SCHEMA, UTTERANCE_SCHEMA, decode_lin
                                        decode_utterances, is_json, malformed_json, read_exported, read_ids,
                                        read_paths, read_whole, without_suffix)
 from colloquy.operators.sentences import sentences
-from colloquy.sources.sinks import render_sentences_json
+from colloquy.sources.sinks import output_name, render_chunked_json, render_sentences_json, render_txt
 
 RUN_KEYS = ["run_name", "id"]
 
@@ -206,3 +206,17 @@ def labelling_requests(spark: SparkSession, raw_dir: str, runs: Sequence[Labelli
                           transcripts=files.select("id", listed).select("id", "_r.*")) \
         .select("run_name", "id", F.col("segment").alias("chunk"), "text")
     return build_requests(chunks, labelling_runs(spark, runs), prompts, stage, summaries, summary_chunking)
+
+
+def raw_transcript_files(utts: DataFrame, chunk_num: int, run_name: str | None = None,
+                         chunked: bool = False) -> DataFrame:
+    """Raw-transcript mode, which asks no model: ``utts (id, pos, start_s, end_s,
+    text)`` -> (name, txt, json), the transcript's chunks as a labelling run
+    writes them.  ``name`` is the file's, ``<run_name>_<id>`` or the id alone;
+    an utterance that is just a line end counts as a row of its chunk and is
+    left out of the txt, not of the JSON."""
+    chunks = flatten_text(utts, ["id"], chunk_num, "never").select(
+        "id", F.col("segment").alias("chunk"), F.col("text").alias("answer"))
+    txt = render_txt(chunks, ["id"], chunked, value_col="txt")
+    js = render_chunked_json(utts, chunk_num, ["id"], value_col="json")
+    return txt.join(js, "id").select(output_name(F.lit(run_name).cast("string"), "id").alias("name"), "txt", "json")

@@ -527,6 +527,18 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(g.chunk_num AS INTEGER) AS chunk_num, g.id, CAST(g.chunk AS INTEGER) AS chunk, "
         "coalesce(a.t, '') AS text, coalesce(a.n_utt, 0) AS n_utterances FROM (SELECT cn.chunk_num, n.id, "
         "unnest(range(cn.chunk_num)) AS chunk FROM n CROSS JOIN cn) g LEFT JOIN agg a USING (chunk_num, id, chunk)")
+    heading = f"'chunk ' || CAST(chunk AS VARCHAR) || ':' || {lit(chr(10) * 2)}"
+    out["raw_transcript_files"] = with_([
+        "utts AS (SELECT CAST(conv_id AS VARCHAR) AS id, CAST(turn AS INTEGER) AS pos, "
+        "CASE WHEN (conv_id + turn) % 4 = 1 THEN chr(10) ELSE text END AS text FROM conversations)",
+        "n AS (SELECT id, count(*) AS n_rows FROM utts GROUP BY id)",
+        f"rows AS (SELECT u.id, u.pos, u.text, {seg('u.pos', 'n.n_rows', '3')} AS chunk FROM utts u JOIN n USING (id))",
+        "agg AS (SELECT id, chunk, string_agg(CASE WHEN text <> chr(10) THEN ' ' || text END, '' ORDER BY pos) AS t, "
+        "count(*) AS c FROM rows GROUP BY ALL)",
+        "grid AS (SELECT g.id, g.chunk, coalesce(t, '') AS t, coalesce(c, 0) AS c FROM (SELECT id, unnest(range(3)) AS chunk "
+        "FROM n) g LEFT JOIN agg a USING (id, chunk))"],
+        f"SELECT 'raw_' || id AS name, string_agg({heading} || t || {lit(chr(10) * 2)}, '' ORDER BY chunk) AS txt, "
+        "'[' || string_agg(CAST(c AS VARCHAR), ', ' ORDER BY chunk) || ']' AS json_rows FROM grid GROUP BY id")
     out["chunked_json"] = with_([
         "conv AS (SELECT CAST(conv_id AS VARCHAR) AS id, CAST(turn AS INTEGER) AS pos, "
         f"CAST(turn * {SECONDS_PER_TURN} AS DOUBLE) AS start_s, CAST(turn * {SECONDS_PER_TURN} AS DOUBLE) + "

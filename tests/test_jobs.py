@@ -191,3 +191,18 @@ def test_manifest_first_match_and_missing_files(spark, tmp_path):
     (tmp_path / "ids.jsonl").write_text('{"id": "01"}\n{"id": "03"}\n')
     files = spark.createDataFrame([("01", "x")], "id string, value string")
     assert [r.id for r in missing_files(read_ids(spark, str(tmp_path / "ids.jsonl")), files).collect()] == ["03"]
+
+
+def test_raw_transcript_files(spark):
+    import json
+    from colloquy.plans.jobs import raw_transcript_files
+    rows = [("01", k, float(k), k + 1.0, t) for k, t in enumerate(["a", "\n", "b b", "c", "d"])] + [("2", 0, 0.0, 1.0, "x")]
+    utts = spark.createDataFrame(rows, "id string, pos int, start_s double, end_s double, text string")
+    got = {r.name: r for r in raw_transcript_files(utts, 2, "run").collect()}
+    assert set(got) == {"run_01", "run_2"}
+    assert got["run_01"].txt == " a\n\n b b c d\n\n"
+    chunks = json.loads(got["run_01"].json)
+    assert {k: [u["text"] for u in v] for k, v in chunks.items()} == {"chunk 0": ["a", "\n"], "chunk 1": ["b b", "c", "d"]}
+    assert {k: len(v) for k, v in json.loads(got["run_2"].json).items()} == {"chunk 0": 0, "chunk 1": 1}
+    alone = {r.name: r for r in raw_transcript_files(utts, 1).collect()}
+    assert set(alone) == {"01", "2"} and [u["text"] for u in json.loads(alone["01"].json)] == ["a", "\n", "b b", "c", "d"]
