@@ -2,8 +2,9 @@
 
 * normalised Levenshtein similarity ``1 - lev(a, b) / max(len a, len b)``,
   1.0 when the strings are equal (both empty included); code points.
-* diff ratio: Python's ``difflib.SequenceMatcher(None, a, b).ratio()``,
-  ``2 M / (len a + len b)``, autojunk on by default.
+* diff ratio: ``2 M / (len a + len b)``, M the characters in matching blocks
+  (``colloquy.functions.matching``), autojunk on by default; equal to the
+  standard library's ``SequenceMatcher(None, a, b).ratio()``.
 
 Levenshtein runs JVM-side (``F.levenshtein``) for short pairs.  Its cost is
 quadratic, so for long pairs an Arrow-batched kernel (bit-parallel edit
@@ -15,13 +16,11 @@ differ too much in length to share one padded loop.)  ``F.when`` does not keep r
 Python UDF, so short pairs are sent to the kernel as NULLs and the two results
 are merged with ``coalesce``.
 
-The diff ratio has no Spark built-in; its semantics (junk heuristic, matching
-block order) are those of the stdlib, so the kernel calls the stdlib.
+The diff ratio has no Spark built-in either; its kernel is numpy per pair.
 """
 
 from __future__ import annotations
 
-import difflib
 import sys
 
 import pandas as pd
@@ -30,6 +29,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colloquy.functions.matching import ratio
 from colloquy.functions.text import col_
 
 # The kernels travel with the task (pickled by value), so executors need not
@@ -125,7 +125,7 @@ def edit_distances(a_list, b_list) -> list:
 
 def _ratio_memo(a: str, b: str, autojunk: bool) -> float:
     return _memoised(("diff", autojunk, a, b),
-                     lambda: difflib.SequenceMatcher(None, a, b, autojunk=autojunk).ratio())
+                     lambda: ratio(a, b, autojunk))
 
 
 def lev_similarity_py(a: str, b: str) -> float:
@@ -136,10 +136,6 @@ def lev_similarity_py(a: str, b: str) -> float:
     return 1.0 - edit_distance(a, b) / longest
 
 
-def diff_ratio_py(a: str, b: str, autojunk: bool = True) -> float:
-    return difflib.SequenceMatcher(None, a, b, autojunk=autojunk).ratio()
-
-
 @F.pandas_udf(T.LongType())
 def _edit_distance_kernel(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(edit_distances(a.tolist(), b.tolist()), dtype="Int64")
@@ -177,7 +173,7 @@ def lev_similarity(a, b, native_max_cells: int = LEVENSHTEIN_NATIVE_MAX_CELLS) -
 
 
 def diff_ratio(a, b, autojunk: bool = True) -> Column:
-    """``SequenceMatcher(None, a, b).ratio()`` (argument order matters)."""
+    """Diff ratio of ``a`` and ``b``; the argument order matters."""
     a, b = col_(a), col_(b)
     kernel = _diff_ratio_kernel if autojunk else _diff_ratio_kernel_nojunk
     # equal strings (both empty included): 1.0; one side empty: 0.0 -- stays in the JVM

@@ -259,7 +259,88 @@ def lev(a: str, b: str) -> str:
 
 
 def with_(ctes: list[str], select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + select
+
+
+# ---------------------------------------------------------------- diff ratio
+def stretch(source: str, name: str, most: str, a: str, b: str, back: bool) -> str:
+    """Subquery: ``source`` and ``name``, how many characters (at most ``most``)
+    of ``a`` and ``b`` are equal from the 1-based places ``a_at``, ``b_at`` on, or
+    up to there when ``back``; found by adding powers of two, the largest first."""
+    query = f"SELECT *, 0 AS {name}_0 FROM ({source})"
+    powers = [1 << p for p in range(20, -1, -1)]
+    for step, p in enumerate(powers):
+        done = f"{name}_{step}"
+        at = (lambda x: f"{x}_at - {done} - {p - 1}") if back else (lambda x: f"{x}_at + {done}")
+        query = (f"SELECT * EXCLUDE ({done}), CASE WHEN {done} + {p} <= {most} "
+                 f"AND substr({a}, {at('a')}, {p}) = substr({b}, {at('b')}, {p}) THEN {done} + {p} ELSE {done} END "
+                 f"AS {name}_{step + 1} FROM ({query})")
+    return f"SELECT * EXCLUDE ({name}_{len(powers)}), {name}_{len(powers)} AS {name} FROM ({query})"
+
+
+def diff_ctes(pairs: str) -> list[str]:
+    """CTEs ending in ``diff_ratios`` (a, b, ratio) for the distinct pairs of the
+    query ``pairs`` (a, b), texts in ASCII codes.  A row of ``parts`` is a part of a pair still to
+    be matched: its longest run of characters that are not popular (ties to the
+    least place in a, then in b), prolonged by all characters, leaves two parts."""
+    longest = ("SELECT w.pid, w.alo, w.ahi, w.blo, w.bhi, "
+               "max(((least(r.stop, w.ahi, w.bhi - r.d) - greatest(r.start, w.alo, w.blo - r.d)) << 42) + "
+               f"(({(1 << 21) - 1} - greatest(r.start, w.alo, w.blo - r.d)) << 21) + "
+               f"({(1 << 21) - 1} - greatest(r.start, w.alo, w.blo - r.d) - r.d)) AS best "
+               "FROM parts w LEFT JOIN diagonal_runs r ON r.pid = w.pid "
+               "AND least(r.stop, w.ahi, w.bhi - r.d) > greatest(r.start, w.alo, w.blo - r.d) "
+               "WHERE w.alo < w.ahi AND w.blo < w.bhi GROUP BY w.pid, w.alo, w.ahi, w.blo, w.bhi")
+    low = (1 << 21) - 1
+    found = ("SELECT m.* EXCLUDE (best), p.a, p.b, coalesce(best >> 42, 0) AS n, "
+             f"coalesce({low} - ((best >> 21) & {low}), alo) AS i, coalesce({low} - (best & {low}), blo) AS j "
+             f"FROM ({longest}) m JOIN diff_pairs p USING (pid)")
+    before = stretch(f"SELECT *, i AS a_at, j AS b_at FROM ({found})", "more", "least(i - alo, j - blo)", "a", "b", True)
+    after = stretch(f"SELECT * REPLACE (i + n + 1 AS a_at, j + n + 1 AS b_at) FROM ({before})", "further",
+                    "least(ahi - i - n, bhi - j - n)", "a", "b", False)
+    left = "{'alo': alo, 'ahi': i - more, 'blo': blo, 'bhi': j - more, 'size': more + n + further}"
+    right = "{'alo': i + n + further, 'ahi': ahi, 'blo': j + n + further, 'bhi': bhi, 'size': 0}"
+    return [
+        f"diff_pairs AS MATERIALIZED (SELECT row_number() OVER () AS pid, a, b FROM (SELECT DISTINCT a, b FROM ({pairs}) "
+        "WHERE a <> b AND a <> '' AND b <> ''))",
+        "b_places AS (SELECT pid, length(b) AS len, unnest(range(length(b))) AS j, unnest(string_split(b, '')) AS ch "
+        "FROM diff_pairs)",
+        "rare AS (SELECT pid, ch FROM b_places GROUP BY pid, ch, len HAVING len < 200 OR count(*) <= len // 100 + 1)",
+        "a_places AS (SELECT pid, unnest(range(length(a))) AS i, unnest(string_split(a, '')) AS ch FROM diff_pairs)",
+        "points AS (SELECT x.pid, x.i, y.j - x.i AS d FROM a_places x JOIN rare USING (pid, ch) "
+        "JOIN b_places y USING (pid, ch))",
+        "diagonal_runs AS MATERIALIZED (SELECT pid, d, min(i) AS start, max(i) + 1 AS stop FROM (SELECT pid, d, i, "
+        "i - row_number() OVER (PARTITION BY pid, d ORDER BY i) AS island FROM points) GROUP BY pid, d, island)",
+        "parts AS (SELECT pid, CAST(0 AS BIGINT) AS alo, length(a) AS ahi, CAST(0 AS BIGINT) AS blo, length(b) AS bhi, "
+        "CAST(0 AS BIGINT) AS size FROM diff_pairs UNION ALL "
+        "SELECT pid, c.alo, c.ahi, c.blo, c.bhi, c.size FROM (SELECT pid, unnest([" + left + ", " + right + "]) AS c "
+        f"FROM ({after}) WHERE more + n + further > 0))",
+        "diff_ratios AS (SELECT a, b, CAST(2 * sum(size) AS DOUBLE) / (length(a) + length(b)) AS ratio "
+        "FROM parts JOIN diff_pairs USING (pid) GROUP BY a, b)",
+    ]
+
+
+def diff_scores_ctes() -> list[str]:
+    """``diff_scores`` (run_name, id, segment, diff_*) from pred_seg, gold_seg, raw_seg and codec."""
+    ascii_ = lambda x: f"translate({x}, codec.src, codec.dst)"
+    value = lambda a, b, k: (f"(CASE WHEN {a} = {b} THEN CAST(1.0 AS DOUBLE) "
+                             f"WHEN {a} = '' OR {b} = '' THEN CAST(0.0 AS DOUBLE) ELSE {k}.ratio END)")
+    trio = [("raw", "bare", "diff_pres"), ("bare", "gold", "diff_baseline"), ("gold", "pred", "diff_acc")]
+    joins = " ".join(f"LEFT JOIN diff_ratios x{k} ON x{k}.a = t.{a} AND x{k}.b = t.{b}"
+                     for k, (a, b, _) in enumerate(trio))
+    return [
+        f"diff_texts AS MATERIALIZED (SELECT p.run_name, p.id, p.segment, {ascii_('p.bare')} AS bare, "
+        f"{ascii_('p.labelled')} AS pred, {ascii_('g.labelled')} AS gold, {ascii_('r.text')} AS raw FROM pred_seg p "
+        "LEFT JOIN gold_seg g USING (id, segment) LEFT JOIN raw_seg r USING (id, segment) CROSS JOIN codec)",
+        *diff_ctes(" UNION ALL ".join(f"SELECT {a} AS a, {b} AS b FROM diff_texts" for a, b, _ in trio)),
+        "diff0 AS (SELECT t.run_name, t.id, t.segment, "
+        + ", ".join(f"{value(f't.{a}', f't.{b}', f'x{k}')} AS {name}" for k, (a, b, name) in enumerate(trio))
+        + f" FROM diff_texts t {joins})",
+        "diff_scores AS (SELECT *, (diff_acc - diff_baseline) / nullif(CAST(1.0 AS DOUBLE) - diff_baseline, 0) "
+        "AS diff_acc_normed FROM diff0)",
+        "all_scores AS (SELECT *, (lev_acc + diff_acc) / 2 AS composite, "
+        "(lev_acc_normed + diff_acc_normed) / 2 AS composite_normed FROM scores JOIN diff_scores "
+        "USING (run_name, id, segment))",
+    ]
 
 
 # ----------------------------------------------------------- scoring queries
@@ -592,6 +673,17 @@ def oracle_sql() -> dict[str, str]:
     out["accuracy_lev_json"] = score_select(["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline"],
                                             source="json")
     ctes, _ = scored_sql()
+    ctes += diff_scores_ctes()
+    diff_cols = ["diff_pres", "diff_acc", "diff_acc_normed", "diff_baseline"]
+    every = ["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline", *diff_cols, "composite", "composite_normed"]
+    out["diff_ratio_scores"] = with_(ctes, f"SELECT run_name, id, segment, {r6(diff_cols)} FROM diff_scores")
+    out["score_table"] = with_(ctes, f"SELECT run_name, id, segment, {r6(every)} FROM all_scores")
+    avgs = ", ".join(f"round(avg({c}), 6) AS {c}" for c in every)
+    out["flagship_segment_means"] = with_(
+        ctes + [f"m AS (SELECT run_name, segment, count(*) AS n_rows, {avgs} FROM all_scores GROUP BY run_name, segment)"],
+        "SELECT run_name, segment, CAST(max(segment) OVER (PARTITION BY run_name) + 1 AS INTEGER) AS n_segments, "
+        f"n_rows, {', '.join(every)} FROM m")
+    ctes, _ = scored_sql()
     tall = " UNION ALL ".join(
         f"SELECT run_name || {q(SCORE_FILE_SUFFIX)} AS run_name, {q(fam)} AS family, {q(met)} AS metric, id, "
         f"segment, round({col}, 6) AS score FROM scores"

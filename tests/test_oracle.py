@@ -14,7 +14,7 @@ from oracle_check import TABLES, rows_key  # noqa: E402
 
 CHEAP = ["transcript_ids", "utterances_from_json", "manifest_lookup", "lines_from_text",
          "sentences_from_text", "chunk_transcript", "chunked_json", "parse_labelled",
-         "consolidate_literal", "render_chunked", "accuracy_lev", "model_requests"]
+         "consolidate_literal", "render_chunked", "accuracy_lev", "model_requests", "score_table"]
 
 
 @pytest.fixture(scope="module")

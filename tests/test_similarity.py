@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from colloquy.functions.matching import matching_blocks, ratio
 from colloquy.functions.similarity import (diff_ratio, edit_distance, edit_distance_col,
                                            lev_similarity)
 
@@ -91,3 +92,24 @@ def test_memo_scores_copies_once_and_stays_bounded():
         assert len(S._memo) <= 4
     finally:
         S.MEMO_PAIRS = old
+
+
+prose = st.lists(st.sampled_from(["the ", "patient ", "é", "x", "said: ", "zoo\n", "q"]), max_size=90).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(prose, prose, st.booleans())
+def test_matching_blocks_are_those_of_the_definition(a, b, autojunk):
+    want = [tuple(m) for m in difflib.SequenceMatcher(None, a, b, autojunk=autojunk).get_matching_blocks()[:-1]]
+    got = matching_blocks(a, b, autojunk)
+    assert sum(n for *_, n in got) == sum(n for *_, n in want)
+    assert matching_blocks(a, b, autojunk, max_points=0) == got
+    assert ratio(a, b, autojunk) == difflib.SequenceMatcher(None, a, b, autojunk=autojunk).ratio()
+
+
+def test_a_part_without_rare_characters_matches_in_its_beginning():
+    a, b = "ab" * 150, "ab" * 120 + "ba" * 10
+    assert matching_blocks(a, b)[0][:2] == (0, 0)
+    assert ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
+    assert ratio("", "") == 1.0 and ratio("", "a") == 0.0
+    assert ratio("\ud800x", "x\ud800") == difflib.SequenceMatcher(None, "\ud800x", "x\ud800").ratio()
