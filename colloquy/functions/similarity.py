@@ -97,35 +97,9 @@ def edit_distance(a: str, b: str) -> int:
     return dist
 
 
-# Copies of one (id, segment) pair -- the same labelled text from many runs --
-# land in the same task (the exchange is on (id, segment)); a bounded memo per
-# Python worker scores each distinct pair once.
-MEMO_PAIRS = 2048
-_memo: dict = {}
-
-
-def _memoised(key, compute):
-    """Look ``key`` up, computing and keeping it when absent; the memo is
-    emptied when it holds MEMO_PAIRS entries, so its size stays bounded."""
-    hit = _memo.get(key)
-    if hit is None:
-        hit = compute()
-        if len(_memo) >= MEMO_PAIRS:
-            _memo.clear()
-        _memo[key] = hit
-    return hit
-
-
 def edit_distances(a_list, b_list) -> list:
     """Distances for a batch of pairs (None where a side is None)."""
-    return [None if (a is None or b is None)
-            else _memoised(("lev", a, b), lambda a=a, b=b: edit_distance(a, b))
-            for a, b in zip(a_list, b_list)]
-
-
-def _ratio_memo(a: str, b: str, autojunk: bool) -> float:
-    return _memoised(("diff", autojunk, a, b),
-                     lambda: ratio(a, b, autojunk))
+    return [None if (a is None or b is None) else edit_distance(a, b) for a, b in zip(a_list, b_list)]
 
 
 def lev_similarity_py(a: str, b: str) -> float:
@@ -143,13 +117,13 @@ def _edit_distance_kernel(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def _diff_ratio_kernel(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = [None if (x is None or y is None) else _ratio_memo(x, y, True) for x, y in zip(a, b)]
+    out = [None if (x is None or y is None) else ratio(x, y, True) for x, y in zip(a, b)]
     return pd.Series(out, dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
 def _diff_ratio_kernel_nojunk(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = [None if (x is None or y is None) else _ratio_memo(x, y, False) for x, y in zip(a, b)]
+    out = [None if (x is None or y is None) else ratio(x, y, False) for x, y in zip(a, b)]
     return pd.Series(out, dtype="float64")
 
 

@@ -81,17 +81,38 @@ def test_trimmed_affixes_do_not_change_distance():
     assert edit_distances(A, Bs) == [1, 0, 3, None]
 
 
-def test_memo_scores_copies_once_and_stays_bounded():
-    from colloquy.functions import similarity as S
+def test_each_distinct_pair_is_scored_once(spark):
+    from colloquy.operators.scoring import score_pairs
     a, b = "the patient said hello " * 20, "the student said hello " * 20
-    assert S.edit_distances([a, a, a], [b, b, b]) == [dp(a, b)] * 3
-    old = S.MEMO_PAIRS
-    try:
-        S.MEMO_PAIRS = 4
-        S.edit_distances([str(i) * 3 for i in range(10)], ["x" * 3] * 10)
-        assert len(S._memo) <= 4
-    finally:
-        S.MEMO_PAIRS = old
+    rows = [(1, 2, a, b)] * 500 + [(3, 4, b, a)] * 3 + [(7, None, None, None)] * 50
+    got = score_pairs(spark.createDataFrame(rows, "h1 long, h2 long, a string, b string").repartition(4)).collect()
+    lev = 1 - dp(a, b) / len(a)
+    assert sorted((r.h1, r.h2, round(r.levenshtein, 12)) for r in got) == [(1, 2, round(lev, 12)), (3, 4, round(lev, 12))]
+
+
+def test_pairs_shared_by_many_runs_keep_every_row(spark):
+    """Copies, empty, equal and missing sides: a row per prediction, as one by one."""
+    from colloquy.operators.scoring import score_segments
+    said = "the patient said hello " * 9
+    pred = [(f"run{k}", "t1", 0, "Patient:" + said, said) for k in range(200)]
+    pred += [("run0", "t2", 0, "", ""), ("run0", "t3", 0, "x", "x"), ("run1", "t3", 0, "", ""), ("run1", "t2", 0, "Patient: a", " a")]
+    gold = [("t1", 0, "Doctor:" + said), ("t2", 0, "")]
+    raw = [("t1", 0, said), ("t2", 0, " a")]
+    got = score_segments(spark.createDataFrame(pred, "run_name string, id string, segment int, labelled string, bare string"),
+                         spark.createDataFrame(gold, "id string, segment int, labelled string"),
+                         spark.createDataFrame(raw, "id string, segment int, text string")).collect()
+    assert len(got) == len(pred)
+    g, r = {x[0]: x[2] for x in gold}, {x[0]: x[2] for x in raw}
+    texts = {(p[0], p[1]): p[3:] for p in pred}
+    for x in got:
+        labelled, bare = texts[x.run_name, x.id]
+        sides = {"pres": (r.get(x.id), bare), "baseline": (bare, g.get(x.id)), "acc": (g.get(x.id), labelled)}
+        for name, (a, b) in sides.items():
+            if a is None or b is None:
+                assert x[f"lev_{name}"] is None and x[f"diff_{name}"] is None
+            else:
+                assert abs(x[f"lev_{name}"] - (1.0 if a == b else 1 - dp(a, b) / max(len(a), len(b)))) < 1e-12
+                assert abs(x[f"diff_{name}"] - difflib.SequenceMatcher(None, a, b).ratio()) < 1e-12
 
 
 prose = st.lists(st.sampled_from(["the ", "patient ", "é", "x", "said: ", "zoo\n", "q"]), max_size=90).map("".join)
