@@ -22,8 +22,9 @@ collapse by map-side combined minimums.  Owners with more than LARGE distinct
 segments are not gathered: their strings are compared by a 128-bit hash in a
 grouped minimum.
 
-Null text counts as empty; a null id sorts before all others; rows that share
-an id count as one document.
+Null text counts as empty; a null id sorts before all others.  Rows that share
+an id but not the text are documents of their own, in the order of a 64-bit hash
+of their texts; rows equal in id and text count as one document.
 """
 
 from __future__ import annotations
@@ -140,15 +141,15 @@ def _seen_twice(groups: np.ndarray, segments: list[bytes]) -> tuple[np.ndarray,
     return owner[low], start[low], start[high] + 1
 
 
-def _repeated_in_group(places: list[tuple[int, int]], runs: list[tuple[int, int, bytes]]) -> dict[int, list[tuple[int, int]]]:
+def _repeated_in_group(places: list[tuple[int, int, int]], runs: list[tuple[int, int, bytes]]) -> dict[int, list[tuple[int, int]]]:
     """Of one owner: the runs (from, to) of strings that it has earlier, by
-    segment.  ``places``: (document, start) of each segment; ``runs``: (segment,
+    segment.  ``places``: (id, text key, start) of each segment; ``runs``: (segment,
     from, bytes) of the candidates.  Equal candidates are one part; different
     parts are sorted into one suffix array, where equal strings are neighbours."""
     parts: dict[bytes, list[tuple[int, int]]] = {}
     for k, a, part in runs:
         parts.setdefault(part, []).append((k, a))
-    position = lambda k, a: (places[k][0], places[k][1] + a)
+    position = lambda k, a: (*places[k][:2], places[k][2] + a)
     distinct = list(parts)
     if len(distinct) == 1:
         own, n = sorted(parts[distinct[0]], key=lambda x: position(*x)), len(distinct[0]) - LENGTH + 1
@@ -184,10 +185,10 @@ _RUNS = pa.schema([("h", pa.int64()), ("seg", pa.int64()),
 
 
 def _settle(rows: pa.Table) -> pa.RecordBatch:
-    """Whole groups (h, seg, id, lo, bytes), sorted by h -> (h, seg, runs)."""
+    """Whole groups (h, seg, id, tk, lo, bytes), sorted by h -> (h, seg, runs)."""
     h, seg = rows["h"].to_numpy(), rows["seg"].to_numpy()
     segments = rows["bytes"].to_pylist()
-    places = list(zip(rows["id"].to_pylist(), rows["lo"].to_pylist()))
+    places = list(zip(rows["id"].to_pylist(), rows["tk"].to_pylist(), rows["lo"].to_pylist()))
     who, low, high = _seen_twice(h, segments)
     found: list[dict] = []
     for own in np.split(np.arange(len(who)), np.flatnonzero(np.diff(h[who])) + 1) if len(who) else ():
@@ -236,60 +237,78 @@ def _strings(segments: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.struct([("x", pa.int64()), ("y", pa.int64())])))
 
 
-def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ranges) of the documents that hold repeated strings: array of
-    struct(f, t), byte ranges to be removed, which may overlap.  A null id is
-    given as the least long."""
+def _keyed(df: DataFrame, id_col: str, text_col: str, unique: bool) -> DataFrame:
+    """(shown, id, tk, text): the id as given, and with null as the least long; the
+    text key ``tk`` tells rows of one id apart, and is 0 where no two share an id."""
+    text = F.col(text_col)
+    tk = F.lit(0).cast("long") if unique else F.xxhash64(F.coalesce(text, F.lit("")))
+    return df.select(F.col(id_col).alias("shown"), F.coalesce(F.col(id_col), F.lit(_FIRST)).alias("id"),
+                     tk.alias("tk"), text.alias("text"))
+
+
+def _unique_ids(df: DataFrame, id_col: str) -> bool:
+    ids = df.select(F.coalesce(F.col(id_col), F.lit(_FIRST)).alias("id"))
+    return ids.groupBy("id").count().filter("count > 1").isEmpty()
+
+
+def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", unique: bool | None = None) -> DataFrame:
+    """(id, tk, ranges) of the documents that hold repeated strings: array of
+    struct(f, t), byte ranges to be removed, which may overlap.  ``unique``: no
+    two rows share an id (looked up if not given)."""
     ship(df.sparkSession)
-    docs = df.select(F.coalesce(F.col(id_col), F.lit(_FIRST)).alias("id"), F.col(text_col).alias("text"))
+    unique = _unique_ids(df, id_col) if unique is None else unique
+    docs = _keyed(df, id_col, text_col, unique)
     spark = df.sparkSession
     again = _shared_owners(docs)
     release(spark)
-    first = (again.groupBy("h", "seg").agg(F.min(F.struct("id", "lo")).alias("at"), F.max(F.expr("hi - lo")).alias("n")))
-    pieces = _pieces(docs, first)
+    first = (again.groupBy("h", "seg")
+             .agg(F.min(F.struct("id", "tk", "lo")).alias("at"), F.max(F.expr("hi - lo")).alias("n")))
+    pieces = _pieces(docs, first, unique)
     release(spark)
     runs = _mixed_runs(pieces)
     release(spark)
     known = first.join(runs, ["h", "seg"], "left").select("h", "seg", "at", "runs")
-    here = F.struct("id", "lo")
+    here = F.struct("id", "tk", "lo")
     whole = F.array(F.struct(F.lit(0).alias("f"), (F.col("hi") - F.col("lo")).alias("t")))
     spans = again.join(known, ["h", "seg"]).select(
-        "id", "lo", F.explode(F.when(here != F.col("at"), whole).otherwise(F.col("runs"))).alias("r"))
-    return spans.groupBy("id").agg(F.collect_list(F.struct(
+        "id", "tk", "lo", F.explode(F.when(here != F.col("at"), whole).otherwise(F.col("runs"))).alias("r"))
+    # equal rows give equal ranges, of which a document needs one
+    gather = F.collect_list if unique else F.collect_set
+    return spans.groupBy("id", "tk").agg(gather(F.struct(
         (F.col("lo") + F.col("r.f")).alias("f"), (F.col("lo") + F.col("r.t") + LENGTH - 1).alias("t"))).alias("ranges"))
 
 
 def _shared_owners(docs: DataFrame) -> DataFrame:
-    """(id, h, seg, lo, hi) of the runs of strings whose owner occurs again."""
+    """(id, tk, h, seg, lo, hi) of the runs of strings whose owner occurs again."""
     word = F.arrow_udf(_owner_words, "array<bigint>")
     shared = docs.select(F.explode(word("text")).alias("h")).groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
-    owned = docs.select("id", F.explode(F.arrow_udf(_segments, _OWNED)("text")).alias("o")).select("id", "o.*")
+    owned = docs.select("id", "tk", F.explode(F.arrow_udf(_segments, _OWNED)("text")).alias("o")).select("id", "tk", "o.*")
     return checkpoint(owned.join(shared.select("h"), "h"))
 
 
-def _pieces(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """(id, h, seg, segments, lo, bytes) of the first occurrences of segments,
-    of owners with several."""
+def _pieces(docs: DataFrame, first: DataFrame, unique: bool) -> DataFrame:
+    """(id, tk, h, seg, segments, lo, bytes) of the first occurrences of
+    segments, of owners with several."""
     per = first.groupBy("h").agg(F.count("*").alias("segments")).filter("segments > 1")
-    mixed = first.join(per, "h").select("h", "seg", "segments", "at.id", "at.lo", (F.col("at.lo") + F.col("n")).alias("hi"))
-    wanted = mixed.groupBy("id").agg(F.collect_list(F.struct("h", "seg", "segments", "lo", "hi")).alias("wanted"))
+    mixed = first.join(per, "h").select("h", "seg", "segments", "at.id", "at.tk", "at.lo",
+                                        (F.col("at.lo") + F.col("n")).alias("hi"))
+    wanted = mixed.groupBy("id", "tk").agg(F.collect_list(F.struct("h", "seg", "segments", "lo", "hi")).alias("wanted"))
     fetch = F.arrow_udf(_cut, "array<struct<h:bigint,seg:bigint,segments:bigint,lo:int,bytes:binary>>")
-    pieces = checkpoint(docs.join(wanted, "id").select("id", F.explode(fetch("text", "wanted")).alias("p")).select("id", "p.*"))
-    # rows that share an id: only a text that has the segment gives it, and it counts once
-    unique = docs.groupBy("id").count().filter("count > 1").isEmpty()
-    return pieces if unique else pieces.dropDuplicates(["h", "seg"])
+    pieces = checkpoint(docs.join(wanted, ["id", "tk"]).select("id", "tk", F.explode(fetch("text", "wanted")).alias("p"))
+                        .select("id", "tk", "p.*"))
+    return pieces if unique else pieces.dropDuplicates(["h", "seg"])  # equal rows give a segment each
 
 
 def _mixed_runs(once: DataFrame) -> DataFrame:
     """(h, seg, runs) of the segments whose strings partly occur earlier in
     another segment."""
     small = (once.filter(F.col("segments") <= LARGE).repartition("h").sortWithinPartitions("h")
-             .select("h", "seg", "id", "lo", "bytes")
+             .select("h", "seg", "id", "tk", "lo", "bytes")
              .mapInArrow(_settle_groups, "h long, seg long, runs array<struct<f:int,t:int>>"))
     strings = (once.filter(F.col("segments") > LARGE)
-               .select("h", "seg", "id", "lo",
+               .select("h", "seg", "id", "tk", "lo",
                        F.posexplode(F.arrow_udf(_strings, "array<struct<x:bigint,y:bigint>>")("bytes")).alias("w", "s"))
-               .select("h", "seg", "w", "s.x", "s.y", F.struct("id", (F.col("lo") + F.col("w")).alias("p")).alias("at")))
+               .select("h", "seg", "w", "s.x", "s.y", F.struct("id", "tk", (F.col("lo") + F.col("w")).alias("p")).alias("at")))
     least = strings.groupBy("h", "x", "y").agg(F.min("at").alias("least"))
     large = (strings.join(least, ["h", "x", "y"]).filter("at <> least")
              .groupBy("h", "seg").agg(F.collect_list(F.struct(F.col("w").alias("f"), (F.col("w") + 1).alias("t"))).alias("runs")))
@@ -314,18 +333,16 @@ def _remove(texts: pa.Array, ranges: pa.Array) -> pa.Array:
                                       ["kept", "n_bytes", "n_removed", "n_spans"])
 
 
-def _checked_ranges(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return checkpoint(repeated_ranges(df, id_col, text_col))
-
-
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out_col: str = "deduped") -> DataFrame:
     """(id, struct<kept: binary, n_bytes, n_removed, n_spans>) of every row."""
-    ranges = _checked_ranges(df, id_col, text_col).select(F.col("id").alias("owner"), "ranges")
+    unique = _unique_ids(df, id_col)
+    ranges = checkpoint(repeated_ranges(df, id_col, text_col, unique)).select(
+        F.col("id").alias("owner"), F.col("tk").alias("owner_tk"), "ranges")
     release(df.sparkSession)
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = _keyed(df, id_col, text_col, unique)
     run = F.arrow_udf(_remove, "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint>")
-    joined = docs.join(ranges, F.coalesce("id", F.lit(_FIRST)) == F.col("owner"), "left")
-    return joined.select("id", run.asNondeterministic()("text", "ranges").alias(out_col))
+    joined = docs.join(ranges, (F.col("id") == F.col("owner")) & (F.col("tk") == F.col("owner_tk")), "left")
+    return joined.select(F.col("shown").alias("id"), run.asNondeterministic()("text", "ranges").alias(out_col))
 
 
 def op6_suffix_dedup(documents: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 from colloquy.llm import clusters, decontam, graph, gsaca, minhash, suffix, urls, warc
 from tests.conftest import SMALL_SF
@@ -232,16 +233,18 @@ def test_suffix_array_against_sorting():
 
 def removed_by_definition(rows):
     start, out = {}, []
-    key = lambda i: -(1 << 63) if i is None else i
-    for i, t in sorted(set(rows), key=lambda r: key(r[0])):
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    key = lambda i, t: (-(1 << 63) if i is None else i,
+                        signed(xxhash.xxh64_intdigest((t or "").encode(), 42)))
+    for i, t in sorted(set(rows), key=lambda r: key(*r)):
         b = (t or "").encode()
         for k in range(len(b) - 99):
-            start.setdefault(b[k:k + 100], (key(i), k))
+            start.setdefault(b[k:k + 100], (key(i, t), k))
     for i, t in rows:
         b = (t or "").encode()
         gone = bytearray(len(b))
         for k in range(len(b) - 99):
-            if start[b[k:k + 100]] != (key(i), k):
+            if start[b[k:k + 100]] != (key(i, t), k):
                 gone[k:k + 100] = b"\1" * 100
         kept = bytes(c for c, g in zip(b, gone) if not g)
         spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
@@ -263,10 +266,17 @@ def test_op6(spark, monkeypatch, large):
             p = rng.choice(parts)
             some.append(rng.choice([text(rng.randint(1, 40)), p, p[rng.randint(0, 80):], p[:rng.randint(100, 300)]]))
         rows.append((10 + i, rng.choice([" ", "", "\n"]).join(some)))
+    # one id with several texts, several null ids, equal rows
+    alone = text(90)
+    rows += [(12, parts[3] + text(30)), (12, alone), (12, parts[3]), (None, parts[0]), (None, parts[4]), (None, alone + "!")]
     df = spark.createDataFrame([(*r, "mine") for r in rows], f"{DOC}, h string")
     got = sorted(str(tuple(r)) for r in suffix.op6_suffix_dedup(df).collect())
     assert got == removed_by_definition(rows)
     if large > 3:
+        kept = {r.doc_id: r for r in suffix.op6_suffix_dedup(spark.createDataFrame(
+            [(i, t, "mine") for i, t in rows if i is not None and i > 12], f"{DOC}, h string")).collect()}
+        assert sorted(map(str, (tuple(r) for r in kept.values()))) == removed_by_definition(
+            [r for r in rows if r[0] is not None and r[0] > 12])  # no shared id: the other key
         assert suffix.op6_suffix_dedup(spark.createDataFrame([], DOC)).count() == 0
 
 
