@@ -14,6 +14,12 @@ Whatever the rule, ``n_inside`` counts tokens wholly inside, ``n_crossing``
 those that reach in or out, and ``share`` is the byte-weighted count; each adds
 up over a text to its tokens.  Characters outside all sections are left out.
 A null text counts as empty; an empty text is one empty line.
+
+Sections may have any borders.  They are clipped to the text (a null start is
+its begin, a null end its end, a null section is empty) and returned so, in the
+given order.  A section whose end is not after its start is empty and counts
+nothing.  The others, in order of start and of equal ones as given, end at the
+latest where the next begins.
 """
 
 from __future__ import annotations
@@ -87,6 +93,27 @@ def allocate(lengths: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule: st
     return np.bincount(section[own], minlength=n), n_inside, n_crossing, share
 
 
+def section_bounds(sections: list, length: int) -> list[tuple[str | None, int, int]]:
+    """(name, start, end) of sections clipped to a text of ``length`` characters."""
+    out = []
+    for s in sections:
+        name, start, end = (s["name"], s["start"], s["end"]) if s else (None, 0, 0)
+        low = min(max(start or 0, 0), length)
+        out.append((name, low, max(low, length if end is None else min(max(end, 0), length))))
+    return out
+
+
+def in_order(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(section, its start and end) of the sections that hold a character, in
+    order, each cut where the next begins."""
+    own = np.flatnonzero(edges[:, 1] > edges[:, 0])
+    own = own[np.argsort(edges[own, 0], kind="stable")]
+    cut = edges[own]
+    cut[:-1, 1] = np.minimum(cut[:-1, 1], cut[1:, 0])
+    some = cut[:, 1] > cut[:, 0]
+    return own[some], cut[some]
+
+
 def _byte_at(text: str, raw: bytes, points: np.ndarray) -> np.ndarray:
     """Byte offsets of code point offsets."""
     if len(text) == len(raw):
@@ -109,8 +136,7 @@ def attribute(df: DataFrame, sections: Column | None = None, text_col: str = "te
              ("n_crossing", pa.int64()), ("share", pa.float64())]
 
     def in_sections(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        own = [[(s["name"], s["start"], s["end"]) for s in row or ()] for row in spans.to_pylist()]
-        return count(texts, own)
+        return count(texts, spans.to_pylist())
 
     def in_lines(texts: pa.Array) -> pa.Array:
         return count(texts, None)
@@ -121,11 +147,18 @@ def attribute(df: DataFrame, sections: Column | None = None, text_col: str = "te
         offsets = [0]
         for k, text in enumerate(texts.to_pylist()):
             text = text or ""
-            own = line_spans(text) if spans is None else spans[k]
+            own = line_spans(text) if spans is None else section_bounds(spans[k] or (), len(text))
             raw = text.encode()
             edges = _byte_at(text, raw, np.array([s[1:] for s in own], np.int64).reshape(-1, 2))
             lengths = c.lengths[c.encode(text)]
-            got = allocate(lengths, edges[:, 0], edges[:, 1], rule)
+            if spans is None:
+                got = allocate(lengths, edges[:, 0], edges[:, 1], rule)
+            else:
+                holders, cut = in_order(edges)
+                got = []
+                for numbers in allocate(lengths, cut[:, 0], cut[:, 1], rule):
+                    got.append(np.zeros(len(own), numbers.dtype))
+                    got[-1][holders] = numbers
             for column in range(3):
                 values[column] += [s[column] for s in own]
             for column, numbers in enumerate(got, 3):

@@ -15,8 +15,8 @@ has another validator; ``missing``, there is none.  The first of these that
 both sides have decides: entity tag (weak comparison), Last-Modified, payload
 digest; without any the revisit is ``unchecked`` and its headers are not merged.
 Records of equal time are in order of record_id.  A record without a URL or a
-time is never matched; header names are compared in lower case; null headers
-count as none.
+time is never matched.  Header names are put in lower case first; of names that
+differ in case alone the last entry stands.  Null headers count as none.
 """
 
 from __future__ import annotations
@@ -51,9 +51,20 @@ def parse_headers(block: Column) -> Column:
     pairs = F.transform(lines, lambda x: F.struct(
         F.lower(F.trim(F.substring_index(x, ":", 1))).alias("key"),
         F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))).alias("value")))
-    last = F.aggregate(pairs, F.expr("cast(map() as map<string,string>)"), lambda m, p: F.map_concat(
+    return _last_of_each(pairs)
+
+
+def _last_of_each(pairs: Column) -> Column:
+    """A map of ``array<struct<key,value>>`` that keeps the last of equal keys."""
+    return F.aggregate(pairs, F.expr("cast(map() as map<string,string>)"), lambda m, p: F.map_concat(
         F.map_filter(m, lambda k, _: k != p["key"]), F.create_map(p["key"], p["value"])))
-    return last
+
+
+def lower_names(headers: Column) -> Column:
+    """The header map with its names in lower case."""
+    pairs = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    mixed = F.exists(F.map_keys(headers), lambda k: k != F.lower(k))
+    return F.when(mixed, _last_of_each(pairs)).otherwise(headers)
 
 
 def _tag(headers: Column) -> Column:
@@ -65,7 +76,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     record of ``records(record_id, kind, url, at, headers, digest)``; kind is
     ``response`` or ``revisit``, others pass through as ``status`` null."""
     r = records.select("record_id", "kind", canonical_url(F.col("url")).alias("url_key"), "at",
-                       F.coalesce("headers", F.expr("cast(map() as map<string,string>)")).alias("headers"), "digest")
+                       lower_names(F.coalesce("headers", F.expr("cast(map() as map<string,string>)"))).alias("headers"),
+                       "digest")
     spread = r.repartitionByRange("url_key", "at", "record_id").withColumn("part", F.spark_partition_id())
     spread = checkpoint(spread)  # fixes the partition numbers for both uses below
     full = F.when((F.col("kind") == "response") & F.col("url_key").isNotNull() & F.col("at").isNotNull(),

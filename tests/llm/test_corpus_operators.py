@@ -307,6 +307,14 @@ def test_resolve_revisits(spark):
         11: ("resolved", 12), 12: ("full", None), 13: (None, None), 14: ("missing", None)}
     assert got[2].headers == {"etag": 'W/"1"', "date": "d2", "content-type": "t"}
     assert warc.resolve_revisits(records.limit(0)).count() == 0
+    capitals = spark.createDataFrame(
+        [(1, "response", "http://a/", 1, {"ETag": '"1"', "X": "y"}, None),
+         (2, "revisit", "http://a/", 2, {"ETAG": 'W/"1"', "Date": "d", "date": "e"}, None),
+         (3, "revisit", "http://a/", 3, {"etag": '"2"'}, None)],
+        "record_id long, kind string, url string, at long, headers map<string,string>, digest string")
+    cased = {r.record_id: r for r in warc.resolve_revisits(capitals).collect()}
+    assert [cased[k].status for k in (1, 2, 3)] == ["full", "resolved", "mismatch"]
+    assert cased[2].headers["etag"] == 'W/"1"' and cased[2].headers["x"] == "y" and cased[2].headers["date"] in ("d", "e")
     hot = [(k, "response" if k % 50 == 0 else "revisit", "http://hot/", k, {}, "s") for k in range(2000)]
     out = warc.resolve_revisits(spark.createDataFrame(hot, records.schema.fieldNames()[:6] and
                                 "record_id long, kind string, url string, at long, headers map<string,string>, digest string"))

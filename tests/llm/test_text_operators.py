@@ -148,6 +148,70 @@ def test_op4(spark):
     assert attribution.op4_attribution(spark.createDataFrame([], DOC)).count() == 0
 
 
+def tokens_of_sections(text, sections, rule):
+    """Per section: tokens by the rule, inside, crossing and share, token by token."""
+    tok = Tokenizer.from_file(bpe.default_path())
+    ids = tok.encode(text, add_special_tokens=False).ids
+    vocab = {v: k for k, v in tok.get_vocab().items()}
+    raw, at, spans = text.encode(), 0, []
+    for i in ids:  # a character of the byte alphabet is one byte
+        spans.append((at, at + len(vocab[i])))
+        at += len(vocab[i])
+    assert at == len(raw)
+    byte = [len(text[:k].encode()) for k in range(len(text) + 1)]
+    clip = lambda x, d: d if x is None else min(max(x, 0), len(text))
+    owner = [None] * len(raw)
+    order = sorted(range(len(sections)), key=lambda k: clip(sections[k][1], 0))
+    bounds = [(clip(s, 0), clip(e, len(text))) for _, s, e in sections]
+    for k in order:
+        low, high = bounds[k]
+        if high > low:  # the next section's begin ends all before it
+            for b in range(byte[low], len(raw)):
+                owner[b] = None
+            for b in range(byte[low], byte[high]):
+                owner[b] = k
+    out = [[0, 0, 0, 0.0] for _ in sections]
+    for low, high in spans:
+        own = owner[low:high]
+        for k in {x for x in own if x is not None}:
+            n = own.count(k)
+            out[k][1 if n == high - low else 2] += 1
+            out[k][3] += n / (high - low)
+        k = {"first": own[0], "last": own[-1]}.get(rule, max((x for x in own if x is not None), key=lambda x: (
+            own.count(x), -own.index(x)), default=None))
+        if rule != "share" and k is not None:
+            out[k][0] += 1
+    return [(o[3] if rule == "share" else o[0], *o[1:]) for o in out]
+
+
+@pytest.mark.parametrize("rule", attribution.RULES)
+def test_any_borders_against_loop(spark, rule):
+    rng = random.Random(11)
+    border = lambda n: rng.choice([None, -3, 0, n, n + 5, 1 << 40, *[rng.randint(0, n + 1)] * 6])
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice(["some words", " é", "漢字", "\n", "hello world ", "x", "🙂"]) for _ in range(rng.randint(0, 12)))
+        rows.append((i, text, [(str(k), border(len(text)), border(len(text))) for k in range(rng.randint(0, 5))]))
+    rows += [(60, None, [("a", 0, 5)]), (61, "abc", None), (62, "abc", [None, ("b", 1, None)])]
+    df = spark.createDataFrame(rows, f"{DOC}, cuts array<struct<name:string,start:bigint,end:bigint>>")
+    for r in attribution.attribute(df, df["cuts"], rule=rule).collect():
+        _, text, cuts = rows[r.doc_id]
+        want = tokens_of_sections(text or "", [c or (None, 0, 0) for c in cuts or ()], rule)
+        got = [(s.n_tokens, s.n_inside, s.n_crossing, s.share) for s in r.sections]
+        assert [s.name for s in r.sections] == [c and c[0] for c in cuts or ()]
+        assert len(got) == len(want) and all(abs(x - y) < 1e-9 for g, w in zip(got, want) for x, y in zip(g, w)), rows[r.doc_id]
+
+
+def test_op4_lines_against_loop(spark):
+    rows = [(1, "one line\n\nthree é漢字\n  four"), (2, "\n\n\n"), (3, "no break at all"), (4, "a\r\nb \n 🙂🙂\n")]
+    got = {(r.doc_id, r.line): (r.n_tokens, r.n_inside, r.n_crossing, r.share)
+           for r in attribution.op4_attribution(spark.createDataFrame(rows, DOC)).collect()}
+    for i, text in rows:
+        for k, want in enumerate(tokens_of_sections(text, attribution.line_spans(text), "first")):
+            assert got.pop((i, k)) == tuple(round(x, 6) for x in want)
+    assert not got
+
+
 # ---- quality rules ----------------------------------------------------------
 
 def brute_counts(text):
