@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.functions.text import col_, split_lines
+from colloquy.session import default_parallelism
+from colloquy.sources.files import read_shared
 
 # Decoders explode with ``posexplode_outer`` and drop the NULL row of an empty
 # array themselves: an inner explode makes the optimizer add a
@@ -39,9 +41,9 @@ SCORE_MAP_SCHEMA = T.MapType(T.StringType(), T.MapType(T.StringType(), T.MapType
 ID_SCHEMA = T.StructType([T.StructField("id", T.StringType())])
 
 
-def empty_files(spark: SparkSession, pattern: str) -> list[str]:
+def _empty_files(spark: SparkSession, pattern: str) -> list[str]:
     """Paths of the files of no bytes that ``pattern`` (a folder, file or glob)
-    names.  Spark's own file listing leaves them out of every scan."""
+    names, which Spark's own file readers leave out."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = []
@@ -52,12 +54,26 @@ def empty_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(found)
 
 
+def _shared_pattern(spark: SparkSession, pattern: str) -> str | None:
+    """The pattern as a plain path where it lies on a file system that tasks open
+    by path, and uses no glob alternatives."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    local = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+    return path.toUri().getPath() if local and not set("{}\\^") & set(pattern) else None
+
+
 def read_paths(spark: SparkSession, pattern: str) -> DataFrame:
     """``(path, value)`` of every file, files of no bytes included.
-    ``wholetext`` must be the keyword argument: the reader option is reset by
-    the method default."""
-    empty = spark.createDataFrame([(p, "") for p in empty_files(spark, pattern)], "path string, value string")
+
+    Folders under a path that all nodes share are listed and read in tasks
+    (``sources.files``).  Files of object stores go through Spark's text reader;
+    for these the driver looks up the files of no bytes."""
+    shared = _shared_pattern(spark, pattern)
+    if shared is not None:
+        return read_shared(spark, shared, default_parallelism(spark, 8))
+    empty = spark.createDataFrame([(p, "") for p in _empty_files(spark, pattern)], "path string, value string")
     try:
+        # wholetext must be the keyword argument: the method default resets the reader option
         full = spark.read.text(pattern, wholetext=True).select(
             F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"), "value")
     except AnalysisException:  # every file is empty: Spark finds no path to read
