@@ -27,6 +27,7 @@ from colloquy.sources.decoders import (TURN_SCHEMA, UTTERANCE_SCHEMA, decode_lin
                                        decode_utterances, is_json, malformed_json, read_exported, read_ids,
                                        read_paths, read_whole, without_suffix)
 from colloquy.operators.sentences import sentences
+from colloquy.sources.files import write_shared
 from colloquy.sources.sinks import output_name, render_chunked_json, render_sentences_json, render_txt
 
 RUN_KEYS = ["run_name", "id"]
@@ -220,3 +221,15 @@ def raw_transcript_files(utts: DataFrame, chunk_num: int, run_name: str | None =
     txt = render_txt(chunks, ["id"], chunked, value_col="txt")
     js = render_chunked_json(utts, chunk_num, ["id"], value_col="json")
     return txt.join(js, "id").select(output_name(F.lit(run_name).cast("string"), "id").alias("name"), "txt", "json")
+
+
+def write_raw_transcripts(spark: SparkSession, raw_dir: str, out_dir: str, chunk_num: int, run_name: str | None = None,
+                          ids_path: str | None = None, chunked: bool = False) -> None:
+    """Raw-transcript mode from files to files: the chunks of every transcript
+    ``<raw_dir>/<id>.json`` as ``<run_name>_<id>.txt`` and ``.json`` in ``out_dir``."""
+    ids = read_ids(spark, ids_path) if ids_path else None
+    files = _only_listed(read_whole(spark, raw_dir, "id", ".json"), ids).where(is_json("value", UTTERANCE_SCHEMA))
+    made = raw_transcript_files(decode_utterances(files, ["id"]), chunk_num, run_name, chunked)
+    both = F.explode(F.array(*[F.struct(F.concat("name", F.lit(f".{c}")).alias("path"), F.col(c).alias("value"))
+                               for c in ("txt", "json")]))
+    write_shared(made.select(both.alias("f")).select("f.*"), out_dir)

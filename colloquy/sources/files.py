@@ -1,4 +1,4 @@
-"""Data source of whole text files, listed in tasks.
+"""Data source of whole text files, listed and written in tasks.
 
 ``spark.read.format("whole_files")`` gives ``(path, value)`` for the files of
 folders that all nodes see under one path.  The driver resolves folders alone;
@@ -8,6 +8,13 @@ number of files is no single task's.  Unlike Spark's own readers it keeps files
 of no bytes.  Names that start with ``_`` or ``.`` are left out, ``.gz`` files
 are unpacked, bytes that are not UTF-8 become U+FFFD.  A file that disappears
 between listing and reading fails its task, which is then run again.
+
+Writing takes ``(path, value)`` rows, the path relative to the target folder.
+Each task attempt writes into a folder of its own under ``_staging-<job>``; the
+commit moves the files of the attempts that count to their names, replacing
+older files, and an abort or a failed commit leaves no staged file.  A name
+that leaves the target, starts with ``_`` or ``.``, or comes twice in a task
+fails the job (``write_shared`` brings equal names into one task).
 """
 
 from __future__ import annotations
@@ -16,13 +23,15 @@ import fnmatch
 import glob
 import gzip
 import os
+import shutil
 import sys
+import uuid
 import zlib
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 # Tasks need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -70,6 +79,46 @@ class WholeFilesReader(DataSourceReader):
                 yield path, f.read().decode("utf-8", "replace")
 
 
+class WrittenFolder(WriterCommitMessage):
+    """The folder of a task attempt."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+
+class WholeFilesWriter(DataSourceWriter):
+    def __init__(self, root: str):
+        self.root = root
+        self.staging = os.path.join(root, f"_staging-{uuid.uuid4().hex}")
+
+    def write(self, iterator) -> WrittenFolder:
+        own = os.path.join(self.staging, uuid.uuid4().hex)
+        os.makedirs(own)
+        for path, value in iterator:
+            steps = (path or "").split("/")
+            if any(not step or step[0] in "_." for step in steps):
+                raise ValueError(f"not a file name under the target folder: {path!r}")
+            target = os.path.join(own, *steps)
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            with open(target, "xb") as f:  # a name that comes twice fails
+                f.write((value or "").encode("utf-8"))
+        return WrittenFolder(own)
+
+    def commit(self, messages) -> None:
+        try:
+            for message in messages:
+                for folder, _, names in os.walk(message.folder):
+                    target = os.path.normpath(os.path.join(self.root, os.path.relpath(folder, message.folder)))
+                    os.makedirs(target, exist_ok=True)
+                    for name in names:
+                        os.replace(os.path.join(folder, name), os.path.join(target, name))
+        finally:
+            shutil.rmtree(self.staging, ignore_errors=True)
+
+    def abort(self, messages) -> None:
+        shutil.rmtree(self.staging, ignore_errors=True)
+
+
 class WholeFiles(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -82,6 +131,18 @@ class WholeFiles(DataSource):
         return WholeFilesReader(self.options["path"], int(self.options.get("splits", 1)))
 
 
+    def writer(self, schema, overwrite: bool) -> WholeFilesWriter:
+        if overwrite:
+            raise ValueError("whole files are appended to a folder; those of the same names are replaced")
+        return WholeFilesWriter(self.options["path"])
+
+
+def write_shared(files: DataFrame, root: str) -> None:
+    """Write ``files (path, value)`` under ``root``, a folder all nodes share."""
+    files.sparkSession.dataSource.register(WholeFiles)
+    (files.select("path", "value").repartition("path").write.format(FORMAT).mode("append").save(os.path.abspath(root)))
+
+
 def read_shared(spark: SparkSession, pattern: str, splits: int) -> DataFrame:
     """``(path, value)`` of the files of ``pattern``; FileNotFoundError if there is
     no such folder."""

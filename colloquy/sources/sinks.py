@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import ordered_concat
 from colloquy.operators.segments import segment_of
+from colloquy.sources.files import write_shared
 
 # --- fixed values ---------------------------------------------------------
 TURN_SEPARATOR = "\n\n"          # between turns of an answer, after every chunk
@@ -29,6 +30,16 @@ def output_name(run_name, id_) -> Column:
                        F.col(id_) if isinstance(id_, str) else id_)
 
 
+def write_named_files(files: DataFrame, root: str, suffix: str = ".txt", value_col: str = "value",
+                      folders: bool = False) -> None:
+    """Write ``files (run_name, id, value)`` as text files: ``<run_name>_<id><suffix>``
+    (``output_name``), or ``<run_name>/<id><suffix>`` with ``folders``, the tree
+    that ``plans.jobs.score_runs`` reads.  Written and committed by
+    ``sources.files``; the folder must be one that all nodes share."""
+    name = F.concat_ws("/", "run_name", "id") if folders else output_name("run_name", "id")
+    write_shared(files.select(F.concat(name, F.lit(suffix)).alias("path"), F.col(value_col).alias("value")), root)
+
+
 def turn_line(speaker="speaker", text="text", sep: str = ": ") -> Column:
     return F.concat(F.col(speaker), F.lit(sep), F.col(text))
 
