@@ -83,6 +83,22 @@ def compare_named(means: DataFrame, name: str) -> DataFrame:
     return compare_runs(means, selection_frame(spark, CATALOGUE[name]))
 
 
+def compare_catalogue(means: DataFrame) -> DataFrame:
+    """Every comparison of the catalogue in one pass over ``means``: ``(selection,
+    ord, label, n_runs, n_rows, scores)``, a row per listed run, or per label of
+    a group comparison (mean of its runs' means, at its first place)."""
+    spark = means.sparkSession
+    cols = _score_cols(means, None)
+    listed = [(name, group, i, r, lab) for group, named in ((False, CATALOGUE), (True, GROUP_CATALOGUE))
+              for name, selection in named.items() for i, (r, lab) in enumerate(selection)]
+    dim = spark.createDataFrame(listed, "selection string, grouped boolean, ord int, run_name string, label string")
+    # a listed run is a group of its own
+    place = F.when(~F.col("grouped"), F.col("ord"))
+    return (dim.join(means, "run_name").groupBy("selection", "label", place.alias("_place"))
+            .agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n_runs"), F.sum("n_rows").alias("n_rows"),
+                 *[F.avg(c).alias(c) for c in cols]).drop("_place"))
+
+
 def selection_frame(spark: SparkSession, selection: Sequence[tuple[str, str]]) -> DataFrame:
     """``[(run_name, label), ...]`` -> ``(ord, run_name, label)``; order and
     repeats are kept."""

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import canonical_speaker, label_of, text_after_label
 from colloquy.operators import runs as R
-from colloquy.functions.similarity import normed_gain
 from colloquy.operators.requests import LabellingRun, build_requests, labelling_runs, parse_answers
-from colloquy.operators.scoring import composite, ordered_score_columns, to_tall
+from colloquy.operators.scoring import ordered_score_columns, to_tall
 from colloquy.operators.segments import flatten_text, segment_of
 from colloquy.operators.sentences import sentences
 from colloquy.plans import inputs as I
@@ -58,9 +57,8 @@ REQUEST_RUNS = (
     LabellingRun("r4", "other-model", prompt="diarize_few_shot"),
     LabellingRun("r5", "claude-opus-3", "azure", "no such prompt", True, 2),
 )
-# Run names of the given score table: those of two named comparisons and more.
-GIVEN_RUNS = tuple(dict.fromkeys([r for r, _ in R.CATALOGUE["best_of_each"]]
-                                 + [r for r, _ in R.GROUP_CATALOGUE["summary_vs_none_overall"]]
+# Run names of the experiments' score table: those of the named comparisons and more.
+GIVEN_RUNS = tuple(dict.fromkeys([r for named in (R.CATALOGUE, R.GROUP_CATALOGUE) for runs in named.values() for r, _ in runs]
                                  + ["gpt4o-3-seg", "llama-70b-3-seg"]))
 SCORE_FILE_SUFFIX = "-3-seg"
 RAW_RUN, RAW_CHUNKS = "raw", 3
@@ -354,21 +352,17 @@ def summary_join(spark, sf_dir):
 
 
 def _given_scores(spark, sf_dir) -> DataFrame:
-    """A score table as experiments leave it: every conversation scored under
-    the run names of the named comparisons by arithmetic on its size; every
-    seventh transcript lacks its last segment, run names carry ``seg`` or not."""
-    conv = raw_utterances(spark, sf_dir).groupBy("id").agg(
-        F.count("*").alias("n"), F.sum(F.length("text")).alias("c"))
-    rows = (conv.withColumn("run_no", F.explode(F.sequence(F.lit(0), F.lit(len(GIVEN_RUNS) - 1))))
-            .withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(2))))
-            .where((F.col("segment") < 2) | (F.col("c") % 7 != 0)))
-    value = lambda a, b: ((F.col("c") * a + F.col("n") * b + F.col("run_no") * 17 + F.col("segment") * 29) % 101) / 100
-    acc = {"lev_acc": value(3, 5), "diff_acc": value(7, 2), "lev_baseline": value(5, 11), "diff_baseline": value(2, 13)}
-    rows = rows.select(F.get(F.array(*map(F.lit, GIVEN_RUNS)), F.col("run_no")).alias("run_name"), "id",
-                       F.col("segment").cast("int").alias("segment"), *(v.alias(k) for k, v in acc.items()))
-    for m in ("lev", "diff"):
-        rows = rows.withColumn(f"{m}_acc_normed", normed_gain(f"{m}_acc", f"{m}_baseline"))
-    return composite(rows)
+    """A score table as experiments leave it: accuracy scores, by both metrics,
+    of the simulated runs' files, under the run names of the named comparisons
+    (each name stands for one of the simulated runs); every seventh transcript
+    lacks its last segment, run names carry ``seg`` or not."""
+    scored = I.scores(spark, sf_dir, families=("accuracy",))
+    names = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(RUNS[k % len(RUNS)].run_name).alias("run"))
+                                for k, name in enumerate(GIVEN_RUNS)]))
+    size = raw_utterances(spark, sf_dir).groupBy("id").agg(F.sum(F.length("text")).alias("c"))
+    rows = scored.join(size, "id").where((F.col("segment") < 2) | (F.col("c") % 7 != 0)).drop("c")
+    return (rows.withColumn("_n", names).where(F.col("_n.run") == F.col("run_name"))
+            .withColumn("run_name", F.col("_n.name")).drop("_n"))
 
 
 def composite_scores(spark, sf_dir):
@@ -392,6 +386,11 @@ def compare_summary_overall(spark, sf_dir):
     return I.rounded(R.compare_named(R.run_means(_given_scores(spark, sf_dir)), "summary_vs_none_overall"))
 
 
+def compare_catalogue(spark, sf_dir):
+    """Every named comparison, run by run and by group, from one set of run means."""
+    return I.rounded(R.compare_catalogue(R.run_means(_given_scores(spark, sf_dir))))
+
+
 def transcript_curves(spark, sf_dir):
     """Every transcript's composite curve in the order of its segments, with the
     length check (curves that lack a segment are flagged)."""
@@ -476,6 +475,7 @@ def queries() -> dict[str, Query]:
         "one_segment_means": one_segment_means,
         "compare_best": compare_best,
         "compare_summary_overall": compare_summary_overall,
+        "compare_catalogue": compare_catalogue,
         "transcript_curves": transcript_curves,
         "parse_problems": parse_problems,
         "raw_transcript_files": raw_transcript_files,

@@ -513,20 +513,13 @@ def requests_sql(summary_mode: str) -> str:
 
 
 def given_ctes() -> list[str]:
-    value = lambda a, b: f"((c * {a} + n * {b} + run_no * 17 + segment * 29) % 101) / 100"
-    names = ", ".join(map(q, GIVEN_RUNS))
-    return [
-        "conv AS (SELECT CAST(conv_id AS VARCHAR) AS id, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS c "
+    names = ", ".join(f"({q(name)}, {q(RUNS[k % len(RUNS)].run_name)})" for k, name in enumerate(GIVEN_RUNS))
+    return scored_sql()[0] + diff_scores_ctes() + [
+        "sizes AS (SELECT CAST(conv_id AS VARCHAR) AS id, CAST(sum(length(text)) AS BIGINT) AS c "
         "FROM conversations GROUP BY 1)",
-        f"grid AS (SELECT *, unnest(range({len(GIVEN_RUNS)})) AS run_no FROM conv)",
-        "cells AS (SELECT * FROM (SELECT *, unnest(range(3)) AS segment FROM grid) WHERE segment < 2 OR c % 7 <> 0)",
-        f"base AS (SELECT ([{names}])[run_no + 1] AS run_name, id, CAST(segment AS INTEGER) AS segment, "
-        f"{value(3, 5)} AS lev_acc, {value(7, 2)} AS diff_acc, {value(5, 11)} AS lev_baseline, "
-        f"{value(2, 13)} AS diff_baseline FROM cells)",
-        "normed AS (SELECT *, (lev_acc - lev_baseline) / nullif(1 - lev_baseline, 0) AS lev_acc_normed, "
-        "(diff_acc - diff_baseline) / nullif(1 - diff_baseline, 0) AS diff_acc_normed FROM base)",
-        "given AS (SELECT *, (lev_acc + diff_acc) / 2 AS composite, (lev_acc_normed + diff_acc_normed) / 2 "
-        "AS composite_normed FROM normed)",
+        f"given_names(name, simulated) AS (VALUES {names})",
+        "given AS (SELECT g.name AS run_name, s.* EXCLUDE (run_name) FROM all_scores s JOIN sizes USING (id) "
+        "JOIN given_names g ON g.simulated = s.run_name WHERE s.segment < 2 OR c % 7 <> 0)",
     ]
 
 
@@ -554,6 +547,14 @@ def given_queries() -> dict[str, str]:
             "SELECT s.label, min(s.ord) AS ord, count(*) AS n_runs, "
             + ", ".join(f"round(avg(m.{c}), 6) AS {c}" for c in GIVEN_COLUMNS)
             + " FROM sel s JOIN means m USING (run_name) GROUP BY s.label"),
+        "compare_catalogue": with_(
+            given_ctes() + [per_run, "sel(selection, grouped, ord, run_name, label) AS (VALUES " + ", ".join(
+                f"({q(name)}, {group}, {k}, {q(r)}, {q(label)})" for group, named in ((0, CATALOGUE), (1, GROUP_CATALOGUE))
+                for name, rows in named.items() for k, (r, label) in enumerate(rows)) + ")"],
+            "SELECT s.selection, s.label, min(s.ord) AS ord, count(*) AS n_runs, CAST(sum(m.n_rows) AS BIGINT) AS n_rows, "
+            + ", ".join(f"round(avg(m.{c}), 6) + 0 AS {c}" for c in GIVEN_COLUMNS)
+            + " FROM sel s JOIN means m USING (run_name) "
+              "GROUP BY s.selection, s.label, CASE WHEN s.grouped = 0 THEN s.ord END"),
         "transcript_curves": with_(
             given_ctes(), "SELECT g.run_name, g.id, count(*) OVER (PARTITION BY g.run_name, g.id) = k.n AS complete, "
             "CAST(row_number() OVER (PARTITION BY g.run_name, g.id ORDER BY g.segment) - 1 AS INTEGER) AS ord, "

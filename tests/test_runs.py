@@ -46,3 +46,16 @@ def test_compare_groups_mean_of_means(spark, scores):
 def test_segment_means_count_segments(scores):
     rows = {(r.run_name, r.segment): r for r in R.segment_means(scores).collect()}
     assert rows[("a", 0)].n_segments == 2 and rows[("a", 0)].n_rows == 3
+
+
+def test_catalogue_in_one_pass_equals_the_named_comparisons(spark):
+    from colloquy.operators import runs as R
+    names = {r for named in (R.CATALOGUE, R.GROUP_CATALOGUE) for rows in named.values() for r, _ in rows}
+    scores = spark.createDataFrame([(n, f"t{i}", 0, (k * 7 + i) / 500) for k, n in enumerate(sorted(names)[1:]) for i in range(2)],
+                                   "run_name string, id string, segment int, lev_acc double")
+    means = R.run_means(scores)
+    got = R.compare_catalogue(means).collect()
+    for name in [*R.CATALOGUE, *R.GROUP_CATALOGUE]:
+        want = R.compare_named(means, name).collect()
+        mine = sorted((r for r in got if r.selection == name), key=lambda r: r.ord)
+        assert [(r.ord, r.label, round(r.lev_acc, 9)) for r in mine] == [(r.ord, r.label, round(r.lev_acc, 9)) for r in want]
