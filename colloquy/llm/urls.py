@@ -183,15 +183,20 @@ def op1_url_filter(pages: DataFrame) -> DataFrame:
 
 
 def op1_sql() -> str:
-    """Every rule tried on every url."""
+    """The four contract rules as comparisons of host and path, the longest first;
+    then every pattern tried on every url."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    fits = lambda r: (f"regexp_matches({'host || path' if r.by_host else 'low'}, {quoted(r.regex)})")
-    hosts = sorted((r for r in RULES if r.by_host), key=lambda r: -r.rank)
-    others = sorted((r for r in RULES if not r.by_host), key=lambda r: -r.rank)
-    rule = " ".join(f"WHEN {fits(r)} THEN {quoted(r.name)}" for r in hosts)
-    verdict = " ".join(f"WHEN {fits(r)} THEN {quoted(r.verdict)}" for r in [*hosts, *others])
+    fits = lambda host, path: (f"(host = '{host}' OR ends_with(host, '.{host}')) "
+                               f"AND starts_with(path, '{path}')")
+    # fixed values: the contract's rules
+    contract = [("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
+                ("net", "/", "block")]
+    patterns = sorted((r for r in RULES if not r.by_host), key=lambda r: -r.rank)
+    rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for h, p, _ in contract)
+    verdict = " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in contract)
+    verdict += " " + " ".join(f"WHEN regexp_matches(low, {quoted(r.regex)}) THEN '{r.verdict}'" for r in patterns)
     return f"""
-      WITH cut AS (SELECT page_id, coalesce(url, '') AS url, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
+      WITH cut AS (SELECT page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
                           CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
                    FROM pages),
       parts AS (SELECT page_id, low, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
