@@ -23,7 +23,7 @@ from colloquy.plans import jobs as J
 from colloquy.session import materialize
 from colloquy.sources.decoders import (UTTERANCE_SCHEMA, decode_ids, decode_lines, decode_manifest_lines,
                                        decode_scores, decode_utterances, is_json, malformed_json)
-from colloquy.sources.sinks import output_name, render_utterances_json, score_file_payload
+from colloquy.sources.sinks import output_name, render_sentences_json, render_utterances_json, score_file_payload
 from colloquy.sources.tables import RUNS, raw_utterances, runs_frame, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +120,14 @@ def sentences_from_text(spark, sf_dir):
     return sentences(docs, ["id"], "text")
 
 
+def sentence_utterances(spark, sf_dir):
+    """Plain transcripts -> the raw transcript JSON of their sentences, read back
+    as utterances; a text without a sentence is ``[]`` and has none."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    files = render_sentences_json(sentences(docs, ["id"], "text"), transcripts=docs)
+    return decode_utterances(files, ["id"]).select("id", "pos", "text", "n_rows")
+
+
 def flatten_transcript(spark, sf_dir):
     """One raw text per transcript (1 chunk, as sent for labelling)."""
     return flatten_text(raw_utterances(spark, sf_dir), ["id"], 1, "never") \
@@ -439,6 +447,7 @@ def queries() -> dict[str, Query]:
         "manifest_lookup": manifest_lookup,
         "lines_from_text": lines_from_text,
         "sentences_from_text": sentences_from_text,
+        "sentence_utterances": sentence_utterances,
         "flatten_transcript": flatten_transcript,
         "chunk_transcript": chunk_transcript,
         "chunked_json": chunked_json,

@@ -677,6 +677,9 @@ def oracle_sql() -> dict[str, str]:
     ctes += diff_scores_ctes()
     diff_cols = ["diff_pres", "diff_acc", "diff_acc_normed", "diff_baseline"]
     every = ["lev_pres", "lev_acc", "lev_acc_normed", "lev_baseline", *diff_cols, "composite", "composite_normed"]
+    out["sentence_utterances"] = (
+        "SELECT id, pos, sentence AS text, CAST(count(*) OVER (PARTITION BY id) AS INTEGER) AS n_rows "
+        f"FROM ({sentences_sql()})")
     out["diff_ratio_scores"] = with_(ctes, f"SELECT run_name, id, segment, {r6(diff_cols)} FROM diff_scores")
     out["score_table"] = with_(ctes, f"SELECT run_name, id, segment, {r6(every)} FROM all_scores")
     avgs = ", ".join(f"round(avg({c}), 6) AS {c}" for c in every)
