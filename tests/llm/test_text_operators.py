@@ -318,3 +318,61 @@ def test_shards_give_the_same(spark, monkeypatch):
 def test_index_tries_few_rules():
     index = urls.Index(tuple(urls.host_rule(f"h{k}.org/", "block") for k in range(500)), {"org": 10 ** 6})
     assert max(map(len, index.by_token.values())) == 1 and index.best("http://h7.org/", "h7.org/") == 7
+
+
+# ---- the noisy-or against plain formulas ------------------------------------
+
+def noisy_or(bags, w, bias):
+    """1 - prod(1 - p) of a document's sentences, p logistic in its buckets."""
+    none = 1.0
+    for bag in bags:
+        none *= 1 - 1 / (1 + np.exp(-(bias + sum(w.get(b, 0.0) for b in bag))))
+    return 1 - none
+
+
+def test_op8_score_is_the_noisy_or_of_the_sentences():
+    rng = random.Random(5)
+    words = ["bad", "worse", "terrible", "fine", "good", "words", "é", "漢字"]
+    w = {b: rng.uniform(-2, 3) for x in words for b in toxicity._buckets(x.encode())}
+    scorer = toxicity._Scorer(toxicity.Model(w, -2.5))
+    for _ in range(200):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", ". ", "! ", "\n"]) for _ in range(rng.randint(0, 25)))
+        score, spans = scorer.score(text.encode())
+        assert abs(score - noisy_or(toxicity.bag_of(text.encode()), w, -2.5)) < 1e-9
+        for start, end, p in spans:
+            assert p > 0.5 and abs(p - noisy_or(toxicity.bag_of(text[start:end].encode()), w, -2.5)) < 1e-9
+
+
+def test_op8_fit_descends_the_likelihood_of_the_noisy_or():
+    """The fitted weights are those of the same descent with the gradient taken
+    numerically from the plain likelihood."""
+    rng = random.Random(6)
+    docs, labels = [], []
+    for k in range(80):
+        y = k % 2
+        bags = [[] for _ in range(rng.randint(1, 3))]
+        rng.choice(bags).append(11 if y else 22)
+        if y and rng.random() < 0.3:
+            rng.choice(bags).append(22)
+        for bag in bags:
+            if rng.random() < 0.5:
+                bag.append(33)  # says nothing: its rates do not differ clearly
+        docs.append([sorted(set(b)) for b in bags])
+        labels.append(y)
+    flat = np.array([b for d in docs for s in d for b in s], np.int64)
+    sentence_of = np.repeat(np.arange(sum(map(len, docs))), [len(s) for d in docs for s in d])
+    doc_of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    model = toxicity.Model.fit(flat, sentence_of, doc_of, np.array(labels))
+
+    def loss(x):
+        w = {11: x[0], 22: x[1]}
+        p = [min(max(noisy_or(d, w, x[2]), 1e-12), 1 - 1e-12) for d in docs]
+        return -np.mean([np.log(q if y else 1 - q) for q, y in zip(p, labels)]) + 1e-5 * (x[0] ** 2 + x[1] ** 2)
+
+    x, past = np.array([0.0, 0.0, -9.0]), np.full(3, 1e-8)
+    for _ in range(toxicity.ROUNDS):
+        g = np.array([(loss(x + e) - loss(x - e)) / 2e-5 for e in np.eye(3) * 1e-5])
+        past += g * g
+        x -= 0.3 * g / np.sqrt(past)
+    assert set(model.weights) == {11, 22}
+    assert np.allclose([model.weights[11], model.weights[22], model.bias], x, atol=5e-3)
