@@ -362,3 +362,28 @@ def test_against_sql(spark, module, name):
     assert sorted(columns) == sorted(got.columns)
     rows = lambda them: sorted(map(str, them))
     assert rows(tuple(r) for r in got.select(*columns).collect()) == rows(want.fetchall())
+
+
+def test_op9_item_of_five_thousand_words(spark):
+    rng = random.Random(12)
+    some = lambda n: [f"w{rng.randrange(900)}" for _ in range(n)]
+    item = some(5000)
+    changed = list(item)
+    for at in range(0, 5000, 100):
+        changed[at] = "changed"
+    texts = [some(700) + item + some(300), some(50) + changed + some(2500), item[:2500] + some(2500), ["a", "b"] * 4000]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(["a", "b"] * 1000))], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], DOC)
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontam.op9_decontamination(docs, bench).collect()}
+    want = round(weighted(changed, item, [item, ["a", "b"] * 1000]), 6)
+    assert got == {(0, 1): (1.0, 700), (1, 1): (pytest.approx(want), 50), (3, 2): (1.0, 0)}
+
+
+def test_simhashes_of_a_run_of_windows(spark):
+    rng = random.Random(13)
+    hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(60)]
+    df = spark.createDataFrame([(hashes, 7, 20, 16), (hashes, 0, 0, 90)], "h array<long>, low int, high int, size int")
+    rows = df.selectExpr(decontam.simhashes("h", "low", "high", "size") + " AS p").collect()
+    plain = lambda part: sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in part) > len(part))
+    assert [p & (1 << 64) - 1 for p in rows[0].p] == [plain(hashes[s:s + 16]) for s in range(7, 21)]
+    assert [p & (1 << 64) - 1 for p in rows[1].p] == [plain(hashes)]
