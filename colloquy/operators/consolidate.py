@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from colloquy.functions.text import (LITERAL_SPEAKER, UNKNOWN, canonical_speaker, collapse_ws,
                                      colon_index, label_of, ordered_concat, strip_first_token,
                                      text_after_label)
-from colloquy.operators.segments import assign_segments, cluster_by_segment, pad_with_grid, segment_of
+from colloquy.operators.segments import (assign_segments, cluster_by_segment, opens_segment, pad_with_grid,
+                                         padded_segments, segment_of)
 
 LABEL_MODES = ("canonical", "literal")
 STRIP_MODES = ("first_token", "label")
@@ -57,13 +58,15 @@ def _island_pieces(rows: DataFrame, part: Sequence[str], speaker_col: str, text_
         .otherwise(F.col(text_col)))
 
 
-def _segment_texts(rows: DataFrame, transcripts: DataFrame, n_segments, keys: list[str],
+def _segment_texts(rows: DataFrame, transcripts: DataFrame | None, n_segments, keys: list[str],
                    label_mode: str, labelled_sep: str, literal_sep: str,
                    with_labelled: bool, with_bare: bool) -> DataFrame:
-    """Shared tail: pad the grid, one exchange on (id, segment), island
-    pieces, one ordered aggregation per (keys, segment)."""
+    """Shared tail: pad the grid of ``transcripts`` (None: ``rows`` are padded),
+    one exchange on (id, segment), island pieces, one ordered aggregation per
+    (keys, segment)."""
     part = keys + ["segment"]
-    rows = pad_with_grid(rows, transcripts.select(*keys), n_segments, keys)
+    if transcripts is not None:
+        rows = pad_with_grid(rows, transcripts.select(*keys), n_segments, keys)
     rows = cluster_by_segment(rows)
     aggs = []
     if with_labelled:
@@ -95,18 +98,19 @@ def turn_numbers(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     run_w = file_w.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = lines.withColumn("_start", starts)
     return (rows.withColumn("turn", F.greatest(F.sum("_start").over(run_w) - 1, F.lit(0)))
-            .withColumn("n_turns", F.sum("_start").over(file_w).cast("long"))
+            .withColumn("n_turns", F.coalesce(F.sum("_start").over(file_w), F.lit(0)).cast("long"))
             .drop("_start"))
 
 
 def segment_texts_from_lines(lines: DataFrame, n_segments, keys: Sequence[str],
-                             transcripts: DataFrame, label_mode: str = "canonical",
+                             transcripts: DataFrame | None = None, label_mode: str = "canonical",
                              with_labelled: bool = True, with_bare: bool = True,
                              segment_by: str = "line", strip_mode: str = "first_token") -> DataFrame:
     """Physical lines ``(keys, pos, line[, n_rows])`` -> ``(keys, segment, labelled, bare)``.
 
     ``transcripts`` lists every (keys) file, so files with no lines still get
-    their (empty) segments.  ``segment_by='line'`` cuts by physical lines,
+    their (empty) segments.  Without it, ``lines`` hold a row of NULL ``pos`` for
+    these (``decode_lines(keep_empty=True)``) and nothing is read twice.  ``segment_by='line'`` cuts by physical lines,
     blank ones included (the reference's rule); ``'turn'`` cuts by turns, so
     segment borders agree with a side segmented by utterance or JSON turn.
     ``strip_mode='first_token'`` takes the first word of every line for a label
@@ -118,33 +122,43 @@ def segment_texts_from_lines(lines: DataFrame, n_segments, keys: Sequence[str],
         raise ValueError(f"label_mode must be one of {LABEL_MODES}")
     keys = list(keys)
     if segment_by == "turn":
-        numbered = turn_numbers(lines.select(*keys, "pos", "line"), keys)
-        rows = numbered.withColumn("segment", segment_of("turn", "n_turns", n_segments))
+        cut = ("turn", "n_turns")
+        rows = turn_numbers(lines.select(*keys, "pos", "line"), keys)
+        rows = (padded_segments(rows, n_segments, ["line"], *cut) if transcripts is None
+                else rows.withColumn("segment", segment_of(*cut, n_segments)))
     elif segment_by == "line":
-        rows = assign_segments(lines, n_segments, keys)
+        cut = ("pos", "n_rows")
+        rows = (padded_segments(lines, n_segments, ["line"], *cut) if transcripts is None
+                else assign_segments(lines, n_segments, keys))
     else:
         raise ValueError("segment_by must be line or turn")
+    filled = F.length(collapse_ws("line")) > 0
+    if with_labelled and label_mode == "canonical" and transcripts is None:
+        # a blank line stays only where it may be all that its segment has, as a placeholder
+        rows = (rows.where(filled | opens_segment(n_segments, *cut))
+                .withColumns({c: F.when(filled, F.col(c)) for c in ("pos", "line")}))
     rows = rows.select(*keys, "segment", "pos", "line",
                        (strip_first_token("line") if strip_mode == "first_token" else
                         F.concat(F.lit(" "), text_after_label("line"))).alias("_bare"),
                        text_after_label("line").alias("_tx"),
                        canonical_speaker(label_of("line")).alias("_sp"))
-    if with_labelled and label_mode == "canonical":
+    if with_labelled and label_mode == "canonical" and transcripts is not None:
         # blank lines are dropped after numbering; they carry no bare text either
-        rows = rows.where(F.length(collapse_ws("line")) > 0)
+        rows = rows.where(filled)
     return _segment_texts(rows.drop("line"), transcripts, n_segments, keys, label_mode,
                           " ", "\n", with_labelled, with_bare)
 
 
 def segment_texts_from_turns(turns: DataFrame, n_segments, keys: Sequence[str],
-                             transcripts: DataFrame, label_mode: str = "canonical",
+                             transcripts: DataFrame | None = None, label_mode: str = "canonical",
                              with_labelled: bool = True, with_bare: bool = True) -> DataFrame:
     """Labelled JSON turns ``(keys, pos, speaker, text[, n_rows])`` ->
-    ``(keys, segment, labelled, bare)``."""
+    ``(keys, segment, labelled, bare)``; ``transcripts`` as for the lines."""
     if label_mode not in LABEL_MODES:
         raise ValueError(f"label_mode must be one of {LABEL_MODES}")
     keys = list(keys)
-    rows = assign_segments(turns, n_segments, keys)
+    rows = (padded_segments(turns, n_segments, ["speaker", "text"]) if transcripts is None
+            else assign_segments(turns, n_segments, keys))
     rows = rows.select(*keys, "segment", "pos", F.col("text").alias("_bare"),
                        F.col("text").alias("_tx"), canonical_speaker("speaker").alias("_sp"))
     return _segment_texts(rows, transcripts, n_segments, keys, label_mode,

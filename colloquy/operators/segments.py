@@ -6,7 +6,8 @@ holds positions ``[k*size, (k+1)*size)``, the last part runs to the end.  When
 Empty parts are real rows with text ``''``: they are scored too.
 
 Rows are never collected per transcript to do this; the part number is a
-per-row expression of ``pos``, ``n`` and ``N``.  ``n`` comes from the decoder
+per-row expression of ``pos``, ``n`` and ``N``, and so are the empty parts: they
+come from a transcript's first row (``padded_segments``), in the same pass.  ``n`` comes from the decoder
 (array size) when the input is a file, or from a map-side-combined count
 joined back (AQE broadcasts it when small, splits skewed keys otherwise).
 """
@@ -46,6 +47,30 @@ def assign_segments(rows: DataFrame, n_segments, keys: Sequence[str],
     return rows.withColumn(seg_col, segment_of(pos_col, count_col, n_segments))
 
 
+def padded_segments(rows: DataFrame, n_segments, value_cols: Sequence[str], unit_col: str = "pos",
+                    count_col: str = "n_rows", seg_col: str = "segment") -> DataFrame:
+    """Add ``segment`` to positioned rows; every segment of a transcript gets a row.
+
+    Only a transcript with fewer rows than segments has segments without a row.
+    Its row 0 (or the row with NULL ``pos`` that the decoders keep for a transcript
+    of no rows) also gives a placeholder for each: NULL ``pos`` and ``value_cols``.
+    No second read of the transcripts, no union, no join.  ``unit_col`` and
+    ``count_col`` are what is cut: rows by default, or turns of several rows."""
+    n_seg = F.lit(n_segments) if isinstance(n_segments, int) else col_(n_segments)
+    own = segment_of(unit_col, count_col, n_segments)
+    lone = F.col("pos").isNull() | ((F.col("pos") == 0) & (F.col(count_col) < n_seg))
+    rows = rows.withColumn(seg_col, F.explode(F.when(lone, F.sequence(F.lit(0), n_seg.cast("int") - 1)).otherwise(F.array(own))))
+    real = F.col(seg_col) == own
+    return rows.withColumns({c: F.when(real, F.col(c)) for c in (*value_cols, "pos")})
+
+
+def opens_segment(n_segments: int, unit_col: str = "pos", count_col: str = "n_rows") -> Column:
+    """True for the first row of a segment and for placeholders: a filter that
+    keeps these keeps every segment."""
+    size = F.floor(F.col(count_col) / n_segments)
+    return F.col("pos").isNull() | (F.col("pos") == 0) | (F.col(unit_col) == F.col("segment") * size)
+
+
 def segment_grid(transcripts: DataFrame, n_segments, keys: Sequence[str],
                  seg_col: str = "segment") -> DataFrame:
     """Every ``(keys, segment)`` for segment 0..N-1 of every transcript."""
@@ -71,27 +96,29 @@ def flatten_text(utterances: DataFrame, keys: Sequence[str], n_segments=1,
     """Raw transcript text per (keys, segment): ``' ' + text`` of every utterance
     whose text is not exactly ``"\\n"``, in order.
 
+    Without ``transcripts``, the utterances name every transcript (as the decoders
+    do with ``keep_empty``) and are read once; else those of no utterance come from it.
+
     ``normalise='always'`` collapses whitespace; ``'literal'`` keeps the
     single-segment text uncollapsed (the reference's 1-segment raw text) and
     collapses only when ``N > 1``; ``'never'`` keeps the chunk text as the
     labelling stage sends it."""
     if "n_rows" not in utterances.columns:
-        counts = utterances.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-        utterances = utterances.join(counts, list(keys))
-        if transcripts is None:
-            transcripts = counts.select(*keys)
-    rows = assign_segments(utterances, n_segments, keys, pos_col)
-    rows = rows.select(*keys, "segment", pos_col,
-                       F.when(F.col(text_col) != "\n", F.concat(F.lit(" "), F.col(text_col)))
-                       .alias("_piece"))
+        utterances = with_row_count(utterances, keys)
+    rows = utterances.select(*keys, F.col(pos_col).alias("pos"), F.col(text_col).alias("_text"), "n_rows")
     if transcripts is None:
-        transcripts = utterances.select(*keys).distinct()
-    rows = pad_with_grid(rows, transcripts, n_segments, keys)
+        rows = padded_segments(rows, n_segments, ["_text"])
+    else:
+        rows = assign_segments(rows, n_segments, keys)
+    rows = rows.select(*keys, "segment", "pos",
+                       F.when(F.col("_text") != "\n", F.concat(F.lit(" "), F.col("_text"))).alias("_piece"))
+    if transcripts is not None:
+        rows = pad_with_grid(rows, transcripts, n_segments, keys)
     if "id" in keys:
         rows = cluster_by_segment(rows)
     agg = rows.groupBy(*keys, "segment").agg(
-        F.coalesce(ordered_concat("_piece", pos_col), F.lit("")).alias("_raw"),
-        F.count(pos_col).alias("n_utterances"))
+        F.coalesce(ordered_concat("_piece", "pos"), F.lit("")).alias("_raw"),
+        F.count("pos").alias("n_utterances"))
     n_seg = F.lit(n_segments) if isinstance(n_segments, int) else col_(n_segments)
     if normalise == "always":
         text = collapse_ws("_raw")

@@ -417,7 +417,7 @@ def parse_problems(spark, sf_dir):
     bad = malformed_json(files, UTTERANCE_SCHEMA).select("id", F.lit("malformed").alias("state"), F.lit(None).cast("int").alias("segment"),
                                                          F.lit(None).cast("string").alias("text"))
     good = files.where(is_json("value", UTTERANCE_SCHEMA))
-    parts = flatten_text(decode_utterances(good, ["id"]), ["id"], 2, "never", transcripts=good.select("id"))
+    parts = flatten_text(decode_utterances(good, ["id"], keep_empty=True), ["id"], 2, "never")
     return bad.unionByName(parts.select("id", F.lit("read").alias("state"), "segment", "text"))
 
 

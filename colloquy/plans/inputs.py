@@ -54,22 +54,18 @@ def pred_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS
                   segment_by: str = "line", strip_mode: str = "first_token") -> DataFrame:
     """``(run_name, id, segment, labelled, bare)`` from the txt or JSON files."""
     if source == "txt":
-        files = pred_txt_files(spark, sf_dir)
-        lines = decode_lines(files, RUN_KEYS)
-        return segment_texts_from_lines(lines, n_segments, RUN_KEYS, files.select(*RUN_KEYS),
+        lines = decode_lines(pred_txt_files(spark, sf_dir), RUN_KEYS, keep_empty=True)
+        return segment_texts_from_lines(lines, n_segments, RUN_KEYS, None,
                                         label_mode, with_labelled, with_bare, segment_by, strip_mode)
-    files = pred_json_files(spark, sf_dir)
-    turns = decode_turns(files, RUN_KEYS)
-    return segment_texts_from_turns(turns, n_segments, RUN_KEYS, files.select(*RUN_KEYS),
-                                    label_mode, with_labelled, with_bare)
+    turns = decode_turns(pred_json_files(spark, sf_dir), RUN_KEYS, keep_empty=True)
+    return segment_texts_from_turns(turns, n_segments, RUN_KEYS, None, label_mode, with_labelled, with_bare)
 
 
 def gold_segments(spark: SparkSession, sf_dir: str, n_segments: int = N_SEGMENTS,
                   label_mode: str = "canonical", segment_by: str = "line") -> DataFrame:
     """``(id, segment, labelled)`` of the gold standard."""
-    files = gold_txt_files(spark, sf_dir)
-    lines = decode_lines(files, ["id"])
-    return segment_texts_from_lines(lines, n_segments, ["id"], files.select("id"), label_mode,
+    lines = decode_lines(gold_txt_files(spark, sf_dir), ["id"], keep_empty=True)
+    return segment_texts_from_lines(lines, n_segments, ["id"], None, label_mode,
                                     with_labelled=True, with_bare=False, segment_by=segment_by)
 
 

@@ -60,8 +60,7 @@ def raw_segments_from_files(spark: SparkSession, raw_dir: str, segments: int,
     """``(id, segment, text, n_utterances)`` from ``<raw_dir>/<id>.json``."""
     files = _only_listed(read_whole(spark, raw_dir, "id", ".json"), ids)
     files = files.where(is_json("value", UTTERANCE_SCHEMA))
-    utts = decode_utterances(files, ["id"])
-    return flatten_text(utts, ["id"], segments, normalise, transcripts=files.select("id"))
+    return flatten_text(decode_utterances(files, ["id"], keep_empty=True), ["id"], segments, normalise)
 
 
 def gold_segments_from_files(spark: SparkSession, gold_dir: str, segments: int,
@@ -72,11 +71,10 @@ def gold_segments_from_files(spark: SparkSession, gold_dir: str, segments: int,
     files = _only_listed(read_whole(spark, gold_dir, "id", suffix), ids)
     if gold_json:
         files = files.where(is_json("value", TURN_SCHEMA))
-        rows = decode_turns(files, ["id"])
-        return segment_texts_from_turns(rows, segments, ["id"], files.select("id"), label_mode,
-                                        with_bare=False)
-    return segment_texts_from_lines(decode_lines(files, ["id"]), segments, ["id"], files.select("id"),
-                                    label_mode, with_bare=False, segment_by=segment_by)
+        return segment_texts_from_turns(decode_turns(files, ["id"], keep_empty=True), segments, ["id"],
+                                        label_mode=label_mode, with_bare=False)
+    return segment_texts_from_lines(decode_lines(files, ["id"], keep_empty=True), segments, ["id"],
+                                    label_mode=label_mode, with_bare=False, segment_by=segment_by)
 
 
 def pred_segments_from_files(spark: SparkSession, root: str, segments: int,
@@ -87,11 +85,10 @@ def pred_segments_from_files(spark: SparkSession, root: str, segments: int,
     files = _only_listed(read_run_files(spark, root, ".json" if input_json else ".txt"), ids)
     if input_json:
         files = files.where(is_json("value", TURN_SCHEMA))
-        return segment_texts_from_turns(decode_turns(files, RUN_KEYS), segments, RUN_KEYS,
-                                        files.select(*RUN_KEYS), label_mode)
-    return segment_texts_from_lines(decode_lines(files, RUN_KEYS), segments, RUN_KEYS,
-                                    files.select(*RUN_KEYS), label_mode, segment_by=segment_by,
-                                    strip_mode=strip_mode)
+        return segment_texts_from_turns(decode_turns(files, RUN_KEYS, keep_empty=True), segments, RUN_KEYS,
+                                        label_mode=label_mode)
+    return segment_texts_from_lines(decode_lines(files, RUN_KEYS, keep_empty=True), segments, RUN_KEYS,
+                                    label_mode=label_mode, segment_by=segment_by, strip_mode=strip_mode)
 
 
 def problems(spark: SparkSession, root: str, raw_dir: str | None, gold_dir: str | None,
@@ -202,10 +199,8 @@ def labelling_requests(spark: SparkSession, raw_dir: str, runs: Sequence[Labelli
     listed = F.explode(F.array(*[F.struct(F.lit(r.run_name).alias("run_name"), F.lit(r.chunk_num).alias("chunk_num"))
                                  for r in runs])).alias("_r")
     keys = ["run_name", "chunk_num", "id"]
-    utts = decode_utterances(files, ["id"]).select("*", listed).select("*", "_r.*").drop("_r")
-    chunks = flatten_text(utts, keys, "chunk_num", "never",
-                          transcripts=files.select("id", listed).select("id", "_r.*")) \
-        .select("run_name", "id", F.col("segment").alias("chunk"), "text")
+    utts = decode_utterances(files, ["id"], keep_empty=True).select("*", listed).select("*", "_r.*").drop("_r")
+    chunks = flatten_text(utts, keys, "chunk_num", "never").select("run_name", "id", F.col("segment").alias("chunk"), "text")
     return build_requests(chunks, labelling_runs(spark, runs), prompts, stage, summaries, summary_chunking)
 
 

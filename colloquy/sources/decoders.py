@@ -135,7 +135,7 @@ def decode_ids(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def decode_utterances(files: DataFrame, keys: Sequence[str] = ("id",),
-                      value_col: str = "value") -> DataFrame:
+                      value_col: str = "value", keep_empty: bool = False) -> DataFrame:
     """Raw transcript JSON array -> ``(keys, pos, start_s, end_s, text, n_rows)``.
 
     ``n_rows`` counts every utterance (``"\\n"`` ones too): segmentation needs it
@@ -144,10 +144,10 @@ def decode_utterances(files: DataFrame, keys: Sequence[str] = ("id",),
     # the count comes from a light top-level scan of the text, so the array is
     # not built twice when the optimizer inlines it into both uses
     staged = files.select(*keys, arr.alias("_u"),
-                          F.json_array_length(col_(value_col)).cast("int").alias("n_rows"))
+                          F.coalesce(F.json_array_length(col_(value_col)), F.lit(0)).cast("int").alias("n_rows"))
     return (staged
             .select(*keys, "n_rows", F.posexplode_outer("_u").alias("pos", "_e"))
-            .where(F.col("pos").isNotNull())
+            .where(F.lit(keep_empty) | F.col("pos").isNotNull())
             .select(*keys, "pos",
                     F.col("_e.timestamp")[0].alias("start_s"),
                     F.col("_e.timestamp")[1].alias("end_s"),
@@ -155,23 +155,23 @@ def decode_utterances(files: DataFrame, keys: Sequence[str] = ("id",),
 
 
 def decode_lines(files: DataFrame, keys: Sequence[str] = ("id",),
-                 value_col: str = "value") -> DataFrame:
+                 value_col: str = "value", keep_empty: bool = False) -> DataFrame:
     """Labelled txt -> physical lines ``(keys, pos, line, n_rows)``; blank lines
     are rows (they count for segmentation); line ends are removed."""
     staged = (files.select(*keys, split_lines(value_col).alias("_l"))
               .withColumn("n_rows", F.size("_l")))
     return (staged.select(*keys, "n_rows", F.posexplode_outer("_l").alias("pos", "line"))
-            .where(F.col("pos").isNotNull()).select(*keys, "pos", "line", "n_rows"))
+            .where(F.lit(keep_empty) | F.col("pos").isNotNull()).select(*keys, "pos", "line", "n_rows"))
 
 
 def decode_turns(files: DataFrame, keys: Sequence[str] = ("id",),
-                 value_col: str = "value") -> DataFrame:
+                 value_col: str = "value", keep_empty: bool = False) -> DataFrame:
     """Labelled JSON ``[{chunk, speaker, text}]`` -> ``(keys, pos, chunk, speaker, text, n_rows)``."""
     arr = F.from_json(col_(value_col), TURN_SCHEMA)
     staged = files.select(*keys, arr.alias("_t"),
-                          F.json_array_length(col_(value_col)).cast("int").alias("n_rows"))
+                          F.coalesce(F.json_array_length(col_(value_col)), F.lit(0)).cast("int").alias("n_rows"))
     return (staged.select(*keys, "n_rows", F.posexplode_outer("_t").alias("pos", "_e"))
-            .where(F.col("pos").isNotNull())
+            .where(F.lit(keep_empty) | F.col("pos").isNotNull())
             .select(*keys, "pos", F.col("_e.chunk").alias("chunk"),
                     F.col("_e.speaker").alias("speaker"), F.col("_e.text").alias("text"),
                     "n_rows"))
