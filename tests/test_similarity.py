@@ -81,6 +81,52 @@ def test_trimmed_affixes_do_not_change_distance():
     assert edit_distances(A, Bs) == [1, 0, 3, None]
 
 
+def _edited(rnd, a, n):
+    b = list(a)
+    for _ in range(n):
+        k = rnd.randrange(len(b) + 1)
+        b[k:k + rnd.randint(0, 1)] = rnd.choice(["", "é", "the ", "\U0001f600"])
+    return "".join(b)
+
+
+def test_batched_distances_are_those_one_by_one():
+    """Few and many edits, unlike texts and lengths, copies, empty and missing sides."""
+    import random
+    from colloquy.functions.similarity import edit_distances
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("abc é\U0001f600") for _ in range(rnd.randint(0, 900))) for _ in range(160)]
+    pairs = [(a, _edited(rnd, a, rnd.choice([0, 3, 30, 200]))) for a in texts] + list(zip(texts, texts[1:]))
+    pairs += [(b, a) for a, b in pairs[:60]] + [("", "abc"), ("", ""), (None, "a"), ("a", None)]
+    want = [None if a is None or b is None else edit_distance(a, b) for a, b in pairs]
+    assert edit_distances(*zip(*pairs)) == want
+    assert [edit_distance(a, b) for a, b in pairs[:12]] == [dp(a, b) for a, b in pairs[:12]]
+
+
+def test_bands_hold_distances_up_to_their_width():
+    import random
+    from colloquy.functions.similarity import _banded_distances, banded_distance
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice("abc ") for _ in range(rnd.randint(1, 400))) for _ in range(60)]
+    pairs = [(a, _edited(rnd, a, rnd.randint(0, 90)) or "x") for a in texts] + list(zip(texts, texts[1:]))
+    want = [edit_distance(a, b) for a, b in pairs]
+    for k in (1, 7, 63, 64, 65, 130, 500):
+        held = [w if w <= k else None for w in want]
+        assert [banded_distance(a, b, k) for a, b in pairs] == held
+        assert _banded_distances(pairs, k) == held
+
+
+def test_long_pairs_with_few_differences_take_no_whole_bit_vectors(monkeypatch):
+    """The work goes with the distance, not with the square of the length."""
+    import random
+    from colloquy.functions import similarity as S
+    rnd = random.Random(13)
+    a = "".join(rnd.choice("abcdefg hij") for _ in range(60_000))
+    pairs = [(a, _edited(rnd, a, 100)), (a, _edited(rnd, a, 1500)), (a[:3000], _edited(rnd, a[:3000], 40))]
+    want = [S.edit_distance(x, y) for x, y in pairs]
+    monkeypatch.setattr(S, "edit_distance", None)
+    assert S.edit_distances(*zip(*pairs)) == want
+
+
 def test_each_distinct_pair_is_scored_once(spark):
     from colloquy.operators.scoring import score_pairs
     a, b = "the patient said hello " * 20, "the student said hello " * 20
