@@ -180,3 +180,30 @@ def test_a_part_without_rare_characters_matches_in_its_beginning():
     assert ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio()
     assert ratio("", "") == 1.0 and ratio("", "a") == 0.0
     assert ratio("\ud800x", "x\ud800") == difflib.SequenceMatcher(None, "\ud800x", "x\ud800").ratio()
+
+
+def test_runs_of_a_long_pair_take_little_memory():
+    import random
+    import tracemalloc
+    from colloquy.functions import matching as M
+    rnd = random.Random(14)
+    letters = [chr(0x400 + k) for k in range(40)]
+    a, b = ("".join(rnd.choice(letters) for _ in range(6000)) for _ in range(2))
+    points = sum(a.count(ch) * b.count(ch) for ch in letters)
+    index = M._Places(M._codes(b), False)
+    tracemalloc.start()
+    first, end, d = M._diagonal_runs(*index.of(M._codes(a)), index.places)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int((end - first).sum()) == points
+    assert peak < 56 * points
+
+
+@settings(max_examples=60, deadline=None)
+@given(prose, prose, st.booleans())
+def test_runs_found_in_parts_are_those_found_at_once(a, b, autojunk):
+    from colloquy.functions import matching as M
+    from unittest import mock
+    at_once = matching_blocks(a, b, autojunk)
+    with mock.patch.object(M, "PART_POINTS", 7):
+        assert matching_blocks(a, b, autojunk) == at_once
