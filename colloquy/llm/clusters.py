@@ -155,28 +155,22 @@ class Bits:
             return pa.array(bits_hold(np.frombuffer(bits.value, np.uint8), hashes.to_numpy().view(np.uint64)))
         return F.arrow_udf(held, "boolean")(F.xxhash64(*columns))
 
-    def only(self, keys: str) -> Column:
-        """An array of hashes without those that are not of the hashed."""
-        bits = self.sent
-
-        def filtered(keys: pa.Array) -> pa.Array:
-            values, sizes = keys.flatten(), pc.fill_null(pc.list_value_length(keys), 0).to_numpy(False)
-            marks = bits_hold(np.frombuffer(bits.value, np.uint8), values.to_numpy().view(np.uint64))
-            left = np.append(0, np.cumsum(marks))[np.cumsum(np.append(0, sizes))]
-            return pa.ListArray.from_arrays(pa.array(left, pa.int32()), values.filter(pa.array(marks)))
-        return F.arrow_udf(filtered, "array<bigint>")(keys)
-
 
 def _shared(signed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of shared_keys.  Keys are counted alone first; those that occur once,
-    nearly all of them, never travel with their nodes.  The others, and one row
-    of each class, are told by bit arrays, which let some more pass."""
+    """Rows of shared_keys.  Keys travel once, each with its node; what is met
+    by one node only goes where it arrives, exactly, so all later steps grow with
+    the shared keys.  A bit array tells one row of each class and lets some more
+    pass; these repeat a node."""
     of_class = Bits(classes.select(F.xxhash64("id", "th").alias("hash")))
-    rows = signed.filter("n > 0").filter(of_class.hold("id", "th")).select("node", "keys")
-    twice = Bits(rows.select(F.explode("keys").alias("hash")).groupBy("hash").count().filter("count > 1"))
-    shared = materialized(shared_keys(rows.select("node", F.explode(twice.only("keys")).alias("key")).distinct()))
-    of_class.done(), twice.done()
-    return shared
+    rows = signed.filter("n > 0").filter(of_class.hold("id", "th"))
+    met = rows.select(F.explode("keys").alias("key"), "node").repartition("key")
+    several = met.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    # one shuffle by key serves both sides and nothing is sorted; Spark would plan another if it stood right below the join
+    turned = met.select("key", F.bitwise_not("node").alias("turned"))
+    members = materialized(turned.join(several.hint("shuffle_hash"), "key", "left_semi")
+                           .select("key", F.bitwise_not("turned").alias("node")).distinct())
+    of_class.done()
+    return materialized(shared_keys(members))
 
 
 def rows_with_components(df: DataFrame, id_col: str, text_col: str, signed: DataFrame, pack, join,

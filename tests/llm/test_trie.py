@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
+import xxhash
 
-from colloquy.llm import clusters, trie
+from colloquy.llm import clusters, common, trie
 
 SCHEMA = "doc_id long, text string, node long, keys int"
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -97,3 +99,33 @@ def test_trie_finds_all_links():
                        if 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))]
     assert not mask.any()
     assert len(tree.flat) < sum(map(len, sets))  # equal beginnings are stored once
+
+
+def test_only_shared_keys_are_handed_on_when_every_bit_is_set(spark, monkeypatch):
+    """A full bit array, as of a large corpus, tells nothing; keys of one node go all the same."""
+    given = []
+    monkeypatch.setattr(clusters, "bit_array", lambda hashes: b"\xff" * (1 << 23))
+    shared_keys = clusters.shared_keys
+    monkeypatch.setattr(clusters, "shared_keys", lambda members: given.extend(members.collect()) or shared_keys(members))
+    rows = [(1, 11, 3, 7, [100, 101, 102]), (2, 12, 3, 7, [100, 101, 102]), (3, 13, 3, 8, [102, 103, -5]),
+            (4, 14, 2, -9, [-5, 104]), (5, 15, 0, None, None)]  # the first two are copies
+    signed = spark.createDataFrame(rows, "id long, th long, n long, node long, keys array<long>")
+    classes = spark.createDataFrame([(7, 1, 11), (8, 3, 13), (-9, 4, 14)], "node long, id long, th long")
+    found = clusters._shared(signed, classes).select("key", "node", "pivot").collect()
+    expected = {(102, 7), (102, 8), (-5, 8), (-5, -9)}
+    assert {(r.key, r.node) for r in given} == expected and len(given) == len(expected)
+    assert {(r.key, r.node, r.pivot) for r in found} == {(102, 7, 7), (102, 8, 7), (-5, 8, -9), (-5, -9, -9)}
+
+
+def test_hashes_of_words_kept_in_a_worker_stay_small():
+    """What 300 thousand words leave behind; a task may have several workers."""
+    words = [b"word%d" % k for k in range(300_000)]
+    tracemalloc.start()
+    try:
+        kept = common._WordHashes()
+        hashes = [kept[w] for w in words]
+        assert hashes[::50_000] == [xxhash.xxh64_intdigest(w) for w in words[::50_000]]
+        del words, hashes
+        assert tracemalloc.get_traced_memory()[0] < 15 << 20
+    finally:
+        tracemalloc.stop()
