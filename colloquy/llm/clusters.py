@@ -47,16 +47,18 @@ def groups_of(batches, name: str) -> Iterator[pa.Table]:
         yield rest
 
 
-def shared_keys(members: DataFrame) -> DataFrame:
+def shared_keys(members: DataFrame, weight: str = "1") -> DataFrame:
     """(key, node, pivot, weight) of the keys that several nodes have; of keys
-    with the same nodes, one, its weight their number."""
+    with the same nodes, one, with the sum of their weights (an expression, the
+    same in all rows of a key)."""
     keys = (members.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count("*").alias("nodes"),
+                                       F.max(F.expr(weight)).alias("weight"),
                                        F.bit_xor(F.xxhash64("node")).alias("x"),
                                        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
             .filter("pivot <> last")
-            .groupBy("pivot", "last", "nodes", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("weight"))
+            .groupBy("pivot", "last", "nodes", "x", "y").agg(F.min("key").alias("key"), F.sum("weight").alias("weight"))
             .select("key", "pivot", "weight"))
-    return members.join(keys, "key").select("key", "node", "pivot", "weight")
+    return members.select("key", "node").join(keys, "key").select("key", "node", "pivot", "weight")
 
 
 def _blocks(size: Column, count: Column) -> Column:
@@ -173,19 +175,38 @@ def _shared(signed: DataFrame, classes: DataFrame) -> DataFrame:
     return materialized(shared_keys(members))
 
 
+def _near(shared: DataFrame, signed: DataFrame, classes: DataFrame, sift) -> DataFrame:
+    """``shared`` without the nodes that no other can be linked with, judged by
+    sketches instead of sets: nodes that ``sift`` joins, directly or not, stay
+    together, and a key counts for each such group alone."""
+    owners = classes.join(shared.select("node").distinct(), "node", "left_semi")
+    wanted = Bits(owners.select(F.xxhash64("id", "th").alias("hash")))
+    sketches = materialized(signed.filter("n > 0").filter(wanted.hold("id", "th"))
+                            .groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("set")))
+    wanted.done()
+    near = linked_components(shared, sketches, sift)
+    members = shared.join(near, "node").select(F.xxhash64("key", "component").alias("key"), "node", "weight")
+    return materialized(shared_keys(materialized(members), "weight"))
+
+
 def rows_with_components(df: DataFrame, id_col: str, text_col: str, signed: DataFrame, pack, join,
-                         carried: list[str] | None = None) -> DataFrame:
+                         carried: list[str] | None = None, sift=None) -> DataFrame:
     """(id, th, n, node, component) per row of ``df``.
 
     ``signed``: written (id, th, n, node, keys, ...), th being the text's
     xxhash64, node the hash of its set, n the set's size; ``pack``: texts -> sets,
     an Arrow function; ``carried``: columns of ``signed`` that ``join`` wants.
+    ``sift``: as ``join``, with the columns n and set = ``sketch`` of ``signed``;
+    finds at least the pairs that ``join`` links.  Sets are then built, and
+    shuffled, for the nodes it leaves only.
     Component is the smallest id that links reach: that of the row where n is 0."""
     carried = carried or []
     row = F.min(F.struct(F.col("id").isNull().alias("x"), "id", "th"))  # of a class, one that has an id
     classes = materialized(signed.filter("n > 0").groupBy("node").agg(row.alias("r"), *[F.first(c).alias(c) for c in carried])
                          .select("node", "r.id", "r.th", *carried))
     shared = _shared(signed, classes)
+    if sift:
+        shared = _near(shared, signed, classes, sift)
     owners = (classes.join(shared.select("node").distinct(), "node", "left_semi")
               .withColumnsRenamed({"id": "oid", "th": "oth"}))
     wanted = Bits(owners.select(F.xxhash64("oid", "oth").alias("hash")))

@@ -16,6 +16,11 @@ equal parts are far rarer than shared shingles: a passage that a third of the
 documents holds makes two of them meet only if it fills a whole part.  Equal
 sets are one node from the start.
 
+Sets that share a key are mostly not linked.  Before the sets are built, such
+nodes meet by sketches, parities of the shingles at a few places: these differ
+in no more places than the sets do in shingles, so what differs in too many is
+no link, exactly.  Only nodes with a partner that remains go on to the tries.
+
 Defined results.  Null or word-less text: set size 0, linked with nothing.
 Nodes are sets, so rows that share an id but not the text stay apart; a
 component's id is the smallest id of its rows, null if none has one.  Shingles
@@ -86,6 +91,43 @@ def part_keys(shingles: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(keys)).view(np.int64) if keys else np.empty(0, np.int64)
 
 
+# ---- sketches ---------------------------------------------------------------
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Of each of 2 to 4 places a shingle (a power of two), whether the number of
+    shingles there is odd.  The halves' exclusive or is the sketch at half the places."""
+    places = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def near(sketches: list[bytes], sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray) -> list[tuple[int, int]]:
+    """As ``forest``, of the pairs whose sketches differ in no more places than
+    linked sets of their sizes can: all links, and few others."""
+    component = np.unique(labels, return_inverse=True)[1]
+    order = np.argsort(sizes, kind="stable")
+    size, side, component = sizes[order], sides[order], component[order]
+    stops = np.searchsorted(size, 100 * size // PERCENT, "right")
+    crossed, edges = sides.any(), []
+    width = np.array([len(sketches[k]) for k in order])
+    for w in np.unique(width).tolist():  # grows with the size; linked sets have the same or the next
+        first, end, last = np.searchsorted(width, [w, w + 1, 2 * w + 1]).tolist()
+        read = lambda a, b: np.frombuffer(b"".join(sketches[k] for k in order[a:b]), np.uint64)
+        own, twice = read(first, end).reshape(-1, w // 8), read(end, last).reshape(-1, 2, w // 8)
+        bits = np.concatenate([own, twice[:, 0] ^ twice[:, 1]])
+        for i in range(first, end):
+            meets = component[i + 1:stops[i]] != component[i]
+            if crossed:
+                meets &= side[i + 1:stops[i]] != side[i]
+            js = i + 1 + np.flatnonzero(meets)
+            differ = np.bitwise_count(bits[js - first] ^ bits[i - first]).sum(axis=1, dtype=np.int64)
+            for j in js[differ <= most_different(size[i] + size[js])].tolist():
+                if component[i] != component[j]:
+                    edges.append((int(order[i]), int(order[j])))
+                    component[component == component[j]] = component[i]
+    return edges
+
+
 # ---- the trie ---------------------------------------------------------------
 
 class Trie:
@@ -187,31 +229,41 @@ def forest(sets: list[np.ndarray], labels: np.ndarray, sides: np.ndarray) -> lis
     return edges
 
 
-def _trie_join(batches):
+def _joined(batches, edges_of):
     for t in groups_of(batches, "block"):
         if t.num_rows < 2:
             continue
         node = t["node"].to_numpy()
-        sets = [np.frombuffer(b, np.uint64) for b in t["set"].to_pylist()]
-        edges = forest(sets, t["lab"].to_numpy(), t["side"].to_numpy())
+        edges = edges_of(t, t["lab"].to_numpy(), t["side"].to_numpy())
         if edges:
             yield pa.RecordBatch.from_arrays([pa.array(node[list(e)]) for e in zip(*edges)], ["a", "b"])
 
 
+def _trie_join(batches):
+    yield from _joined(batches, lambda t, *how: forest([np.frombuffer(b, np.uint64) for b in t["set"].to_pylist()], *how))
+
+
+def _sift(batches):
+    yield from _joined(batches, lambda t, *how: near(t["set"].to_pylist(), t["n"].to_numpy(), *how))
+
+
 # ---- on Spark ---------------------------------------------------------------
 
 def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, n, node, keys): hash of the text, set size, hash of the set, keys."""
-    @F.arrow_udf("struct<n:bigint,node:bigint,keys:array<bigint>>")
+    """(id, th, n, node, keys, sketch): hash of the text, set size, hash of the
+    set, keys, sketch."""
+    @F.arrow_udf("struct<n:bigint,node:bigint,keys:array<bigint>,sketch:binary>")
     def sign(texts: pa.Array) -> pa.Array:
-        n, node, keys = [], [], []
+        n, node, keys, sketches = [], [], [], []
         for text in text_bytes(texts):
             s = shingle_set(text, WIDTH)
             n.append(len(s))
             node.append(xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
             keys.append(part_keys(s) if len(s) else None)
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                                           pa.array(keys, pa.list_(pa.int64()))], ["n", "node", "keys"])
+            sketches.append(sketch(s) if len(s) else None)
+        return pa.StructArray.from_arrays(
+            [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+             pa.array(sketches, pa.binary())], ["n", "node", "keys", "sketch"])
 
     return (df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
                       sign.asNondeterministic()(F.col(text_col)).alias("s")).select("id", "th", "s.*"))
@@ -226,7 +278,8 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     id that links reach."""
     ship(df.sparkSession)
     signed = materialized(_signed(df, id_col, text_col))
-    return rows_with_components(df, id_col, text_col, signed, _packed, _trie_join).select("id", "n", "component")
+    return rows_with_components(df, id_col, text_col, signed, _packed, _trie_join,
+                                sift=_sift).select("id", "n", "component")
 
 
 def op13_ngram_join(documents: DataFrame) -> DataFrame:

@@ -101,6 +101,67 @@ def test_trie_finds_all_links():
     assert len(tree.flat) < sum(map(len, sets))  # equal beginnings are stored once
 
 
+def linked(a, b):
+    return 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+
+
+@pytest.mark.parametrize("crossed", [False, True])
+def test_sketches_lose_no_link(crossed):
+    """Each pair by itself, at and beyond the furthest link, across widths of sketches."""
+    rng = np.random.default_rng(4)
+    new = lambda n: rng.integers(0, 1 << 63, n, np.uint64)
+    left = dropped = 0
+    for n in [*range(1, 70), 120, 128, 129, 500, 1023, 1024, 1025] * 2:
+        a = np.unique(new(n))
+        for gone, more in [(0, 0), (0, n * 15 // 85), (n * 15 // 100, 0), (n * 3 // 40, n * 3 // 40), (n // 20, n // 20), (n // 3, n // 3), (n // 5, n)]:
+            b = np.unique(np.concatenate([a[gone:], new(more)]))
+            got = trie.near([trie.sketch(a), trie.sketch(b)], np.array([len(a), len(b)]), np.array([5, 9]), np.array([0, int(crossed)]))
+            if linked(a, b):
+                assert len(got) == 1 and sorted(got[0]) == [0, 1], (n, gone, more)
+            left, dropped = left + len(got), dropped + (not got)
+    assert left > 300 and dropped > 150
+
+
+def test_sketches_join_what_links_join():
+    """In a block of many, of one or two sides: who is linked comes to be in one group."""
+    rng = np.random.default_rng(5)
+    base = [rng.integers(0, 1 << 63, n, np.uint64) for n in (3, 9, 30, 62, 66, 130, 260, 1030) * 2]
+    sets = [np.unique(np.where(rng.random(len(b)) < 0.04, rng.integers(0, 1 << 63, len(b), np.uint64), b)) for b in base for _ in range(6)]
+    labels = rng.integers(0, 70, len(sets))
+    for sides in (np.zeros(len(sets), int), rng.integers(0, 2, len(sets))):
+        edges = trie.near([trie.sketch(x) for x in sets], np.array([len(x) for x in sets]), labels, sides)
+        group = labels.copy()
+        for i, j in edges:
+            assert group[i] != group[j]  # a forest
+            assert not sides.any() or sides[i] != sides[j]
+            group[group == group[j]] = group[i]
+        for i, x in enumerate(sets):
+            for j in range(i):
+                if (not sides.any() or sides[i] != sides[j]) and linked(x, sets[j]):
+                    assert group[i] == group[j]
+
+
+def test_sets_are_built_only_of_nodes_that_may_be_linked(spark, monkeypatch):
+    """Texts of one passage share keys; three of them are linked, the others far from it."""
+    built, rng = [], random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    passage = words(260)
+    rows = [(k, " ".join(passage[:200] + words(60))) for k in range(30)]
+    rows += [(100 + k, " ".join(passage[:-1 - k])) for k in range(3)]
+    found = clusters.linked_components
+
+    def seen(shared, sets, join):
+        built.append((join.__name__, shared.select("node").distinct().count(), sets.count()))
+        return found(shared, sets, join)
+    monkeypatch.setattr(clusters, "linked_components", seen)
+    got = trie.op13_ngram_join(spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=str) == by_definition(rows)
+    assert {r.component_id for r in got if r.doc_id >= 100} == {100}
+    first, last = built[0], built[-1]
+    assert first[1] > 20  # by keys many meet
+    assert last == ("_trie_join", 3, 3)
+
+
 def test_only_shared_keys_are_handed_on_when_every_bit_is_set(spark, monkeypatch):
     """A full bit array, as of a large corpus, tells nothing; keys of one node go all the same."""
     given = []
